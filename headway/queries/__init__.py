@@ -1,6 +1,6 @@
 """Registered queries over the given tables, each with its SQL counterpart."""
 
-from headway.queries import timetable  # noqa: F401 - registers its queries
+from headway.queries import lifts, realtime, timetable  # noqa: F401 - they register their queries
 from headway.queries.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
