@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.plans import gold, silver
-from headway.queries.registry import Tables, view
+from headway.queries.registry import Tables, shared, view
 
 # The moment at which time-relative queries are asked.
 AS_OF = datetime(2024, 1, 31)
@@ -55,6 +55,7 @@ def sql_clock(sec: str) -> str:
 # --- stop times, trips, routes, stops --------------------------------------
 
 
+@shared
 def raw_stop_times(t: Tables) -> DataFrame:
     visits = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("s"))
     sec = (F.col("l_orderkey") % 26) * 3600 + F.col("l_linenumber") * 420
@@ -83,6 +84,7 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber
 )
 
 
+@shared
 def raw_trips(t: Tables) -> DataFrame:
     return t.orders.select(
         cat("X:C", txt(F.col("o_custkey") % 27), ":v1").alias("route_id"),
@@ -105,6 +107,7 @@ FROM orders
 )
 
 
+@shared
 def raw_routes(t: Tables) -> DataFrame:
     key = txt("n_nationkey")
     return t.nation.select(
@@ -131,6 +134,7 @@ FROM nation
 )
 
 
+@shared
 def raw_stops(t: Tables) -> DataFrame:
     """Suppliers as stops, nations as stations, customers as entrances, in one feed."""
     k = F.col("s_suppkey")
@@ -208,6 +212,7 @@ FROM supplier
 )
 
 
+@shared
 def raw_accessibility(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
     return t.part.select(
@@ -237,6 +242,7 @@ def _yyyymmdd(day: Column) -> Column:
     return F.date_format(day, "yyyyMMdd").cast("int")
 
 
+@shared
 def raw_calendars(t: Tables) -> DataFrame:
     k = F.col("c_custkey")
     start = F.date_add(F.lit("2024-01-01").cast("date"), (k % 60).cast("int"))
@@ -268,6 +274,7 @@ FROM customer
 )
 
 
+@shared
 def raw_calendar_dates(t: Tables) -> DataFrame:
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 80).cast("int"))
     rows = t.orders.groupBy(cat("X:cal:S", txt("o_custkey")).alias("service_id"), _yyyymmdd(day).alias("date"))
@@ -290,6 +297,7 @@ def _edge_ends() -> tuple[Column, Column]:
     return F.col("l_suppkey") % 10, (F.col("l_suppkey") + 1 + F.col("l_linenumber")) % 10
 
 
+@shared
 def raw_transfers(t: Tables) -> DataFrame:
     a, b = _edge_ends()
     return t.lineitem.select(
@@ -313,6 +321,7 @@ FROM lineitem
 )
 
 
+@shared
 def raw_pathways(t: Tables) -> DataFrame:
     """One walking edge per order line; stairs are rare enough for some step-free edges."""
     rows = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
@@ -360,6 +369,7 @@ def later(c: Column, seconds: Column) -> Column:
     return F.timestamp_seconds(F.unix_timestamp(c) + seconds)
 
 
+@shared
 def raw_passages(t: Tables) -> DataFrame:
     """Bronze envelope rows: one event as one journey message with two calls."""
     e, u = F.col("event_id"), F.col("user_id")
@@ -394,10 +404,12 @@ def raw_passages(t: Tables) -> DataFrame:
     return t.events.select(F.to_json(message).alias("raw_json"), F.col("ts").alias("batch_time"))
 
 
+@shared
 def calls(t: Tables) -> DataFrame:
     return silver.passage_calls(silver.parse_passages(raw_passages(t)))
 
 
+@shared
 def passages(t: Tables) -> DataFrame:
     return silver.latest_passages(calls(t))
 
@@ -432,6 +444,7 @@ view("v_passages", f"SELECT * EXCLUDE (rn) FROM (SELECT *, {LATEST_CALL} AS rn F
 # --- lifts -----------------------------------------------------------------
 
 
+@shared
 def raw_lifts(t: Tables) -> DataFrame:
     u, e = F.col("user_id"), F.col("event_id")
     k = u % 25
@@ -457,14 +470,17 @@ def raw_lifts(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def lift_states(t: Tables) -> DataFrame:
     return silver.elevator_states(raw_lifts(t), AS_OF)
 
 
+@shared
 def lifts_current(t: Tables) -> DataFrame:
     return silver.elevators_current(lift_states(t)).withColumn("is_active", F.lit(True))
 
 
+@shared
 def lifts_history(t: Tables) -> DataFrame:
     return silver.elevators_history(lift_states(t))
 
@@ -535,6 +551,7 @@ WHERE NOT is_available
 # --- disruptions -----------------------------------------------------------
 
 
+@shared
 def raw_disruptions(t: Tables) -> DataFrame:
     """Bronze envelope rows: one event as one version of its user's disruption."""
     u, e, ts = F.col("user_id"), F.col("event_id"), F.col("ts")
@@ -588,6 +605,7 @@ def raw_disruptions(t: Tables) -> DataFrame:
     return t.events.select(F.to_json(message).alias("raw_json"), ts.alias("batch_time"))
 
 
+@shared
 def disruptions(t: Tables) -> DataFrame:
     return silver.latest_disruptions(silver.parse_disruptions(raw_disruptions(t)))
 
@@ -643,6 +661,7 @@ def _stop_label(s: Column) -> Column:
     return named.otherwise(F.lit("  "))
 
 
+@shared
 def raw_validations(t: Tables) -> DataFrame:
     """Orders as ticket counts per day, stop and ticket category; some counts are masked."""
     stop = F.col("o_custkey") % 50
@@ -662,6 +681,7 @@ def raw_validations(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def validations(t: Tables) -> DataFrame:
     return silver.validations_daily(raw_validations(t))
 
@@ -679,6 +699,7 @@ FROM (SELECT """ + SHIFTED + """ AS jour, o_custkey % 50 AS s, o_orderpriority A
 )
 
 
+@shared
 def raw_profile(t: Tables) -> DataFrame:
     """Hourly shares per stop and day type, counted from the orders of that weekday kind."""
     rows = t.orders.select(
@@ -705,6 +726,7 @@ def raw_profile(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def profile(t: Tables) -> DataFrame:
     return silver.validations_hourly_profile(raw_profile(t))
 
@@ -724,12 +746,14 @@ FROM (SELECT *, sum(n) OVER (PARTITION BY s, c)::BIGINT AS total
 )
 
 
+@shared
 def raw_holidays(t: Tables) -> DataFrame:
     return t.orders.where(F.col("o_orderkey") % 211 == 0).select(
         txt(order_day()).alias("date"), F.col("o_orderpriority").alias("libelle")
     )
 
 
+@shared
 def raw_breaks(t: Tables) -> DataFrame:
     rows = t.orders.where(F.col("o_orderkey") % 97 == 0)
     return rows.select(
@@ -740,6 +764,7 @@ def raw_breaks(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def calendar(t: Tables) -> DataFrame:
     return silver.day_type_calendar(raw_holidays(t), raw_breaks(t))
 
@@ -771,18 +796,22 @@ FROM (SELECT date, date IN (SELECT d FROM v_holidays) AS is_holiday,
 # --- silver and gold tables on the adapters --------------------------------
 
 
+@shared
 def stop_times(t: Tables) -> DataFrame:
     return silver.stop_times(raw_stop_times(t))
 
 
+@shared
 def stop_points(t: Tables) -> DataFrame:
     return silver.stop_points(raw_stops(t))
 
 
+@shared
 def stop_areas(t: Tables) -> DataFrame:
     return silver.stop_areas(raw_stops(t))
 
 
+@shared
 def dim_stops(t: Tables) -> DataFrame:
     return gold.dim_stops(
         stop_points(t),
@@ -809,6 +838,7 @@ LEFT JOIN v_wheelchairs wc ON sp.stop_id = wc.stop_id
 )
 
 
+@shared
 def schedule(t: Tables) -> DataFrame:
     return gold.trip_schedule(
         stop_times(t), silver.trips(raw_trips(t)), silver.routes(raw_routes(t)), stop_points(t)
@@ -827,6 +857,7 @@ LEFT JOIN v_routes r ON tr.route_id = r.route_id LEFT JOIN v_stop_points sp ON s
 )
 
 
+@shared
 def lines(t: Tables) -> DataFrame:
     return gold.station_lines(schedule(t), dim_stops(t))
 
@@ -841,6 +872,7 @@ LEFT JOIN v_dim_stops d ON s.stop_id = d.stop_id
 )
 
 
+@shared
 def walking(t: Tables) -> DataFrame:
     return gold.transfer_walking(silver.transfers(raw_transfers(t)), silver.pathways(raw_pathways(t)))
 
@@ -859,6 +891,7 @@ FROM v_transfers t LEFT JOIN (
 )
 
 
+@shared
 def availability(t: Tables) -> DataFrame:
     return gold.elevators_availability(lifts_current(t))
 
@@ -876,10 +909,12 @@ FROM v_lifts_current WHERE is_active GROUP BY station_area_id, station_name, tra
 )
 
 
+@shared
 def downtime(t: Tables) -> DataFrame:
     return gold.elevators_downtime(lifts_history(t))
 
 
+@shared
 def reliability(t: Tables) -> DataFrame:
     return gold.elevators_reliability(lifts_current(t), downtime(t), AS_OF)
 
@@ -911,6 +946,7 @@ ON c.station_area_id = d.station_area_id AND c.station_name = d.station_name AND
 )
 
 
+@shared
 def crowding(t: Tables) -> DataFrame:
     return gold.crowding_features(validations(t), profile(t), calendar(t), stop_areas(t))
 
@@ -932,6 +968,7 @@ LEFT JOIN v_stop_areas a ON d.id_refa_lda = a.station_id
 )
 
 
+@shared
 def delays_by_stop(t: Tables) -> DataFrame:
     return gold.delays_by_stop(passages(t))
 
@@ -948,6 +985,7 @@ FROM v_passages WHERE arrival_delay_sec IS NOT NULL GROUP BY stop_point_ref, lin
 )
 
 
+@shared
 def by_line(t: Tables) -> DataFrame:
     return gold.disruptions_by_line(silver.disruption_stops(disruptions(t)))
 
@@ -962,6 +1000,7 @@ FROM v_dis_stops GROUP BY line_id, CAST(batch_time AS DATE)
 )
 
 
+@shared
 def active(t: Tables) -> DataFrame:
     latest = disruptions(t)
     return gold.disruptions_active(
@@ -983,6 +1022,7 @@ LEFT JOIN (SELECT id, list_sort(list(DISTINCT line_id)) AS impacted_lines FROM v
 )
 
 
+@shared
 def station_access(t: Tables) -> DataFrame:
     return gold.station_accessibility(
         dim_stops(t), availability(t), reliability(t), lines(t), by_line(t), crowding(t), ACCESS_DAY
@@ -1025,6 +1065,7 @@ LEFT JOIN (SELECT id_refa_lda, round(avg(daily_total_validations), 0) AS avg_dai
 )
 
 
+@shared
 def transfer_access(t: Tables) -> DataFrame:
     return gold.transfer_accessibility(walking(t), dim_stops(t), availability(t), reliability(t))
 
@@ -1044,6 +1085,7 @@ LEFT JOIN (SELECT upper(trim(station_name)) AS k, round(avg(pct_uptime_30d), 1)
 )
 
 
+@shared
 def daily_by_stop(t: Tables) -> DataFrame:
     return gold.validations_daily_by_stop(validations(t), calendar(t), stop_areas(t))
 
@@ -1062,6 +1104,7 @@ LEFT JOIN v_calendar c ON d.jour = c.date LEFT JOIN v_stop_areas a ON d.id_refa_
 )
 
 
+@shared
 def by_category(t: Tables) -> DataFrame:
     return gold.validations_by_category(validations(t), calendar(t))
 

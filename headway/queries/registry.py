@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 
@@ -34,17 +35,43 @@ def with_views(sql: str) -> str:
 
 
 class Tables:
-    """The given parquet tables of one scale factor."""
+    """The given parquet tables of one scale factor.
+
+    A table is opened once per application: opening reads file footers in a small job.
+    """
+
+    _opened: dict[tuple[str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        # Stored stamps carry no zone; with the session pinned to UTC the cast keeps them.
-        casts = {c: F.col(c).cast("timestamp") for c, t in df.dtypes if t == "timestamp_ntz"}
-        return df.withColumns(casts) if casts else df
+        path = f"{self.folder}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in self._opened:
+            df = self.spark.read.parquet(path)
+            # Stored stamps carry no zone; with the session pinned to UTC the cast keeps them.
+            casts = {c: F.col(c).cast("timestamp") for c, t in df.dtypes if t == "timestamp_ntz"}
+            self._opened[key] = df.withColumns(casts) if casts else df
+        return self._opened[key]
+
+
+def shared(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Builds a feed's or table's plan once per application and folder.
+
+    Frames are lazy, so this shares plans and not data; queries that use one frame in
+    several places also give Spark equal exchanges to reuse.
+    """
+
+    @functools.wraps(build)
+    def get(t: Tables) -> DataFrame:
+        key = (t.spark.sparkContext.applicationId, f"{t.folder}#{build.__name__}")
+        if key not in Tables._opened:
+            Tables._opened[key] = build(t)
+        return Tables._opened[key]
+
+    return get
 
 
 def query(name: str, sql: str | None = None):
