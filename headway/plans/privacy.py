@@ -16,6 +16,11 @@ def _account(prefix: str = "") -> Column:
     return F.struct(*fields, clock.iso_stamp(prefix + "created_at").alias("created_at"))
 
 
+def _json(record: Column) -> Column:
+    """JSON with unknown values shown as null."""
+    return F.to_json(record, {"ignoreNullFields": "false"})
+
+
 def person_export(users: DataFrame, subscriptions: DataFrame, notifications: DataFrame) -> DataFrame:
     """All data of every person as ordered JSON records, without the password hash.
 
@@ -33,14 +38,14 @@ def person_export(users: DataFrame, subscriptions: DataFrame, notifications: Dat
         none.alias("subscription_id"),
         none.alias("notification_id"),
         F.lit("account").alias("record"),
-        F.to_json(_account()).alias("content"),
+        _json(_account()).alias("content"),
     )
     owned = subs.select(
         "user_id",
         F.col("id").alias("subscription_id"),
         none.alias("notification_id"),
         F.lit("subscription").alias("record"),
-        F.to_json(F.struct(*subs.columns)).alias("content"),
+        _json(F.struct(*subs.columns)).alias("content"),
     )
     owner = subscriptions.select(F.col("id").alias("subscription_id"), "user_id")
     sent = notes.join(owner, "subscription_id").select(
@@ -48,7 +53,7 @@ def person_export(users: DataFrame, subscriptions: DataFrame, notifications: Dat
         "subscription_id",
         F.col("id").alias("notification_id"),
         F.lit("notification").alias("record"),
-        F.to_json(F.struct(*notes.columns)).alias("content"),
+        _json(F.struct(*notes.columns)).alias("content"),
     )
     return accounts.unionByName(owned).unionByName(sent)
 

@@ -76,26 +76,14 @@ def stops_by_prefix(names: DataFrame, name: str, stops: DataFrame) -> DataFrame:
     equality; work is linear in stops, where a LIKE join would compare every pair.
     """
     asked = names.select(name).distinct().where(F.trim(name) != "").withColumn("_key", text.name_key(name))
-    prefixes = F.array_distinct(
-        F.flatten(
-            F.array(
-                *[
-                    F.coalesce(
-                        F.when(
-                            F.length(text.name_key(c)) > 0,
-                            F.transform(
-                                F.sequence(F.lit(1), F.length(text.name_key(c))),
-                                lambda n, c=c: F.substring(text.name_key(c), F.lit(1), n),
-                            ),
-                        ),
-                        F.array().cast("array<string>"),
-                    )
-                    for c in ("stop_name", "parent_station_name")
-                ]
-            )
-        )
-    )
-    known = stops.where(F.col("stop_id").isNotNull()).select("stop_id", F.explode(prefixes).alias("_key"))
+
+    def prefixes(c: str) -> Column:
+        key = text.name_key(c)
+        cut = F.transform(F.sequence(F.lit(1), F.length(key)), lambda n: F.substring(key, F.lit(1), n))
+        return F.coalesce(F.when(F.length(key) > 0, cut), F.array().cast("array<string>"))
+
+    both = F.array_union(prefixes("stop_name"), prefixes("parent_station_name"))
+    known = stops.where(F.col("stop_id").isNotNull()).select("stop_id", F.explode(both).alias("_key"))
     return known.join(asked, "_key").select(name, "stop_id").distinct()
 
 

@@ -1,6 +1,14 @@
 """Registered queries over the given tables, each with its SQL counterpart."""
 
-from headway.queries import lifts, realtime, timetable  # noqa: F401 - they register their queries
+from headway.queries import (  # noqa: F401 - importing registers the queries
+    accounts,
+    disruptions,
+    journeys,
+    lifts,
+    realtime,
+    timetable,
+    validations,
+)
 from headway.queries.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

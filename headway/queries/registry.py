@@ -29,9 +29,15 @@ def _needed(sql: str, found: set[str]) -> set[str]:
 
 
 def with_views(sql: str) -> str:
+    """The query with the table expressions it names, whether or not it has its own."""
     used = _needed(sql, set())
     ctes = [f"{name} AS (\n{body}\n)" for name, body in VIEWS.items() if name in used]
-    return f"WITH {',\n'.join(ctes)}\n{sql.strip()}" if ctes else sql.strip()
+    sql = sql.strip()
+    if sql.startswith("WITH "):
+        sql = ",\n" + sql[5:]
+    elif not ctes:
+        return sql
+    return f"WITH {',\n'.join(ctes)}{sql}" if sql.startswith(",") else f"WITH {',\n'.join(ctes)}\n{sql}"
 
 
 class Tables:

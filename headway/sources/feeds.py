@@ -28,9 +28,13 @@ def _items(v: Column, path: str) -> Column:
 
 def _nested(v: Column, paths: Sequence[str]) -> Column:
     """Items under nested dict-or-list levels, flattened."""
+
+    def below(path: str):
+        return lambda x: F.coalesce(_items(x, path), F.array().cast("array<variant>"))
+
     found = _items(v, paths[0])
     for path in paths[1:]:
-        found = F.flatten(F.transform(found, lambda x, p=path: F.coalesce(_items(x, p), F.array().cast("array<variant>"))))
+        found = F.flatten(F.transform(found, below(path)))
     return F.when(F.size(found) > 0, found)
 
 
