@@ -387,10 +387,25 @@ def elevator_status(availability: DataFrame) -> DataFrame:
     )
 
 
-def _per_item(candidates: DataFrame, array: str, lookup: DataFrame, key: str, on: list[str], agg: Column) -> DataFrame:
-    """One aggregate per candidate over the looked-up values of its array's items."""
-    items = candidates.select("_id", *on, F.explode(array).alias("_item")).withColumn(key, text.name_key("_item"))
-    return items.join(lookup, [key, *on]).groupBy("_id").agg(agg)
+def _items(candidates: DataFrame) -> DataFrame:
+    """Candidates with one row per line and station they use, each with its lookup key."""
+
+    def kind(name: str, array: str) -> Column:
+        return F.transform(array, lambda x: F.struct(F.lit(name).alias("kind"), text.name_key(x).alias("key")))
+
+    every = F.concat(kind("line", "lines"), kind("station", "stations"), kind("change", "transfer_stations"))
+    return candidates.withColumn("_item", F.explode(every)).select(
+        *candidates.columns, F.col("_item.kind").alias("_kind"), F.col("_item.key").alias("_key")
+    )
+
+
+def _lookup(reliability: DataFrame, crowding: DataFrame, lifts: DataFrame, cat_jour: Column) -> DataFrame:
+    """(kind, key, hour, value): on-time share of lines, crowding of stations, working lifts of stations."""
+    any_hour = F.lit(None).cast("int")
+    of_lines = reliability.select(F.lit("line").alias("_kind"), F.col("line_key").alias("_key"), any_hour.alias("_hour"), F.col("pct_on_time").alias("_value"))
+    of_stations = crowding.where(F.col("cat_jour") == cat_jour).select(F.lit("station"), "station_key", "hour", "crowd")
+    of_lifts = lifts.select(F.lit("change"), "station_key", any_hour, "pct_available")
+    return of_lines.union(of_stations).union(of_lifts)
 
 
 def score_routes(
@@ -407,7 +422,9 @@ def score_routes(
 
     ``service_day`` is the one-row day type of the travel date. ``access``/``egress``
     add walking metres per (search, stop) for searches that began from coordinates.
-    Lookups run once over distinct stations and lines of the candidates, by equality.
+    All lookups are one join: a candidate is exploded to its lines and stations, meets one
+    table of values and is folded back. Candidates are read once, and folding, scaling and
+    ranking all group inside a search, so the partitioning on the search is reused.
     """
     c = candidates
     for walk, stop in ((access, "board_stop_id"), (egress, "alight_stop_id")):
@@ -416,32 +433,45 @@ def score_routes(
             c = c.join(metres, [*PLACE, stop], "left").withColumn(
                 "walking_m", F.col("walking_m") + F.coalesce("_m", F.lit(0.0))
             ).drop("_m")
-    # A digest of the identifying columns names a candidate through explode and regroup.
-    ident = SEARCH + ["board_stop_id", "alight_stop_id", "lines"]
-    c = c.withColumns({"_id": F.sha2(F.to_json(F.struct(*ident)), 256), "cat_jour": service_day.scalar()})
-
-    on_time = _per_item(c, "lines", reliability, "line_key", [], F.avg("pct_on_time").alias("reliability_pct"))
-    crowd = _per_item(c, "stations", crowding, "station_key", ["hour", "cat_jour"], F.sum("crowd").alias("known_crowd"))
-    out_of_order = (
-        c.where("accessible_required")
-        .select("_id", F.explode("transfer_stations").alias("_item"))
-        .withColumn("station_key", text.name_key("_item"))
-        .join(lifts.where(F.col("pct_available") <= 0), "station_key", "left_semi")
-        .select("_id")
+    values = _lookup(reliability, crowding, lifts, service_day.scalar())
+    items = _items(c).withColumn("_hour", F.when(F.col("_kind") == "station", F.col("hour")))
+    same = (
+        (items["_kind"] == values["_kind"])
+        & (items["_key"] == values["_key"])
+        & items["_hour"].eqNullSafe(values["_hour"])
     )
-    kept = (
-        c.join(out_of_order, "_id", "left_anti")
-        .join(on_time, "_id", "left")
-        .join(crowd, "_id", "left")
-        .withColumn("reliability_pct", F.coalesce("reliability_pct", F.lit(cfg.default_reliability)))
+    known = items.join(values.select("_kind", "_key", "_hour", "_value"), same, "left").drop(
+        values["_kind"], values["_key"], values["_hour"]
     )
-    return rank_scored(kept, cfg)
+    ident = SEARCH + ["board_stop_id", "alight_stop_id", "lines"]
+    rest = [x for x in c.columns if x not in ident]
+
+    def of(kind: str) -> Column:
+        return F.when(F.col("_kind") == kind, F.col("_value"))
+
+    folded = known.groupBy(*ident).agg(
+        F.any_value(F.struct(*rest)).alias("_rest"),
+        F.coalesce(F.avg(of("line")), F.lit(cfg.default_reliability)).alias("reliability_pct"),
+        F.sum(of("station")).alias("known_crowd"),
+        F.min(of("change")).alias("_worst_lift"),
+    )
+    kept = folded.where(~(F.col("accessible_required") & (F.coalesce("_worst_lift", F.lit(100.0)) <= 0)))
+    return rank_scored(kept.select(*ident, "_rest.*", "reliability_pct", "known_crowd"), cfg)
 
 
 def rank_scored(kept: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
-    """Fill unknown crowding with the search's mean, scale, weight, round and rank."""
+    """Fill unknown crowding with the search's mean, scale, weight, round and rank.
+
+    Criteria are rounded to six digits before scaling. The mean of equal values can be off
+    by one bit from the values, which min-max scaling would blow up to a full 0..1 step.
+    """
     mean_known = F.avg("known_crowd").over(Window.partitionBy(*SEARCH))
-    filled = kept.withColumn("crowding_est", F.coalesce("known_crowd", mean_known, F.lit(0.0)))
+    filled = kept.withColumns(
+        {
+            "crowding_est": F.round(F.coalesce("known_crowd", mean_known, F.lit(0.0)), 6),
+            "reliability_pct": F.round("reliability_pct", 6),
+        }
+    )
     w_duration, w_reliability = F.lit(cfg.weight_duration), F.lit(cfg.weight_reliability)
     w_crowding = F.lit(cfg.weight_crowding) * (1 + 0.5 * F.col("crowding_sensitivity"))
     w_walking = F.lit(cfg.weight_walking) * F.when(F.col("minimize_walking"), 2).otherwise(1)

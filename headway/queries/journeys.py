@@ -199,9 +199,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY {_PLACE}, {_PREFS} ORDER BY scor
                               ELSE (max(walking_m) OVER s - walking_m) / (max(walking_m) OVER s - min(walking_m) OVER s) END AS w
                   FROM (SELECT *, 0.4::DOUBLE AS wd, 0.25::DOUBLE AS wr, 0.2::DOUBLE * (1 + 0.5::DOUBLE * crowding_sensitivity) AS wc,
                                0.15::DOUBLE * CASE WHEN minimize_walking THEN 2 ELSE 1 END AS ww,
-                               coalesce(known, avg(known) OVER (PARTITION BY {_PLACE}, {_PREFS}), 0.0) AS crowding_est
-                        FROM (SELECT c.*, coalesce((SELECT avg(p) FROM (SELECT upper(trim(published_line)) AS k, avg(pct_on_time) AS p FROM v_delays_by_stop GROUP BY 1) q
-                                                    WHERE k IN (upper(trim(c.lines[1])), upper(trim(c.lines[2])))), 85.0::DOUBLE) AS reliability_pct,
+                               round(coalesce(known, avg(known) OVER (PARTITION BY {_PLACE}, {_PREFS}), 0.0), 6) AS crowding_est
+                        FROM (SELECT c.*, round(coalesce((SELECT avg(p) FROM (SELECT upper(trim(published_line)) AS k, avg(pct_on_time) AS p FROM v_delays_by_stop GROUP BY 1) q
+                                                    WHERE k IN (upper(trim(c.lines[1])), upper(trim(c.lines[2])))), 85.0::DOUBLE), 6) AS reliability_pct,
                                      kc.known
                               FROM v_candidates c LEFT JOIN (
                                   SELECT {_PLACE}, {_PREFS}, board_stop_id, alight_stop_id, lines, sum(crowd) AS known
