@@ -4,6 +4,7 @@ from headway.queries import (  # noqa: F401 - importing registers the queries
     accounts,
     disruptions,
     journeys,
+    learning,
     lifts,
     realtime,
     timetable,
