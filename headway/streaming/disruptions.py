@@ -40,7 +40,7 @@ def silver_batch(root: str, buckets: int = 64) -> Callable[[DataFrame, int], Non
                 buckets,
             )
             if name == "disruption_messages":
-                log_changes(staged, f"{root}/silver/disruption_changes", batch_id)
+                log_changes(staged, f"{root}/silver/{name}", keys, "batch_time", f"{root}/silver/disruption_changes", batch_id)
             staged.unpersist()
         latest.unpersist()
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from headway.sources import feeds
-from headway.sources.tables import BUCKET
+from headway.sources.tables import BUCKET, read_buckets
 
 # Trigger interval and per-batch file limit of all streams.
 TRIGGER = "60 seconds"
@@ -94,10 +94,21 @@ def start_bronze(
     ]
 
 
-def log_changes(rows: DataFrame, folder: str, batch_id: int) -> None:
-    """The rows a batch changed, for the next stage's stream; a repeated batch replaces its own."""
+def log_changes(staged: DataFrame, table: str, keys: Sequence[str], version: str, folder: str, batch_id: int) -> None:
+    """The rows of a merged batch that now stand in the table, for the next stage's stream.
+
+    Late rows, which lost against the stored version, are left out. A repeated batch finds
+    its own rows standing and replaces its own log files.
+    """
+    touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
+    standing = read_buckets(staged.sparkSession, table, touched).select(BUCKET, *keys, version)
+    same = F.lit(True)
+    for c in (BUCKET, *keys, version):
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
     (
-        rows.drop(BUCKET)
+        staged.alias("s")
+        .join(standing.alias("t"), same, "left_semi")
+        .drop(BUCKET)
         .withColumn("batch_id", F.lit(batch_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -32,14 +32,15 @@ def silver_batch(root: str, buckets: int = 64) -> Callable[[DataFrame, int], Non
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = silver.latest_passages(silver.passage_calls(silver.parse_passages(batch)))
+        table = f"{root}/silver/next_stop"
         staged = merge_buckets(
             rows,
-            f"{root}/silver/next_stop",
+            table,
             BY_STOP,
             lambda t, s: merge_versioned(t, s, KEYS, "batch_time", strict=True, on_duplicates="trust"),
             buckets,
         )
-        log_changes(staged, f"{root}/silver/next_stop_changes", batch_id)
+        log_changes(staged, table, KEYS, "batch_time", f"{root}/silver/next_stop_changes", batch_id)
         staged.unpersist()
 
     return apply
