@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from headway.functions.text import _col, segment
+from headway.functions.text import _col
 
 STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 COMPACT_STAMP_FORMAT = "yyyyMMdd'T'HHmmss"
 
 
 def gtfs_seconds(c: Column | str) -> Column:
-    """'25:10:05' to 90605. Service clocks pass midnight, so this is never a timestamp."""
-    hours, minutes, seconds = (segment(c, i).try_cast("int") for i in range(3))
-    return hours * 3600 + minutes * 60 + seconds
+    """'25:10:05' to 90605. Service clocks pass midnight, so this is never a timestamp.
+
+    Cut by position of the colons, which stays on bytes; splitting would build an array of
+    strings per row of the largest table.
+    """
+    c = _col(c)
+    upto = [F.substring_index(c, ":", n) for n in (1, 2, 3)]
+    hours, minutes, seconds = (F.substring_index(part, ":", -1).try_cast("int") for part in upto)
+    colons = F.length(c) - F.length(F.replace(c, F.lit(":"), F.lit("")))
+    return F.when(colons >= 2, hours * 3600 + minutes * 60 + seconds)
 
 
 def hour_band(c: Column | str) -> tuple[Column, Column]:

@@ -349,15 +349,23 @@ def all_candidates(direct: DataFrame, transfer: DataFrame) -> DataFrame:
     return straight.unionByName(changing)
 
 
-def route_candidates(searches: DataFrame, candidates: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
-    """Candidates each search allows, the fastest per (board, alight, lines)."""
-    allowed = searches.join(candidates, PLACE).where(
-        (F.col("transfers") <= F.col("max_transfers"))
-        & ~(F.col("accessible_required") & F.col("blocked_no_elevator"))
-        & (F.col("duration_sec") >= cfg.min_duration_sec)
-    )
-    keys = SEARCH + ["board_stop_id", "alight_stop_id", "lines"]
-    return min_per_key(allowed, keys, ["duration_sec", "transfers", "walking_m", "stations", "transfer_stations"])
+def route_options(candidates: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
+    """The fastest candidate per (board, alight, lines), for travellers with and without steps.
+
+    The choice depends on the place and on ``accessible_required`` alone, so it is made
+    here once per place and not once per search.
+    """
+    valid = candidates.where(F.col("duration_sec") >= cfg.min_duration_sec)
+    needs = F.when(F.col("blocked_no_elevator"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    both = valid.withColumn("accessible_required", F.explode(needs)).drop("blocked_no_elevator")
+    keys = PLACE + ["accessible_required", "board_stop_id", "alight_stop_id", "lines"]
+    return min_per_key(both, keys, ["duration_sec", "transfers", "walking_m", "stations", "transfer_stations"])
+
+
+def route_candidates(searches: DataFrame, options: DataFrame) -> DataFrame:
+    """The options each search allows."""
+    fitting = searches.join(options, PLACE + ["accessible_required"])
+    return fitting.where(F.col("transfers") <= F.col("max_transfers"))
 
 
 def line_reliability(delays_by_stop: DataFrame) -> DataFrame:
@@ -408,8 +416,8 @@ def _lookup(reliability: DataFrame, crowding: DataFrame, lifts: DataFrame, cat_j
     return of_lines.union(of_stations).union(of_lifts)
 
 
-def score_routes(
-    candidates: DataFrame,
+def with_criteria(
+    options: DataFrame,
     reliability: DataFrame,
     crowding: DataFrame,
     lifts: DataFrame,
@@ -418,15 +426,14 @@ def score_routes(
     egress: DataFrame | None = None,
     cfg: RouteSettings = DEFAULTS,
 ) -> DataFrame:
-    """The top routes of each search by weighted, min-max scaled criteria.
+    """Options with line reliability and station crowding; step-free ones need working lifts.
 
     ``service_day`` is the one-row day type of the travel date. ``access``/``egress``
-    add walking metres per (search, stop) for searches that began from coordinates.
-    All lookups are one join: a candidate is exploded to its lines and stations, meets one
-    table of values and is folded back. Candidates are read once, and folding, scaling and
-    ranking all group inside a search, so the partitioning on the search is reused.
+    add walking metres per (place, stop) for requests that began from coordinates.
+    All lookups are one join: an option is exploded to its lines and stations, meets one
+    table of values and is folded back by hash.
     """
-    c = candidates
+    c = options
     for walk, stop in ((access, "board_stop_id"), (egress, "alight_stop_id")):
         if walk is not None:
             metres = walk.select(*PLACE, F.col("stop_id").alias(stop), F.col("distance_m").alias("_m"))
@@ -440,23 +447,27 @@ def score_routes(
         & (items["_key"] == values["_key"])
         & items["_hour"].eqNullSafe(values["_hour"])
     )
-    known = items.join(values.select("_kind", "_key", "_hour", "_value"), same, "left").drop(
-        values["_kind"], values["_key"], values["_hour"]
-    )
-    ident = SEARCH + ["board_stop_id", "alight_stop_id", "lines"]
-    rest = [x for x in c.columns if x not in ident]
+    known = items.join(values, same, "left").select(*c.columns, items["_kind"], values["_value"])
 
     def of(kind: str) -> Column:
         return F.when(F.col("_kind") == kind, F.col("_value"))
 
-    folded = known.groupBy(*ident).agg(
-        F.any_value(F.struct(*rest)).alias("_rest"),
+    folded = known.groupBy(*c.columns).agg(
         F.coalesce(F.avg(of("line")), F.lit(cfg.default_reliability)).alias("reliability_pct"),
         F.sum(of("station")).alias("known_crowd"),
         F.min(of("change")).alias("_worst_lift"),
     )
-    kept = folded.where(~(F.col("accessible_required") & (F.coalesce("_worst_lift", F.lit(100.0)) <= 0)))
-    return rank_scored(kept.select(*ident, "_rest.*", "reliability_pct", "known_crowd"), cfg)
+    usable = ~(F.col("accessible_required") & (F.coalesce("_worst_lift", F.lit(100.0)) <= 0))
+    return folded.where(usable).drop("_worst_lift")
+
+
+def score_routes(searches: DataFrame, criteria: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
+    """The top routes of each search by weighted, min-max scaled criteria.
+
+    The join leaves rows placed by origin, destination and hour; scaling and ranking group
+    inside a search and so need no further shuffle.
+    """
+    return rank_scored(route_candidates(searches, criteria), cfg)
 
 
 def rank_scored(kept: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
@@ -541,16 +552,16 @@ def recommend(
     destinations = stops_by_prefix(places, "destination_station", stops)
     direct = direct_routes(schedule, origins, destinations, places, cfg)
     transfer = transfer_routes(schedule, walking, origins, destinations, places, cfg)
-    candidates = route_candidates(searches, all_candidates(direct, transfer), cfg)
     when = requests.sparkSession.range(1).select(F.lit(day).alias("date"))
-    return score_routes(
-        candidates,
+    criteria = with_criteria(
+        route_options(all_candidates(direct, transfer), cfg),
         line_reliability(delays_by_stop),
         station_crowding(crowding),
         elevator_status(availability),
         travel_day(when, calendar),
         cfg=cfg,
     )
+    return score_routes(searches, criteria, cfg)
 
 
 # --- notifications ---------------------------------------------------------

@@ -57,21 +57,21 @@ def changing(t: Tables) -> DataFrame:
 
 
 @shared
-def candidates(t: Tables) -> DataFrame:
-    found = recommend.all_candidates(direct(t), changing(t))
-    return recommend.route_candidates(recommend.searches_of(requests(t)), found)
+def options(t: Tables) -> DataFrame:
+    return recommend.route_options(recommend.all_candidates(direct(t), changing(t)))
 
 
 @shared
 def ranked(t: Tables) -> DataFrame:
     day = t.spark.range(1).select(F.lit(a.AS_OF.date()).alias("date"))
-    return recommend.score_routes(
-        candidates(t),
+    criteria = recommend.with_criteria(
+        options(t),
         recommend.line_reliability(a.delays_by_stop(t)),
         recommend.station_crowding(a.crowding(t)),
         recommend.elevator_status(a.availability(t)),
         recommend.travel_day(day, a.calendar(t)),
     )
+    return recommend.score_routes(recommend.searches_of(requests(t)), criteria)
 
 
 _PLACE = "origin_station, destination_station, hour"
@@ -258,7 +258,8 @@ SELECT {_PLACE}, {_PREFS}, transfers, board_stop_id, alight_stop_id, duration_se
 )
 def route_candidates(t: Tables) -> DataFrame:
     cols = [*recommend.SEARCH, "transfers", "board_stop_id", "alight_stop_id", "duration_sec", "walking_m"]
-    return _joined(candidates(t).select(*cols, "lines", "transfer_stations"))
+    found = recommend.route_candidates(recommend.searches_of(requests(t)), options(t))
+    return _joined(found.select(*cols, "lines", "transfer_stations"))
 
 
 @query(

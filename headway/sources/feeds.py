@@ -38,28 +38,26 @@ def _nested(v: Column, paths: Sequence[str]) -> Column:
     return F.when(F.size(found) > 0, found)
 
 
-def disruption_items(v: Column) -> tuple[Column, Column]:
-    """(payload type, items) of a disruption payload: three layouts, else the whole payload."""
-    plain = F.coalesce(
-        F.try_variant_get(v, "$.disruptions", "array<variant>"), F.try_variant_get(v, "$.Disruption", "array<variant>")
-    )
-    situations = _nested(v, ["$.Siri.ServiceDelivery.SituationExchangeDelivery", "$.Situations.PtSituationElement"])
-    kind = F.when(plain.isNotNull(), "disruption").when(situations.isNotNull(), "pt_situation").otherwise("raw_payload")
-    return kind, F.coalesce(plain, situations, F.array(v))
-
-
-def passage_items(v: Column) -> tuple[Column, Column]:
-    """(payload type, items) of an estimated timetable payload, else the whole payload."""
-    journeys = _nested(
-        v,
-        [
-            "$.Siri.ServiceDelivery.EstimatedTimetableDelivery",
-            "$.EstimatedJourneyVersionFrame",
-            "$.EstimatedVehicleJourney",
-        ],
-    )
-    kind = F.when(journeys.isNotNull(), "estimated_vehicle_journey").otherwise("raw_payload")
-    return kind, F.coalesce(journeys, F.array(v))
+def disruption_items(v: Column) -> list[tuple[str, Column]]:
+    """(payload type, items) per known layout of a disruption payload, in order of preference."""
+    return [
+        ("disruption", F.try_variant_get(v, "$.disruptions", "array<variant>")),
+        ("disruption", F.try_variant_get(v, "$.Disruption", "array<variant>")),
+        (
+            "pt_situation",
+            _nested(v, ["$.Siri.ServiceDelivery.SituationExchangeDelivery", "$.Situations.PtSituationElement"]),
+        ),
+    ]
+
+
+def passage_items(v: Column) -> list[tuple[str, Column]]:
+    """(payload type, items) of an estimated timetable payload."""
+    path = [
+        "$.Siri.ServiceDelivery.EstimatedTimetableDelivery",
+        "$.EstimatedJourneyVersionFrame",
+        "$.EstimatedVehicleJourney",
+    ]
+    return [("estimated_vehicle_journey", _nested(v, path))]
 
 
 LAYOUTS = {"disruptions": disruption_items, "passages": passage_items}
@@ -69,11 +67,18 @@ def explode_feed(payloads: DataFrame, layout: str, column: str = "payload") -> D
     """One row per item with its type and canonical JSON (keys sorted, no blanks).
 
     Payloads that are not JSON are dropped here; a payload in no known layout is one item.
+    Each payload is parsed once and each layout looked up once (see ``parse_once``).
     """
-    parsed = payloads.withColumn("_v", F.try_parse_json(column)).where(F.col("_v").isNotNull())
-    kind, items = LAYOUTS[layout](F.col("_v"))
-    rows = parsed.withColumn("payload_type", kind).withColumn("_item", F.explode(items))
     keep = [c for c in payloads.columns if c != column]
+    parsed = payloads.select(*keep, F.explode(F.array(F.try_parse_json(column))).alias("_v"))
+    v = F.col("_v")
+    found = [
+        F.when(items.isNotNull(), F.struct(F.lit(kind).alias("kind"), items.alias("items")))
+        for kind, items in LAYOUTS[layout](v)
+    ]
+    whole = F.struct(F.lit("raw_payload").alias("kind"), F.array(v).alias("items"))
+    picked = parsed.where(v.isNotNull()).select(*keep, F.explode(F.array(F.coalesce(*found, whole))).alias("_p"))
+    rows = picked.select(*keep, F.col("_p.kind").alias("payload_type"), F.explode("_p.items").alias("_item"))
     return rows.select(*keep, "payload_type", F.to_json("_item").alias("raw_json"))
 
 
