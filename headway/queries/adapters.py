@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.plans import gold, silver
-from headway.queries.registry import Tables, shared, view
+from headway.queries.registry import Tables, shared, stored, view
 
 # The moment at which time-relative queries are asked.
 AS_OF = datetime(2024, 1, 31)
@@ -413,7 +413,7 @@ def calls(t: Tables) -> DataFrame:
     return silver.passage_calls(silver.parse_passages(raw_passages(t)))
 
 
-@shared
+@stored
 def passages(t: Tables) -> DataFrame:
     return silver.latest_passages(calls(t))
 
@@ -479,12 +479,12 @@ def lift_states(t: Tables) -> DataFrame:
     return silver.elevator_states(raw_lifts(t), AS_OF)
 
 
-@shared
+@stored
 def lifts_current(t: Tables) -> DataFrame:
     return silver.elevators_current(lift_states(t)).withColumn("is_active", F.lit(True))
 
 
-@shared
+@stored
 def lifts_history(t: Tables) -> DataFrame:
     return silver.elevators_history(lift_states(t))
 
@@ -609,7 +609,7 @@ def raw_disruptions(t: Tables) -> DataFrame:
     return t.events.select(F.to_json(message).alias("raw_json"), ts.alias("batch_time"))
 
 
-@shared
+@stored
 def disruptions(t: Tables) -> DataFrame:
     return silver.latest_disruptions(silver.parse_disruptions(raw_disruptions(t)))
 
@@ -685,7 +685,7 @@ def raw_validations(t: Tables) -> DataFrame:
     )
 
 
-@shared
+@stored
 def validations(t: Tables) -> DataFrame:
     return silver.validations_daily(raw_validations(t))
 
@@ -730,7 +730,7 @@ def raw_profile(t: Tables) -> DataFrame:
     )
 
 
-@shared
+@stored
 def profile(t: Tables) -> DataFrame:
     return silver.validations_hourly_profile(raw_profile(t))
 
@@ -768,7 +768,7 @@ def raw_breaks(t: Tables) -> DataFrame:
     )
 
 
-@shared
+@stored
 def calendar(t: Tables) -> DataFrame:
     return silver.day_type_calendar(raw_holidays(t), raw_breaks(t))
 
@@ -800,22 +800,22 @@ FROM (SELECT date, date IN (SELECT d FROM v_holidays) AS is_holiday,
 # --- silver and gold tables on the adapters --------------------------------
 
 
-@shared
+@stored
 def stop_times(t: Tables) -> DataFrame:
     return silver.stop_times(raw_stop_times(t))
 
 
-@shared
+@stored
 def stop_points(t: Tables) -> DataFrame:
     return silver.stop_points(raw_stops(t))
 
 
-@shared
+@stored
 def stop_areas(t: Tables) -> DataFrame:
     return silver.stop_areas(raw_stops(t))
 
 
-@shared
+@stored
 def dim_stops(t: Tables) -> DataFrame:
     return gold.dim_stops(
         stop_points(t),
@@ -842,7 +842,7 @@ LEFT JOIN v_wheelchairs wc ON sp.stop_id = wc.stop_id
 )
 
 
-@shared
+@stored
 def schedule(t: Tables) -> DataFrame:
     return gold.trip_schedule(
         stop_times(t), silver.trips(raw_trips(t)), silver.routes(raw_routes(t)), stop_points(t)
@@ -861,7 +861,7 @@ LEFT JOIN v_routes r ON tr.route_id = r.route_id LEFT JOIN v_stop_points sp ON s
 )
 
 
-@shared
+@stored
 def lines(t: Tables) -> DataFrame:
     return gold.station_lines(schedule(t), dim_stops(t))
 
@@ -876,7 +876,7 @@ LEFT JOIN v_dim_stops d ON s.stop_id = d.stop_id
 )
 
 
-@shared
+@stored
 def walking(t: Tables) -> DataFrame:
     return gold.transfer_walking(silver.transfers(raw_transfers(t)), silver.pathways(raw_pathways(t)))
 
@@ -895,7 +895,7 @@ FROM v_transfers t LEFT JOIN (
 )
 
 
-@shared
+@stored
 def availability(t: Tables) -> DataFrame:
     return gold.elevators_availability(lifts_current(t))
 
@@ -913,12 +913,12 @@ FROM v_lifts_current WHERE is_active GROUP BY station_area_id, station_name, tra
 )
 
 
-@shared
+@stored
 def downtime(t: Tables) -> DataFrame:
     return gold.elevators_downtime(lifts_history(t))
 
 
-@shared
+@stored
 def reliability(t: Tables) -> DataFrame:
     return gold.elevators_reliability(lifts_current(t), downtime(t), AS_OF)
 
@@ -950,7 +950,7 @@ ON c.station_area_id = d.station_area_id AND c.station_name = d.station_name AND
 )
 
 
-@shared
+@stored
 def crowding(t: Tables) -> DataFrame:
     return gold.crowding_features(validations(t), profile(t), calendar(t), stop_areas(t))
 
@@ -972,7 +972,7 @@ LEFT JOIN v_stop_areas a ON d.id_refa_lda = a.station_id
 )
 
 
-@shared
+@stored
 def delays_by_stop(t: Tables) -> DataFrame:
     return gold.delays_by_stop(passages(t))
 
@@ -989,7 +989,7 @@ FROM v_passages WHERE arrival_delay_sec IS NOT NULL GROUP BY stop_point_ref, lin
 )
 
 
-@shared
+@stored
 def by_line(t: Tables) -> DataFrame:
     return gold.disruptions_by_line(silver.disruption_stops(disruptions(t)))
 
@@ -1004,7 +1004,7 @@ FROM v_dis_stops GROUP BY line_id, CAST(batch_time AS DATE)
 )
 
 
-@shared
+@stored
 def active(t: Tables) -> DataFrame:
     latest = disruptions(t)
     return gold.disruptions_active(
@@ -1026,7 +1026,7 @@ LEFT JOIN (SELECT id, list_sort(list(DISTINCT line_id)) AS impacted_lines FROM v
 )
 
 
-@shared
+@stored
 def station_access(t: Tables) -> DataFrame:
     return gold.station_accessibility(
         dim_stops(t), availability(t), reliability(t), lines(t), by_line(t), crowding(t), ACCESS_DAY
@@ -1069,7 +1069,7 @@ LEFT JOIN (SELECT id_refa_lda, round(avg(daily_total_validations), 0) AS avg_dai
 )
 
 
-@shared
+@stored
 def transfer_access(t: Tables) -> DataFrame:
     return gold.transfer_accessibility(walking(t), dim_stops(t), availability(t), reliability(t))
 
@@ -1089,7 +1089,7 @@ LEFT JOIN (SELECT upper(trim(station_name)) AS k, round(avg(pct_uptime_30d), 1)
 )
 
 
-@shared
+@stored
 def daily_by_stop(t: Tables) -> DataFrame:
     return gold.validations_daily_by_stop(validations(t), calendar(t), stop_areas(t))
 
@@ -1108,7 +1108,7 @@ LEFT JOIN v_calendar c ON d.jour = c.date LEFT JOIN v_stop_areas a ON d.id_refa_
 )
 
 
-@shared
+@stored
 def by_category(t: Tables) -> DataFrame:
     return gold.validations_by_category(validations(t), calendar(t))
 

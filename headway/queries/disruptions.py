@@ -33,7 +33,7 @@ _LINES = "array_to_string(impacted_lines, ',') AS impacted_lines"
 
 @query("disruptions_active", f"SELECT * EXCLUDE (impacted_lines), {_LINES} FROM v_active")
 def disruptions_active(t: Tables) -> DataFrame:
-    return a.active(t).withColumn("impacted_lines", F.array_join("impacted_lines", ","))
+    return a.active.plan(t).withColumn("impacted_lines", F.array_join("impacted_lines", ","))
 
 
 @query(
@@ -41,7 +41,7 @@ def disruptions_active(t: Tables) -> DataFrame:
     "SELECT line_id, day, nb_disruptions, array_to_string(severities, ',') AS severities FROM v_by_line",
 )
 def disruptions_by_line(t: Tables) -> DataFrame:
-    return a.by_line(t).withColumn("severities", F.array_join("severities", ","))
+    return a.by_line.plan(t).withColumn("severities", F.array_join("severities", ","))
 
 
 def _iso(column: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from headway.plans import recommend
 from headway.queries import adapters as a
 from headway.queries.accounts import notifications, subscriptions
-from headway.queries.registry import Tables, query, shared, view
+from headway.queries.registry import Tables, query, shared, stored, view
 
 NOW = datetime(2024, 1, 31, 8, 30)
 
@@ -46,17 +46,17 @@ def destinations(t: Tables) -> DataFrame:
     return recommend.stops_by_prefix(places(t), "destination_station", a.dim_stops(t))
 
 
-@shared
+@stored
 def direct(t: Tables) -> DataFrame:
     return recommend.direct_routes(a.schedule(t), origins(t), destinations(t), places(t))
 
 
-@shared
+@stored
 def changing(t: Tables) -> DataFrame:
     return recommend.transfer_routes(a.schedule(t), a.walking(t), origins(t), destinations(t), places(t))
 
 
-@shared
+@stored
 def options(t: Tables) -> DataFrame:
     return recommend.route_options(recommend.all_candidates(direct(t), changing(t)))
 
@@ -223,12 +223,12 @@ WHERE rank <= 3
 
 @query("direct_routes", "SELECT * FROM v_direct")
 def direct_routes(t: Tables) -> DataFrame:
-    return direct(t)
+    return direct.plan(t)
 
 
 @query("transfer_routes", "SELECT * FROM v_transfer")
 def transfer_routes(t: Tables) -> DataFrame:
-    return changing(t)
+    return changing.plan(t)
 
 
 @query(

@@ -32,7 +32,7 @@ def tri_state(t: Tables) -> DataFrame:
 
 @query("elevator_current", "SELECT * FROM v_lifts_current")
 def elevator_current(t: Tables) -> DataFrame:
-    return a.lifts_current(t)
+    return a.lifts_current.plan(t)
 
 
 @query(
@@ -49,7 +49,7 @@ def latest_nulls_last(t: Tables) -> DataFrame:
 
 @query("elevator_history", "SELECT * FROM v_lifts_history")
 def elevator_history(t: Tables) -> DataFrame:
-    return a.lifts_history(t)
+    return a.lifts_history.plan(t)
 
 
 _OLD = "status_updated_at < TIMESTAMP '2024-01-20'"
@@ -103,12 +103,12 @@ def sync(t: Tables) -> DataFrame:
 
 @query("elevator_availability", "SELECT * FROM v_availability")
 def elevator_availability(t: Tables) -> DataFrame:
-    return a.availability(t)
+    return a.availability.plan(t)
 
 
 @query("elevator_downtime", "SELECT * FROM v_downtime")
 def elevator_downtime(t: Tables) -> DataFrame:
-    return a.downtime(t)
+    return a.downtime.plan(t)
 
 
 @query(
@@ -129,7 +129,7 @@ def state_intervals(t: Tables) -> DataFrame:
 
 @query("elevator_reliability", "SELECT * FROM v_reliability")
 def elevator_reliability(t: Tables) -> DataFrame:
-    return a.reliability(t)
+    return a.reliability.plan(t)
 
 
 @query(
@@ -223,12 +223,12 @@ SELECT * EXCLUDE (lines_served, modes_served), array_to_string(lines_served, ','
 """,
 )
 def station_accessibility(t: Tables) -> DataFrame:
-    return _texts(a.station_access(t))
+    return _texts(a.station_access.plan(t))
 
 
 @query("transfer_accessibility", "SELECT * FROM v_transfer_access")
 def transfer_accessibility(t: Tables) -> DataFrame:
-    return a.transfer_access(t)
+    return a.transfer_access.plan(t)
 
 
 @query(

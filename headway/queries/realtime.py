@@ -25,7 +25,7 @@ def next_stop_calls(t: Tables) -> DataFrame:
 
 @query("latest_per_key", "SELECT * FROM v_passages")
 def latest_per_key(t: Tables) -> DataFrame:
-    return a.passages(t)
+    return a.passages.plan(t)
 
 
 @query("next_stop_schedule", "SELECT * EXCLUDE (destination_ref, arrival_delay_sec, departure_delay_sec) FROM v_passages")
@@ -43,7 +43,7 @@ def delayed_passages(t: Tables) -> DataFrame:
 
 @query("delays_by_stop", "SELECT * FROM v_delays_by_stop")
 def delays_by_stop(t: Tables) -> DataFrame:
-    return a.delays_by_stop(t)
+    return a.delays_by_stop.plan(t)
 
 
 _PUNCTUALITY = """

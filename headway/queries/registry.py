@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.session import shared_folder
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -80,6 +83,30 @@ def shared(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame
     return get
 
 
+def stored(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """A silver or gold table as the jobs leave it: written once, then read by its users.
+
+    The table goes to the shared folder, once per application and data folder. Queries
+    over it plan against a scan instead of the whole chain from the raw feeds, and lost
+    executors cost no recomputation of that chain. ``plan`` is the unwritten table.
+    """
+    plan = shared(build)
+
+    @functools.wraps(build)
+    def get(t: Tables) -> DataFrame:
+        app = t.spark.sparkContext.applicationId
+        key = (app, f"{t.folder}@{build.__name__}")
+        if key not in Tables._opened:
+            place = hashlib.sha1(t.folder.encode()).hexdigest()[:12]
+            path = f"{shared_folder(t.spark)}/headway/{app}/{place}/{build.__name__}"
+            plan(t).write.mode("overwrite").parquet(path)
+            Tables._opened[key] = t.spark.read.parquet(path)
+        return Tables._opened[key]
+
+    get.plan = plan
+    return get
+
+
 def query(name: str, sql: str | None = None):
     """Registers a builder Tables -> DataFrame, with its SQL if it has any."""
 

@@ -26,7 +26,7 @@ def gtfs_seconds(t: Tables) -> DataFrame:
 
 @query("silver_stop_times", "SELECT * FROM v_stop_times")
 def silver_stop_times(t: Tables) -> DataFrame:
-    return a.stop_times(t)
+    return a.stop_times.plan(t)
 
 
 @query(
@@ -111,12 +111,12 @@ def silver_accessibility(t: Tables) -> DataFrame:
 
 @query("dim_stops", "SELECT * FROM v_dim_stops")
 def dim_stops(t: Tables) -> DataFrame:
-    return a.dim_stops(t)
+    return a.dim_stops.plan(t)
 
 
 @query("trip_schedule", "SELECT * FROM v_schedule")
 def trip_schedule(t: Tables) -> DataFrame:
-    return a.schedule(t)
+    return a.schedule.plan(t)
 
 
 @query(
@@ -142,12 +142,12 @@ def service_calendar(t: Tables) -> DataFrame:
 
 @query("transfer_walking", "SELECT * FROM v_walking")
 def transfer_walking(t: Tables) -> DataFrame:
-    return a.walking(t)
+    return a.walking.plan(t)
 
 
 @query("station_lines", "SELECT * FROM v_lines")
 def station_lines(t: Tables) -> DataFrame:
-    return a.lines(t)
+    return a.lines.plan(t)
 
 
 @query(

@@ -18,32 +18,32 @@ from headway.sources.maintenance import orphan_files
 
 @query("validations_daily", "SELECT * FROM v_validations")
 def validations_daily(t: Tables) -> DataFrame:
-    return a.validations(t)
+    return a.validations.plan(t)
 
 
 @query("validations_profile", "SELECT * FROM v_profile")
 def validations_profile(t: Tables) -> DataFrame:
-    return a.profile(t)
+    return a.profile.plan(t)
 
 
 @query("day_type_calendar", "SELECT * FROM v_calendar")
 def day_type_calendar(t: Tables) -> DataFrame:
-    return a.calendar(t)
+    return a.calendar.plan(t)
 
 
 @query("crowding_features", "SELECT * FROM v_crowding")
 def crowding_features(t: Tables) -> DataFrame:
-    return a.crowding(t)
+    return a.crowding.plan(t)
 
 
 @query("validations_by_stop", "SELECT * FROM v_daily_by_stop")
 def validations_by_stop(t: Tables) -> DataFrame:
-    return a.daily_by_stop(t)
+    return a.daily_by_stop.plan(t)
 
 
 @query("validations_by_category", "SELECT * FROM v_by_category")
 def validations_by_category(t: Tables) -> DataFrame:
-    return a.by_category(t)
+    return a.by_category.plan(t)
 
 
 @query(

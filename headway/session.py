@@ -27,14 +27,19 @@ def build_session(app: str = "headway", cores: str | int = "*", **conf: str) ->
     return session
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and written tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (local tests) is a fresh local folder made and recorded in the session.
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (local
+    tests) is a fresh local folder made, one per application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="headway-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _fallback:
+            _fallback[app] = tempfile.mkdtemp(prefix="headway-shared-")
+        folder = _fallback[app]
     return folder.rstrip("/")
