@@ -89,13 +89,34 @@ def share_of_total(df: DataFrame, value: str, out: str, digits: int = 1) -> Data
 
 
 def minmax_normalise(value: str, group: Sequence[str], lower_is_better: bool) -> Column:
-    """Value scaled to 0..1 inside its group; a constant group scores 1."""
+    """Value scaled to 0..1 inside its group; a constant group scores 1.
+
+    A window, for groups with a bounded number of rows such as one search's routes.
+    """
     w = Window.partitionBy(*group)
     low, high = F.min(value).over(w), F.max(value).over(w)
     part = (high - F.col(value)) if lower_is_better else (F.col(value) - low)
     return F.when(high == low, F.lit(1.0)).otherwise(part / (high - low))
 
 
+def with_minmax(
+    df: DataFrame, value: str, group: Sequence[str], out: str, lower_is_better: bool
+) -> DataFrame:
+    """Like minmax_normalise for groups of any size.
+
+    The bounds are an aggregate with map-side combine, joined back null-safely, so a hot
+    group is never gathered in one task (AQE splits its side of the join).
+    """
+    bounds = df.groupBy(*group).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    renamed = bounds.select(*(F.col(g).alias(f"_g{i}") for i, g in enumerate(group)), "_low", "_high")
+    same = F.lit(True)
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    part = (F.col("_high") - F.col(value)) if lower_is_better else (F.col(value) - F.col("_low"))
+    scaled = F.when(F.col("_high") == F.col("_low"), F.lit(1.0)).otherwise(part / (F.col("_high") - F.col("_low")))
+    return df.join(renamed, same).select(*df.columns, scaled.alias(out))
+
+
 def arg_max(df: DataFrame, label: str, value: str) -> DataFrame:
     """One row: the label with the greatest value, the least label on a tie."""
     best = F.min(F.struct((-F.col(value)).alias("negated"), F.col(label).alias("label")))

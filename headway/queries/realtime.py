@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from headway.functions import clock
 from headway.functions.measures import count_where, percent, weighted_mean
 from headway.operators.merge import merge_insert_new, merge_upsert, merge_versioned
-from headway.operators.ranking import arg_max, min_per_key, minmax_normalise, page, top_n_per_group
+from headway.operators.ranking import arg_max, min_per_key, page, top_n_per_group, with_minmax
 from headway.plans import analytics, gold, silver
 from headway.queries import adapters as a
 from headway.queries.registry import Tables, query, view
@@ -368,12 +368,10 @@ FROM v_delays_by_stop WINDOW w AS (PARTITION BY line_ref)
 """,
 )
 def minmax(t: Tables) -> DataFrame:
-    return a.delays_by_stop(t).select(
-        "stop_point_ref",
-        "line_ref",
-        minmax_normalise("nb_passages", ["line_ref"], True).alias("low_scaled"),
-        minmax_normalise("nb_passages", ["line_ref"], False).alias("high_scaled"),
-    )
+    rows = a.delays_by_stop(t).select("stop_point_ref", "line_ref", "nb_passages")
+    low = with_minmax(rows, "nb_passages", ["line_ref"], "low_scaled", True)
+    both = with_minmax(low, "nb_passages", ["line_ref"], "high_scaled", False)
+    return both.select("stop_point_ref", "line_ref", "low_scaled", "high_scaled")
 
 
 @query(

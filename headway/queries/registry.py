@@ -36,11 +36,10 @@ def with_views(sql: str) -> str:
     used = _needed(sql, set())
     ctes = [f"{name} AS (\n{body}\n)" for name, body in VIEWS.items() if name in used]
     sql = sql.strip()
-    if sql.startswith("WITH "):
-        sql = ",\n" + sql[5:]
-    elif not ctes:
+    if not ctes:
         return sql
-    return f"WITH {',\n'.join(ctes)}{sql}" if sql.startswith(",") else f"WITH {',\n'.join(ctes)}\n{sql}"
+    head = "WITH " + ",\n".join(ctes)
+    return f"{head},\n{sql[5:]}" if sql.startswith("WITH ") else f"{head}\n{sql}"
 
 
 class Tables:

@@ -18,6 +18,7 @@ from headway.operators.ranking import (
     next_in_time,
     page,
     share_of_total,
+    with_minmax,
 )
 from headway.operators.snapshot import latest_snapshot, retained_snapshots
 
@@ -58,6 +59,8 @@ def test_next_in_time_equals_lead_over_the_key(spark, rows):
 def test_share_of_total_and_normalise(spark, rows):
     df = spark.createDataFrame([("a", 1), ("b", 3)], "k string, n int")
     assert rows(share_of_total(df, "n", "pct"), "pct") == [(25.0,), (75.0,)]
+    bound = with_minmax(spark.createDataFrame([(None, 1), (None, 3), ("h", 2)], "g string, v int"), "v", ["g"], "s", False)
+    assert rows(bound, "v", "s") == [(1, 0.0), (2, 1.0), (3, 1.0)]
     three = spark.createDataFrame([("g", 10), ("g", 20), ("g", 30), ("h", 5), ("h", 5)], "g string, v int")
     assert rows(three.select("v", minmax_normalise("v", ["g"], True).alias("s"))) == [
         (10, 1.0),
