@@ -750,21 +750,29 @@ FROM (SELECT *, sum(n) OVER (PARTITION BY s, c)::BIGINT AS total
 )
 
 
+# Days of the year that count as public holidays, and day of the month a school break begins.
+HOLIDAYS = ["01-01", "05-01", "05-08", "07-14", "08-15", "11-01", "11-11", "12-25"]
+BREAK_DAY = 15
+
+
 @shared
 def raw_holidays(t: Tables) -> DataFrame:
-    return t.orders.where(F.col("o_orderkey") % 211 == 0).select(
-        txt(order_day()).alias("date"), F.col("o_orderpriority").alias("libelle")
+    """Order days on a public holiday, once per order."""
+    day = order_day()
+    return t.orders.where(F.date_format(day, "MM-dd").isin(HOLIDAYS)).select(
+        txt(day).alias("date"), F.col("o_orderpriority").alias("libelle")
     )
 
 
 @shared
 def raw_breaks(t: Tables) -> DataFrame:
-    rows = t.orders.where(F.col("o_orderkey") % 97 == 0)
-    return rows.select(
+    """Order days in the middle of a month as starts of a break, by turns in two zones."""
+    day = order_day()
+    return t.orders.where(F.dayofmonth(day) == BREAK_DAY).select(
         F.col("o_orderpriority").alias("description"),
-        F.when(F.col("o_orderkey") % 2 == 0, "Zone C").otherwise("Zone B").alias("zones"),
-        cat(txt(order_day()), "T00:00:00+01:00").alias("start_date"),
-        cat(txt(F.date_add(order_day(), 9)), "T00:00:00+01:00").alias("end_date"),
+        F.when(F.month(day) % 2 == 0, "Zone C").otherwise("Zone B").alias("zones"),
+        cat(txt(day), "T00:00:00+01:00").alias("start_date"),
+        cat(txt(F.date_add(day, 9)), "T00:00:00+01:00").alias("end_date"),
     )
 
 
@@ -773,12 +781,17 @@ def calendar(t: Tables) -> DataFrame:
     return silver.day_type_calendar(raw_holidays(t), raw_breaks(t))
 
 
-view("v_holidays", f"SELECT DISTINCT {SHIFTED} AS d FROM orders WHERE o_orderkey % 211 = 0")
+view(
+    "v_holidays",
+    f"""
+SELECT DISTINCT d FROM (SELECT {SHIFTED} AS d FROM orders)
+WHERE strftime(d, '%m-%d') IN ({", ".join(f"'{h}'" for h in HOLIDAYS)})
+""",
+)
 view(
     "v_breaks",
     f"""
-SELECT DISTINCT {SHIFTED} AS s, {SHIFTED} + 9 AS e
-FROM orders WHERE o_orderkey % 97 = 0 AND o_orderkey % 2 = 0
+SELECT DISTINCT s, s + 9 AS e FROM (SELECT {SHIFTED} AS s FROM orders) WHERE day(s) = {BREAK_DAY} AND month(s) % 2 = 0
 """,
 )
 view(

@@ -89,17 +89,17 @@ def decimal_comma(t: Tables) -> DataFrame:
 @query(
     "join_composite",
     """
-SELECT d.jour, d.stif_arret, p.cat_jour, p.hour_start, p.pct_validations
-FROM (SELECT DISTINCT jour, stif_trns, stif_res, stif_arret FROM v_validations) d JOIN v_profile p
-  ON d.stif_trns = p.stif_trns AND d.stif_res = p.stif_res AND d.stif_arret = p.stif_arret
-WHERE p.hour_start = 8
+SELECT d.stif_arret, d.validations, p.cat_jour, p.hour_start, p.pct_validations
+FROM (SELECT stif_trns, stif_res, stif_arret, CAST(sum(nb_vald) AS BIGINT) AS validations FROM v_validations GROUP BY ALL) d
+JOIN v_profile p ON d.stif_trns = p.stif_trns AND d.stif_res = p.stif_res AND d.stif_arret = p.stif_arret
 """,
 )
 def join_composite(t: Tables) -> DataFrame:
+    """Stop totals and hourly shares, which share a three-part key."""
     stop = ["stif_trns", "stif_res", "stif_arret"]
-    shares = a.profile(t).where("hour_start = 8").select(*stop, "cat_jour", "hour_start", "pct_validations")
-    days = a.validations(t).select("jour", *stop).distinct()
-    return days.join(shares, stop).select("jour", "stif_arret", "cat_jour", "hour_start", "pct_validations")
+    shares = a.profile(t).select(*stop, "cat_jour", "hour_start", "pct_validations")
+    totals = a.validations(t).groupBy(*stop).agg(F.sum("nb_vald").alias("validations"))
+    return totals.join(shares, stop).select("stif_arret", "validations", "cat_jour", "hour_start", "pct_validations")
 
 
 @query(
