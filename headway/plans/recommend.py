@@ -313,7 +313,7 @@ def transfer_routes(
 
 
 def _strings(*cols: str) -> Column:
-    return F.array(*[F.col(c) if c else F.lit(None).cast("string") for c in cols])
+    return F.array(*cols)
 
 
 def all_candidates(direct: DataFrame, transfer: DataFrame) -> DataFrame:
@@ -410,7 +410,12 @@ def _items(candidates: DataFrame) -> DataFrame:
 def _lookup(reliability: DataFrame, crowding: DataFrame, lifts: DataFrame, cat_jour: Column) -> DataFrame:
     """(kind, key, hour, value): on-time share of lines, crowding of stations, working lifts of stations."""
     any_hour = F.lit(None).cast("int")
-    of_lines = reliability.select(F.lit("line").alias("_kind"), F.col("line_key").alias("_key"), any_hour.alias("_hour"), F.col("pct_on_time").alias("_value"))
+    of_lines = reliability.select(
+        F.lit("line").alias("_kind"),
+        F.col("line_key").alias("_key"),
+        any_hour.alias("_hour"),
+        F.col("pct_on_time").alias("_value"),
+    )
     of_stations = crowding.where(F.col("cat_jour") == cat_jour).select(F.lit("station"), "station_key", "hour", "crowd")
     of_lifts = lifts.select(F.lit("change"), "station_key", any_hour, "pct_available")
     return of_lines.union(of_stations).union(of_lifts)

@@ -96,12 +96,8 @@ def sniff_delimiter(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """
     files = spark.read.format("binaryFile").load(list(paths)).select("path", F.substring("content", 1, 4096).alias("head"))
     # A cut inside a character leaves at most three stray bytes, which are put aside first.
-    text = F.coalesce(
-        *[
-            F.try_validate_utf8(F.substring("head", 1, 4096 - cut).cast("string")) if cut else F.try_validate_utf8(F.col("head").cast("string"))
-            for cut in range(4)
-        ]
-    )
+    heads = [F.substring("head", 1, 4096 - cut) for cut in range(4)]
+    text = F.coalesce(*[F.try_validate_utf8(head.cast("string")) for head in heads])
     first = F.get(F.split(F.ltrim(text, F.lit("﻿")), r"\r\n|\r|\n"), F.lit(0))
     return files.select("path", delimiter_of(first).alias("delimiter"))
 

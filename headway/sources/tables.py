@@ -167,7 +167,9 @@ def compact(spark: SparkSession, folder: str, target_bytes: int, min_files: int,
         return False
     df, columns = with_partition(current(spark, folder), partition)
     version = done[-1] + 1
-    df.repartition(parts, *columns).write.partitionBy(*columns).parquet(f"{folder}/{VERSION}{version}")
+    # By partition value, a rebalance cuts hot values; otherwise an even split into parts.
+    writer = _writer(df, columns) if columns else df.repartition(parts).write
+    writer.parquet(f"{folder}/{VERSION}{version}")
     return True
 
 
