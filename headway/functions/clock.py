@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,6 +49,11 @@ def stamp(c: Column | str, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(_col(c), F.lit(fmt)) if fmt else F.try_to_timestamp(_col(c))
 
 
+def moment(at: datetime) -> Column:
+    """A fixed time of the session's zone; a plain literal would be read in the driver's own zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def seconds_between(start: Column | str, end: Column | str) -> Column:
     """Whole seconds from start to end, each cut to its second first."""
     return F.unix_timestamp(_col(end)) - F.unix_timestamp(_col(start))

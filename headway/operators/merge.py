@@ -13,6 +13,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.clock import moment
+
 
 def _one_row_per_key(source: DataFrame, keys: Sequence[str], on_duplicates: str) -> DataFrame:
     """Source with unique keys: 'raise' on a repeated key, or 'trust' the caller."""
@@ -110,7 +112,7 @@ def merge_sync(
     on_duplicates: str = "raise",
 ) -> DataFrame:
     """Upsert from a full snapshot: active rows it lacks are closed, returning rows reopened."""
-    now = now if isinstance(now, Column) else F.lit(now)
+    now = now if isinstance(now, Column) else moment(now)
     source = _one_row_per_key(source, keys, on_duplicates)
     joined = _full_join(target, source, keys, True)
     present = F.col("_s._in_s").isNotNull()

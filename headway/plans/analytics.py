@@ -210,9 +210,9 @@ def outage_events(
     wanted = _all(
         _search(search, "station_name"),
         None if ongoing is None else (open_ if ongoing else ~open_),
-        F.col("status_updated_at") >= F.lit(as_of - timedelta(days=since)) if since else None,
+        F.col("status_updated_at") >= clock.moment(as_of - timedelta(days=since)) if since else None,
     )
-    seconds = F.coalesce("downtime_sec", clock.seconds_between("status_updated_at", F.lit(as_of)))
+    seconds = F.coalesce("downtime_sec", clock.seconds_between("status_updated_at", clock.moment(as_of)))
     rows = downtime.where(wanted).select(
         "elevator_key",
         "elevator_id",
@@ -424,7 +424,7 @@ def recent_delays(
     wanted = _all(
         worst >= threshold,
         _line(line),
-        F.col("batch_time") >= F.lit(as_of - timedelta(hours=since)) if since else None,
+        F.col("batch_time") >= clock.moment(as_of - timedelta(hours=since)) if since else None,
     )
     rows = page(
         delays.where(wanted).withColumn("_worst", worst),

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions import clock
+
 
 @dataclass(frozen=True)
 class Check:
@@ -218,7 +220,7 @@ def check_contract(
         aggs.append((F.count(column) - F.countDistinct(column)).alias(f"u{i}"))
         add(f"{column}-unique", "rule", F.col(f"u{i}"))
     if contract.fresh_column and contract.max_age_hours:
-        age = F.unix_timestamp(F.lit(as_of)) - F.unix_timestamp(F.max(contract.fresh_column))
+        age = F.unix_timestamp(clock.moment(as_of)) - F.unix_timestamp(F.max(contract.fresh_column))
         aggs.append(F.when(age <= contract.max_age_hours * 3600, 0).otherwise(1).alias("age"))
         add("freshness", "sla", F.col("age"))
     one = df.agg(*(aggs or [F.lit(0).alias("none")]))

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions import text
+from headway.functions import clock, text
 from headway.functions.measures import count_where
 from headway.operators.merge import merge_insert_new, merge_sync
 from headway.operators.ranking import latest_per_key, next_in_time
@@ -68,7 +68,7 @@ WHERE NOT EXISTS (SELECT 1 FROM v_lifts_history t WHERE t.{_OLD} AND t.elevator_
 def history_append(t: Tables) -> DataFrame:
     """State tuples the stored history lacks, matched null-safely."""
     history, keys = a.lifts_history(t), silver.SILVER_KEYS["elevators_history"]
-    stored = history.where(F.col("status_updated_at") < F.lit(datetime(2024, 1, 20)))
+    stored = history.where(F.col("status_updated_at") < clock.moment(datetime(2024, 1, 20)))
     return merge_insert_new(stored, history, keys).select(*keys)
 
 
@@ -94,9 +94,9 @@ FROM {_SYNC_T} t FULL JOIN {_SYNC_S} s ON t.elevator_key = s.elevator_key
 def sync(t: Tables) -> DataFrame:
     """A snapshot meets the stored lifts: those it lacks are closed, the rest updated or added."""
     states = a.lift_states(t)
-    stored = silver.elevators_current(states.where(F.col("status_updated_at") < F.lit(datetime(2024, 1, 20))))
+    stored = silver.elevators_current(states.where(F.col("status_updated_at") < clock.moment(datetime(2024, 1, 20))))
     stored = stored.withColumns({"is_active": F.lit(True), "missing_since": F.lit(None).cast("timestamp")})
-    snapshot = silver.elevators_current(states.where(F.col("status_updated_at") >= F.lit(datetime(2024, 1, 30, 12))))
+    snapshot = silver.elevators_current(states.where(F.col("status_updated_at") >= clock.moment(datetime(2024, 1, 30, 12))))
     merged = merge_sync(stored, snapshot, ["elevator_key"], a.AS_OF)
     return merged.select("elevator_key", "status", "status_updated_at", "is_active", "missing_since")
 
@@ -142,7 +142,7 @@ FROM v_lift_states GROUP BY station_area_id
 )
 def lookback_metrics(t: Tables) -> DataFrame:
     """Several look-back windows in one pass."""
-    since = lambda n: F.col("status_updated_at") >= F.lit(a.AS_OF) - F.expr(f"interval {n} days")
+    since = lambda n: F.col("status_updated_at") >= clock.moment(a.AS_OF) - F.expr(f"interval {n} days")
     return a.lift_states(t).groupBy("station_area_id").agg(
         count_where(since(7)).alias("states_7d"), count_where(since(14)).alias("states_14d"), F.count("*").alias("states")
     )

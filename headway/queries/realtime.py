@@ -171,7 +171,7 @@ KEYS = ["journey_ref", "stop_point_ref"]
 def _between(t: Tables, first: int, last: int) -> DataFrame:
     """Latest passages among the calls of some days of the month."""
     day = F.col("batch_time")
-    part = a.calls(t).where((day >= F.lit(datetime(2024, 1, first))) & (day < F.lit(datetime(2024, 1, last))))
+    part = a.calls(t).where((day >= clock.moment(datetime(2024, 1, first))) & (day < clock.moment(datetime(2024, 1, last))))
     return silver.latest_passages(part)
 
 

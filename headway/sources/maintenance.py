@@ -9,6 +9,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.functions.clock import moment
+
 MB = 1024 * 1024
 
 
@@ -36,7 +38,7 @@ SUNDAY = 6
 def orphan_files(listing: DataFrame, referenced: DataFrame, now: datetime, days: int) -> DataFrame:
     """Files nobody refers to, old enough not to be a write in progress."""
     cutoff = now - timedelta(days=max(days, MIN_ORPHAN_DAYS))
-    old = listing.where(F.col("modified_at") < F.lit(cutoff))
+    old = listing.where(F.col("modified_at") < moment(cutoff))
     return old.join(referenced.select("path"), "path", "left_anti")
 
 
