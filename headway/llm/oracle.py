@@ -62,3 +62,28 @@ judged AS (SELECT f.*, NOT base_failed AND coalesce(v_mean BETWEEN least_mean AN
 
 QUALITY = f"""WITH {_COUNTS}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"""
+
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _lowered(column: str) -> str:
+    return f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+_HITS = f"""
+dw AS (SELECT row_number() OVER () AS r, doc_id, text, regexp_extract_all({_lowered('text')}, '{_ALNUM}') AS ws FROM {{documents}}),
+iw AS (SELECT item_id, regexp_extract_all({_lowered('text')}, '{_ALNUM}') AS ws FROM benchmark),
+sought AS (SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[i:i + least(len(ws), 13) - 1], ' ') AS g
+           FROM iw, unnest(generate_series(1, len(ws) - least(len(ws), 13) + 1)) AS x(i) WHERE len(ws) > 0),
+lens AS (SELECT DISTINCT n FROM sought),
+seen AS (SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g FROM dw, lens, unnest(generate_series(1, len(ws) - n + 1)) AS x(i)),
+hits AS (SELECT r, n, i, item_id FROM seen JOIN sought USING (n, g)),
+hit_words AS (SELECT r, count(DISTINCT i + j) AS n_hit FROM hits, unnest(generate_series(0, n - 1)) AS y(j) GROUP BY r),
+hit_items AS (SELECT r, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hits GROUP BY r),
+clean AS (SELECT r, doc_id, text, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
+                 sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+                 coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+          FROM dw LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r))"""
+
+DECONTAMINATION = f"""WITH {_HITS.replace('{documents}', 'documents')}
+SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM clean"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import oracle, quality
+from headway.llm import decontaminate, oracle, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op7_benchmark_decontamination", oracle.DECONTAMINATION)
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op10_quality_rules", oracle.QUALITY)
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.quality_rules(table(spark, folder, "documents"))
