@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, oracle, quality
+from headway.llm import decontaminate, mixing, oracle, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_balanced_label_propagation")
+def op1_balanced_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(table(spark, folder, "documents"))
+
+
+@query("op6_mix_sources")
+def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 @query("op7_benchmark_decontamination", oracle.DECONTAMINATION)
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
