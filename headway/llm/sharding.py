@@ -2,7 +2,7 @@
 
 Documents start in hashed shards. In each round a document wants the shard that most of its
 neighbours (the rows of its text) are in; wishes from shard s to t are granted up to the
-wishes from t to s plus a share of t's room under the capacity. At last the shards are made
+wishes from t to s plus a share of t's room; capacity is a quarter over the mean. At last the shards are made
 even: full ones give rows away, those without neighbours first, so counts are at most one
 apart (law ``rows``). A text of more rows than a shard holds is spread over several.
 
@@ -20,7 +20,7 @@ from headway.llm.common import numbered, salted_join, written
 
 SHARDS = 16
 ROUNDS = 3
-SLACK = 0.02
+SLACK = 0.25
 
 
 def _pick(values: list[int], by: Column) -> Column:
