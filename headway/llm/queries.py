@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, mixing, oracle, quality, sharding, toxicity
+from headway.llm import decontaminate, lm, mixing, oracle, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.lm_scores(table(spark, folder, "documents"))
+
+
 @query("op6_mix_sources")
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
