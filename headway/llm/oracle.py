@@ -87,3 +87,25 @@ clean AS (SELECT r, doc_id, text, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n
 
 DECONTAMINATION = f"""WITH {_HITS.replace('{documents}', 'documents')}
 SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM clean"""
+
+TEMPLATES = f"""WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
+k AS (SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id, text, string_split(text, chr(10)) AS ls FROM d),
+raw AS (SELECT r, i AS spot, ls[i] AS line, regexp_extract_all(ls[i], '{_WORD}') AS ws FROM k, unnest(generate_series(1, len(ls))) AS x(i)),
+l AS (SELECT r, spot, line, list_transform(ws, lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS ts FROM raw WHERE len(ws) > 0),
+e AS (SELECT *, len(ts) || ' ' || array_to_string(ts[1:3], ' ') AS leaf FROM l),
+kinds AS (SELECT leaf, line, any_value(ts) AS ts, count(*) AS n FROM e GROUP BY leaf, line),
+top AS (SELECT leaf, place, CASE WHEN 2 * n >= total THEN token END AS token
+        FROM (SELECT leaf, place, token, sum(n) AS n,
+                     row_number() OVER (PARTITION BY leaf, place ORDER BY sum(n) DESC, token DESC) AS rank,
+                     sum(sum(n)) OVER (PARTITION BY leaf, place) AS total
+              FROM (SELECT leaf, n, unnest(ts) AS token, generate_subscripts(ts, 1) AS place FROM kinds) GROUP BY leaf, place, token) WHERE rank = 1),
+agreed AS (SELECT leaf, line, len(ts) AS size, count(*) FILTER (WHERE u.token = top.token) AS same
+           FROM (SELECT leaf, line, ts, unnest(ts) AS token, generate_subscripts(ts, 1) AS place FROM kinds) u JOIN top USING (leaf, place)
+           GROUP BY leaf, line, len(ts)),
+assigned AS (SELECT leaf, line, CASE WHEN 10 * same >= 6 * size THEN leaf ELSE leaf || chr(10) || line END AS template FROM agreed),
+spread AS (SELECT template, min(r) AS keeper FROM e JOIN assigned USING (leaf, line) GROUP BY template HAVING count(DISTINCT r) >= 5),
+gone AS (SELECT DISTINCT r, spot FROM e JOIN assigned USING (leaf, line) JOIN spread USING (template) WHERE r != keeper),
+listed AS (SELECT r, list(spot) AS gone FROM gone GROUP BY r)
+SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(ls, lambda x, i: NOT list_contains(gone, i)), chr(10)) END AS text,
+       coalesce(len(ls), 0) AS n_lines, coalesce(len(gone), 0) AS n_dropped
+FROM documents JOIN k USING (doc_id, text) LEFT JOIN listed USING (r)"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, lm, mixing, oracle, quality, sharding, toxicity
+from headway.llm import decontaminate, html, lm, mixing, oracle, quality, sharding, templates, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op4_html_extraction")
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 @query("op5_lm_scoring")
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.lm_scores(table(spark, folder, "documents"))
@@ -51,6 +56,11 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op8_line_templates", oracle.TEMPLATES)
+def op8_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.drop_templates(table(spark, folder, "documents"))
+
+
 @query("op10_quality_rules", oracle.QUALITY)
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.quality_rules(table(spark, folder, "documents"))
