@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, html, lm, mixing, oracle, quality, sharding, templates, toxicity
+from headway.llm import decontaminate, html, lm, mixing, oracle, passages, quality, sharding, templates, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,6 +61,11 @@ def op8_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     return templates.drop_templates(table(spark, folder, "documents"))
 
 
+@query("op9_shared_passages")
+def op9_shared_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.shared_passages(table(spark, folder, "documents"))
+
+
 @query("op10_quality_rules", oracle.QUALITY)
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.quality_rules(table(spark, folder, "documents"))
