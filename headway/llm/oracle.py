@@ -109,3 +109,22 @@ listed AS (SELECT r, list(spot) AS gone FROM gone GROUP BY r)
 SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(ls, lambda x, i: NOT list_contains(gone, i)), chr(10)) END AS text,
        coalesce(len(ls), 0) AS n_lines, coalesce(len(gone), 0) AS n_dropped
 FROM documents JOIN k USING (doc_id, text) LEFT JOIN listed USING (r)"""
+
+
+def jaccard(n: int, num: int, den: int, documents: str) -> str:
+    """Tables up to jaccard_components(r, component) of documents numbered in jaccard_rows."""
+    return f"""
+jaccard_rows AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_lowered('text')}, '{_WORD}') AS ws FROM {documents}),
+grams AS (SELECT DISTINCT r, array_to_string(ws[i:i + least(len(ws), {n}) - 1], ' ') AS g
+          FROM jaccard_rows, unnest(generate_series(1, len(ws) - least(len(ws), {n}) + 1)) AS x(i) WHERE len(ws) > 0),
+sizes AS (SELECT r, count(*) AS size FROM grams GROUP BY r),
+links AS (SELECT a.r AS r, b.r AS s FROM grams a JOIN grams b ON a.g = b.g AND a.r != b.r
+          JOIN sizes x ON x.r = a.r JOIN sizes y ON y.r = b.r
+          GROUP BY a.r, b.r, x.size, y.size HAVING {den} * count(*) >= {num} * (x.size + y.size - count(*))),
+reached(r, s) AS (SELECT r, r FROM jaccard_rows UNION SELECT reached.r, links.s FROM reached JOIN links ON links.r = reached.s),
+jaccard_components AS (SELECT reached.r, min(o.doc_id) AS component_id FROM reached JOIN jaccard_rows o ON o.r = reached.s GROUP BY reached.r)"""
+
+
+JACCARD = f"""WITH RECURSIVE {jaccard(3, 90, 100, 'documents')}
+SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id
+FROM jaccard_rows JOIN jaccard_components USING (r) LEFT JOIN sizes USING (r)"""

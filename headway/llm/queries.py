@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, html, lm, mixing, oracle, passages, quality, sharding, templates, toxicity
+from headway.llm import decontaminate, html, jaccard, lm, mixing, oracle, passages, quality, sharding, templates, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op1_balanced_label_propagation(spark: SparkSession, folder: str) -> DataFram
     return sharding.shard(table(spark, folder, "documents"))
 
 
+@query("op2_ngram_jaccard_join", oracle.JACCARD)
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents"), n=3, num=90, den=100)
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
