@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import batches, written
+from headway.llm.quality import bin_of
 from headway.llm.words import LOWER, NOT_SPACE, Slice, mix, slices, word_hashes, words_of
 
 ORDERS = 5
@@ -256,7 +257,15 @@ class Model:
             self.refined[at] = (ones + 4 * prior[at]) / (every + 4)
         self.refined = np.clip(self.refined, 1e-6, 1 - 1e-6)
 
-        common = self.words.orderBy(F.desc("n"), "key").limit(COMMON_WORDS).toArrow()
+        # Words from the least bin of counts on that leaves at most COMMON_WORDS; none if one bin has more.
+        sized = self.words.withColumn("bin", bin_of(F.col("n")))
+        least, total = 1 << 30, 0
+        for row in sorted(sized.groupBy("bin").count().collect(), key=lambda r: -r["bin"]):
+            total += row["count"]
+            if total > COMMON_WORDS:
+                break
+            least = row["bin"]
+        common = sized.where(F.col("bin") >= least).select("key", "n").toArrow()
         keys = common.column("key").to_numpy()
         order = np.argsort(keys)
         self.common = spark.sparkContext.broadcast((keys[order], common.column("n").to_numpy()[order]))
