@@ -58,13 +58,13 @@ def salted_join(rows: DataFrame, stats: DataFrame, keys: list[str], spread_by: s
     return left.join(right, condition, how).drop("_salt", "_salt_r", *[f"_r_{k}" for k in keys])
 
 
-def numbered(df: DataFrame, groups: list[str], order: list[Column], name: str, blocks: int = 64) -> DataFrame:
+def numbered(df: DataFrame, groups: list[str], draw: str, order: list[str], name: str, blocks: int = 64) -> DataFrame:
     """Adds a gapless long from 0 within each group, without bringing a group together.
 
-    A group is dealt to blocks by the hash of its ``order`` columns; a block is numbered by a
-    window and offset by the rows of the blocks before it. Rows equal in ``order`` are ties.
+    A group is dealt to blocks by the hash of ``draw``; a block is numbered by a window, in
+    ``order``, and offset by the rows of the blocks before it.
     """
-    dealt = df.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)))
+    dealt = df.withColumn("_block", F.pmod(F.xxhash64(draw), F.lit(blocks)))
     sizes = dealt.groupBy(*groups, "_block").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*groups).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*groups, "_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))

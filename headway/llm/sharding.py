@@ -2,9 +2,10 @@
 
 Documents start in hashed shards. In each round a document wants the shard that most of its
 neighbours (the rows of its text) are in; wishes from shard s to t are granted up to the
-wishes from t to s plus a share of t's room; capacity is a quarter over the mean. At last the shards are made
-even: full ones give rows away, those without neighbours first, so counts are at most one
-apart (law ``rows``). A text of more rows than a shard holds is spread over several.
+wishes from t to s plus a share of t's room. Room is what the rows with neighbours leave of an
+even shard, for the others can make way at no cut: at last full shards give rows away, those
+without neighbours first, so counts are at most one apart (law ``rows``). A text of more rows
+than a shard holds is spread over several.
 
 Defined cases: a null text has one byte of size, the checksum of an empty text and other null
 texts as neighbours; null and repeated ids are placed row by row; fewer rows than shards leave
@@ -20,7 +21,6 @@ from headway.llm.common import numbered, salted_join, written
 
 SHARDS = 16
 ROUNDS = 3
-SLACK = 0.25
 
 
 def _pick(values: list[int], by: Column) -> Column:
@@ -51,30 +51,31 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str
         (F.octet_length(utf8) + 1).cast("long").alias("size"),
         F.crc32(utf8).alias("text_crc32"),
         F.xxhash64(text, F.col(text).isNull()).alias("_text"),
-        F.xxhash64(doc_id).alias("_id"),
+        F.xxhash64(doc_id, text).alias("_draw"),
     )
     state = written(base.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    state = state.withColumn("shard", F.pmod(F.xxhash64("_id", "_row"), F.lit(shards)).cast("int"))
-    slim = ["_row", "_text", "shard"]
-    places = written(state.select(*slim), "shards")
+    state = state.withColumn("shard", F.pmod("_draw", F.lit(shards)).cast("int"))
+    texts = state.groupBy("_text").agg(F.count("*").alias("rows")).where("rows > 1").select("_text", F.lit(True).alias("tied"))
+    tied = salted_join(state.select("_row", "_draw", "_text", "shard"), texts, ["_text"], "_row")
+    places = written(tied.withColumn("tied", F.coalesce("tied", F.lit(False))), "shards")
+    capacity = -(-places.count() // shards)
 
     for _ in range(ROUNDS):
-        counts = _counts(places, shards)
-        capacity = -(-sum(counts) * (100 + int(100 * SLACK)) // (100 * shards))
-        near = places.groupBy("_text", "shard").agg(F.count("*").alias("n"))
+        counts = _counts(places.where("tied"), shards)
+        near = places.where("tied").groupBy("_text", "shard").agg(F.count("*").alias("n"))
         most = F.max(F.struct("n", F.xxhash64("_text", "shard").alias("tie"), "shard"))
         best = near.groupBy("_text").agg(most.alias("best"), F.sum("n").alias("all")).where("all > best.n").select("_text", F.col("best.shard").alias("wish"))
-        wishing = written(salted_join(places, best, ["_text"], "_row", "inner").where("shard != wish"), "wishes")
+        wishing = written(salted_join(places.where("tied"), best, ["_text"], "_row", "inner").where("shard != wish"), "wishes")
         wishes = {(r["shard"], r["wish"]): r["count"] for r in wishing.groupBy("shard", "wish").count().collect()}
         if not wishes:
             break
         grant = F.element_at(F.array(*[F.array(*[F.lit(n) for n in row]) for row in _granted(wishes, counts, capacity)]), F.col("shard") + 1)
-        ranked = numbered(wishing, ["shard", "wish"], [F.col("_text"), F.col("_row")], "_nth")
+        ranked = numbered(wishing, ["shard", "wish"], "_draw", ["_text", "_draw", "_row"], "_nth")
         moved = ranked.where(F.col("_nth") < F.element_at(grant, F.col("wish") + 1)).select("_row", "wish")
         places = written(places.join(moved, "_row", "left").withColumn("shard", F.coalesce("wish", "shard")).drop("wish"), "shards")
 
     places = _evened(places, shards)
-    slots = numbered(places.select("_row", "shard"), ["shard"], [F.col("_row")], "slot")
+    slots = numbered(places.select("_row", "_draw", "shard"), ["shard"], "_draw", ["_draw", "_row"], "slot").drop("_draw")
     out = state.drop("shard").join(slots, "_row")
     names = [F.col(f"_key._k{i}").alias(c) for i, c in enumerate(keep)]
     return out.select(*names, "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"))
@@ -93,19 +94,19 @@ def _evened(places: DataFrame, shards: int) -> DataFrame:
     spare = [max(0, c - e) for c, e in zip(counts, even, strict=True)]
     if not any(spare):
         return places
-    together = places.groupBy("_text", "shard").agg(F.count("*").alias("n")).where("n > 1").select("_text", F.col("shard").alias("_home"), F.lit(True).alias("bound"))
+    together = places.where("tied").groupBy("_text", "shard").agg(F.count("*").alias("n")).where("n > 1").select("_text", F.col("shard").alias("_home"), F.lit(True).alias("bound"))
     over = places.where(_pick(spare, F.col("shard")) > 0)
     # The shard of a kept-together text is compared after the join, which is on the text alone.
     marked = salted_join(over, together.groupBy("_text").agg(F.collect_set("_home").alias("homes")), ["_text"], "_row")
     marked = marked.withColumn("bound", F.coalesce(F.array_contains("homes", F.col("shard")), F.lit(False))).drop("homes")
     marked = written(marked, "spare")
     loose = {r["shard"]: r["count"] for r in marked.where("NOT bound").groupBy("shard").count().collect()}
-    ranked = numbered(marked, ["shard", "bound"], [F.col("_row")], "_nth")
+    ranked = numbered(marked, ["shard", "bound"], "_draw", ["_draw", "_row"], "_nth")
     nth = F.col("_nth") + F.when(F.col("bound"), _pick([loose.get(s, 0) for s in range(shards)], F.col("shard"))).otherwise(0)
-    leaving = written(ranked.where(nth < _pick(spare, F.col("shard"))).select("_row"), "leaving")
+    leaving = written(ranked.where(nth < _pick(spare, F.col("shard"))).select("_row", "_draw"), "leaving")
     upto, to = 0, F.lit(None).cast("int")
     for s in reversed(range(shards)):
         upto = sum(max(0, even[t] - counts[t]) for t in range(s + 1))
         to = F.when(F.col("_nth") < upto, F.lit(s)).otherwise(to)
-    settled = numbered(leaving, [], [F.col("_row")], "_nth").select("_row", to.alias("to"))
+    settled = numbered(leaving, [], "_draw", ["_draw", "_row"], "_nth").select("_row", to.alias("to"))
     return written(places.join(settled, "_row", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to"), "shards")
