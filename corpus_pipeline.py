@@ -13,6 +13,10 @@ from headway.llm.common import written
 
 STAGES = [
     ("quality rules", stages.quality_rules),
+    ("n-gram jaccard join", stages.near_duplicates),
+    ("benchmark decontamination", stages.decontaminate),
+    ("mixing sources", stages.mix_sources),
+    ("sharding", stages.shard),
 ]
 
 # The mix and the shards come from iterations that SQL cannot express.
