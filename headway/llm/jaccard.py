@@ -8,13 +8,15 @@ costs less than scanning lists, by the counts of sets of each size; small sets t
 with large ones are in the lists as well. Rarity is by a table of hashed counts over all
 grams, of fixed size; it orders the grams and can't lose a link.
 
-Members of a list aren't paired with each other. Equal sets are one node. In each round a
-list names a hub by a new hash, its members are checked against the hub, and linked nodes
-become components; what is left are pairs of a list in different components, and when these
-are few they are all checked. So a group of copies costs its size, and no link between
-components is lost.
+Members of a list aren't all paired. Equal sets are one node. A list first names as its hub
+the member with the fewest rarer grams, the one nearest to the others; its members are checked
+against the hub, and linked nodes become components. What is left are members of a list in
+different components: they are compared within tasks, in blocks, and only the pairs that may
+be links leave the task. (While too many are left, hubs are drawn by further hashes first.) So
+a group of copies is joined through its hub, and no link between components is lost.
 
-A check first bounds the overlap by counts of grams in 64 classes, then compares whole sets.
+A pair may be a link if the grams before the first they share, and the counts of their grams
+in 64 classes, leave the overlap that their sizes need; then whole sets are compared.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing, not
 even each other; fewer words than n are one gram; repeated rows are in one component; a null
@@ -43,8 +45,9 @@ TABLE_BITS = 23
 CLASSES = 64
 MOST_SMALL = 16
 SCAN = 4  # postings read for a key of an inverted list, against one row for a subset
-ROUNDS = 6
-CROSS = 4  # pairs in different components for each posting, at which all are checked
+ROUNDS = 3
+CROSS = 64  # pairs in different components for each posting, at which no more hubs are drawn
+BLOCK = 512  # members of a list that are compared with each other in one go
 
 _TOKEN, _SUBSET = np.uint64(0xA5A5A5A5), np.uint64(0x5B5B5B5B)
 
@@ -120,7 +123,7 @@ def _sets_and_sketch(n: int, key: str):
                 nodes.append(_nodes(h, begin).view(np.int64))
                 docs = len(begin) - 1
                 table = np.bincount(doc * CLASSES + (h & np.uint64(CLASSES - 1)).astype(np.int64), minlength=docs * CLASSES)
-                classes += [row.tobytes() for row in np.minimum(table, 65535).astype(np.uint16).reshape(docs, CLASSES)]
+                classes += [row.tobytes() for row in np.minimum(table, 255).astype(np.uint8).reshape(docs, CLASSES)]
             size = np.concatenate(sizes)
             none = pa.nulls(len(size), pa.int32())
             node = pa.array(np.concatenate(nodes), mask=size == 0)
@@ -157,7 +160,7 @@ def _add_blocks(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 def _keys(n: int, num: int, den: int, small: int, sketch):
-    """(key, node, n): subsets of small sets and rarest grams of the others."""
+    """(key, node, n, at): subsets of small sets, and rarest grams of the others with how many rarer ones each has."""
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
@@ -170,16 +173,17 @@ def _keys(n: int, num: int, den: int, small: int, sketch):
                 place = np.arange(len(h)) - begin[doc]
                 listed = (size > small) | (den * size // num > small)
                 chosen = (place < prefix_size(size, num, den)[doc]) & listed[doc]
-                keys, owner = [mix(h[order][chosen] ^ _TOKEN)], [doc[chosen]]
+                keys, owner, rarer = [mix(h[order][chosen] ^ _TOKEN)], [doc[chosen]], [place[chosen]]
                 for d in np.flatnonzero((size > 0) & (size <= small)):
                     own = mix(h[begin[d] : begin[d + 1]] ^ _SUBSET)
                     for c in subset_sizes(len(own), num, den):
                         members = np.array(list(combinations(range(len(own)), c)))
                         keys.append(mix(mix(own[members].sum(axis=1, dtype=np.uint64)) ^ np.uint64(c)))
                         owner.append(np.full(len(members), d))
+                        rarer.append(np.zeros(len(members), np.int64))
                 at = np.concatenate(owner).astype(np.int64)
-                columns = [np.concatenate(keys).view(np.int64), node[at].view(np.int64), size[at].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "n"])
+                columns = [np.concatenate(keys).view(np.int64), node[at].view(np.int64), size[at].astype(np.int32), np.concatenate(rarer).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "n", "at"])
 
     return run
 
@@ -226,21 +230,72 @@ def _links(num: int, den: int):
     return run
 
 
-def _possible(num: int, den: int):
-    """Pairs whose class counts allow the overlap that their sizes need."""
+def _needed(n, m, num: int, den: int):
+    return -(-num * (n + m) // (num + den))
+
+
+def _allow(x: np.ndarray, y: np.ndarray, size: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether class counts allow the overlap that two sets of so many grams together need."""
+    least = np.minimum(x, y).sum(1, dtype=np.int64)
+    full = (np.minimum(x, y) == 255).any(1)  # a class that counts no further
+    return full | (least >= -(-num * size // (num + den)))
 
+
+def _possible(num: int, den: int):
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in batches(blocks, 4096):
-            x, y = (np.frombuffer(b"".join(block.column(c).to_pylist()), np.uint16).reshape(-1, CLASSES).astype(np.int64) for c in ("classes_a", "classes_b"))
-            size = np.asarray(block.column("na")) + np.asarray(block.column("nb"))
-            least = np.minimum(x, y).sum(1)
-            full = (np.maximum(x, y) == 65535).any(1)  # a class too full to count exactly
-            keep = pa.array(np.flatnonzero(full | (den * least >= num * (size - least))))
+            x, y = (np.frombuffer(b"".join(block.column(c).to_pylist()), np.uint8).reshape(-1, CLASSES) for c in ("classes_a", "classes_b"))
+            size = np.asarray(block.column("na")).astype(np.int64) + np.asarray(block.column("nb"))
+            keep = pa.array(np.flatnonzero(_allow(x, y, size, num, den)))
             yield pa.RecordBatch.from_arrays([block.column("a").take(keep), block.column("b").take(keep)], names=["a", "b"])
 
     return run
 
 
+def _compared(num: int, den: int):
+    """Pairs of each run of equal (key, i, j) that may be links: in different components, and of both blocks if these differ."""
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        key, node, n, at, group, i, j, own = (np.asarray(rows.column(c)) for c in ("key", "node", "n", "at", "component", "i", "j", "block"))
+        classes = np.frombuffer(b"".join(rows.column("classes").to_pylist()), np.uint8).reshape(-1, CLASSES)
+        n, first, second = n.astype(np.int64), [], []
+        here = np.arange(len(key))
+        for step in range(1, len(key)):
+            here = here[: np.searchsorted(here, len(key) - step)]
+            there = here + step
+            same = (key[here] == key[there]) & (i[here] == i[there]) & (j[here] == j[there])
+            here = here[same]
+            if len(here) == 0:
+                break
+            there = here + step
+            x, y = n[here], n[there]
+            total = x + y
+            may = (group[here] != group[there]) & ((i[here] == j[here]) | (own[here] != own[there]))
+            may &= at[here] + at[there] <= total - 2 * _needed(x, y, num, den)
+            may &= den * np.minimum(x, y) >= num * np.maximum(x, y)
+            a, b = here[may], there[may]
+            may = _allow(classes[a], classes[b], n[a] + n[b], num, den)
+            first.append(node[a[may]])
+            second.append(node[b[may]])
+        a, b = (np.concatenate([np.zeros(0, np.int64), *part]) for part in (first, second))
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for block in batches(blocks, 4096):
+            held = pa.Table.from_batches([block]) if held is None else pa.concat_tables([held, pa.Table.from_batches([block])])
+            marks = [np.asarray(held.column(c)) for c in ("key", "i", "j")]
+            new = np.flatnonzero(np.any([m[1:] != m[:-1] for m in marks], axis=0))
+            if len(new):  # the last run may go on in the next batch
+                yield pairs(held.slice(0, new[-1] + 1))
+                held = held.slice(new[-1] + 1)
+        if held is not None:
+            yield pairs(held)
+
+    return run
+
+
 class _Join:
     def __init__(self, docs: DataFrame, n: int, num: int, den: int):
         self.docs, self.n, self.num, self.den = docs, n, num, den
@@ -261,7 +316,7 @@ class _Join:
         shared = self.spark.sparkContext.broadcast(sketch.reshape(-1))
         short = self.nodes.where(F.col("n") <= 4 * MOST_SMALL).groupBy("n").count().collect()
         small = small_sizes({r["n"]: r["count"] for r in short}, self.num, self.den)
-        keyed = self.docs.select("_text").mapInArrow(_keys(self.n, self.num, self.den, small, shared), "key long, node long, n int")
+        keyed = self.docs.select("_text").mapInArrow(_keys(self.n, self.num, self.den, small, shared), "key long, node long, n int, at int")
         lists = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("key")
         # Copies put the same node under a key many times.
         return written(keyed.join(lists, "key").distinct().withColumn("level", F.floor(F.log("n") / math.log(self.den / self.num)).cast("int")), "postings")
@@ -304,13 +359,13 @@ class _Join:
                 now = postings.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
                 now = written(now, "grouped")
                 own = now.groupBy("key", "component").count()
-                sums = own.groupBy("key").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("squares"), F.max(F.struct("count", "component")).alias("major"))
-                mixed = written(sums.where("squares < n * n").select("key", "n", "squares", F.col("major.component").alias("major")), "mixed-lists")
+                sums = own.groupBy("key").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("squares"))
+                mixed = written(sums.where("squares < n * n"), "mixed-lists")
                 cross = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0] or 0
                 if cross == 0:
                     break
                 last = cross <= CROSS * total or number == ROUNDS
-                now = now.join(mixed.select("key", "major"), "key")
+                now = now.join(mixed.select("key", F.col("n").alias("size")), "key")
             pairs = self._cross(now) if last else self._hubs(now, number)
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -324,18 +379,27 @@ class _Join:
         return links, comps
 
     def _hubs(self, now: DataFrame, number: int) -> DataFrame:
-        """Each member of a list, by level of size, with the list's hub of this round."""
-        hub = F.min(F.struct(F.xxhash64(F.lit(number), "node").alias("draw"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component")))
-        hubs = now.groupBy("key", "level").agg(hub.alias("hub")).select("key", "level", "hub.hub", "hub.hub_n", "hub.hub_component")
+        """Each member of a list, by level of size, with the hub of this round."""
+        draw = F.struct((F.col("at") if number == 0 else F.lit(0)).alias("at"), F.xxhash64(F.lit(number), "node").alias("draw"))
+        columns = {"node": "hub", "n": "hub_n", "at": "hub_at", "component": "hub_component"}
+        hubs = now.groupBy("key", "level").agg(F.min_by(F.struct(*[F.col(c).alias(h) for c, h in columns.items()]), draw).alias("hub")).select("key", "level", "hub.*")
         met = now.join(hubs, ["key", "level"]).where((F.col("component") != F.col("hub_component")) & self.fits("n", "hub_n"))
+        both = F.col("n") + F.col("hub_n")
+        spare = both - 2 * F.ceil(self.num * both / (self.num + self.den))
+        met = met.where(F.col("at") + F.col("hub_at") <= spare)
         return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
     def _cross(self, now: DataFrame) -> DataFrame:
-        """All pairs of a list in different components: those outside its largest component with the others."""
-        one = now.where("component != major").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-        two = now.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), (F.col("component") == F.col("major")).alias("main"))
-        apart = (F.col("cx") != F.col("cy")) & (F.col("main") | (F.col("x") < F.col("y"))) & self.fits("nx", "ny")
-        return one.join(two, "key").where(apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        """Pairs of a list in different components that may be links.
+
+        A list's members are dealt to blocks of about BLOCK; every two blocks meet in one place.
+        """
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        rows = now.join(self.nodes.select("node", "classes"), "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        rows = rows.select("key", "node", "n", "at", "component", "classes", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return dealt.mapInArrow(_compared(self.num, self.den), "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
