@@ -1,8 +1,8 @@
 """Balanced label propagation: equal texts drift to one shard while shards stay even.
 
 Documents start in hashed shards. In each round a document wants the shard that most of its
-neighbours (the rows of its text) are in; wishes from shard s to t are granted up to the
-wishes from t to s plus a share of t's room. Room is what the rows with neighbours leave of an
+neighbours (the rows of its text) are in, of those that aren't full; wishes from shard s to t
+are granted up to the wishes from t to s plus a share of t's room. Room is what the rows with neighbours leave of an
 even shard, for the others can make way at no cut: at last full shards give rows away, those
 without neighbours first, so counts are at most one apart (law ``rows``). A text of more rows
 than a shard holds is spread over several.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from headway.llm.common import numbered, salted_join, written
 
 SHARDS = 16
-ROUNDS = 3
+ROUNDS = 10
 
 
 def _pick(values: list[int], by: Column) -> Column:
@@ -36,9 +36,11 @@ def _granted(wishes: dict[tuple[int, int], int], counts: list[int], capacity: in
         room = max(0, capacity - counts[t])
         extra = {s: wishes.get((s, t), 0) - min(wishes.get((s, t), 0), wishes.get((t, s), 0)) for s in shards}
         total = sum(extra.values())
-        for s in shards:
-            swap = min(wishes.get((s, t), 0), wishes.get((t, s), 0))
-            granted[s][t] = swap + (extra[s] if total <= room else extra[s] * room // total)
+        share = {s: extra[s] if total <= room else extra[s] * room // total for s in shards}
+        for s in sorted(shards, key=lambda s: -extra[s]):
+            if share[s] < extra[s] and sum(share.values()) < room:
+                share[s] += 1
+            granted[s][t] = share[s] + min(wishes.get((s, t), 0), wishes.get((t, s), 0))
     return granted
 
 
@@ -63,9 +65,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str
     for _ in range(ROUNDS):
         counts = _counts(places.where("tied"), shards)
         near = places.where("tied").groupBy("_text", "shard").agg(F.count("*").alias("n"))
-        most = F.max(F.struct("n", F.xxhash64("_text", "shard").alias("tie"), "shard"))
-        best = near.groupBy("_text").agg(most.alias("best"), F.sum("n").alias("all")).where("all > best.n").select("_text", F.col("best.shard").alias("wish"))
-        wishing = written(salted_join(places.where("tied"), best, ["_text"], "_row", "inner").where("shard != wish"), "wishes")
+        full = F.array(*[F.lit(c >= capacity) for c in counts])
+        order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), full[F.col("shard")].alias("full"), F.xxhash64("_text", "shard").alias("tie"), "shard")))
+        best = near.groupBy("_text").agg(order.alias("order")).where(F.size("order") > 1).select("_text", F.transform("order", lambda x: x["shard"]).alias("order"))
+        open_to = F.get(F.filter("order", lambda s: ~full[s]), F.lit(0))
+        wish = F.when(F.array_position("order", open_to) < F.array_position("order", F.col("shard")), open_to)
+        wishing = salted_join(places.where("tied"), best, ["_text"], "_row", "inner").withColumn("wish", wish).drop("order")
+        wishing = written(wishing.where("wish IS NOT NULL"), "wishes")
         wishes = {(r["shard"], r["wish"]): r["count"] for r in wishing.groupBy("shard", "wish").count().collect()}
         if not wishes:
             break
