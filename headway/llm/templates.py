@@ -24,14 +24,21 @@ from headway.llm.common import written
 
 DEPTH = 3
 MIN_DOCS = 5
-SPACES = r"[\x20\x09-\x0D]+"
+SPACES = r"[\x20\x09-\x0D]++"
+WORD = r"[^\x20\x09-\x0D]++"
 WILD = "<*>"
 
 
-def tokens(line: str) -> Column:
-    """Tokens of a line with those that hold a digit as wild cards."""
-    trimmed = F.regexp_replace(line, rf"^{SPACES}|{SPACES}$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(trimmed, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", WILD), SPACES))
+def tokens(words: Column) -> Column:
+    """Tokens of a run of words, those that hold a digit as wild cards."""
+    split = F.split(F.regexp_replace(words, rf"^{SPACES}", ""), SPACES)
+    return F.transform(F.filter(split, lambda t: t != ""), lambda t: F.when(t.rlike("[0-9]"), WILD).otherwise(t))
+
+
+def leaf(line: str) -> Column:
+    """The leaf of a line, of which only the leading tokens are taken apart."""
+    lead = F.regexp_extract(line, rf"^(?:{SPACES})?(?:{WORD}(?:{SPACES})?){{1,{DEPTH}}}", 0)
+    return F.xxhash64(F.regexp_count(line, F.lit(WORD)), tokens(lead))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -42,17 +49,16 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row a document: id, text without the dropped lines, lines and dropped lines."""
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("_doc", F.xxhash64("doc_id", "text"))
 
-    listed = _lines(keyed).withColumn("tokens", tokens("line"))
-    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH))
-    lines = written(listed.where(F.size("tokens") > 0).select("_doc", "doc_id", "at", "mark", leaf.alias("leaf")), "lines")
+    worded = _lines(keyed).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    lines = written(worded.select("_doc", "doc_id", "at", "mark", leaf("line").alias("leaf")), "lines")
 
     # Leaves that only one document reaches can't recur.
-    kinds = lines.groupBy("leaf", "mark").agg(F.count("*").alias("n"), F.min("_doc").alias("low"), F.max("_doc").alias("high"))
-    kinds = written(kinds, "line-kinds")
-    common = kinds.groupBy("leaf").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("all")).where("low != high").select("leaf", "all")
-    sought = written(kinds.join(common, "leaf").select("leaf", "mark", "n", "all"), "shared-kinds")
-    texts = _lines(keyed).select("mark", "line").join(sought.select("mark").distinct(), "mark", "left_semi").groupBy("mark").agg(F.first("line").alias("line"))
-    known = written(sought.join(texts, "mark").withColumn("tokens", tokens("line")).drop("line"), "shared-lines")
+    ends = [F.count("*").alias("all"), F.min("_doc").alias("low"), F.max("_doc").alias("high")]
+    common = lines.groupBy("leaf").agg(*ends).where("low != high").select("leaf", "all")
+    lines = written(lines.join(common, "leaf"), "shared-lines")
+    kinds = written(lines.groupBy("mark").agg(F.first("leaf").alias("leaf"), F.first("all").alias("all"), F.count("*").alias("n")), "line-kinds")
+    texts = _lines(keyed).select("mark", "line").join(kinds.select("mark"), "mark", "left_semi").groupBy("mark").agg(F.first("line").alias("line"))
+    known = written(kinds.join(texts, "mark").withColumn("tokens", tokens(F.col("line"))).drop("line"), "tokens")
 
     # The template of a leaf: the leading token of each place, if it leads by half.
     placed = known.select("leaf", "all", "n", F.posexplode("tokens").alias("place", "token"))
@@ -65,14 +71,14 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     fits = 10 * agreed >= 6 * F.size("tokens")
     template = F.when(fits, F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.xxhash64("mark", F.lit("line")))
-    assigned = written(known.join(shape, "leaf").select("leaf", "mark", template.alias("template")), "templates")
+    assigned = written(known.join(shape, "leaf").select("mark", template.alias("template")), "templates")
 
     # A line that a third of the documents have is split by the adaptive skew join.
-    seen = lines.select("_doc", "doc_id", "leaf", "mark").join(assigned, ["leaf", "mark"]).groupBy("template", "_doc").agg(F.min("doc_id").alias("doc_id"))
+    seen = lines.select("_doc", "doc_id", "mark").join(assigned, "mark").groupBy("template", "_doc").agg(F.min("doc_id").alias("doc_id"))
     spread = seen.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("doc_id", "_doc")).alias("keeper")).where(F.col("docs") >= min_docs)
-    gone = written(assigned.join(spread.select("template", F.col("keeper._doc").alias("keeper")), "template").select("leaf", "mark", "keeper"), "recurring")
+    gone = written(assigned.join(spread.select("template", F.col("keeper._doc").alias("keeper")), "template").select("mark", "keeper"), "recurring")
 
-    dropped = lines.join(gone, ["leaf", "mark"]).where(F.col("_doc") != F.col("keeper")).select("_doc", "at").distinct()
+    dropped = lines.join(gone, "mark").where(F.col("_doc") != F.col("keeper")).select("_doc", "at").distinct()
     flagged = written(dropped.groupBy("_doc").agg(F.array_sort(F.collect_list("at")).alias("gone")), "dropped-lines")
     split = F.split("text", "\n")
     out = keyed.join(flagged, "_doc", "left").withColumn("_lines", split)
