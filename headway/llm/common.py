@@ -17,10 +17,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/headway-llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here, lost executors cost nothing."""
     path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
