@@ -342,5 +342,9 @@ def lm_scores(docs: DataFrame) -> DataFrame:
 
 
 def _sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
-    return total[begin[1:]] - total[begin[:-1]]
+    """Sums of the values from each beginning to the next; 0 where these are equal."""
+    out = np.zeros(len(begin) - 1)
+    some = begin[1:] > begin[:-1]
+    if some.any():
+        out[some] = np.add.reduceat(values.astype(np.float64), begin[:-1][some])
+    return out

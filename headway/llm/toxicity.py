@@ -204,7 +204,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     """One row a document: whether its label may not be learnt from, score and prediction."""
     spark = docs.sparkSession
     model = fit(docs, labels, sample_rows).first()
-    shared = spark.sparkContext.broadcast((np.frombuffer(model["grams"], np.float32), model["bias"]))
+    # Without a row to learn from there may be no task and so no model: as without toxic labels.
+    known = (np.frombuffer(model["grams"], np.float32), model["bias"]) if model else train(Bags())
+    shared = spark.sparkContext.broadcast(known)
 
     def rate(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, offset = shared.value
