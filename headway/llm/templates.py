@@ -52,26 +52,28 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     worded = _lines(keyed).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     lines = written(worded.select("_doc", "doc_id", "at", "mark", leaf("line").alias("leaf")), "lines")
 
-    # Leaves that only one document reaches can't recur.
-    ends = [F.count("*").alias("all"), F.min("_doc").alias("low"), F.max("_doc").alias("high")]
-    common = lines.groupBy("leaf").agg(*ends).where("low != high").select("leaf", "all")
+    # Leaves that only one document reaches can't recur; a leaf of one line is its own template.
+    ends = [F.count("*").alias("all"), F.min("_doc").alias("low"), F.max("_doc").alias("high"), (F.min("mark") != F.max("mark")).alias("varied")]
+    common = lines.groupBy("leaf").agg(*ends).where("low != high").select("leaf", "all", "varied")
     lines = written(lines.join(common, "leaf"), "shared-lines")
-    kinds = written(lines.groupBy("mark").agg(F.first("leaf").alias("leaf"), F.first("all").alias("all"), F.count("*").alias("n")), "line-kinds")
-    texts = _lines(keyed).select("mark", "line").join(kinds.select("mark"), "mark", "left_semi").groupBy("mark").agg(F.first("line").alias("line"))
-    known = written(kinds.join(texts, "mark").withColumn("tokens", tokens(F.col("line"))).drop("line"), "tokens")
+    kinds = lines.groupBy("mark").agg(F.first("leaf").alias("leaf"), F.first("all").alias("all"), F.first("varied").alias("varied"), F.count("*").alias("n"))
+    kinds = written(kinds, "line-kinds")
+    varied = kinds.where("varied")
+    texts = _lines(keyed).select("mark", "line").join(varied.select("mark"), "mark", "left_semi").groupBy("mark").agg(F.first("line").alias("line"))
+    known = written(varied.join(texts, "mark").withColumn("tokens", tokens(F.col("line"))).drop("line"), "tokens")
 
     # The template of a leaf: the leading token of each place, if it leads by half.
     placed = known.select("leaf", "all", "n", F.posexplode("tokens").alias("place", "token"))
     counted = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"), F.max("all").alias("all"))
     top = counted.groupBy("leaf", "place").agg(F.max(F.struct("n", "token")).alias("top"), F.max("all").alias("all"))
-    token = F.when(2 * F.col("top.n") >= F.col("all"), F.col("top.token"))
-    shape = top.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", token.alias("token")))).alias("shape"))
-    agreed = F.aggregate(
-        F.zip_with("tokens", "shape", lambda a, b: F.coalesce((a == b["token"]).cast("int"), F.lit(0))), F.lit(0), lambda total, hit: total + hit
-    )
-    fits = 10 * agreed >= 6 * F.size("tokens")
-    template = F.when(fits, F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.xxhash64("mark", F.lit("line")))
-    assigned = written(known.join(shape, "leaf").select("mark", template.alias("template")), "templates")
+    leading = F.when(2 * F.col("top.n") >= F.col("all"), F.col("top.token"))
+    shape = top.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", leading.alias("token")))).alias("shape"))
+    same = F.zip_with("tokens", "shape", lambda a, b: F.coalesce((a == b["token"]).cast("int"), F.lit(0)))
+    agreed = F.aggregate(same, F.lit(0), lambda total, hit: total + hit)
+    own = known.join(shape, "leaf").select("leaf", "mark", (10 * agreed >= 6 * F.size("tokens")).alias("fits"))
+    every = own.unionByName(kinds.where("NOT varied").select("leaf", "mark", F.lit(True).alias("fits")))
+    template = F.when(F.col("fits"), F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.xxhash64("mark", F.lit("line")))
+    assigned = written(every.select("mark", template.alias("template")), "templates")
 
     # A line that a third of the documents have is split by the adaptive skew join.
     seen = lines.select("_doc", "doc_id", "mark").join(assigned, "mark").groupBy("template", "_doc").agg(F.min("doc_id").alias("doc_id"))
