@@ -15,18 +15,16 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.functions import text
+from headway.functions import clock, text
 from headway.functions.measures import all_true, any_true
 from headway.operators.nearby import nearest_points, walkable_stops
-from headway.operators.ranking import min_per_key, minmax_normalise, top_n_per_group
-from headway.plans.analytics import day_category
+from headway.operators.ranking import min_per_key, top_n_per_group, with_minmax_of
 
 
 @dataclass(frozen=True)
 class RouteSettings:
     """Search windows, limits and score weights."""
 
-    max_candidates: int = 40
     top_routes: int = 3
     default_transfer_sec: int = 180
     max_wait_sec: int = 1800
@@ -46,6 +44,7 @@ class RouteSettings:
 DEFAULTS = RouteSettings()
 
 PLACE = ["origin_station", "destination_station", "hour"]
+OPTION = PLACE + ["accessible_required", "board_stop_id", "alight_stop_id", "lines"]
 PREFERENCES = ["accessible_required", "crowding_sensitivity", "minimize_walking", "max_transfers"]
 SEARCH = PLACE + PREFERENCES
 
@@ -72,18 +71,21 @@ def searches_of(requests: DataFrame) -> DataFrame:
 def stops_by_prefix(names: DataFrame, name: str, stops: DataFrame) -> DataFrame:
     """(name, stop_id) for every asked text and each stop whose own or station name starts with it.
 
-    A stop yields each prefix of its two names once, and prefixes meet asked texts by
-    equality; work is linear in stops, where a LIKE join would compare every pair.
+    A stop yields the prefixes of its two names that are as long as some asked text, and
+    these meet the asked texts by equality; a LIKE join would compare every pair. The
+    lengths are few: no more than the longest name has letters.
     """
     asked = names.select(name).distinct().where(F.trim(name) != "").withColumn("_key", text.name_key(name))
+    lengths = asked.agg(F.array_sort(F.collect_set(F.length("_key")))).scalar()
 
     def prefixes(c: str) -> Column:
         key = text.name_key(c)
-        cut = F.transform(F.sequence(F.lit(1), F.length(key)), lambda n: F.substring(key, F.lit(1), n))
-        return F.coalesce(F.when(F.length(key) > 0, cut), F.array().cast("array<string>"))
+        fitting = F.filter("_lengths", lambda n: n <= F.length(key))
+        return F.coalesce(F.transform(fitting, lambda n: F.substring(key, F.lit(1), n)), F.array().cast("array<string>"))
 
     both = F.array_union(prefixes("stop_name"), prefixes("parent_station_name"))
-    known = stops.where(F.col("stop_id").isNotNull()).select("stop_id", F.explode(both).alias("_key"))
+    stops = stops.where(F.col("stop_id").isNotNull()).withColumn("_lengths", lengths)
+    known = stops.select("stop_id", F.explode(both).alias("_key"))
     return known.join(asked, "_key").select(name, "stop_id").distinct()
 
 
@@ -171,21 +173,22 @@ def fastest_rides(
 
 
 def _demanded(legs: DataFrame, origins: DataFrame, destinations: DataFrame, places: DataFrame) -> DataFrame:
-    """Legs with the (origin, destination, hour) that asked for their stop pair."""
+    """Legs with the (origin, destination, hour) that asked for their stop pair.
+
+    A leg takes the origins of its first stop, then only the destinations asked from there
+    at its hour, and stays if it ends at one of their stops.
+    """
     boards = origins.withColumnRenamed("stop_id", "board_stop_id")
     alights = destinations.withColumnRenamed("stop_id", "alight_stop_id")
-    return (
-        legs.join(boards, "board_stop_id").join(alights, "alight_stop_id").join(places.select(*PLACE), PLACE, "left_semi")
-    )
+    asked = legs.join(boards, "board_stop_id").join(places.select(*PLACE), ["origin_station", "hour"])
+    return asked.join(alights, ["destination_station", "alight_stop_id"])
 
 
 def direct_routes(
     schedule: DataFrame, origins: DataFrame, destinations: DataFrame, places: DataFrame, cfg: RouteSettings = DEFAULTS
 ) -> DataFrame:
-    """Best rides without a change per (origin, destination, hour)."""
-    legs = _demanded(fastest_rides(schedule, origins, destinations, places, cfg), origins, destinations, places)
-    order = [F.col("duration_sec"), *(F.col(c).asc_nulls_first() for c in RIDE)]
-    return top_n_per_group(legs, PLACE, order, cfg.max_candidates)
+    """All rides without a change for each (origin, destination, hour)."""
+    return _demanded(fastest_rides(schedule, origins, destinations, places, cfg), origins, destinations, places)
 
 
 CHANGE = [
@@ -205,10 +208,11 @@ CHANGE = [
 def connections(first: DataFrame, walks: DataFrame, second: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
     """Pairs of rides joined by a walk: the second leaves within [minimum, maximum] wait.
 
-    The wait band is cut into slots of its own length, so each first ride looks into at
-    most two slots of its walk's end stop by equality; the exact bounds are a residual.
+    The wait band is cut into quarters, so each first ride looks into at most five slots of
+    its walk's end stop by equality, and a hub's rides are spread over many short slots;
+    the exact bounds are a residual.
     """
-    slot = cfg.max_wait_sec
+    slot = max(1, cfg.max_wait_sec // 4)
     ready = F.col("arr_x") + F.coalesce("min_transfer_time", F.lit(cfg.default_transfer_sec))
     latest = F.col("arr_x") + cfg.max_wait_sec
     leaving = (
@@ -303,10 +307,9 @@ def transfer_routes(
     places: DataFrame,
     cfg: RouteSettings = DEFAULTS,
 ) -> DataFrame:
-    """Best rides with one change per (origin, destination, hour)."""
+    """All rides with one change for each (origin, destination, hour)."""
     legs = transfer_legs(schedule, walking, origins, destinations, places, cfg)
-    order = [F.col("duration_sec"), *(F.col(c).asc_nulls_first() for c in CHANGE)]
-    return top_n_per_group(_demanded(legs, origins, destinations, places), PLACE, order, cfg.max_candidates)
+    return _demanded(legs, origins, destinations, places)
 
 
 # --- candidates and scores -------------------------------------------------
@@ -358,8 +361,7 @@ def route_options(candidates: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataF
     valid = candidates.where(F.col("duration_sec") >= cfg.min_duration_sec)
     needs = F.when(F.col("blocked_no_elevator"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
     both = valid.withColumn("accessible_required", F.explode(needs)).drop("blocked_no_elevator")
-    keys = PLACE + ["accessible_required", "board_stop_id", "alight_stop_id", "lines"]
-    return min_per_key(both, keys, ["duration_sec", "transfers", "walking_m", "stations", "transfer_stations"])
+    return min_per_key(both, OPTION, ["duration_sec", "transfers", "walking_m", "stations", "transfer_stations"])
 
 
 def route_candidates(searches: DataFrame, options: DataFrame) -> DataFrame:
@@ -426,15 +428,15 @@ def with_criteria(
     reliability: DataFrame,
     crowding: DataFrame,
     lifts: DataFrame,
-    service_day: DataFrame,
+    service_day: Column,
     access: DataFrame | None = None,
     egress: DataFrame | None = None,
     cfg: RouteSettings = DEFAULTS,
 ) -> DataFrame:
     """Options with line reliability and station crowding; step-free ones need working lifts.
 
-    ``service_day`` is the one-row day type of the travel date. ``access``/``egress``
-    add walking metres per (place, stop) for requests that began from coordinates.
+    ``service_day`` is the day type of the travel date. ``access``/``egress`` add walking
+    metres per (place, stop) for requests that began from coordinates.
     All lookups are one join: an option is exploded to its lines and stations, meets one
     table of values and is folded back by hash.
     """
@@ -445,7 +447,10 @@ def with_criteria(
             c = c.join(metres, [*PLACE, stop], "left").withColumn(
                 "walking_m", F.col("walking_m") + F.coalesce("_m", F.lit(0.0))
             ).drop("_m")
-    values = _lookup(reliability, crowding, lifts, service_day.scalar())
+    rest = [k for k in c.columns if k not in OPTION]
+    c = c.withColumn("_lines", F.xxhash64("lines"))
+    keys = [k for k in OPTION if k != "lines"] + ["_lines"]
+    values = _lookup(reliability, crowding, lifts, service_day)
     items = _items(c).withColumn("_hour", F.when(F.col("_kind") == "station", F.col("hour")))
     same = (
         (items["_kind"] == values["_kind"])
@@ -457,48 +462,58 @@ def with_criteria(
     def of(kind: str) -> Column:
         return F.when(F.col("_kind") == kind, F.col("_value"))
 
-    folded = known.groupBy(*c.columns).agg(
+    # An option is known by its place, stops and lines; what else it has is carried along.
+    folded = known.groupBy(*keys).agg(
+        F.any_value(F.struct("lines", *rest)).alias("_rest"),
         F.coalesce(F.avg(of("line")), F.lit(cfg.default_reliability)).alias("reliability_pct"),
         F.sum(of("station")).alias("known_crowd"),
         F.min(of("change")).alias("_worst_lift"),
     )
     usable = ~(F.col("accessible_required") & (F.coalesce("_worst_lift", F.lit(100.0)) <= 0))
-    return folded.where(usable).drop("_worst_lift")
+    return folded.where(usable).select(*[k for k in keys if k != "_lines"], "_rest.*", "reliability_pct", "known_crowd")
 
 
 def score_routes(searches: DataFrame, criteria: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
     """The top routes of each search by weighted, min-max scaled criteria.
 
-    The join leaves rows placed by origin, destination and hour; scaling and ranking group
-    inside a search and so need no further shuffle.
+    A search may have any number of options: bounds and means are aggregates, and ranking
+    keeps the top ones of each task before its shuffle.
     """
     return rank_scored(route_candidates(searches, criteria), cfg)
 
 
+def _with_search(rows: DataFrame, per_search: DataFrame) -> DataFrame:
+    """Values of a search beside each of its options."""
+    renamed = per_search.withColumnsRenamed({c: f"_s_{c}" for c in SEARCH})
+    same = F.lit(True)
+    for c in SEARCH:
+        same = same & rows[c].eqNullSafe(renamed[f"_s_{c}"])
+    return rows.join(renamed, same).drop(*[f"_s_{c}" for c in SEARCH])
+
+
 def rank_scored(kept: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
     """Fill unknown crowding with the search's mean, scale, weight, round and rank.
 
     Criteria are rounded to six digits before scaling. The mean of equal values can be off
     by one bit from the values, which min-max scaling would blow up to a full 0..1 step.
     """
-    mean_known = F.avg("known_crowd").over(Window.partitionBy(*SEARCH))
-    filled = kept.withColumns(
+    means = kept.groupBy(*SEARCH).agg(F.avg("known_crowd").alias("_mean"))
+    filled = _with_search(kept, means).withColumns(
         {
-            "crowding_est": F.round(F.coalesce("known_crowd", mean_known, F.lit(0.0)), 6),
+            "crowding_est": F.round(F.coalesce("known_crowd", "_mean", F.lit(0.0)), 6),
             "reliability_pct": F.round("reliability_pct", 6),
         }
+    ).drop("_mean")
+    scaled = with_minmax_of(
+        filled,
+        SEARCH,
+        {"_d": ("duration_sec", True), "_r": ("reliability_pct", False), "_c": ("crowding_est", True), "_w": ("walking_m", True)},
     )
     w_duration, w_reliability = F.lit(cfg.weight_duration), F.lit(cfg.weight_reliability)
     w_crowding = F.lit(cfg.weight_crowding) * (1 + 0.5 * F.col("crowding_sensitivity"))
     w_walking = F.lit(cfg.weight_walking) * F.when(F.col("minimize_walking"), 2).otherwise(1)
     total = w_duration + w_reliability + w_crowding + w_walking
-    parts = {
-        "_d": minmax_normalise("duration_sec", SEARCH, True),
-        "_r": minmax_normalise("reliability_pct", SEARCH, False),
-        "_c": minmax_normalise("crowding_est", SEARCH, True),
-        "_w": minmax_normalise("walking_m", SEARCH, True),
-    }
-    scored = filled.withColumns(parts).withColumn(
+    scored = scaled.withColumn(
         "score",
         F.round(
             w_duration / total * F.col("_d")
@@ -533,9 +548,36 @@ def rank_scored(kept: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
     )
 
 
-def travel_day(spark_dates: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Day type (cat_jour) of the given one-row date frame."""
-    return day_category(spark_dates, calendar).select("cat_jour")
+def travel_day(day: date, calendar: DataFrame) -> Column:
+    """Day type of a date: the calendar's, else by the weekday."""
+    known = calendar.where(F.col("date") == F.lit(day)).agg(F.max("cat_jour")).scalar()
+    return F.coalesce(known, clock.fallback_day_category(F.lit(day)))
+
+
+def place_names(requests: DataFrame, stops: DataFrame, side: str, cfg: RouteSettings = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """Requests whose ``side`` (origin or destination) is named, and the stops of each name with metres to walk.
+
+    A side given by coordinates is named by them, and leads to the stops near the point;
+    a point out of reach keeps its name and leads nowhere, so its request gets no route.
+    """
+    lat, lon, station = f"{side}_lat", f"{side}_lon", f"{side}_station"
+    point = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    named = requests.withColumn(station, F.when(point, F.concat_ws(",", F.col(lat), F.col(lon))).otherwise(F.col(station)))
+    points = named.where(point).select(station, F.col(lat).alias("lat"), F.col(lon).alias("lon")).distinct()
+    near = stops_near(points, [station], stops, cfg).select(station, "stop_id", "distance_m")
+    texts = stops_by_prefix(named.where(~point), station, stops).withColumn("distance_m", F.lit(0.0))
+    return named, near.unionByName(texts)
+
+
+def reach_of(requests: DataFrame, stops: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
+    """Requests with ``reach``: ok, or the side that leads to no stop, 'origin out of reach' before 'destination out of reach'."""
+    out = requests
+    for side in ("origin", "destination"):
+        out, places = place_names(out, stops, side, cfg)
+        known = places.select(F.col(f"{side}_station").alias(f"_{side}")).distinct()
+        out = out.join(known, F.col(f"{side}_station").eqNullSafe(F.col(f"_{side}")), "left")
+    lacking = [F.when(F.col(f"_{s}").isNull(), F.lit(f"{s} out of reach")) for s in ("origin", "destination")]
+    return out.withColumn("reach", F.coalesce(*lacking, F.lit("ok"))).drop("_origin", "_destination")
 
 
 def recommend(
@@ -550,20 +592,34 @@ def recommend(
     day: date,
     cfg: RouteSettings = DEFAULTS,
 ) -> DataFrame:
-    """Ranked routes of every distinct search among the requests."""
+    """Ranked routes of every distinct search among the requests.
+
+    Where requests have origin_lat, origin_lon, destination_lat and destination_lon, a side
+    with coordinates starts or ends at the stops near them, and the walk there counts.
+    """
+    walks: list[DataFrame | None] = [None, None]
+    if "origin_lat" in requests.columns:
+        requests, origins = place_names(requests, stops, "origin", cfg)
+        requests, destinations = place_names(requests, stops, "destination", cfg)
+        walks = [origins, destinations]
     searches = searches_of(requests)
     places = searches.select(*PLACE).distinct()
-    origins = stops_by_prefix(places, "origin_station", stops)
-    destinations = stops_by_prefix(places, "destination_station", stops)
+    if walks[0] is None:
+        origins = stops_by_prefix(places, "origin_station", stops)
+        destinations = stops_by_prefix(places, "destination_station", stops)
+    else:
+        access, egress = (places.join(w, f"{side}_station") for side, w in zip(("origin", "destination"), walks, strict=True))
+        walks = [access, egress]
+        origins, destinations = origins.drop("distance_m"), destinations.drop("distance_m")
     direct = direct_routes(schedule, origins, destinations, places, cfg)
     transfer = transfer_routes(schedule, walking, origins, destinations, places, cfg)
-    when = requests.sparkSession.range(1).select(F.lit(day).alias("date"))
     criteria = with_criteria(
         route_options(all_candidates(direct, transfer), cfg),
         line_reliability(delays_by_stop),
         station_crowding(crowding),
         elevator_status(availability),
-        travel_day(when, calendar),
+        travel_day(day, calendar),
+        *walks,
         cfg=cfg,
     )
     return score_routes(searches, criteria, cfg)

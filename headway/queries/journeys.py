@@ -63,13 +63,12 @@ def options(t: Tables) -> DataFrame:
 
 @shared
 def ranked(t: Tables) -> DataFrame:
-    day = t.spark.range(1).select(F.lit(a.AS_OF.date()).alias("date"))
     criteria = recommend.with_criteria(
         options(t),
         recommend.line_reliability(a.delays_by_stop(t)),
         recommend.station_crowding(a.crowding(t)),
         recommend.elevator_status(a.availability(t)),
-        recommend.travel_day(day, a.calendar(t)),
+        recommend.travel_day(a.AS_OF.date(), a.calendar(t)),
     )
     return recommend.score_routes(recommend.searches_of(requests(t)), criteria)
 
@@ -106,16 +105,12 @@ WHERE d.arrival_seconds > o.departure_seconds AND d.stop_id IN (SELECT stop_id F
 GROUP BY ALL
 """,
 )
-_RIDE = "line NULLS FIRST, route_type NULLS FIRST, board_stop_id, board_stop, alight_stop_id, alight_stop"
 view(
     "v_direct",
-    f"""
-SELECT * EXCLUDE (rn) FROM (
-    SELECT r.*, o.origin_station, d.destination_station,
-           row_number() OVER (PARTITION BY o.origin_station, d.destination_station, r.hour ORDER BY duration_sec, {_RIDE}) AS rn
-    FROM v_rides r JOIN v_origins o ON r.board_stop_id = o.stop_id JOIN v_destinations d ON r.alight_stop_id = d.stop_id
-    JOIN v_places p ON p.origin_station = o.origin_station AND p.destination_station = d.destination_station AND p.hour = r.hour)
-WHERE rn <= 40
+    """
+SELECT r.*, o.origin_station, d.destination_station
+FROM v_rides r JOIN v_origins o ON r.board_stop_id = o.stop_id JOIN v_destinations d ON r.alight_stop_id = d.stop_id
+JOIN v_places p ON p.origin_station = o.origin_station AND p.destination_station = d.destination_station AND p.hour = r.hour
 """,
 )
 view(
@@ -138,19 +133,12 @@ ON s.y_stop = w.to_stop_id AND s.dep_y BETWEEN f.arr_x + coalesce(w.min_transfer
 GROUP BY ALL
 """,
 )
-_CHANGE = (
-    "line1 NULLS FIRST, route_type1 NULLS FIRST, line2 NULLS FIRST, route_type2 NULLS FIRST, board_stop_id, board_stop, "
-    "leave_stop, enter_stop, alight_stop_id, alight_stop"
-)
 view(
     "v_transfer",
-    f"""
-SELECT * EXCLUDE (rn) FROM (
-    SELECT r.*, o.origin_station, d.destination_station,
-           row_number() OVER (PARTITION BY o.origin_station, d.destination_station, r.hour ORDER BY duration_sec, {_CHANGE}) AS rn
-    FROM v_changes r JOIN v_origins o ON r.board_stop_id = o.stop_id JOIN v_destinations d ON r.alight_stop_id = d.stop_id
-    JOIN v_places p ON p.origin_station = o.origin_station AND p.destination_station = d.destination_station AND p.hour = r.hour)
-WHERE rn <= 40
+    """
+SELECT r.*, o.origin_station, d.destination_station
+FROM v_changes r JOIN v_origins o ON r.board_stop_id = o.stop_id JOIN v_destinations d ON r.alight_stop_id = d.stop_id
+JOIN v_places p ON p.origin_station = o.origin_station AND p.destination_station = d.destination_station AND p.hour = r.hour
 """,
 )
 view(
