@@ -569,17 +569,28 @@ def place_names(requests: DataFrame, stops: DataFrame, side: str, cfg: RouteSett
     return named, near.unionByName(texts)
 
 
-def reach_of(requests: DataFrame, stops: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
-    """Requests with ``reach``: ok, or the side that leads to no stop, 'origin out of reach' before 'destination out of reach'."""
+def with_reach(requests: DataFrame, origins: DataFrame, destinations: DataFrame) -> DataFrame:
+    """Requests with ``reach``: ok, or which side leads to no stop, the origin before the destination."""
     out = requests
-    for side in ("origin", "destination"):
-        out, places = place_names(out, stops, side, cfg)
+    for side, places in (("origin", origins), ("destination", destinations)):
         known = places.select(F.col(f"{side}_station").alias(f"_{side}")).distinct()
         out = out.join(known, F.col(f"{side}_station").eqNullSafe(F.col(f"_{side}")), "left")
     lacking = [F.when(F.col(f"_{s}").isNull(), F.lit(f"{s} out of reach")) for s in ("origin", "destination")]
     return out.withColumn("reach", F.coalesce(*lacking, F.lit("ok"))).drop("_origin", "_destination")
 
 
+def routes_per_request(requests: DataFrame, stops: DataFrame, routes: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
+    """Every request with its ranked routes; one row without a rank, and the reach, where there are none."""
+    named, origins = place_names(requests, stops, "origin", cfg)
+    named, destinations = place_names(named, stops, "destination", cfg)
+    asked = with_reach(named, origins, destinations).select("id", "reach", *SEARCH)
+    found = routes.withColumnsRenamed({c: f"_s_{c}" for c in SEARCH})
+    same = F.lit(True)
+    for c in SEARCH:
+        same = same & asked[c].eqNullSafe(found[f"_s_{c}"])
+    return asked.join(found, same, "left").drop(*SEARCH, *[f"_s_{c}" for c in SEARCH])
+
+
 def recommend(
     requests: DataFrame,
     schedule: DataFrame,

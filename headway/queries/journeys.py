@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from headway.plans import recommend
 from headway.queries import adapters as a
 from headway.queries.accounts import notifications, subscriptions
-from headway.queries.registry import Tables, query, shared, stored, view
+from headway.queries.registry import VIEWS, Tables, query, shared, stored, view
+from headway.queries.timetable import HAVERSINE
 
 NOW = datetime(2024, 1, 31, 8, 30)
 
@@ -276,3 +278,88 @@ USING (origin_station, destination_station, hour, accessible_required, crowding_
 )
 def notification_rows(t: Tables) -> DataFrame:
     return recommend.notification_rows(requests(t), ranked(t), a.AS_OF.date())
+
+
+# --- requests from coordinates ----------------------------------------------
+
+
+@shared
+def point_requests(t: Tables) -> DataFrame:
+    """Active subscriptions, half of which start and a quarter of which end at a point and not at a named stop."""
+    rows = requests(t)
+
+    def point(side: str, every: int, key: str, lat: int, lon: int) -> dict:
+        given = F.col("id") % every == 0
+        degrees = {"lat": 48.0 + (F.col(key) % lat).cast("double") / 100, "lon": 2.0 + (F.col(key) % lon).cast("double") / 100}
+        return {f"{side}_{c}": F.when(given, value) for c, value in degrees.items()}
+
+    return rows.withColumns(point("origin", 2, "user_id", 97, 71) | point("destination", 4, "id", 89, 67))
+
+
+_CHAIN = ("places", "boards", "rides", "direct", "changes", "transfer", "found", "candidates", "ranked")
+
+
+def _of_points(sql: str) -> str:
+    return re.sub(r"\bv_(requests|origins|destinations|%s)\b" % "|".join(_CHAIN), r"v_pt_\1", sql)
+
+
+view(
+    "v_pt_requests",
+    """
+SELECT * REPLACE (CASE WHEN origin_lat IS NULL THEN origin_station ELSE origin_lat||','||origin_lon END AS origin_station,
+                  CASE WHEN destination_lat IS NULL THEN destination_station ELSE destination_lat||','||destination_lon END AS destination_station)
+FROM (SELECT *, CASE WHEN id % 2 = 0 THEN 48.0::DOUBLE + CAST(user_id % 97 AS DOUBLE) / 100 END AS origin_lat,
+             CASE WHEN id % 2 = 0 THEN 2.0::DOUBLE + CAST(user_id % 71 AS DOUBLE) / 100 END AS origin_lon,
+             CASE WHEN id % 4 = 0 THEN 48.0::DOUBLE + CAST(id % 89 AS DOUBLE) / 100 END AS destination_lat,
+             CASE WHEN id % 4 = 0 THEN 2.0::DOUBLE + CAST(id % 67 AS DOUBLE) / 100 END AS destination_lon FROM v_requests)
+""",
+)
+for _role in ("origin", "destination"):
+    view(
+        f"v_pt_{_role}s",
+        f"""
+SELECT DISTINCT {_role}_station, stop_id, 0.0::DOUBLE AS distance_m
+FROM (SELECT DISTINCT {_role}_station FROM v_pt_requests WHERE {_role}_lat IS NULL) p JOIN v_dim_stops d
+ON starts_with(upper(trim(d.stop_name)), upper(trim({_role}_station)))
+   OR starts_with(upper(trim(d.parent_station_name)), upper(trim({_role}_station)))
+UNION ALL
+SELECT {_role}_station, stop_id, distance_m
+FROM (SELECT *, row_number() OVER (PARTITION BY {_role}_station ORDER BY distance_m, stop_id) AS near_rank
+      FROM (SELECT {_role}_station, stop_id, round({HAVERSINE.format('lat', 'lon', 'stop_lat', 'stop_lon')}, 3) AS distance_m
+            FROM (SELECT DISTINCT {_role}_station, {_role}_lat AS lat, {_role}_lon AS lon FROM v_pt_requests WHERE {_role}_lat IS NOT NULL), v_dim_stops)
+      WHERE distance_m <= 5000)
+WHERE near_rank <= 4 AND (distance_m <= 1500 OR near_rank = 1)
+""",
+    )
+for _name in _CHAIN:
+    _sql = _of_points(VIEWS[f"v_{_name}"])
+    if _name == "candidates":
+        _sql = f"""
+SELECT c.* REPLACE (c.walking_m + coalesce(o.distance_m, 0) + coalesce(d.distance_m, 0) AS walking_m)
+FROM ({_sql}) c LEFT JOIN v_pt_origins o ON o.origin_station = c.origin_station AND o.stop_id = c.board_stop_id
+LEFT JOIN v_pt_destinations d ON d.destination_station = c.destination_station AND d.stop_id = c.alight_stop_id
+"""
+    view(f"v_pt_{_name}", _sql)
+
+
+@query(
+    "recommend_points",
+    f"""
+SELECT r.id, CASE WHEN o.origin_station IS NULL THEN 'origin out of reach'
+                  WHEN d.destination_station IS NULL THEN 'destination out of reach' ELSE 'ok' END AS reach,
+       x.rank, x.score, x.transfers, x.board_stop, x.alight_stop, x.duration_min, x.walking_m,
+       CASE WHEN x.rank IS NOT NULL THEN coalesce(array_to_string(x.lines, '/'), '') END AS lines
+FROM v_pt_requests r LEFT JOIN (SELECT DISTINCT origin_station FROM v_pt_origins) o ON o.origin_station = r.origin_station
+LEFT JOIN (SELECT DISTINCT destination_station FROM v_pt_destinations) d ON d.destination_station = r.destination_station
+LEFT JOIN v_pt_ranked x ON {' AND '.join(f'x.{c} = r.{c}' for c in recommend.SEARCH)}
+""",
+)
+def recommend_points(t: Tables) -> DataFrame:
+    """Requests from names and coordinates end to end, with the walks to and from stops."""
+    asked, stops = point_requests(t), a.dim_stops(t)
+    routes = recommend.recommend(
+        asked, a.schedule(t), a.walking(t), stops, a.delays_by_stop(t), a.crowding(t), a.availability(t), a.calendar(t), a.AS_OF.date()
+    )
+    found = recommend.routes_per_request(asked, stops, routes)
+    columns = ["id", "reach", "rank", "score", "transfers", "board_stop", "alight_stop", "duration_min", "walking_m"]
+    return found.select(*columns, F.array_join("lines", "/").alias("lines"))

@@ -243,14 +243,14 @@ def geo_pair(t: Tables) -> DataFrame:
     )
 
 
-_HAVERSINE = """asin(least(sqrt(pow(sin(radians({0} - {2}) / 2), 2) + cos(radians({2})) * cos(radians({0})) *
+HAVERSINE = """asin(least(sqrt(pow(sin(radians({0} - {2}) / 2), 2) + cos(radians({2})) * cos(radians({0})) *
     pow(sin(radians({1} - {3}) / 2), 2)), 1.0)) * 12742020.0"""
 
 
 @query(
     "great_circle",
     f"""
-SELECT stop_id, CAST(round({_HAVERSINE.format('parent_station_lat', 'parent_station_lon', 'stop_lat', 'stop_lon')}) AS BIGINT) AS metres
+SELECT stop_id, CAST(round({HAVERSINE.format('parent_station_lat', 'parent_station_lon', 'stop_lat', 'stop_lon')}) AS BIGINT) AS metres
 FROM v_dim_stops WHERE parent_station_id IS NOT NULL
 """,
 )
@@ -269,7 +269,7 @@ def great_circle(t: Tables) -> DataFrame:
 SELECT c_custkey, stop_id, stop_name, round(distance_m, 1) AS distance_m, CAST(near_rank AS INTEGER) AS near_rank
 FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY distance_m, stop_id) AS near_rank
       FROM (SELECT c_custkey, stop_id, stop_name,
-                   round({_HAVERSINE.format('lat', 'lon', 'stop_lat', 'stop_lon')}, 3) AS distance_m
+                   round({HAVERSINE.format('lat', 'lon', 'stop_lat', 'stop_lon')}, 3) AS distance_m
             FROM (SELECT c_custkey, 48.0::DOUBLE + CAST(c_custkey % 97 AS DOUBLE) / 100 AS lat,
                          2.0::DOUBLE + CAST(c_custkey % 71 AS DOUBLE) / 100 AS lon FROM customer) c, v_stop_points s)
       WHERE distance_m <= 5000)

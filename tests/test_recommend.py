@@ -122,3 +122,38 @@ def test_scores_use_weights(spark):
     best, second = recommend.rank_scored(kept).orderBy("rank").collect()
     assert (best.lines, best.score, best.crowding_est) == (["A"], 1.0, 50.0)
     assert (second.score, second.transfer_stations) == (0.2, ["p"])
+
+
+def test_step_free_option_beyond_the_fastest_forty(spark, network, rows):
+    """Sixty faster changes over stairs don't hide the one without."""
+    schedule, walking, stops = network
+    calls = []
+    for i in range(60):
+        calls += [(f"F{i}", f"F{i}", 1, 1, 8 * 3600 + i), (f"F{i}", f"F{i}", 2, 2, 8 * 3600 + 600 + i)]
+    calls += [("G", "G", 1, 1, 8 * 3600), ("G", "G", 3, 2, 8 * 3600 + 1800), ("H", "H", 4, 1, 8 * 3600 + 1200), ("H", "H", 5, 2, 8 * 3600 + 1500)]
+    calls += [("K", "K", 6, 1, 8 * 3600 + 2400), ("K", "K", 5, 2, 8 * 3600 + 3600)]
+    many = spark.createDataFrame([(t, ln, 1, s, f"Stop {s}", q, sec, sec) for t, ln, s, q, sec in calls], schedule.schema)
+    walks = spark.createDataFrame([(2, 4, 2, None, 80.0, True, False), (3, 6, 2, None, 90.0, False, False)], walking.schema)
+    asked = (1, "gare 1", "gare 5", 8 * 3600, True, 0, False, 2, True)
+    assert rows(ranked(spark, (many, walks, stops), asked), "lines", "duration_min") == [(["G", "K"], 60.0)]
+    assert ranked(spark, (many, walks, stops), (*asked[:4], False, *asked[5:])).count() == 3
+
+
+def test_points_lead_to_near_stops_and_walks_count(spark, network, rows):
+    schedule, walking, stops = network
+    placed = stops.withColumns({"stop_lat": F.lit(48.0) + F.col("stop_id") / 10, "stop_lon": F.lit(2.0)})
+    asked = requests(
+        spark,
+        (1, None, "Stop 2", 8 * 3600, False, 0, False, 2, True),
+        (2, None, "Stop 2", 8 * 3600, False, 0, False, 2, True),
+        (3, "gare 1", "nowhere", 8 * 3600, False, 0, False, 2, True),
+    )
+    lat = F.when(F.col("id") == 1, 48.101).when(F.col("id") == 2, 40.0)
+    pointed = asked.withColumns({"origin_lat": lat, "origin_lon": F.when(lat.isNotNull(), 2.0), "destination_lat": F.lit(None).cast("double"), "destination_lon": F.lit(None).cast("double")})
+    delays = spark.createDataFrame([], "published_line string, pct_on_time double")
+    crowd = spark.createDataFrame([], "libelle_arret string, hour_start int, cat_jour string, estimated_validations double")
+    lifts = spark.createDataFrame([], "station_name string, pct_available double")
+    calendar = spark.createDataFrame([(DAY, "JOHV")], "date date, cat_jour string")
+    routes = recommend.recommend(pointed, schedule, walking, placed, delays, crowd, lifts, calendar, DAY)
+    found = rows(recommend.routes_per_request(pointed, placed, routes), "id", "reach", "rank", "walking_m")
+    assert found == [(1, "ok", 1, 111.2), (2, "origin out of reach", None, None), (3, "destination out of reach", None, None)]
