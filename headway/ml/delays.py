@@ -55,6 +55,31 @@ def dataset(features: DataFrame) -> DataFrame:
     return typed.where(F.col(LABEL).isNotNull() & F.col("service_date").isNotNull()).na.fill(0.0, NUMBERS)
 
 
+def exact_cutoff_date(df: DataFrame, fraction: float = TRAIN_FRACTION):
+    """The first date up to which at least the fraction of rows lies, from one count a date."""
+    per_day = df.groupBy("service_date").agg(F.count("*").alias("n"))
+    upto = per_day.withColumn("upto", F.sum("n").over(Window.orderBy("service_date")))
+    enough = F.col("upto") >= F.lit(fraction) * per_day.agg(F.sum("n")).scalar()
+    return upto.where(enough).agg(F.min("service_date")).first()[0]
+
+
+def score_metrics(scored: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
+    """(auc, f1) of scores against 0/1 labels, in one row.
+
+    The area under the curve is the share of (late, punctual) pairs in which the late row
+    scores higher, ties half; it comes from counts per distinct score, not from pairs.
+    """
+    rows = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    late, guessed = F.col(label) == 1, F.col(score) >= threshold
+    per_score = rows.groupBy(score).agg(F.count_if(late).alias("late"), F.count_if(~late).alias("punctual"))
+    below = F.coalesce(F.sum("punctual").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    won = per_score.withColumn("won", F.col("late") * (2 * below + F.col("punctual")))
+    area = won.agg(F.try_divide(F.sum("won").cast("double"), 2.0 * F.sum("late") * F.sum("punctual")).alias("auc"))
+    both = rows.agg(F.count_if(late & guessed).alias("hit"), F.count_if(late | guessed).alias("any"))
+    f1 = F.try_divide(2.0 * F.col("hit"), F.col("hit") + F.col("any"))
+    return both.select(F.round(area.scalar(), 6).alias("auc"), F.round(f1, 6).alias("f1"))
+
+
 def cutoff_date(df: DataFrame, fraction: float = TRAIN_FRACTION, error: float = QUANTILE_ERROR):
     """Last training date: the approximate quantile of the service date."""
     days = df.select(F.unix_date("service_date").alias("d"))

@@ -91,8 +91,15 @@ def merge_versioned(
     return _pick(joined, target, keys, source.columns, take)
 
 
-def merge_insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+def merge_insert_new(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = True,
+    on_duplicates: str = "raise",
+) -> DataFrame:
     """Only source rows with unseen keys; append them to the target."""
+    source = _one_row_per_key(source, keys, on_duplicates)
     cond = F.lit(True)
     for k in keys:
         s, t = F.col(f"_s.{k}"), F.col(f"_t.{k}")

@@ -16,10 +16,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Co
     """The first row per key in the given order.
 
     ``row_number() = 1`` lets the optimizer place a group limit before the shuffle, so
-    each map task sends at most one row per key and a hot key does not pile up.
-    Give enough order columns to make the order total.
+    each map task sends at most one row per key and a hot key does not pile up. All
+    remaining columns follow the given order, so rows that tie in it give one answer.
     """
-    return top_n_per_group(df, keys, newest_first, 1)
+    rest = [F.col(c).asc_nulls_first() for c, t in df.dtypes if c not in keys and "map<" not in t and t != "variant"]
+    return top_n_per_group(df, keys, [*newest_first, *rest], 1)
 
 
 def top_n_per_group(
@@ -143,6 +144,8 @@ def arg_max(df: DataFrame, label: str, value: str) -> DataFrame:
     )
 
 
-def page(df: DataFrame, order: Sequence[Column], limit: int = 100, offset: int = 0) -> DataFrame:
-    """One page of a totally ordered result."""
-    return df.orderBy(*order).offset(offset).limit(limit)
+def page(df: DataFrame, order: Sequence[Column], limit: int | None = 100, offset: int = 0) -> DataFrame:
+    """One page of a totally ordered result; all of it, in order, without a limit."""
+    ordered = df.orderBy(*order)
+    ordered = ordered.offset(offset) if offset else ordered
+    return ordered if limit is None else ordered.limit(limit)

@@ -64,5 +64,6 @@ def term(value) -> str | None:
     return (value or "").strip() or None
 
 
-def page_bounds(limit=DEFAULT_LIMIT, offset=0) -> tuple[int, int]:
+def page_bounds(limit=DEFAULT_LIMIT, offset=0) -> tuple[int | None, int]:
+    """Checked page size and start; None, for batch use, is no limit."""
     return whole("limit", limit, 1, MAX_LIMIT), whole("offset", offset, 0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from headway.functions import clock, text
 from headway.functions.measures import count_where
 from headway.operators.merge import merge_insert_new, merge_sync
-from headway.operators.ranking import latest_per_key, next_in_time
+from headway.operators.ranking import next_in_time
 from headway.plans import analytics, silver
 from headway.queries import adapters as a
 from headway.queries.registry import Tables, query
@@ -41,10 +41,7 @@ def elevator_current(t: Tables) -> DataFrame:
 )
 def latest_nulls_last(t: Tables) -> DataFrame:
     """Newest row by two sort keys, unknown times last."""
-    order = [F.col("status_updated_at").desc_nulls_last(), F.col("processed_at").desc_nulls_last()]
-    ties = ["status", "state_code", "severity_code", "status_reason", "elevator_direction", "elevator_location"]
-    rows = latest_per_key(a.lift_states(t), ["elevator_key"], order + [F.col(c).asc_nulls_first() for c in ties])
-    return rows.select("elevator_key", "status", "status_updated_at")
+    return silver.elevators_current(a.lift_states(t)).select("elevator_key", "status", "status_updated_at")
 
 
 @query("elevator_history", "SELECT * FROM v_lifts_history")

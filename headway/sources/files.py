@@ -92,13 +92,11 @@ def delimiter_of(line: Column) -> Column:
 def sniff_delimiter(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(path, delimiter) per file from its first line; NULL for no delimiter or text that is not UTF-8.
 
-    Only the head of each file is decoded, on the executors.
+    The whole file is checked and the whole first line counted, on the executors.
     """
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", F.substring("content", 1, 4096).alias("head"))
-    # A cut inside a character leaves at most three stray bytes, which are put aside first.
-    heads = [F.substring("head", 1, 4096 - cut) for cut in range(4)]
-    text = F.coalesce(*[F.try_validate_utf8(head.cast("string")) for head in heads])
-    first = F.get(F.split(F.ltrim(text, F.lit("﻿")), r"\r\n|\r|\n"), F.lit(0))
+    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    first = F.get(F.split(F.ltrim(text, F.lit("﻿")), r"\r\n|\r|\n", 2), F.lit(0))
     return files.select("path", delimiter_of(first).alias("delimiter"))
 
 

@@ -64,7 +64,7 @@ def gold_batch(root: str, buckets: int = 64) -> Callable[[DataFrame, int], None]
                 gold.next_stop_delays(latest),
                 f"{root}/gold/next_stop_delays",
                 BY_STOP,
-                lambda t, s: t.unionByName(merge_insert_new(t, s, [*KEYS, "batch_time"])),
+                lambda t, s: t.unionByName(merge_insert_new(t, s, [*KEYS, "batch_time"], on_duplicates="trust")),
                 buckets,
             ),
         ]
