@@ -8,12 +8,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.clock import moment
 from headway.operators.merge import merge_versioned
 from headway.plans import gold, silver
-from headway.sources.tables import BUCKET, merge_buckets, publish, read_buckets
+from headway.sources.tables import BUCKET, expire_merges, merge_buckets, read_buckets
 from headway.streaming.ingest import log_changes
 
 BY_ID = ["id"]
+BY_LINE = ["line_id"]
 TABLES = {
     "disruption_messages": silver.disruption_messages,
     "disruption_stops": silver.disruption_stops,
@@ -47,10 +49,20 @@ def silver_batch(root: str, buckets: int = 64) -> Callable[[DataFrame, int], Non
     return apply
 
 
+def _stored(spark, folder: str, schema: str) -> DataFrame:
+    rows = read_buckets(spark, folder)
+    return spark.createDataFrame([], schema) if rows is None else rows.drop(BUCKET)
+
+
+STOP_SCHEMA = "id string, line_id string, severity string, batch_time timestamp"
+PERIOD_SCHEMA = "id string, begin_time timestamp, end_time timestamp"
+
+
 def gold_batch(root: str, clock: Callable[[], datetime], buckets: int = 64) -> Callable[[DataFrame, int], None]:
-    """Changed messages into the active table; per-line day counts from all stored sections.
+    """Changed messages into the active table, and the day counts of the lines they name.
 
-    ``clock`` gives the moment against which a disruption counts as running.
+    ``clock`` gives the moment against which a disruption counts as running when its message
+    is stored; ``active_now`` answers for any later moment.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -58,15 +70,10 @@ def gold_batch(root: str, clock: Callable[[], datetime], buckets: int = 64) -> C
         columns = [f.split()[0] for f in MESSAGE_SCHEMA.split(", ")]
         newest = silver.latest_disruptions(batch.select(*columns)).persist()
         ids = newest.select("id")
-        stops = read_buckets(spark, f"{root}/silver/disruption_stops")
-        periods = read_buckets(spark, f"{root}/silver/disruption_periods")
-        no_stops = spark.createDataFrame([], "id string, line_id string, severity string, batch_time timestamp")
-        no_periods = spark.createDataFrame([], "id string, begin_time timestamp, end_time timestamp")
-        stops = no_stops if stops is None else stops.drop(BUCKET)
-        periods = no_periods if periods is None else periods.drop(BUCKET)
-        active = gold.disruptions_active(
-            newest, periods.join(ids, "id", "left_semi"), stops.join(ids, "id", "left_semi"), clock()
-        )
+        stops = _stored(spark, f"{root}/silver/disruption_stops", STOP_SCHEMA)
+        periods = _stored(spark, f"{root}/silver/disruption_periods", PERIOD_SCHEMA)
+        own = stops.join(ids, "id", "left_semi").persist()
+        active = gold.disruptions_active(newest, periods.join(ids, "id", "left_semi"), own, clock())
         staged = merge_buckets(
             active,
             f"{root}/gold/disruptions_active",
@@ -74,12 +81,28 @@ def gold_batch(root: str, clock: Callable[[], datetime], buckets: int = 64) -> C
             lambda t, s: merge_versioned(t, s, ["id"], "batch_time", strict=False, on_duplicates="trust"),
             buckets,
         )
-        publish(gold.disruptions_by_line(stops), f"{root}/gold/disruptions_by_line", "month(day)")
-        for frame in (staged, newest):
+        # A section keeps its line when its message is renewed, so only these lines' days can change.
+        lines = own.select("line_id").where("line_id IS NOT NULL").distinct().persist()
+        counts = merge_buckets(
+            gold.disruptions_by_line(stops.join(lines, "line_id", "left_semi")),
+            f"{root}/gold/disruptions_by_line",
+            BY_LINE,
+            lambda t, s: t.join(lines, "line_id", "left_anti").unionByName(s),
+            buckets,
+            touched_by=lines,
+        )
+        for frame in (staged, counts, lines, own, newest):
             frame.unpersist()
+        for table in ("disruptions_active", "disruptions_by_line"):
+            expire_merges(spark, f"{root}/gold/{table}")
 
     return apply
 
 
-def active_now(spark, root: str) -> DataFrame:
-    return read_buckets(spark, f"{root}/gold/disruptions_active").drop(BUCKET).where(F.col("is_active"))
+def active_now(spark, root: str, at: datetime) -> DataFrame:
+    """The stored disruptions that run at a moment, by their periods and not by the flag of their last change."""
+    now = moment(at)
+    periods = _stored(spark, f"{root}/silver/disruption_periods", PERIOD_SCHEMA)
+    running = periods.where((F.col("begin_time") <= now) & (F.col("end_time") >= now)).select("id").distinct()
+    stored = read_buckets(spark, f"{root}/gold/disruptions_active").drop(BUCKET)
+    return stored.join(running, "id", "left_semi").withColumn("is_active", F.lit(True))

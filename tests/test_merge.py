@@ -86,3 +86,10 @@ def test_versioned_merge_is_idempotent_and_order_free(spark, rows, first, second
         return rows(out)
 
     assert apply(a, b) == apply(b, a) == apply(a, b, a, b)
+
+
+def test_insert_new_refuses_repeated_keys(spark, rows):
+    source = frame(spark, [(1, "a", 1), (1, "b", 2)])
+    with pytest.raises(PySparkException, match="repeats a key"):
+        merge_insert_new(frame(spark, []), source, ["k"]).collect()
+    assert len(rows(merge_insert_new(frame(spark, []), source, ["k"], on_duplicates="trust"))) == 2

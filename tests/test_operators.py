@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -125,3 +127,33 @@ def test_walking_rule(spark, rows):
         "p int, distance_m double, near_rank int",
     )
     assert rows(walkable_stops(near, 1500.0), "p", "near_rank") == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_latest_is_one_answer_in_any_order(spark, rows):
+    from headway.operators.ranking import latest_per_key
+
+    states = [(1, 5, name, i) for i, name in enumerate("CABD")]
+    for order in (states, states[::-1], states[2:] + states[:2]):
+        df = spark.createDataFrame(order, "k int, at int, name string, n int").repartition(3)
+        assert rows(latest_per_key(df, ["k"], [F.col("at").desc()])) == [(1, 5, "A", 1)]
+
+
+def test_page_without_limit(spark, rows):
+    from headway.operators.ranking import page
+
+    assert page(spark.range(900), [F.col("id")], None).count() == 900
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from headway.session import shared_folder
+
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda key, default=None: folder or default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app"))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
+    assert shared_folder(session("yarn", "hdfs://a/b/")) == "hdfs://a/b"
+    assert shared_folder(session("local[4]"))

@@ -6,8 +6,8 @@ import datetime as dt
 import json
 
 from headway.plans import gold, silver
-from headway.sources import feeds
-from headway.sources.tables import current, read_buckets
+from headway.sources import feeds, tables
+from headway.sources.tables import read_buckets
 from headway.streaming import disruptions, ingest, passages
 
 T0 = dt.datetime(2025, 1, 10, 8)
@@ -126,6 +126,11 @@ def test_disruption_streams(spark, tmp_path, rows):
     steps()
     active = read_buckets(spark, f"{tmp_path}/gold/disruptions_active")
     assert rows(active, "id", "is_active", "impacted_lines") == [("D1", True, ["C1"]), ("D2", False, ["C1"]), ("D3", True, ["C2"])]
-    assert rows(disruptions.active_now(spark, str(tmp_path)), "id") == [("D1",), ("D3",)]
-    counts = current(spark, f"{tmp_path}/gold/disruptions_by_line")
+    assert rows(disruptions.active_now(spark, str(tmp_path), T0), "id") == [("D1",), ("D3",)]
+    counts = read_buckets(spark, f"{tmp_path}/gold/disruptions_by_line")
     assert rows(counts, "line_id", "nb_disruptions") == [("C1", 2), ("C2", 1)]
+    # Two hours later none runs, though no message has changed.
+    assert disruptions.active_now(spark, str(tmp_path), T0 + dt.timedelta(hours=2)).isEmpty()
+    # The second batch named one line and rewrote no other's bucket.
+    places = tables._state(spark, f"{tmp_path}/gold/disruptions_by_line")["places"]
+    assert sorted(places.values()) in ([1, 2], [2])
