@@ -16,7 +16,7 @@ be links leave the task. (While too many are left, hubs are drawn by further has
 a group of copies is joined through its hub, and no link between components is lost.
 
 A pair may be a link if the grams before the first they share, and the counts of their grams
-in 64 classes, leave the overlap that their sizes need; then whole sets are compared.
+in 256 classes, leave the overlap that their sizes need; then whole sets are compared.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing, not
 even each other; fewer words than n are one gram; repeated rows are in one component; a null
@@ -42,7 +42,7 @@ from headway.llm.words import LOWER, NOT_SPACE, Slice, gram_hashes, mix, same_do
 SKETCH_BITS = 20
 BLOCK_BITS = 14
 TABLE_BITS = 23
-CLASSES = 64
+CLASSES = 256
 MOST_SMALL = 16
 SCAN = 4  # postings read for a key of an inverted list, against one row for a subset
 ROUNDS = 3
