@@ -15,6 +15,9 @@ from headway.session import shared_folder
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+# Builders of the tables that queries share, in the order in which they build on each other.
+STORED: list[Callable] = []
+
 # Named table expressions shared by the SQL counterparts; later ones may use earlier ones.
 VIEWS: dict[str, str] = {}
 
@@ -103,6 +106,7 @@ def stored(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame
         return Tables._opened[key]
 
     get.plan = plan
+    STORED.append(get)
     return get
 
 
