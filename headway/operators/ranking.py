@@ -118,24 +118,6 @@ def with_minmax(
     return df.join(renamed, same).select(*df.columns, scaled.alias(out))
 
 
-def with_minmax_of(df: DataFrame, group: Sequence[str], scaled: dict[str, tuple[str, bool]]) -> DataFrame:
-    """Several values scaled to 0..1 inside their group: {out: (value, lower is better)}.
-
-    As with_minmax, but all bounds come from one aggregate and one join.
-    """
-    bounds = [f(value).alias(f"_{end}{out}") for out, (value, _) in scaled.items() for end, f in (("low", F.min), ("high", F.max))]
-    limits = df.groupBy(*group).agg(*bounds).withColumnsRenamed({g: f"_g_{g}" for g in group})
-    same = F.lit(True)
-    for g in group:
-        same = same & df[g].eqNullSafe(limits[f"_g_{g}"])
-    joined, columns = df.join(limits, same), {}
-    for out, (value, lower_is_better) in scaled.items():
-        low, high = F.col(f"_low{out}"), F.col(f"_high{out}")
-        part = (high - F.col(value)) if lower_is_better else (F.col(value) - low)
-        columns[out] = F.when(high == low, F.lit(1.0)).otherwise(part / (high - low))
-    return joined.withColumns(columns).select(*df.columns, *scaled)
-
-
 def arg_max(df: DataFrame, label: str, value: str) -> DataFrame:
     """One row: the label with the greatest value, the least label on a tie."""
     best = F.min(F.struct((-F.col(value)).alias("negated"), F.col(label).alias("label")))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from headway.functions import clock, text
 from headway.functions.measures import all_true, any_true
 from headway.operators.nearby import nearest_points, walkable_stops
-from headway.operators.ranking import min_per_key, top_n_per_group, with_minmax_of
+from headway.operators.ranking import min_per_key, top_n_per_group
 
 
 @dataclass(frozen=True)
@@ -497,23 +497,42 @@ def rank_scored(kept: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
     Criteria are rounded to six digits before scaling. The mean of equal values can be off
     by one bit from the values, which min-max scaling would blow up to a full 0..1 step.
     """
-    means = kept.groupBy(*SEARCH).agg(F.avg("known_crowd").alias("_mean"))
-    filled = _with_search(kept, means).withColumns(
+    crowd = F.round("known_crowd", 6)
+    rounded = kept.withColumn("reliability_pct", F.round("reliability_pct", 6))
+    # One aggregate has all a search needs: the mean that unknown crowding takes is within the
+    # known values, so it moves no bound unless none is known.
+    per_search = rounded.groupBy(*SEARCH).agg(
+        F.round(F.coalesce(F.avg("known_crowd"), F.lit(0.0)), 6).alias("_mean"),
+        *[f(c).alias(f"_{end}_{c}") for c in ("duration_sec", "reliability_pct", "walking_m") for end, f in (("low", F.min), ("high", F.max))],
+        F.min(crowd).alias("_low_known"),
+        F.max(crowd).alias("_high_known"),
+    )
+    filled = _with_search(rounded, per_search).withColumns(
+        {
+            "crowding_est": F.coalesce(crowd, "_mean"),
+            "_low_crowding_est": F.coalesce("_low_known", "_mean"),
+            "_high_crowding_est": F.coalesce("_high_known", "_mean"),
+        }
+    )
+
+    def scaled(value: str, lower_is_better: bool) -> Column:
+        low, high = F.col(f"_low_{value}"), F.col(f"_high_{value}")
+        part = (high - F.col(value)) if lower_is_better else (F.col(value) - low)
+        return F.when(high == low, F.lit(1.0)).otherwise(part / (high - low))
+
+    parts = filled.withColumns(
         {
-            "crowding_est": F.round(F.coalesce("known_crowd", "_mean", F.lit(0.0)), 6),
-            "reliability_pct": F.round("reliability_pct", 6),
+            "_d": scaled("duration_sec", True),
+            "_r": scaled("reliability_pct", False),
+            "_c": scaled("crowding_est", True),
+            "_w": scaled("walking_m", True),
         }
-    ).drop("_mean")
-    scaled = with_minmax_of(
-        filled,
-        SEARCH,
-        {"_d": ("duration_sec", True), "_r": ("reliability_pct", False), "_c": ("crowding_est", True), "_w": ("walking_m", True)},
     )
     w_duration, w_reliability = F.lit(cfg.weight_duration), F.lit(cfg.weight_reliability)
     w_crowding = F.lit(cfg.weight_crowding) * (1 + 0.5 * F.col("crowding_sensitivity"))
     w_walking = F.lit(cfg.weight_walking) * F.when(F.col("minimize_walking"), 2).otherwise(1)
     total = w_duration + w_reliability + w_crowding + w_walking
-    scored = scaled.withColumn(
+    scored = parts.withColumn(
         "score",
         F.round(
             w_duration / total * F.col("_d")
