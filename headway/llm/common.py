@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -74,6 +75,37 @@ def numbered(df: DataFrame, groups: list[str], draw: str, order: list[str], name
     return joined.withColumn(name, F.col("_start") + F.col("_rank")).drop("_block", "_start", "_rank")
 
 
+TABLE_BITS = 23
+
+
+def bit_table(marks: DataFrame, name: str) -> np.ndarray:
+    """The bytes of 2 ** TABLE_BITS bits, those set that the marks' low bits name: 1 MB for any number of marks.
+
+    A mark whose bit isn't set isn't among them, so rows can be left out before a shuffle;
+    the join that follows settles the others.
+    """
+    slot = F.col(name).bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
+    parts = marks.select(F.shiftright(slot, 5).alias("place"), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(31)).cast("int")).alias("bit"))
+    table = np.zeros(1 << (TABLE_BITS - 5), np.uint32)
+    for place, bit in parts.groupBy("place").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+        table[place] = bit
+    return table.view(np.uint8)
+
+
+def in_table(table: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Whether the bits of 64-bit marks are set."""
+    slot = (marks & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
+    return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def in_table_column(spark: SparkSession, table: np.ndarray, name: str) -> Column:
+    """The same as a column: the table is one value that every task has, a bit is cut out of it."""
+    bits = spark.createDataFrame([(bytearray(table.tobytes()),)], "bits binary").scalar()
+    slot = F.col(name).bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
+    byte = F.conv(F.hex(F.substring(bits, (F.shiftright(slot, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, slot.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def batches(blocks: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """Non-empty batches of at most ``rows`` rows, so that long texts don't add up."""
     for block in blocks:

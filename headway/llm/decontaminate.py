@@ -24,14 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import batches, salted_join, written
+from headway.llm.common import batches, bit_table, in_table, salted_join, written
 from headway.llm.words import ALNUM, LOWER, gram_hashes, mix, same_doc, slices, word_hashes, words_of
 
 PASSAGE = 13
 GRAM = 6
 STEPS = PASSAGE - GRAM + 1  # grams of a passage: 8, which the doubling in winnowed() needs
 REACH = PASSAGE - GRAM
-TABLE_BITS = 23
 
 _ANCHOR = pa.struct([("print", pa.int64()), ("length", pa.int32()), ("at", pa.int32()), ("near", pa.list_(pa.int64()))])
 _ANCHOR_SQL = "struct<print: long, length: int, at: int, near: array<long>>"
@@ -60,8 +59,7 @@ def _anchors(hashes: np.ndarray, doc: np.ndarray, lengths: list[int], table: np.
         places = winnowed(grams, doc) if length == 0 else np.flatnonzero(same_doc(doc, length))
         prints = mix(grams[places] + np.uint64(length))
         if table is not None:
-            slot = (prints & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
-            known = (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+            known = in_table(table, prints)
             places, prints = places[known], prints[known]
         out.append((length, places, prints))
     return out
@@ -107,16 +105,6 @@ def _with_anchors(df: DataFrame, key: str, kind: str, lengths, table) -> DataFra
     return df.mapInArrow(find, f"{key} {kind}, n_words long, anchors array<{_ANCHOR_SQL}>")
 
 
-def _bits(prints: DataFrame, spark) -> object:
-    """The bit table: 2 ** TABLE_BITS bits whatever the benchmark's size."""
-    slot = F.col("print").bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
-    parts = prints.select(F.shiftright(slot, 5).alias("place"), F.expr(f"shiftleft(1L, cast(print & 31 as int))").alias("bit"))
-    table = np.zeros(1 << (TABLE_BITS - 5), np.uint32)
-    for place, bit in parts.groupBy("place").agg(F.bit_or("bit").alias("bits")).collect():
-        table[place] = bit
-    return spark.sparkContext.broadcast(table.view(np.uint8))
-
-
 def decontamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row a document: words, words hit, items found and whether a twentieth of its words is hit."""
     spark = docs.sparkSession
@@ -131,7 +119,7 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
     item_anchors = _with_anchors(texts.select("rep", F.col("wording").alias("_text")), "rep", "string", None, None)
     sought = written(item_anchors.select("rep", F.inline("anchors")).distinct(), "item-anchors")
     lengths = sorted(r[0] for r in sought.where("length > 0").select("length").distinct().collect())
-    table = _bits(sought.select("print"), spark)
+    table = spark.sparkContext.broadcast(bit_table(sought, "print"))
 
     numbered = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
     packed = numbered.select(F.struct(*[c for c in numbered.columns if c != "_text"]).alias("_key"), "_text")

@@ -35,13 +35,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import batches, salted_join, written
+from headway.llm.common import batches, bit_table, in_table, salted_join, written
 from headway.llm.graph import components
 from headway.llm.words import LOWER, NOT_SPACE, Slice, gram_hashes, mix, same_doc, slices, word_hashes, words_of
 
 SKETCH_BITS = 20
 BLOCK_BITS = 14
-TABLE_BITS = 23
 CLASSES = 256
 MOST_SMALL = 16
 SCAN = 4  # postings read for a key of an inverted list, against one row for a subset
@@ -198,9 +197,7 @@ def _whole_sets(n: int, wanted):
             for piece in slices(block.column("_text")):
                 _, h, begin = gram_sets(piece, n)
                 node = _nodes(h, begin)
-                slot = (node & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
-                known = (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-                for d in np.flatnonzero(known & (np.diff(begin) > 0)):
+                for d in np.flatnonzero(in_table(table, node) & (np.diff(begin) > 0)):
                     own = h[begin[d] : begin[d + 1]]
                     nodes.append(node[d].view(np.int64))
                     grams.append((own >> np.uint64(32)).astype(np.uint32).tobytes() + ((own >> np.uint64(24)) & np.uint64(0xFF)).astype(np.uint8).tobytes())
@@ -331,21 +328,12 @@ class _Join:
             pairs = pairs.join(side.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("classes").alias(f"classes_{c}")), c)
         hopeful = written(pairs.mapInArrow(_possible(self.num, self.den), "a long, b long"), "hopeful")
         wanted = hopeful.select(F.col("a").alias("node")).unionByName(hopeful.select(F.col("b").alias("node"))).distinct()
-        grams = self.docs.select("_text").mapInArrow(_whole_sets(self.n, self._bits(wanted)), "node long, grams binary")
+        grams = self.docs.select("_text").mapInArrow(_whole_sets(self.n, self.spark.sparkContext.broadcast(bit_table(wanted, "node"))), "node long, grams binary")
         grams = written(grams.dropDuplicates(["node"]), "grams")
         for c in ("a", "b"):
             hopeful = hopeful.join(grams.select(F.col("node").alias(c), F.col("grams").alias(f"grams_{c}")), c)
         return hopeful.mapInArrow(_links(self.num, self.den), "a long, b long")
 
-    def _bits(self, wanted: DataFrame):
-        """A bit table of fixed size of the wanted nodes; others it lets through aren't joined."""
-        slot = F.col("node").bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
-        parts = wanted.select(F.shiftright(slot, 5).alias("place"), F.expr("shiftleft(1L, cast(node & 31 as int))").alias("bit"))
-        table = np.zeros(1 << (TABLE_BITS - 5), np.uint32)
-        for place, bit in parts.groupBy("place").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-            table[place] = bit
-        return self.spark.sparkContext.broadcast(table.view(np.uint8))
-
     def linked(self) -> tuple[DataFrame, DataFrame]:
         """Links that hold the components together, and each linked node's component."""
         postings = self.postings()

@@ -8,7 +8,8 @@ template occurs in five documents or more are dropped from all of them but the o
 least id, which keeps a copy.
 
 Everything is counted over all lines: they are first reduced to hashes, and texts are looked
-up only for lines in leaves that several documents share. Documents are told apart by id and
+up only for lines in leaves that several documents share. Bit tables of fixed size keep other
+texts out of the shuffles. Documents are told apart by id and
 text, so repeated rows are one document and lose the same lines.
 
 Defined cases: a null text has no lines and stays null; blank lines stay; null ids come before
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import written
+from headway.llm.common import bit_table, in_table_column, written
 
 DEPTH = 3
 MIN_DOCS = 5
@@ -59,7 +60,8 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kinds = lines.groupBy("mark").agg(F.first("leaf").alias("leaf"), F.first("all").alias("all"), F.first("varied").alias("varied"), F.count("*").alias("n"))
     kinds = written(kinds, "line-kinds")
     varied = kinds.where("varied")
-    texts = _lines(keyed).select("mark", "line").join(varied.select("mark"), "mark", "left_semi").groupBy("mark").agg(F.first("line").alias("line"))
+    maybe = in_table_column(docs.sparkSession, bit_table(varied, "mark"), "mark")
+    texts = _lines(keyed).select("mark", "line").where(maybe).join(varied.select("mark"), "mark", "left_semi").groupBy("mark").agg(F.first("line").alias("line"))
     known = written(varied.join(texts, "mark").withColumn("tokens", tokens(F.col("line"))).drop("line"), "tokens")
 
     # The template of a leaf: the leading token of each place, if it leads by half.
@@ -82,15 +84,15 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     dropped = lines.join(gone, "mark").where(F.col("_doc") != F.col("keeper")).select("_doc", "at").distinct()
     flagged = written(dropped.groupBy("_doc").agg(F.array_sort(F.collect_list("at")).alias("gone")), "dropped-lines")
-    split = F.split("text", "\n")
-    out = keyed.join(flagged, "_doc", "left").withColumn("_lines", split)
+    losing = in_table_column(docs.sparkSession, bit_table(flagged, "_doc"), "_doc")
+    split = keyed.withColumn("_lines", F.split("text", "\n"))
+    some = split.where(losing).join(flagged, "_doc", "left")
     kept = F.array_join(F.transform(F.filter(_flags(), lambda x: ~x["gone"]), lambda x: x["line"]), "\n")
-    return out.select(
-        "doc_id",
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
-    )
+    some = some.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept))
+    n_lines, n_dropped = F.coalesce(F.size("_lines"), F.lit(0)).cast("long"), F.coalesce(F.size("gone"), F.lit(0)).cast("long")
+    whole = split.where(~losing).withColumn("gone", F.lit(None).cast("array<int>"))
+    columns = ["doc_id", "text", n_lines.alias("n_lines"), n_dropped.alias("n_dropped")]
+    return whole.select(*columns).unionByName(some.select(*columns))
 
 
 def _flags() -> Column:
