@@ -114,15 +114,16 @@ def _sets_and_sketch(n: int, key: str):
         kind = None
         for block in batches(blocks):
             kind = block.column(key).type
-            sizes, nodes, classes = [], [], []
+            sizes, nodes, classes, marks = [], [], [], []
             for piece in slices(block.column("_text")):
                 doc, h, begin = gram_sets(piece, n)
-                sketch += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
+                marks.append((h >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32))
                 sizes.append(np.diff(begin))
                 nodes.append(_nodes(h, begin).view(np.int64))
                 docs = len(begin) - 1
                 table = np.bincount(doc * CLASSES + (h & np.uint64(CLASSES - 1)).astype(np.int64), minlength=docs * CLASSES)
                 classes += [row.tobytes() for row in np.minimum(table, 255).astype(np.uint8).reshape(docs, CLASSES)]
+            sketch += np.bincount(np.concatenate(marks), minlength=len(sketch))
             size = np.concatenate(sizes)
             none = pa.nulls(len(size), pa.int32())
             node = pa.array(np.concatenate(nodes), mask=size == 0)

@@ -38,6 +38,7 @@ COMMON_WORDS = 1 << 20
 MEMO_BITS = 21
 END = 0xFF  # not a byte of UTF-8
 RATE = 0.1
+SLICE = 2 << 20  # runs and words repeat more in longer slices
 
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -90,7 +91,7 @@ def corpus_counts(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: list[tuple[np.ndarray, np.ndarray]] = []
     held, texts = 0, 0
     for block in batches(blocks):
-        for piece in slices(block.column(0)):
+        for piece in slices(block.column(0), SLICE):
             texts += len(piece.offsets) - 1
             keys, _ = _grams(piece)
             place, hit, _ = memo.find(keys)
@@ -285,7 +286,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         for block in batches(blocks):
             out: dict[str, list] = {c: [np.zeros(0)] for c in ("n", "known", "base", "score")}
             rest: list[np.ndarray] = []
-            for piece in slices(block.column("text")):
+            for piece in slices(block.column("text"), SLICE):
                 grams, begin = _grams(piece)
                 place, hit, new = memo.find(grams)
                 if len(new):

@@ -92,7 +92,7 @@ TEMPLATES = f"""WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
 k AS (SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id, text, string_split(text, chr(10)) AS ls FROM d),
 raw AS (SELECT r, i AS spot, ls[i] AS line, regexp_extract_all(ls[i], '{_WORD}') AS ws FROM k, unnest(generate_series(1, len(ls))) AS x(i)),
 l AS (SELECT r, spot, line, list_transform(ws, lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS ts FROM raw WHERE len(ws) > 0),
-e AS (SELECT *, len(ts) || ' ' || array_to_string(ts[1:3], ' ') AS leaf FROM l),
+e AS (SELECT *, len(ts) || ' ' || array_to_string(ts[1:4], ' ') AS leaf FROM l),
 kinds AS (SELECT leaf, line, any_value(ts) AS ts, count(*) AS n FROM e GROUP BY leaf, line),
 top AS (SELECT leaf, place, CASE WHEN 2 * n >= total THEN token END AS token
         FROM (SELECT leaf, place, token, sum(n) AS n,

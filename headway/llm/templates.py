@@ -1,6 +1,6 @@
 """Lines that recur across documents, by a log-template tree.
 
-A line goes down a tree of fixed depth: its number of tokens, then its first three tokens,
+A line goes down a tree of fixed depth: its number of tokens, then its first four tokens,
 those with digits as one wild card. In a leaf the template has, at each place, the token that
 at least half the leaf's lines have there, else a wild card. A line that agrees with six
 tenths of it is of that template; any other line is a template of its own. Lines whose
@@ -9,7 +9,8 @@ least id, which keeps a copy.
 
 Everything is counted over all lines: they are first reduced to hashes, and texts are looked
 up only for lines in leaves that several documents share. Bit tables of fixed size keep other
-texts out of the shuffles. Documents are told apart by id and
+texts out of the shuffles; those few that are left are joined by sorting at any size, so that
+a larger corpus has the same plan. Documents are told apart by id and
 text, so repeated rows are one document and lose the same lines.
 
 Defined cases: a null text has no lines and stays null; blank lines stay; null ids come before
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.common import bit_table, in_table_column, written
 
-DEPTH = 3
+DEPTH = 4
 MIN_DOCS = 5
 SPACES = r"[\x20\x09-\x0D]++"
 WORD = r"[^\x20\x09-\x0D]++"
@@ -61,7 +62,7 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kinds = written(kinds, "line-kinds")
     varied = kinds.where("varied")
     maybe = in_table_column(docs.sparkSession, bit_table(varied, "mark"), "mark")
-    texts = _lines(keyed).select("mark", "line").where(maybe).join(varied.select("mark"), "mark", "left_semi").groupBy("mark").agg(F.first("line").alias("line"))
+    texts = _lines(keyed).select("mark", "line").where(maybe).hint("merge").join(varied.select("mark"), "mark", "left_semi").groupBy("mark").agg(F.first("line").alias("line"))
     known = written(varied.join(texts, "mark").withColumn("tokens", tokens(F.col("line"))).drop("line"), "tokens")
 
     # The template of a leaf: the leading token of each place, if it leads by half.
@@ -86,7 +87,7 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     flagged = written(dropped.groupBy("_doc").agg(F.array_sort(F.collect_list("at")).alias("gone")), "dropped-lines")
     losing = in_table_column(docs.sparkSession, bit_table(flagged, "_doc"), "_doc")
     split = keyed.withColumn("_lines", F.split("text", "\n"))
-    some = split.where(losing).join(flagged, "_doc", "left")
+    some = split.where(losing).hint("merge").join(flagged, "_doc", "left")
     kept = F.array_join(F.transform(F.filter(_flags(), lambda x: ~x["gone"]), lambda x: x["line"]), "\n")
     some = some.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept))
     n_lines, n_dropped = F.coalesce(F.size("_lines"), F.lit(0)).cast("long"), F.coalesce(F.size("gone"), F.lit(0)).cast("long")

@@ -36,6 +36,7 @@ STEPS = 40
 RATE = 0.08
 DECAY = 1e-7
 THRESHOLD = 0.7
+SLICE = 2 << 20  # words repeat more in longer slices
 
 _EDGES = (np.uint8(0x3C), np.uint8(0x3E))
 
@@ -162,7 +163,7 @@ def train(bags: Bags, seed: int = 3) -> tuple[np.ndarray, float]:
 def worst_words(column: pa.Array, table: np.ndarray, offset: float) -> np.ndarray:
     """The score of the worst word of every text; 0 without words."""
     out = [np.zeros(0)]
-    for piece in slices(column):
+    for piece in slices(column, SLICE):
         data = LOWER[piece.data]
         words = words_of(piece, ALNUM, data)
         scores = np.zeros(len(piece.offsets) - 1)

@@ -1,7 +1,7 @@
 """Words and their hashes for whole Arrow columns, in numpy.
 
-A text column is cut into slices of documents of a few MB; each slice is handled by array
-operations over its bytes. Hashes are 64 bits; where a collision could change a result the
+A text column is cut into slices of some hundred KB of documents, so that a worker's arrays
+stay small; each slice is handled by array operations over its bytes. Hashes are 64 bits; where a collision could change a result the
 callers compare more than the hash or say that they don't.
 """
 
@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -36,7 +36,7 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. n-1 modulo 2 ** 64, kept between slices."""
     have = _powers.get(str(base))
     if have is None or len(have) < n:
-        grown = np.full(1 << max(20, (n - 1).bit_length()), base, np.uint64)
+        grown = np.full(1 << max(18, (n - 1).bit_length()), base, np.uint64)
         grown[0] = 1
         have = _powers[str(base)] = np.multiply.accumulate(grown)
     return have[:n]
