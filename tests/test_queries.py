@@ -1,7 +1,4 @@
-"""Registered queries against their SQL on the smallest tables.
-
-A sample runs by default; HEADWAY_ALL_QUERIES=1 runs every query (check.py does so at any scale).
-"""
+"""Registered queries against their SQL on the smallest tables (check.py does so at any scale)."""
 
 from __future__ import annotations
 
@@ -12,25 +9,9 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from headway.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-SAMPLE = [
-    "delays_by_line",
-    "dim_stops",
-    "service_calendar",
-    "merge_versioned",
-    "merge_sync",
-    "state_intervals",
-    "elevator_reliability",
-    "disruptions_active",
-    "crowding_summary",
-    "nearest_stops",
-    "direct_routes",
-    "event_envelope",
-    "constraint_check",
-    "person_erase",
-]
-NAMES = list(entry.queries()) if os.environ.get("HEADWAY_ALL_QUERIES") else SAMPLE
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the driver's tables")
 
@@ -51,7 +32,7 @@ def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, db, name):
     df = entry.queries()[name](spark, FOLDER)
     got = check.rows_of(df.columns, df.collect())
