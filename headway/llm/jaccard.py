@@ -304,7 +304,7 @@ class _Join:
         self.sets = found.where("block IS NULL").select("_key", "n", "node", "classes")
         self.sketch_rows = found.where("block IS NOT NULL").select("block", "counts")
         self.nodes = written(
-            self.sets.where("n > 0").groupBy("node").agg(F.min("_key").alias("least"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("classes").alias("classes")), "nodes"
+            self.sets.where("n > 0").groupBy("node").agg(F.min("_key").alias("least"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("classes").alias("classes")), "nodes", slim=True
         )
 
     def postings(self) -> DataFrame:
@@ -317,7 +317,7 @@ class _Join:
         keyed = self.docs.select("_text").mapInArrow(_keys(self.n, self.num, self.den, small, shared), "key long, node long, n int, at int")
         lists = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("key")
         # Copies put the same node under a key many times.
-        return written(keyed.join(lists, "key").distinct().withColumn("level", F.floor(F.log("n") / math.log(self.den / self.num)).cast("int")), "postings")
+        return written(keyed.join(lists, "key").distinct().withColumn("level", F.floor(F.log("n") / math.log(self.den / self.num)).cast("int")), "postings", slim=True)
 
     def fits(self, a: str, b: str) -> Column:
         return self.den * F.least(a, b) >= self.num * F.greatest(a, b)
@@ -327,10 +327,10 @@ class _Join:
         side = self.nodes.select("node", "n", "classes")
         for c in ("a", "b"):
             pairs = pairs.join(side.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("classes").alias(f"classes_{c}")), c)
-        hopeful = written(pairs.mapInArrow(_possible(self.num, self.den), "a long, b long"), "hopeful")
+        hopeful = written(pairs.mapInArrow(_possible(self.num, self.den), "a long, b long"), "hopeful", slim=True)
         wanted = hopeful.select(F.col("a").alias("node")).unionByName(hopeful.select(F.col("b").alias("node"))).distinct()
         grams = self.docs.select("_text").mapInArrow(_whole_sets(self.n, self.spark.sparkContext.broadcast(bit_table(wanted, "node"))), "node long, grams binary")
-        grams = written(grams.dropDuplicates(["node"]), "grams")
+        grams = written(grams.dropDuplicates(["node"]), "grams", slim=True)
         for c in ("a", "b"):
             hopeful = hopeful.join(grams.select(F.col("node").alias(c), F.col("grams").alias(f"grams_{c}")), c)
         return hopeful.mapInArrow(_links(self.num, self.den), "a long, b long")
@@ -346,10 +346,10 @@ class _Join:
                 now = postings.withColumn("component", F.col("node"))
             else:
                 now = postings.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-                now = written(now, "grouped")
+                now = written(now, "grouped", slim=True)
                 own = now.groupBy("key", "component").count()
                 sums = own.groupBy("key").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("squares"))
-                mixed = written(sums.where("squares < n * n"), "mixed-lists")
+                mixed = written(sums.where("squares < n * n"), "mixed-lists", slim=True)
                 cross = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0] or 0
                 if cross == 0:
                     break
@@ -358,8 +358,8 @@ class _Join:
             pairs = self._cross(now) if last else self._hubs(now, number)
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = written(pairs, "pairs")
-            found = written(self.checked(pairs), "links")
+            pairs = written(pairs, "pairs", slim=True)
+            found = written(self.checked(pairs), "links", slim=True)
             links = found if links is None else links.unionByName(found)
             tested = pairs if tested is None else tested.unionByName(pairs)
             comps = components(links)
@@ -398,6 +398,6 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     # Only nodes of several rows or with links have another id than their own row's.
     grouped = join.nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows")).where("rows > 1")
-    known = written(grouped.select("node", "component").join(least.select("component", "component_id"), "component").select("node", "component_id"), "components")
+    known = written(grouped.select("node", "component").join(least.select("component", "component_id"), "component").select("node", "component_id"), "components", slim=True)
     out = salted_join(join.sets.select("_key", "n", "node"), known, ["node"], "_key", salts=8)
     return out.select(F.col("_key").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "_key").alias("component_id"))
