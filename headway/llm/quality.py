@@ -168,13 +168,15 @@ def limits(sketch: DataFrame) -> DataFrame:
 
 def group_limits(found: DataFrame) -> DataFrame:
     """Limits of each (lang, source): its own, or its language's or everything's where it has few documents."""
-    table = limits(sketches(found))
+    table = written(limits(sketches(found)), "limits", slim=True)
     names = [c for c in table.columns if c.startswith(("least_", "most_"))]
     own = table.where("level = 0").select("lang", "source", F.struct("total", *names).alias("own"))
     lang = table.where("level = 1").select(F.col("lang").alias("l"), F.struct("total", *names).alias("wide"))
-    every = table.where("level = 2").select(F.struct("total", *names).alias("every"), F.lit(1).alias("one"))
-    joined = own.join(lang, own["lang"].eqNullSafe(lang["l"]), "left").withColumn("one", F.lit(1)).join(every, "one", "left")
-    chosen = F.when(F.col("own.total") >= MIN_GROUP, F.col("own")).when(F.col("wide.total") >= MIN_GROUP, F.col("wide")).otherwise(F.col("every"))
+    joined = own.join(lang, own["lang"].eqNullSafe(lang["l"]), "left")
+    over_all = table.where("level = 2").select("total", *names).first()  # one row, or none without documents
+    types = dict(table.dtypes)
+    every = F.struct(*[F.lit(over_all[c] if over_all else None).cast(types[c]).alias(c) for c in ("total", *names)])
+    chosen = F.when(F.col("own.total") >= MIN_GROUP, F.col("own")).when(F.col("wide.total") >= MIN_GROUP, F.col("wide")).otherwise(every)
     return joined.select("lang", "source", chosen.alias("c")).select("lang", "source", *[F.col(f"c.{n}").alias(n) for n in names])
 
 
