@@ -331,6 +331,9 @@ PII_PATTERNS = {
     "ip_address": r"(^|[^0-9.])[0-9]{1,3}(\.[0-9]{1,3}){3}($|[^0-9.])",
 }
 
+# What every match of a pattern contains; the others contain a digit.
+PII_MARKS = {"email": "@", "ip_address": "."}
+
 # Account columns that are personal data whatever their content.
 PII_TAGS = {
     ("users", "email"): "PII.Sensitive",
@@ -356,7 +359,9 @@ def pii_columns(table: str, df: DataFrame, fraction: float | None = None, seed:
     for i, c in enumerate(texts):
         aggs.append(F.count(c).alias(f"n{i}"))
         for kind, pattern in PII_PATTERNS.items():
-            aggs.append(F.count_if(F.col(c).rlike(pattern)).alias(f"{kind}{i}"))
+            # A text without the letter or digit that a pattern needs isn't searched for it.
+            likely = F.col(c).contains(PII_MARKS[kind]) if kind in PII_MARKS else F.col(c).rlike("[0-9]")
+            aggs.append(F.count_if(F.when(likely, F.col(c).rlike(pattern)).otherwise(F.lit(False))).alias(f"{kind}{i}"))
             pct = F.round(F.try_divide(100.0 * F.col(f"{kind}{i}"), F.col(f"n{i}")), 2)
             explicit = F.lit(PII_TAGS.get((table, c))).cast("string")
             rows.append(
