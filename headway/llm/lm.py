@@ -38,7 +38,7 @@ COMMON_WORDS = 1 << 20
 MEMO_BITS = 21
 END = 0xFF  # not a byte of UTF-8
 RATE = 0.1
-SLICE = 2 << 20  # runs and words repeat more in longer slices
+SLICE = 1 << 20  # runs and words repeat more in longer slices
 
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -231,7 +231,7 @@ class Model:
         spark = docs.sparkSession
         learnt = docs.where(~held_out(F.col("doc_id"))).select(F.coalesce("text", F.lit("")).alias("text"))
         counted = learnt.mapInArrow(corpus_counts, "kind byte, key long, n long")
-        found = written(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "corpus-counts")
+        found = written(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "corpus-counts", slim=True)
         self.words = found.where("kind = 0").select("key", "n")
         tokens, distinct = self.words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
         ends = found.where("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
