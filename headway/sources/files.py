@@ -89,15 +89,20 @@ def delimiter_of(line: Column) -> Column:
     return F.when(top > 0, picked)
 
 
-def sniff_delimiter(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, delimiter) per file from its first line; NULL for no delimiter or text that is not UTF-8.
+def layouts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, delimiter, header) per file, the header being its first line; NULL delimiter for none or text that is not UTF-8.
 
     The whole file is checked and the whole first line counted, on the executors.
     """
     files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
     text = F.try_validate_utf8(F.col("content").cast("string"))
     first = F.get(F.split(F.ltrim(text, F.lit("﻿")), r"\r\n|\r|\n", 2), F.lit(0))
-    return files.select("path", delimiter_of(first).alias("delimiter"))
+    return files.select("path", delimiter_of(first).alias("delimiter"), first.alias("header"))
+
+
+def sniff_delimiter(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, delimiter) per file."""
+    return layouts(spark, paths).select("path", "delimiter")
 
 
 def clean_header(name: str) -> str:
@@ -127,25 +132,27 @@ def load_tolerant(
     paths: Sequence[str],
     expected: Sequence[str],
     synonyms: dict[str, str] | None = None,
-    reader: Callable[[SparkSession, str, str], DataFrame] | None = None,
+    reader: Callable[[SparkSession, list[str], str], DataFrame] | None = None,
 ) -> tuple[DataFrame | None, DataFrame]:
     """(rows of all good files, rejected (path, reason)); a bad file never stops the load.
 
-    The driver handles file names, delimiters and headers only, one small row per file.
+    Files of one delimiter and header are read together, so jobs and plans are as many as
+    layouts, not files; the driver has one small row a file.
     """
     read = reader or (lambda s, p, d: s.read.options(header=True, sep=d).csv(p))
     good, bad = [], []
-    for row in sniff_delimiter(spark, paths).orderBy("path").toLocalIterator():
+    groups = layouts(spark, paths).groupBy("delimiter", "header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    for row in sorted(groups.collect(), key=lambda r: r.paths[0]):
         if row.delimiter is None:
-            bad.append((row.path, "encoding or delimiter"))
+            bad += [(path, "encoding or delimiter") for path in row.paths]
             continue
         try:
-            fitted = conform(read(spark, row.path, row.delimiter), expected, synonyms)
-        except Exception as error:  # noqa: BLE001 - any reader failure rejects this file only
-            bad.append((row.path, type(error).__name__))
+            fitted = conform(read(spark, row.paths, row.delimiter), expected, synonyms)
+        except Exception as error:  # noqa: BLE001 - any reader failure rejects these files only
+            bad += [(path, type(error).__name__) for path in row.paths]
             continue
         if fitted is None:
-            bad.append((row.path, "columns"))
+            bad += [(path, "columns") for path in row.paths]
         else:
             good.append(fitted)
     rejected = spark.createDataFrame(bad, "path string, reason string")

@@ -38,6 +38,20 @@ def test_tolerant_load(spark, tmp_path):
     assert reasons == {"none.txt": "encoding or delimiter", "short.txt": "columns", "latin.txt": "encoding or delimiter"}
 
 
+def test_files_of_one_layout_are_read_together(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.txt").write_text(f"a;b\n{i};x\n", encoding="utf-8")
+    calls = []
+
+    def read(session, paths, delimiter):
+        calls.append(paths)
+        return session.read.options(header=True, sep=delimiter).csv(paths)
+
+    good, bad = files.load_tolerant(spark, [str(tmp_path / f"{i}.txt") for i in range(5)], ["a", "b"], reader=read)
+    assert len(calls) == 1 and bad.isEmpty()
+    assert sorted(r.a for r in good.collect()) == list("01234")
+
+
 def test_zip_members(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("dir/x.txt", "l1\r\nl2\n")
