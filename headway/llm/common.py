@@ -21,11 +21,11 @@ def work_folder(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, compression: str = "snappy", slim: bool = False) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here, lost executors cost nothing.
 
-    A slim table, of rows that a shuffle has already reduced, goes to four files a core at
+    A slim table, of rows that a shuffle has already reduced, goes to two files a core at
     most, so that many shuffle partitions don't leave many small files.
     """
     path = work_folder(df.sparkSession, name)
-    rows = df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism) if slim else df
+    rows = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism) if slim else df
     rows.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from headway.llm import decontaminate as benchmark_hits
 from headway.llm import jaccard, mixing, quality, sharding
-from headway.llm.common import fresh, written
+from headway.llm.common import bit_table, fresh, in_table_column, written
 
 
 def _key(*columns: str) -> Column:
@@ -21,11 +21,18 @@ def _key(*columns: str) -> Column:
 
 
 def _matched(docs: DataFrame, keys: DataFrame, key: Column, how: str) -> DataFrame:
-    """Semi or anti join of documents with the keys in the first column of a frame."""
+    """Semi or anti join of documents with the keys in the first column of a frame.
+
+    A bit table tells most documents that have no key among these, and their texts are not
+    shuffled; the join settles the others.
+    """
     (name,) = fresh(docs, "_key")
     marked = docs.withColumn(name, key)
-    sought = keys.select(F.col(keys.columns[0]).alias(f"{name}_sought")).distinct()
-    return marked.join(sought, marked[name].eqNullSafe(sought[f"{name}_sought"]), how).drop(name)
+    sought = written(keys.select(F.col(keys.columns[0]).alias(f"{name}_sought")).distinct(), "keys", slim=True)
+    table = bit_table(sought.select(F.col(f"{name}_sought.h1").alias("h1")), "h1")
+    maybe = in_table_column(docs.sparkSession, table, f"{name}.h1")
+    found = marked.where(maybe).join(sought, F.col(name).eqNullSafe(F.col(f"{name}_sought")), how)
+    return (marked.where(~maybe).unionByName(found) if how == "left_anti" else found).drop(name)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
