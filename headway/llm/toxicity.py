@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import batches, written
-from headway.llm.words import ALNUM, LOWER, Slice, slices, word_hashes, words_of
+from headway.llm.words import ALNUM, LOWER, slices, word_hashes, words_of
 
 SAMPLE_ROWS = 12_000
 TABLE_BITS = 18
