@@ -84,7 +84,8 @@ def prefix_size(n, num: int, den: int):
     return n - (num * n + den - 1) // den + 1
 
 
-def overlap(n: int, m: int, num: int, den: int) -> int:
+def overlap(n, m, num: int, den: int):
+    """The grams that linked sets of n and m must share; whole numbers or arrays."""
     return -(-num * (n + m) // (num + den))
 
 
@@ -228,15 +229,11 @@ def _links(num: int, den: int):
     return run
 
 
-def _needed(n, m, num: int, den: int):
-    return -(-num * (n + m) // (num + den))
-
-
 def _allow(x: np.ndarray, y: np.ndarray, size: np.ndarray, num: int, den: int) -> np.ndarray:
     """Whether class counts allow the overlap that two sets of so many grams together need."""
     least = np.minimum(x, y).sum(1, dtype=np.int64)
     full = (np.minimum(x, y) == 255).any(1)  # a class that counts no further
-    return full | (least >= -(-num * size // (num + den)))
+    return full | (least >= overlap(size, 0, num, den))
 
 
 def _possible(num: int, den: int):
@@ -269,7 +266,7 @@ def _compared(num: int, den: int):
             x, y = n[here], n[there]
             total = x + y
             may = (group[here] != group[there]) & ((i[here] == j[here]) | (own[here] != own[there]))
-            may &= at[here] + at[there] <= total - 2 * _needed(x, y, num, den)
+            may &= at[here] + at[there] <= total - 2 * overlap(x, y, num, den)
             may &= den * np.minimum(x, y) >= num * np.maximum(x, y)
             a, b = here[may], there[may]
             may = _allow(classes[a], classes[b], n[a] + n[b], num, den)
