@@ -21,13 +21,16 @@ def work_folder(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, compression: str = "snappy", slim: bool = False) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here, lost executors cost nothing.
 
-    A slim table, of rows that a shuffle has already reduced, goes to two files a core at
-    most, so that many shuffle partitions don't leave many small files.
+    A slim table, of rows that a shuffle has already reduced, is written by fewer tasks, so
+    that many shuffle partitions don't leave many small files: two a core, or one for sixteen
+    partitions where that is more, which bounds a task however large the input is.
     """
-    path = work_folder(df.sparkSession, name)
-    rows = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism) if slim else df
+    spark = df.sparkSession
+    path = work_folder(spark, name)
+    few = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16)
+    rows = df.coalesce(few) if slim else df
     rows.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
