@@ -281,6 +281,51 @@ def test_passages_are_found(spark):
         assert 50 <= min(len(mine), len(kept)) <= 90 and r.n_same >= 0.8 * max(len(mine), len(kept))
 
 
+@pytest.mark.parametrize("size, gap", [(60, 40), (60, 80), (80, 80), (80, 120)])
+def test_two_passages_of_a_pair(spark, size, gap):
+    """Two verbatim passages in the same order, with other words between them, are both found whole, as by all diagonals."""
+    rows, want = [], []
+    for i in range(20):
+        one, two = prose(50_000 + i, size), prose(60_000 + i, size)
+        for side, more in ((0, 0), (1, 7 * (i % 2))):
+            rows.append((2 * i + side, f"{prose(70_000 + 2 * i + side, 30)} {one} {prose(80_000 + 2 * i + side, gap + more)} {two} {prose(90_000 + 2 * i + side, 30)}"))
+        a, b = (words(rows[-2 + side][1]) for side in (0, 1))
+        for shift in range(-len(a) + 1, len(b)):
+            run = 0
+            for at in range(max(0, -shift), min(len(a), len(b) - shift) + 1):
+                if at < min(len(a), len(b) - shift) and a[at] == b[at + shift]:
+                    run += 1
+                    continue
+                if run >= passages.MIN_WORDS:
+                    want.append({2 * i: (at - run, at), 2 * i + 1: (at - run + shift, at + shift)})
+                run = 0
+    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = [({r.doc_id: (r.begin, r.end), r.kept_id: (r.kept_begin, r.kept_end)}, r.n_same) for r in found]
+    assert len(got) == len(want) == 40 and all(n >= 0.8 * max(e - b for b, e in g.values()) for g, n in got)
+    for w in want:
+        assert sum(g.keys() == w.keys() and all(g[k][0] <= w[k][0] and w[k][1] <= g[k][1] for k in w) for g, _ in got) == 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 40), st.integers(0, 12), st.integers(0, 12)), min_size=1, max_size=8))
+def test_longest_alike(runs):
+    """The longest range of matches that is a passage is among those found, and they are disjoint passages."""
+    pairs, x, y = [], 0, 0
+    for n, more, also in runs:
+        pairs += [(x + k, y + k) for k in range(n)]
+        x, y = x + n + more, y + n + also
+    m = np.array(pairs)
+
+    def passage(begin, end):
+        size = [pairs[end - 1][k] + 1 - pairs[begin][k] for k in (0, 1)]
+        return min(size) >= passages.MIN_WORDS and end - begin >= passages.SIMILAR * max(size)
+
+    every = [(b, e) for b in range(len(pairs)) for e in range(b + 1, len(pairs) + 1) if passage(b, e)]
+    found = passages.alike(m)
+    assert all(passage(b, e) for b, e in found) and all(p[1] <= q[0] for p, q in zip(found, found[1:], strict=False))
+    assert max((e - b for b, e in found), default=0) == max((e - b for b, e in every), default=0)
+
+
 def test_bins_hold_their_edges(spark):
     from pyspark.sql import functions as F
 
