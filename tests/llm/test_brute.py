@@ -306,6 +306,21 @@ def test_two_passages_of_a_pair(spark, size, gap):
         assert sum(g.keys() == w.keys() and all(g[k][0] <= w[k][0] and w[k][1] <= g[k][1] for k in w) for g, _ in got) == 1
 
 
+def test_edited_passages_at_the_limit(spark):
+    """Passages with every fifth, sixth or eighth word changed are found wherever word by word comparison says eight tenths."""
+    rows, want = [], set()
+    for i, (size, every) in enumerate([(50, 6), (50, 8), (80, 5), (80, 6), (80, 8)] * 10):
+        one, two = prose(40_000 + i, size).split(), prose(40_000 + i, size).split()
+        two[every - 1 :: every] = [f"edit{i}x{j}" for j in range(every - 1, size, every)]
+        same = [x == y for x, y in zip(one, two, strict=True)]
+        n = max(k + 1 for k in range(size) if same[k])
+        if n >= passages.MIN_WORDS and sum(same) >= passages.SIMILAR * n:
+            want.add(frozenset((2 * i, 2 * i + 1)))
+        rows += [(2 * i + k, f"{prose(41_000 + 2 * i + k, 60)} {' '.join(w)} {prose(42_000 + 2 * i + k, 60)}") for k, w in enumerate((one, two))]
+    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {frozenset((r.doc_id, r.kept_id)) for r in found} == want and len(want) == 50
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 40), st.integers(0, 12), st.integers(0, 12)), min_size=1, max_size=8))
 def test_longest_alike(runs):
