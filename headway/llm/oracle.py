@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from headway.llm.reputation import SUFFIXES
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 # Documents numbered by r, with the words of the whole text.
@@ -128,3 +130,60 @@ jaccard_components AS (SELECT reached.r, min(o.doc_id) AS component_id FROM reac
 JACCARD = f"""WITH RECURSIVE {jaccard(3, 90, 100, 'documents')}
 SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id
 FROM jaccard_rows JOIN jaccard_components USING (r) LEFT JOIN sizes USING (r)"""
+
+# Words by their crc32, from the table of its 256 byte steps.
+_CRC32 = f"""
+step(i, c, k) AS (SELECT i, i, 0 FROM range(256) AS x(i)
+                  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8),
+steps AS (SELECT list(c ORDER BY i) AS t FROM step WHERE k = 8),
+rw AS (SELECT row_number() OVER () AS r, doc_id, text, regexp_extract_all({_lowered('text')}, '{_ALNUM}') AS ws FROM documents),
+tw AS (SELECT regexp_extract_all({_lowered('text')}, '{_ALNUM}') AS ws FROM benchmark),
+sources AS (SELECT r, unnest(ws) AS w FROM rw),
+targets AS (SELECT unnest(ws) AS w FROM tw),
+crc AS (SELECT w, xor(list_reduce(list_concat([4294967295], list_transform(generate_series(1, strlen(w)), lambda i: CAST('0x' || substr(hex(w), 2 * i - 1, 2) AS BIGINT))),
+                                  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+        FROM (SELECT w FROM sources UNION SELECT w FROM targets), steps)"""
+
+RESAMPLE = f"""WITH RECURSIVE {_CRC32},
+s AS (SELECT bucket, count(*) AS n FROM sources JOIN crc USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM targets JOIN crc USING (w) GROUP BY bucket),
+every AS (SELECT CAST((SELECT count(*) FROM sources) AS DOUBLE) AS s_all, CAST((SELECT count(*) FROM targets) AS DOUBLE) AS t_all),
+gain AS (SELECT s.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0)::DOUBLE + 1) * (s_all + 10000) / ((s.n::DOUBLE + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+         FROM s LEFT JOIN t USING (bucket), every),
+w AS (SELECT r, sum(gain) AS weight FROM sources JOIN crc USING (w) JOIN gain USING (bucket) GROUP BY r),
+d AS (SELECT r, doc_id, text, CAST(len(ws) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM rw LEFT JOIN w USING (r)),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM d),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, text) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM scored LEFT JOIN placed USING (r)"""
+
+_SUFFIXES = "', '".join(SUFFIXES)
+
+
+def _levelled(level: str, keys: str, parents: str) -> str:
+    """Tables {level}_k (correlation) and {level}_p (posterior) of {level}_n(keys, n, bad, prior)."""
+    return f"""
+{level}_n AS (SELECT {keys}, sum(n) AS n, sum(bad) AS bad, any_value(mean) AS prior, any_value(size) AS size FROM hosts JOIN {parents} GROUP BY {keys}),
+{level}_k AS (SELECT 1 / least(0.5, greatest(0.001, coalesce((sum(n * (bad / n - prior) ** 2 / (prior * (1 - prior))) - count(*)) / nullif(sum(n) - count(*), 0), 0))) - 1 AS worth
+              FROM {level}_n WHERE n > 0),
+{level}_p AS (SELECT {keys}, least(worth, size) * prior + bad AS a, least(worth, size) * (1 - prior) + n - bad AS b, a / (a + b) AS mean, a + b AS size
+              FROM {level}_n, {level}_k)"""
+
+
+URL_FILTER = f"""WITH rules(blocks, rule, rule_host, rule_path) AS (VALUES (false, 'org/', 'org', '/'), (true, 'example.org/es/', 'example.org', '/es/'),
+  (true, 'example.org/en/1', 'example.org', '/en/1'), (false, 'com/fr/', 'com', '/fr/'), (true, 'com/de/', 'com', '/de/')),
+rest AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS x FROM pages),
+p AS (SELECT r, page_id, coalesce(translate(regexp_extract(x, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+             coalesce(regexp_extract(x, '^[^/?#]*([^?#]*)', 1), '') AS path FROM rest),
+fits AS (SELECT r, arg_max(rule, 1000 * length(rule) + length(rule_host)) AS rule, arg_max(blocks, 1000 * length(rule) + length(rule_host)) AS blocks
+         FROM p JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY r),
+j AS (SELECT p.*, rule, blocks FROM p LEFT JOIN fits USING (r)),
+named AS (SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name, count(blocks)::DOUBLE AS n, coalesce(sum(blocks::INTEGER), 0)::DOUBLE AS bad FROM j GROUP BY host),
+split AS (SELECT *, string_split(name, '.') AS ls, regexp_matches(name, '^[0-9.]+$|^\\[') AS literal FROM named),
+hosts AS (SELECT host, n, bad, CASE WHEN literal THEN name WHEN two IN ('{_SUFFIXES}') THEN array_to_string(ls[-3:], '.') ELSE two END AS domain,
+                 CASE WHEN literal THEN '' WHEN two IN ('{_SUFFIXES}') THEN two ELSE ls[-1] END AS suffix
+          FROM (SELECT *, array_to_string(ls[-2:], '.') AS two FROM split)),
+root AS (SELECT (sum(bad) + 1) / (sum(n) + 2) AS mean, sum(n) + 2 AS size FROM hosts),{_levelled('suffix', 'suffix', 'root ON true')},{_levelled('domain', 'domain, suffix', 'suffix_p USING (suffix)')},{_levelled('host', 'host', 'domain_p USING (domain, suffix)')}
+SELECT page_id, j.host, path, rule,
+       CASE WHEN coalesce(blocks, mean - sqrt(0.95::DOUBLE / 0.05::DOUBLE) * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) > 0.5) THEN 'block' ELSE 'allow' END AS verdict
+FROM j JOIN host_p USING (host)"""

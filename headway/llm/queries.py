@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, html, jaccard, lm, mixing, oracle, passages, quality, sharding, templates, toxicity
+from headway.llm import decontaminate, html, jaccard, lm, mixing, oracle, passages, quality, reputation, resample, sharding, templates, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -75,3 +75,17 @@ def op9_shared_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.quality_rules(table(spark, folder, "documents"))
     return found.drop("n_lines", "n_echo_words")
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query("op11_url_reputation", oracle.URL_FILTER)
+def op11_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    found = reputation.url_filter(table(spark, folder, "pages"), URL_RULES)
+    return found.drop("bad_rate", "bound")
+
+
+@query("op13_importance_resample", oracle.RESAMPLE)
+def op13_importance_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
