@@ -187,3 +187,14 @@ root AS (SELECT (sum(bad) + 1) / (sum(n) + 2) AS mean, sum(n) + 2 AS size FROM h
 SELECT page_id, j.host, path, rule,
        CASE WHEN coalesce(blocks, mean - sqrt(0.95::DOUBLE / 0.05::DOUBLE) * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) > 0.5) THEN 'block' ELSE 'allow' END AS verdict
 FROM j JOIN host_p USING (host)"""
+
+LEXICAL = f"""WITH dw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_lowered('text')}, '{_ALNUM}') AS ws FROM documents),
+iw AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all({_lowered('text')}, '{_ALNUM}') AS ws FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+every AS (SELECT count(*) FILTER (WHERE len(ws) > 0) AS n_docs, sum(len(ws)) AS n_words FROM dw),
+sought AS (SELECT DISTINCT q, item_id, unnest(ws) AS t FROM iw),
+tf AS (SELECT r, doc_id, t, n, count(*) AS tf FROM (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS t FROM dw) GROUP BY r, doc_id, t, n),
+df AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, every GROUP BY t, n_docs),
+impact AS (SELECT r, doc_id, t, w * (1000000000 * tf // (1000 * tf + 8 * (100 - 90 + 90 * n * n_docs // n_words))) AS v FROM tf JOIN df USING (t), every),
+scored AS (SELECT q, item_id, r, doc_id, CAST(sum(v) AS BIGINT) AS score FROM sought JOIN impact USING (t) GROUP BY q, item_id, r, doc_id HAVING sum(v) > 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM scored)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 10"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, html, jaccard, lm, mixing, oracle, passages, quality, reputation, resample, sharding, templates, toxicity
+from headway.llm import decontaminate, html, jaccard, lexical, lm, mixing, oracle, passages, quality, reputation, resample, sharding, templates, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,6 +86,11 @@ def op11_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("bad_rate", "bound")
 
 
+@query("op12_norm_bucket_search", oracle.LEXICAL)
+def op12_norm_bucket_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op13_importance_resample", oracle.RESAMPLE)
 def op13_importance_resample(spark: SparkSession, folder: str) -> DataFrame:
     return resample.importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
