@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions import clock, text
@@ -205,32 +205,107 @@ CHANGE = [
 ]
 
 
-def connections(first: DataFrame, walks: DataFrame, second: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
-    """Pairs of rides joined by a walk: the second leaves within [minimum, maximum] wait.
+FIRST = ["hour", "line1", "route_type1", "board_stop_id", "board_stop", "x_stop", "leave_stop"]
+SECOND = ["line2", "route_type2", "y_stop", "enter_stop", "alight_stop_id", "alight_stop"]
+
+
+def _minimum(cfg: RouteSettings) -> Column:
+    return F.coalesce("min_transfer_time", F.lit(cfg.default_transfer_sec))
+
+
+def all_connections(first: DataFrame, walks: DataFrame, second: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
+    """Every pair of rides joined by a walk: the second leaves within [minimum, maximum] wait."""
+    leaving = first.join(walks, F.col("x_stop") == F.col("from_stop_id"))
+    leaving = leaving.withColumns({"_low": F.col("arr_x") + _minimum(cfg), "_high": F.col("arr_x") + cfg.max_wait_sec})
+    return _in_band(leaving, second, cfg).drop("_low", "_high", "_slot")
+
 
-    The wait band is cut into quarters, so each first ride looks into at most five slots of
-    its walk's end stop by equality, and a hub's rides are spread over many short slots;
-    the exact bounds are a residual.
+def _in_band(leaving: DataFrame, second: DataFrame, cfg: RouteSettings) -> DataFrame:
+    """First rides with a walk meet second rides from its end that depart within [_low, _high].
+
+    The band is cut into slots, so each first ride looks into a few of them by equality and a
+    hub's rides are spread over many; the exact bounds are a residual.
     """
     slot = max(1, cfg.max_wait_sec // 4)
-    ready = F.col("arr_x") + F.coalesce("min_transfer_time", F.lit(cfg.default_transfer_sec))
-    latest = F.col("arr_x") + cfg.max_wait_sec
-    leaving = (
-        first.join(walks, F.col("x_stop") == F.col("from_stop_id"))
-        .withColumns({"_ready": ready, "_latest": latest})
-        .where(F.col("_ready") <= F.col("_latest"))
-        .withColumn("_slot", F.explode(F.sequence(F.floor(F.col("_ready") / slot), F.floor(F.col("_latest") / slot))))
+    asked = leaving.where(F.col("_low") <= F.col("_high")).withColumn(
+        "_slot", F.explode(F.sequence(F.floor(F.col("_low") / slot), F.floor(F.col("_high") / slot)))
     )
-    entering = second.withColumn("_slot", F.floor(F.col("dep_y") / slot))
-    return leaving.join(
-        entering, (F.col("to_stop_id") == F.col("y_stop")) & (leaving["_slot"] == entering["_slot"])
-    ).where(
-        F.col("dep_y").between(F.col("_ready"), F.col("_latest"))
-        & (F.col("arr2") > F.col("dep1"))
-        & (F.col("line1") != F.col("line2"))
+    entering = second.withColumn("_at", F.floor(F.col("dep_y") / slot))
+    met = asked.join(entering, (F.col("to_stop_id") == F.col("y_stop")) & (F.col("_slot") == F.col("_at"))).drop("_at")
+    return met.where(
+        F.col("dep_y").between(F.col("_low"), F.col("_high")) & (F.col("arr2") > F.col("dep1")) & (F.col("line1") != F.col("line2"))
     )
 
 
+def arrival_front(first: DataFrame) -> DataFrame:
+    """First rides of a line and stop pair that can begin a fastest change, with what bounds their use.
+
+    Of rides that arrive together only the last to depart stays. The others form a front, on
+    which later arrivals departed later; ``next_arr`` is the front's next arrival, from which on
+    a change is better made from that ride. A ride off the front departed no later than one that
+    arrived before it, at ``best_arr``, and is of use only where that one's wait is too long.
+    """
+    rides = first.groupBy(*FIRST, "arr_x").agg(F.max("dep1").alias("dep1"))
+    order = Window.partitionBy(*FIRST).orderBy("arr_x")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    ahead = rides.withColumn("_ahead", F.coalesce(F.col("dep1") > F.max("dep1").over(before), F.lit(True)))
+    on = F.when(F.col("_ahead"), F.col("arr_x"))
+    marked = ahead.withColumns({"next_arr": F.min(on).over(after), "best_arr": F.max(on).over(before)})
+    return marked.withColumns({c: F.when(F.col("_ahead") == own, F.col(c)) for c, own in (("next_arr", True), ("best_arr", False))}).drop("_ahead")
+
+
+def departure_front(second: DataFrame) -> DataFrame:
+    """Second rides of a line and stop pair that can end a fastest change, with what bounds their use.
+
+    Of rides that depart together only the first to arrive stays. On the front, later
+    departures arrive later; ``prev_dep`` is the front's departure before. A ride off the front arrives no
+    earlier than one that departs after it, at ``best_dep``, and is of use only to who can't wait for that.
+    """
+    rides = second.groupBy(*SECOND, "dep_y").agg(F.min("arr2").alias("arr2"))
+    order = Window.partitionBy(*SECOND).orderBy("dep_y")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    ahead = rides.withColumn("_ahead", F.coalesce(F.col("arr2") < F.min("arr2").over(after), F.lit(True)))
+    on = F.when(F.col("_ahead"), F.col("dep_y"))
+    marked = ahead.withColumns({"prev_dep": F.max(on).over(before), "best_dep": F.min(on).over(after)})
+    return marked.withColumns({c: F.when(F.col("_ahead") == own, F.col(c)) for c, own in (("prev_dep", True), ("best_dep", False))}).drop("_ahead")
+
+
+def front_connections(first: DataFrame, walks: DataFrame, second: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
+    """Pairs of rides among which are the fastest of every line and stop pair on both sides of every walk.
+
+    Rides must arrive after they depart. On the fronts, a change is kept only from the last arrival
+    that makes the departure to the first departure after that arrival, so a pair of lines has at most as many
+    as the lesser of its fronts; rides off a front keep the seconds in which the ride that beats
+    them is out of the wait.
+    """
+    leaving = arrival_front(first).join(walks, F.col("x_stop") == F.col("from_stop_id"))
+    latest = F.col("arr_x") + cfg.max_wait_sec
+    # From the ready time, or from when the better ride's wait is over, to the last second before the next ride's.
+    low = F.greatest(F.col("arr_x") + _minimum(cfg), F.col("best_arr") + cfg.max_wait_sec + 1)
+    high = F.least(latest, F.col("next_arr") + _minimum(cfg) - 1)
+    leaving = leaving.withColumns({"_low": low, "_high": high, "_latest": latest})
+    met = _in_band(leaving, departure_front(second), cfg)
+    first_after = F.col("prev_dep").isNull() | (F.col("prev_dep") < F.col("_low"))
+    needed = first_after & (F.col("best_dep").isNull() | (F.col("best_dep") > F.col("_latest")))
+    return met.where(needed).drop("_low", "_high", "_latest", "_slot", "next_arr", "best_arr", "prev_dep", "best_dep")
+
+
+def connections(first: DataFrame, walks: DataFrame, second: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
+    """Pairs of rides joined by a walk that hold the fastest change of every line and stop pair.
+
+    Rides that arrive no later than they depart and walks of negative time are faults of the
+    data for which no ride is better than another; they meet everything. Without such faults
+    their joins are dropped as soon as a side is known to be empty.
+    """
+    sane1, sane2 = F.col("arr_x") >= F.col("dep1"), F.col("arr2") > F.col("dep_y")
+    usual = _minimum(cfg) >= 0
+    good, odd = walks.where(usual), walks.where(~usual)
+    pairs = front_connections(first.where(sane1), good, second.where(sane2), cfg)
+    for some1, some, some2 in ((first.where(~sane1), good, second), (first.where(sane1), good, second.where(~sane2)), (first, odd, second)):
+        pairs = pairs.unionByName(all_connections(some1, some, some2, cfg))
+    return pairs
+
+
 def transfer_legs(
     schedule: DataFrame,
     walking: DataFrame,
@@ -242,7 +317,7 @@ def transfer_legs(
     """Least total time per hour and pair of lines with one walk between them.
 
     Rides to a walk's start and from a walk's end are reduced to distinct clock times
-    (many trips share them) before the time-band join.
+    (many trips share them) and to their fronts before the time-band join.
     """
     walks = walking.select(
         "from_stop_id", "to_stop_id", "min_transfer_time", "pathway_length_m", "has_stairs", "has_elevator"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +158,42 @@ def test_points_lead_to_near_stops_and_walks_count(spark, network, rows):
     routes = recommend.recommend(pointed, schedule, walking, placed, delays, crowd, lifts, calendar, DAY)
     found = rows(recommend.routes_per_request(pointed, placed, routes), "id", "reach", "rank", "walking_m")
     assert found == [(1, "ok", 1, 111.2), (2, "origin out of reach", None, None), (3, "destination out of reach", None, None)]
+
+
+# --- changes from fronts ------------------------------------------------------
+
+FIRST = "hour int, line1 string, route_type1 int, board_stop_id int, board_stop string, x_stop int, leave_stop string, dep1 int, arr_x int"
+SECOND = "line2 string, route_type2 int, y_stop int, enter_stop string, alight_stop_id int, alight_stop string, dep_y int, arr2 int"
+WALKS = "from_stop_id int, to_stop_id int, min_transfer_time int, pathway_length_m double"
+
+
+def fastest(pairs):
+    """Per lines, stops and walk: the least time, and that there is a change at all."""
+    keys = ["hour", *recommend.CHANGE, "x_stop", "y_stop", "min_transfer_time", "pathway_length_m"]
+    return sorted(map(repr, map(tuple, pairs.groupBy(*keys).agg(F.min(F.col("arr2") - F.col("dep1")).alias("least")).collect())))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fronts_hold_the_fastest_changes(spark, seed):
+    rng = random.Random(seed)
+    cfg = recommend.RouteSettings(max_wait_sec=40, default_transfer_sec=5)
+    # Short times and many rides: overtaking, ties, rides back in time, waits that end between two rides.
+    first = [(8, rng.choice("AB"), 1, rng.randint(1, 2), "s", rng.randint(1, 3), "x", d, d + rng.randint(-3 if seed > 1 else 0, 60)) for d in rng.choices(range(200), k=150)]
+    second = [(rng.choice("BC"), 1, rng.randint(4, 5), "y", rng.randint(6, 7), "z", d, d + rng.randint(-3 if seed > 1 else 1, 60)) for d in rng.choices(range(260), k=150)]
+    walks = [(x, y, rng.choice([None, 0, 3, 15, 45, *([-10] if seed == 3 else [])]), float(x + y)) for x in (1, 2, 3) for y in (4, 5)]
+    frames = [spark.createDataFrame(sorted(set(r)), schema) for r, schema in ((first, FIRST), (second, SECOND))]
+    walks = spark.createDataFrame(walks, WALKS)
+    want = fastest(recommend.all_connections(frames[0], walks, frames[1], cfg))
+    assert want and fastest(recommend.connections(frames[0], walks, frames[1], cfg)) == want
+
+
+def test_a_hub_has_as_many_changes_as_its_lesser_front(spark):
+    """A ride a minute in, one every two minutes out, thirty minutes of wait: all pairs are fifteen times as many."""
+    first = spark.createDataFrame([(8, f"A{i}", 1, 1, "s", 1, "x", d, d + 600) for i in range(3) for d in range(0, 7200, 60)], FIRST)
+    second = spark.createDataFrame([(f"B{i}", 1, 2, "y", 3, "z", d, d + 900) for i in range(3) for d in range(0, 10800, 120)], SECOND)
+    walks = spark.createDataFrame([(1, 2, 180, 50.0)], WALKS)
+    every, kept = recommend.all_connections(first, walks, second), recommend.connections(first, walks, second)
+    pairs = {(r.line1, r.line2): r["count"] for r in kept.groupBy("line1", "line2").count().collect()}
+    assert len(pairs) == 9 and max(pairs.values()) <= 90  # the second rides of a line
+    assert every.count() > 12 * kept.count()
+    assert fastest(kept) == fastest(every)
