@@ -63,17 +63,32 @@ def exact_cutoff_date(df: DataFrame, fraction: float = TRAIN_FRACTION):
     return upto.where(enough).agg(F.min("service_date")).first()[0]
 
 
-def score_metrics(scored: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
+def _below_each(counts: DataFrame, key: str, n: str, ranges: int) -> DataFrame:
+    """Adds _below: the sum of ``n`` over the rows of lesser key, of which each occurs once.
+
+    Keys are cut into ranges at quantiles; a range is summed on its own, from the sum of the
+    ranges before it, so that no task gets them all.
+    """
+    cuts = counts.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 100 * ranges)).scalar()
+    placed = counts.withColumn("_cuts", cuts).withColumn("_range", F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col(key))), F.lit(0))).drop("_cuts")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    starts = placed.groupBy("_range").agg(F.sum(n).alias("_n")).select("_range", F.sum("_n").over(before).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("_inside", F.sum(n).over(inside)).join(starts, "_range")
+    return summed.withColumn("_below", F.coalesce("_start", F.lit(0)) + F.coalesce("_inside", F.lit(0)))
+
+
+def score_metrics(scored: DataFrame, label: str, score: str, threshold: float, ranges: int = 64) -> DataFrame:
     """(auc, f1) of scores against 0/1 labels, in one row.
 
     The area under the curve is the share of (late, punctual) pairs in which the late row
-    scores higher, ties half; it comes from counts per distinct score, not from pairs.
+    scores higher, ties half; it comes from counts per distinct score, summed up by ranges of scores.
     """
     rows = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     late, guessed = F.col(label) == 1, F.col(score) >= threshold
     per_score = rows.groupBy(score).agg(F.count_if(late).alias("late"), F.count_if(~late).alias("punctual"))
-    below = F.coalesce(F.sum("punctual").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = per_score.withColumn("won", F.col("late") * (2 * below + F.col("punctual")))
+    ranged = _below_each(per_score, score, "punctual", ranges)
+    won = ranged.withColumn("won", F.col("late") * (2 * F.col("_below") + F.col("punctual")))
     area = won.agg(F.try_divide(F.sum("won").cast("double"), 2.0 * F.sum("late") * F.sum("punctual")).alias("auc"))
     both = rows.agg(F.count_if(late & guessed).alias("hit"), F.count_if(late | guessed).alias("any"))
     f1 = F.try_divide(2.0 * F.col("hit"), F.col("hit") + F.col("any"))

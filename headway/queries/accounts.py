@@ -8,9 +8,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.plans import analytics, privacy, quality
+from headway.plans import analytics, privacy, quality, sketches
 from headway.queries import adapters as a
-from headway.queries.registry import Tables, query, shared, view
+from headway.queries.registry import Tables, query, shared, stored, view
 
 
 @shared
@@ -427,6 +427,53 @@ def profile_sketch(t: Tables) -> DataFrame:
     return quality.profile_columns("lineitem", t.lineitem.select(*_LINE_COLUMNS), exact=True)
 
 
+@stored
+def line_sketches(t: Tables) -> DataFrame:
+    """Sketches of the order lines for every ship day, as each day's load leaves them."""
+    return sketches.day_sketches(t.lineitem.select(*_LINE_COLUMNS), "l_shipdate")
+
+
+_SKETCHED = {c: numeric for c, numeric in _LINE_COLUMNS.items() if c != "l_shipdate"}
+
+
+@query(
+    "profile_incremental",
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS rows, round(100.0::DOUBLE * (count(*) - count({c})) / count(*), 2) AS null_pct, "
+        f"{f'CAST(min({c}) AS DOUBLE)' if numeric else 'NULL'} AS low, {f'CAST(max({c}) AS DOUBLE)' if numeric else 'NULL'} AS high, "
+        f"{f'round(avg({c}), 4)' if numeric else 'CAST(NULL AS DOUBLE)'} AS mean, true AS distinct_within FROM lineitem"
+        for c, numeric in _SKETCHED.items()
+    ),
+)
+def profile_incremental(t: Tables) -> DataFrame:
+    """The profile merged from all days' sketches, and whether the distinct counts keep to three standard deviations."""
+    found = sketches.profile(line_sketches(t))
+    exact = [F.struct(F.lit(c).alias("column"), F.count_distinct(c).alias("n")) for c in _SKETCHED]
+    true = t.lineitem.agg(F.array(*exact).alias("x")).select(F.inline("x"))
+    off = F.abs(F.col("n_distinct") - F.col("n")) <= F.greatest(F.lit(1.0), 3 * sketches.DISTINCT_DEVIATION * F.col("n"))
+    number = F.when(F.col("mean").isNotNull(), F.lit(True))
+    return found.join(true, "column").select(
+        "column", "rows", "null_pct", F.when(number, F.col("min").cast("double")).alias("low"), F.when(number, F.col("max").cast("double")).alias("high"), "mean", off.alias("distinct_within")
+    )
+
+
+_FRACTIONS = [0.01, 0.25, 0.5, 0.8, 0.99]
+
+
+@query(
+    "quantile_sketch",
+    f"""
+SELECT "column", fraction, (SELECT count(*) FROM lineitem) AS rows, true AS within
+FROM (SELECT unnest([{", ".join(f"'{c}'" for c, numeric in _SKETCHED.items() if numeric)}]) AS "column"), (SELECT unnest({_FRACTIONS}::DOUBLE[]) AS fraction)
+""",
+)
+def quantile_sketch(t: Tables) -> DataFrame:
+    """Quantiles merged from all days' sketches, and whether their true ranks keep to the stated error."""
+    found = [tuple(r) for r in sketches.quantiles(line_sketches(t), _FRACTIONS).collect()]  # a few a column
+    misses = sketches.rank_misses(t.lineitem, found)
+    return misses.select("column", "fraction", "rows", (F.col("miss") <= sketches.RANK_ERROR).alias("within"))
+
+
 @query(
     "kpi_metrics",
     """
