@@ -1,20 +1,13 @@
-"""Stored parquet tables: partitioned appends, versioned full refreshes, and merges by bucket.
-
-A catalog with row-level merges (Iceberg, Delta) does the last two natively; these
-functions give the same results on plain parquet folders.
-"""
+"""Stored parquet tables: partitioned appends and versioned full refreshes on plain folders."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET = "_bucket"
-STEP = "step="
 VERSION = "version="
 
 
@@ -173,105 +166,3 @@ def compact(spark: SparkSession, folder: str, target_bytes: int, min_files: int,
     writer = _writer(df, columns) if columns else df.repartition(parts).write
     writer.parquet(f"{folder}/{VERSION}{version}")
     return True
-
-
-# --- merges by bucket ------------------------------------------------------
-
-
-def bucket_of(columns: Sequence[str], buckets: int) -> Column:
-    """Bucket number from part of the key; NULLs hash like any other value."""
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
-
-
-def _state(spark: SparkSession, folder: str) -> dict | None:
-    """The newest committed state of a merged table: bucket count, schema and where each bucket lies."""
-    numbers = [int(n[:-5]) for n in _children(spark, f"{folder}/state") if n.endswith(".json") and n[:-5].isdigit()]
-    if not numbers:
-        return None
-    text = spark.read.text(f"{folder}/state/{max(numbers)}.json", wholetext=True).first()[0]
-    return json.loads(text) | {"number": max(numbers)}
-
-
-def _commit(spark: SparkSession, folder: str, state: dict, number: int) -> None:
-    """Readers see the new state, whole, once its file has its name; a second writer of the number fails."""
-    fs, draft = _fs(spark, f"{folder}/state/_{number}.draft")
-    _, final = _fs(spark, f"{folder}/state/{number}.json")
-    out = fs.create(draft, True)
-    out.write(bytearray(json.dumps(state), "utf-8"))
-    out.close()
-    if fs.exists(final) or not fs.rename(draft, final):
-        raise RuntimeError(f"another writer has committed state {number} of {folder}")
-
-
-def read_buckets(spark: SparkSession, folder: str, touched: Sequence[int] | None = None) -> DataFrame | None:
-    """The merged table with its bucket column, or only some buckets of it."""
-    state = _state(spark, folder)
-    if state is None:
-        return None
-    schema = T.StructType.fromJson(state["schema"])
-    places = {int(b): n for b, n in state["places"].items() if touched is None or int(b) in set(touched)}
-    if not places:
-        return spark.createDataFrame([], schema)
-    paths = [f"{folder}/data/{STEP}{n}/{BUCKET}={b}" for b, n in places.items()]
-    typed = T.StructType([f for f in schema.fields if f.name != BUCKET] + [T.StructField(STEP[:-1], T.IntegerType()), schema[BUCKET]])
-    return spark.read.schema(typed).option("basePath", f"{folder}/data").parquet(*paths).select(*schema.names)
-
-
-def merge_buckets(
-    source: DataFrame,
-    folder: str,
-    bucket_by: Sequence[str],
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
-    buckets: int = 64,
-    touched_by: DataFrame | None = None,
-) -> DataFrame:
-    """Merges source rows into a table stored in hash buckets of (part of) the key.
-
-    Only buckets that hold source keys (or those of ``touched_by``, where the merge also
-    removes rows) are read and rewritten, to a folder of this merge's own; a bucket that
-    becomes empty is left out of the new state. ``merge`` gets (target rows of those buckets,
-    source). Committing the state is one rename, so readers see all of a merge or nothing,
-    and a merge that was cut off starts over from the state before it. The bucket count is
-    the table's for good: another one is refused.
-    The list of touched buckets, at most ``buckets`` numbers, is all that reaches the driver.
-    Returns the source with its bucket column, persisted; unpersist it when done.
-    """
-    spark = source.sparkSession
-    state = _state(spark, folder)
-    if state is not None and state["buckets"] != buckets:
-        raise ValueError(f"{folder} has {state['buckets']} buckets, not {buckets}")
-    staged = source.withColumn(BUCKET, bucket_of(bucket_by, buckets)).persist()
-    named = staged if touched_by is None else touched_by.select(bucket_of(bucket_by, buckets).alias(BUCKET))
-    touched = [r[0] for r in named.select(BUCKET).distinct().collect()]
-    if not touched:
-        return staged
-    target = read_buckets(spark, folder, touched)
-    if target is None:
-        target = spark.createDataFrame([], staged.schema)
-    merged = merge(target.drop(BUCKET), staged.drop(BUCKET)).withColumn(BUCKET, bucket_of(bucket_by, buckets))
-    number = 1 if state is None else state["number"] + 1
-    place = f"{folder}/data/{STEP}{number}"
-    _writer(merged, [BUCKET]).mode("overwrite").parquet(place)
-    filled = [int(n.split("=")[1]) for n in _children(spark, place) if n.startswith(f"{BUCKET}=")]
-    places = {} if state is None else {b: n for b, n in state["places"].items() if int(b) not in set(touched)}
-    _commit(spark, folder, {"buckets": buckets, "schema": merged.schema.jsonValue(), "places": places | {str(b): number for b in filled}}, number)
-    return staged
-
-
-def expire_merges(spark: SparkSession, folder: str, keep_last: int = 10) -> int:
-    """Removes states before the newest ones and the buckets that none of the kept ones names; returns their number."""
-    numbers = sorted(int(n[:-5]) for n in _children(spark, f"{folder}/state") if n.endswith(".json") and n[:-5].isdigit())
-    old, kept = numbers[: -max(keep_last, 1)], numbers[-max(keep_last, 1) :]
-    used = set()
-    for n in kept:
-        state = json.loads(spark.read.text(f"{folder}/state/{n}.json", wholetext=True).first()[0])
-        used |= {(int(step), int(b)) for b, step in state["places"].items()}
-    gone = 0
-    for step in old:
-        for name in _children(spark, f"{folder}/data/{STEP}{step}"):
-            if name.startswith(f"{BUCKET}=") and (step, int(name.split("=")[1])) not in used:
-                fs, path = _fs(spark, f"{folder}/data/{STEP}{step}/{name}")
-                gone += bool(fs.delete(path, True))
-        fs, path = _fs(spark, f"{folder}/state/{step}.json")
-        fs.delete(path, False)
-    return gone

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from headway.sources import feeds
-from headway.sources.tables import BUCKET, read_buckets
 
 # Trigger interval and per-batch file limit of all streams.
 TRIGGER = "60 seconds"
@@ -45,7 +44,7 @@ def table_stream(spark: SparkSession, folder: str, schema: str, files_per_batch:
     """New files of a parquet folder as a stream, a bounded number per batch.
 
     A repeated batch upstream replaces its files; the replaced ones are skipped and the
-    new ones read, which keyed merges downstream absorb.
+    new ones read, which state by key downstream absorbs.
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     return reader.option("ignoreMissingFiles", True).parquet(folder)
@@ -94,24 +93,12 @@ def start_bronze(
     ]
 
 
-def log_changes(staged: DataFrame, table: str, keys: Sequence[str], version: str, folder: str, batch_id: int) -> None:
-    """The rows of a merged batch that now stand in the table, for the next stage's stream.
+def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
+    """A micro-batch's rows as a partition of their own, which a repeat of the batch replaces."""
+    writer = rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("batch_id").parquet(folder)
 
-    Late rows, which lost against the stored version, are left out. A repeated batch finds
-    its own rows standing and replaces its own log files.
-    """
-    touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
-    standing = read_buckets(staged.sparkSession, table, touched).select(BUCKET, *keys, version)
-    same = F.lit(True)
-    for c in (BUCKET, *keys, version):
-        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
-    (
-        staged.alias("s")
-        .join(standing.alias("t"), same, "left_semi")
-        .drop(BUCKET)
-        .withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(folder)
-    )
+
+def read_log(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """A folder that a stream appends to: complete files only, by the sink's own log."""
+    return spark.read.schema(schema).parquet(folder)

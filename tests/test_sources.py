@@ -149,57 +149,6 @@ def test_compaction(spark, tmp_path):
     assert not tables.compact(spark, folder, 10**7, 5)
 
 
-def test_bucket_merge_rewrites_touched_buckets_only(spark, tmp_path):
-    from headway.operators.merge import merge_upsert
-
-    folder = str(tmp_path / "t")
-    upsert = lambda t, s: merge_upsert(t, s, ["k"])
-    first = spark.range(100).select(F.col("id").alias("k"), F.lit(0).alias("v"))
-    tables.merge_buckets(first, folder, ["k"], upsert, 8).unpersist()
-    tables.merge_buckets(spark.createDataFrame([(5, 1)], "k long, v int"), folder, ["k"], upsert, 8).unpersist()
-    assert sorted(tables._state(spark, folder)["places"].values()) == [1] * 7 + [2]
-    stored = tables.read_buckets(spark, folder)
-    assert stored.count() == 100 and stored.where("v = 1").count() == 1
-
-
-def test_emptied_bucket_is_dropped(spark, tmp_path):
-    folder = str(tmp_path / "t")
-    keep = lambda t, s: t.unionByName(s)
-    tables.merge_buckets(spark.range(3).toDF("k"), folder, ["k"], keep, 64).unpersist()
-    gone = spark.createDataFrame([(1,)], "k long")
-    tables.merge_buckets(gone.limit(0), folder, ["k"], lambda t, s: t.join(gone, "k", "left_anti"), 64, touched_by=gone).unpersist()
-    assert sorted(r.k for r in tables.read_buckets(spark, folder).collect()) == [0, 2]
-    every = spark.range(3).toDF("k")
-    tables.merge_buckets(gone.limit(0), folder, ["k"], lambda t, s: t.join(every, "k", "left_anti"), 64, touched_by=every).unpersist()
-    assert tables.read_buckets(spark, folder).count() == 0
-
-
-def test_other_bucket_count_is_refused(spark, tmp_path):
-    folder = str(tmp_path / "t")
-    keep = lambda t, s: t.unionByName(s)
-    tables.merge_buckets(spark.range(3).toDF("k"), folder, ["k"], keep, 64).unpersist()
-    with pytest.raises(ValueError, match="64 buckets"):
-        tables.merge_buckets(spark.range(3).toDF("k"), folder, ["k"], keep, 16)
-
-
-def test_cut_off_merge_is_repeated_whole(spark, tmp_path, monkeypatch):
-    """A driver lost after writing and before the rename leaves the old state; the repeat gives the new one."""
-    folder = str(tmp_path / "t")
-    keep = lambda t, s: t.unionByName(s)
-    tables.merge_buckets(spark.range(50).toDF("k"), folder, ["k"], keep, 4).unpersist()
-    more = spark.range(50, 60).toDF("k")
-    with monkeypatch.context() as m:
-        m.setattr(tables, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
-        with pytest.raises(RuntimeError):
-            tables.merge_buckets(more, folder, ["k"], keep, 4)
-    assert tables.read_buckets(spark, folder).count() == 50
-    tables.merge_buckets(more, folder, ["k"], keep, 4).unpersist()
-    assert sorted(r.k for r in tables.read_buckets(spark, folder).collect()) == list(range(60))
-    tables.merge_buckets(spark.range(60, 99).toDF("k"), folder, ["k"], keep, 4).unpersist()
-    assert tables.expire_merges(spark, folder, 1) == 8
-    assert tables.read_buckets(spark, folder).count() == 99
-
-
 def test_sniff_reads_the_whole_first_line_and_file(spark, tmp_path):
     header = ",".join(f"a{i}" for i in range(400)) + ";" * 500
     (tmp_path / "long.txt").write_text(header + "\n1\n", encoding="utf-8")
