@@ -9,15 +9,25 @@ from pyspark.sql import functions as F
 
 from headway.functions.geo import great_circle_m
 from headway.operators.ranking import top_n_per_group
+from headway.session import settled
 
 # Metres in one degree of latitude, rounded down so that cell rings never come out short.
 DEGREE_M = 111000.0
 
 
+# Metres half way round the earth, rounded up: everything is within them.
+FARTHEST_M = 20_100_000.0
+
+
 def _cell(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(size)).cast("long")
 
 
+def _cells_around(cell_deg: float) -> int:
+    """Cells of a ring of longitudes: a whole number, so that the ring closes at 180 degrees."""
+    return max(1, int(360 // cell_deg))
+
+
 def nearest_points(
     requests: DataFrame,
     points: DataFrame,
@@ -34,23 +44,32 @@ def nearest_points(
     """The ``limit`` nearest points within ``reach_m`` of each request, with distance_m.
 
     Requests are matched to points by equality on grid cells: a request is repeated for
-    the few cells its reach can touch (more in longitude near the poles), and each point
-    stays in its one cell. Points stacked on one spot are cut to the ``limit`` least
-    ids, which is exact as they tie on distance.
+    the few cells its reach can touch (more in longitude near the poles, all where the reach
+    covers a pole), and each point stays in its one cell. Cells of longitude form a ring, so
+    those on both sides of 180 degrees are neighbours. Points stacked on one spot are cut to the
+    ``limit`` least ids, which is exact as they tie on distance.
     """
+    around = _cells_around(cell_deg)
+    width = 360.0 / around
     spots = points.where(F.col(point_lat).isNotNull() & F.col(point_lon).isNotNull() & F.col(point_id).isNotNull())
     spots = top_n_per_group(spots, [point_lat, point_lon], [F.col(point_id)], limit)
     spots = spots.withColumns(
-        {"_cy": _cell(F.col(point_lat), cell_deg), "_cx": _cell(F.col(point_lon), cell_deg)}
+        {"_cy": _cell(F.col(point_lat), cell_deg), "_cx": F.pmod(_cell(F.col(point_lon), width), F.lit(around))}
     )
     reach_lat = F.lit(reach_m / DEGREE_M)
-    # The cosine is taken at the reach's far edge, where a degree of longitude is shortest.
-    edge = F.least(F.abs(F.col(lat)) + reach_lat, F.lit(89.9))
-    reach_lon = reach_lat / F.cos(F.radians(edge))
+    # Along a parallel the reach is widest nearest to the pole: sin(half the difference) = sin(half the reach) / cos(latitude).
+    half = min(reach_m / DEGREE_M / 2, 90.0)
+    wide = F.sin(F.radians(F.lit(half))) / F.cos(F.radians(F.least(F.abs(F.col(lat)) + reach_lat, F.lit(89.9))))
+    polar = (F.abs(F.col(lat)) + reach_lat >= 89.9) | (wide >= 1)
+    reach_lon = F.when(~polar, 2 * F.degrees(F.asin(F.least(wide, F.lit(1.0)))))
+    first, last = _cell(F.col(lon) - reach_lon, width), _cell(F.col(lon) + reach_lon, width)
+    ring = F.sequence(F.lit(0).cast("long"), F.lit(around - 1).cast("long"))
+    some = F.transform(F.sequence(first, last), lambda x: F.pmod(x, F.lit(around)))
+    south, north = F.greatest(F.col(lat) - reach_lat, F.lit(-90.0)), F.least(F.col(lat) + reach_lat, F.lit(90.0))
     asked = (
         requests.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .withColumn("_cy", F.explode(F.sequence(_cell(F.col(lat) - reach_lat, cell_deg), _cell(F.col(lat) + reach_lat, cell_deg))))
-        .withColumn("_cx", F.explode(F.sequence(_cell(F.col(lon) - reach_lon, cell_deg), _cell(F.col(lon) + reach_lon, cell_deg))))
+        .withColumn("_cy", F.explode(F.sequence(_cell(south, cell_deg), _cell(north, cell_deg))))
+        .withColumn("_cx", F.explode(F.when(polar | (last - first + 1 >= around), ring).otherwise(some)))
     )
     # Rounded to the millimetre so that equal distances compare equal and ids break the tie.
     distance = F.round(great_circle_m(F.col(point_lat), F.col(point_lon), F.col(lat), F.col(lon)), 3)
@@ -60,6 +79,42 @@ def nearest_points(
     )
 
 
+def nearest_anywhere(
+    requests: DataFrame,
+    points: DataFrame,
+    request_keys: Sequence[str],
+    point_id: str,
+    limit: int,
+    first_reach_m: float = 1000.0,
+    **columns: str,
+) -> DataFrame:
+    """The ``limit`` nearest points of each request however far they are, with distance_m and near_rank.
+
+    Rings grow by doubling: a request that finds ``limit`` points within the reach has its answer, as all
+    points within the reach were compared; only the others look further, in cells that grow with
+    the reach. So a request meets at most the points within twice the distance of its last answer,
+    however far apart dense and empty regions are. Request keys are unique and not null.
+    """
+    left, reach, parts = requests, first_reach_m, []
+    while True:
+        everything = reach >= FARTHEST_M
+        near = nearest_points(left, points, request_keys, point_id, limit, reach, min(max(reach / DEGREE_M / 2, 0.001), 30.0), **columns)
+        near = settled(near, "nearest")
+        full = near.where(F.col("near_rank") == limit).select(*request_keys)
+        if everything:
+            parts.append(near)
+            break
+        parts.append(near.join(full, list(request_keys), "left_semi"))
+        left = settled(left.join(full, list(request_keys), "left_anti"), "unanswered")
+        if left.isEmpty():
+            break
+        reach *= 2
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
 def walkable_stops(near: DataFrame, walk_m: float, rank: str = "near_rank") -> DataFrame:
     """Keep stops within walking distance, else the single nearest within reach.
 

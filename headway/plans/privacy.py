@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions import clock
@@ -26,7 +26,7 @@ def person_export(users: DataFrame, subscriptions: DataFrame, notifications: Dat
 
     One record per account, subscription and notification: (user_id, subscription_id,
     notification_id) orders them so that each record follows its parent. A person with
-    very many rows stays many rows; nothing is gathered into one document.
+    very many rows stays many rows; ``person_documents`` joins them to documents.
     """
     subs = subscriptions.withColumn("created_at", clock.iso_stamp("created_at"))
     notes = notifications.withColumn("created_at", clock.iso_stamp("created_at")).withColumn(
@@ -58,25 +58,38 @@ def person_export(users: DataFrame, subscriptions: DataFrame, notifications: Dat
     return accounts.unionByName(owned).unionByName(sent)
 
 
-def person_document(users: DataFrame, subscriptions: DataFrame, notifications: DataFrame, person_id: int) -> DataFrame:
-    """One person's nested document: account, subscriptions by id, their notifications by id."""
-    mine = subscriptions.where(F.col("user_id") == person_id)
-    notes = (
-        notifications.join(mine.select(F.col("id").alias("subscription_id")), "subscription_id", "left_semi")
-        .withColumns({"notify_date": clock.iso_date("notify_date"), "created_at": clock.iso_stamp("created_at")})
-    )
-    by_subscription = notes.groupBy(F.col("subscription_id").alias("_sid")).agg(
-        F.sort_array(F.collect_list(F.struct("id", *[c for c in notes.columns if c != "id"]))).alias("notifications")
-    )
-    full = mine.withColumn("created_at", clock.iso_stamp("created_at")).join(
-        by_subscription, F.col("id") == F.col("_sid"), "left"
-    )
-    rest = [c for c in mine.columns if c != "id"]
-    nested = full.groupBy("user_id").agg(
-        F.sort_array(F.collect_list(F.struct("id", *rest, "notifications"))).alias("subscriptions")
+def person_documents(records: DataFrame) -> DataFrame:
+    """The records of person_export with the piece of JSON that each is in its person's document.
+
+    A person's pieces, in the order of (subscription_id, notification_id) with nulls first, make one nested
+    document: account, subscriptions by id, each with its notifications by id. A piece
+    knows from the records beside it which brackets it opens and closes, so no document is
+    ever held whole, however many records a person has.
+    """
+    order = Window.partitionBy("user_id").orderBy(F.col("subscription_id").asc_nulls_first(), F.col("notification_id").asc_nulls_first())
+    before, after = F.lag("record").over(order), F.lead("record").over(order)
+    own, content = F.col("record"), F.col("content")
+    opened = F.when(before.isNull(), F.when(own == "account", F.lit('{"account":')).otherwise('{"account":null,"subscriptions":['))
+    opened = opened.when((own == "subscription") & (before != "account"), F.lit("]},")).when((own == "notification") & (before == "notification"), F.lit(","))
+    body = (
+        F.when(own == "account", F.concat(content, F.lit(',"subscriptions":[')))
+        .when(own == "subscription", F.concat(F.expr("left(content, length(content) - 1)"), F.lit(',"notifications":[')))
+        .otherwise(content)
     )
-    person = users.where(F.col("id") == person_id)
-    return person.join(nested, F.col("id") == F.col("user_id"), "left").select(_account().alias("account"), "subscriptions")
+    closed = F.when(after.isNull(), F.when(own == "account", F.lit("]}")).otherwise("]}]}")).otherwise("")
+    piece = F.concat(F.coalesce(opened, F.lit("")), body, closed)
+    return records.select("user_id", "subscription_id", "notification_id", piece.alias("piece"), before.isNull().alias("first"))
+
+
+def write_documents(records: DataFrame, folder: str) -> None:
+    """Every person's document in the folder's text files, which are JSON text sequences (RFC 7464).
+
+    A document begins with a record separator and has a line for each piece. A person's records
+    are sorted within one partition and pass through it one by one.
+    """
+    pieces = person_documents(records).sortWithinPartitions("user_id", F.col("subscription_id").asc_nulls_first(), F.col("notification_id").asc_nulls_first())
+    line = F.when(F.col("first"), F.concat(F.lit("\x1e"), "piece")).otherwise(F.col("piece"))
+    pieces.select(line.alias("value")).write.text(folder)
 
 
 def rectification_outcomes(users: DataFrame, updates: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from headway.plans import analytics, privacy, quality, sketches
 from headway.queries import adapters as a
-from headway.queries.registry import Tables, query, shared, stored, view
+from headway.queries.registry import ORACLE, Tables, query, shared, stored, view
 
 
 @shared
@@ -141,6 +141,26 @@ def person_export(t: Tables) -> DataFrame:
     return privacy.person_export(users(t), subscriptions(t), notifications(t))
 
 
+@query(
+    "person_documents",
+    f"""
+WITH r AS ({ORACLE["person_export"]}),
+n AS (SELECT *, lag(record) OVER w AS before, lead(record) OVER w AS after FROM r
+      WINDOW w AS (PARTITION BY user_id ORDER BY subscription_id NULLS FIRST, notification_id NULLS FIRST))
+SELECT user_id, subscription_id, notification_id,
+       CASE WHEN before IS NULL THEN CASE record WHEN 'account' THEN '{{"account":' ELSE '{{"account":null,"subscriptions":[' END
+            WHEN record = 'subscription' AND before <> 'account' THEN ']}},' WHEN record = 'notification' AND before = 'notification' THEN ',' ELSE '' END
+       || CASE record WHEN 'account' THEN content || ',"subscriptions":[' WHEN 'subscription' THEN left(content, length(content) - 1) || ',"notifications":['
+                      ELSE content END
+       || CASE WHEN after IS NOT NULL THEN '' WHEN record = 'account' THEN ']}}' ELSE ']}}]}}' END AS piece,
+       before IS NULL AS first FROM n
+""",
+)
+def person_documents(t: Tables) -> DataFrame:
+    """Every person's nested document in pieces, in whose order it is written."""
+    return privacy.person_documents(privacy.person_export(users(t), subscriptions(t), notifications(t)))
+
+
 @shared
 def updates(t: Tables) -> DataFrame:
     """One requested change per supplier: new mails, some taken, repeated, blank or of unknown persons."""

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import clock, geo, text
+from headway.operators import search
 from headway.operators.calendars import explode_days, in_ranges
+from headway.operators.nearby import nearest_anywhere as nearest_any
 from headway.operators.ranking import dedup_subset, page
 from headway.plans import analytics, gold, recommend, silver
 from headway.queries import adapters as a
-from headway.queries.registry import Tables, query
+from headway.queries.registry import Tables, query, stored
 
 
 @query("gtfs_seconds", "SELECT trip_id, stop_sequence, arrival_time, arrival_seconds, departure_seconds FROM v_stop_times")
@@ -213,6 +215,30 @@ def text_search(t: Tables) -> DataFrame:
     )
 
 
+_ASKED = "substr(stop_name, 1 + stop_id % 7, 1 + stop_id % 5)"
+
+
+@stored
+def stop_name_index(t: Tables) -> DataFrame:
+    return search.name_index(a.dim_stops(t), "stop_id", "stop_name", "parent_station_name")
+
+
+@query(
+    "contains_search",
+    f"""
+SELECT asked, count(*) AS stops, min(stop_id) AS first_stop, max(stop_id) AS last_stop
+FROM (SELECT DISTINCT {_ASKED} AS asked FROM v_dim_stops) JOIN v_dim_stops
+ON trim(asked) <> '' AND (contains(upper(trim(stop_name)), upper(trim(asked))) OR contains(upper(trim(parent_station_name)), upper(trim(asked))))
+GROUP BY asked
+""",
+)
+def contains_search(t: Tables) -> DataFrame:
+    """Pieces of one to five letters of all stop names, each searched in all stop and station names."""
+    asked = a.dim_stops(t).select(F.expr(_ASKED).alias("asked"))
+    found = search.contains_search(asked, "asked", stop_name_index(t), "stop_id")
+    return found.groupBy("asked").agg(F.count("*").alias("stops"), F.min("stop_id").alias("first_stop"), F.max("stop_id").alias("last_stop"))
+
+
 @query("route_type_name", """
 SELECT n_nationkey, n_nationkey AS code, CASE n_nationkey WHEN 0 THEN 'tram' WHEN 1 THEN 'metro' WHEN 2 THEN 'rail'
     WHEN 3 THEN 'bus' WHEN 4 THEN 'ferry' WHEN 5 THEN 'cable_tram' WHEN 6 THEN 'aerial_lift' WHEN 7 THEN 'funicular'
@@ -288,6 +314,34 @@ def nearest_stops(t: Tables) -> DataFrame:
     return near.withColumn("distance_m", F.round("distance_m", 1))
 
 
+_NORTH, _EAST = "CAST(({0} * {1}) % 1800 AS DOUBLE) / 10 - 90", "CAST(({0} * {1}) % 3600 AS DOUBLE) / 10 - 180"
+
+
+@query(
+    "nearest_anywhere",
+    f"""
+SELECT c_custkey, s_suppkey, distance_m, CAST(near_rank AS INTEGER) AS near_rank
+FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY distance_m, s_suppkey) AS near_rank
+      FROM (SELECT c_custkey, s_suppkey, round({HAVERSINE.format('lat', 'lon', 'p_lat', 'p_lon')}, 3) AS distance_m
+            FROM (SELECT c_custkey, {_NORTH.format('c_custkey', 37)} AS lat, {_EAST.format('c_custkey', 53)} AS lon FROM customer) c,
+                 (SELECT s_suppkey, {_NORTH.format('s_suppkey', 71)} AS p_lat, {_EAST.format('s_suppkey', 97)} AS p_lon FROM supplier) s))
+WHERE near_rank <= 3
+""",
+)
+def nearest_anywhere(t: Tables) -> DataFrame:
+    """Three nearest suppliers of every customer, both spread over the whole earth, its poles and the date line."""
+
+    def spread(key: str, north: int, east: int) -> list:
+        k = F.col(key)
+        return [((k * north) % 1800).cast("double") / 10 - 90, ((k * east) % 3600).cast("double") / 10 - 180]
+
+    (lat, lon), (p_lat, p_lon) = spread("c_custkey", 37, 53), spread("s_suppkey", 71, 97)
+    people = t.customer.select("c_custkey", lat.alias("lat"), lon.alias("lon"))
+    points = t.supplier.select("s_suppkey", p_lat.alias("point_lat"), p_lon.alias("point_lon"))
+    near = nearest_any(people, points, ["c_custkey"], "s_suppkey", 3, first_reach_m=250_000.0)
+    return near.select("c_custkey", "s_suppkey", "distance_m", "near_rank")
+
+
 @query(
     "date_spine",
     """

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "headway", cores: str | int = "*", **conf: str) -> SparkSession:
@@ -51,3 +52,11 @@ def shared_folder(spark: SparkSession) -> str:
             _fallback[app] = tempfile.mkdtemp(prefix="headway-shared-")
         folder = _fallback[app]
     return folder.rstrip("/")
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: a loop's next round reads them and doesn't compute them again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/headway/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

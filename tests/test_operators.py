@@ -9,8 +9,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from headway.functions.geo import great_circle_m
+from headway.operators import search
 from headway.operators.calendars import explode_days, in_ranges
-from headway.operators.nearby import nearest_points, walkable_stops
+from headway.operators.nearby import nearest_anywhere, nearest_points, walkable_stops
 from headway.operators.ranking import (
     arg_max,
     dedup_subset,
@@ -121,6 +122,45 @@ def test_nearest_points_near_the_pole(spark, rows):
     assert rows(nearest_points(asked, points, ["person"], "stop_id", 4, 5000.0), "stop_id") == [(7,)]
 
 
+def brute_nearest(asked, points, limit):
+    distance = F.round(great_circle_m(F.col("point_lat"), F.col("point_lon"), F.col("lat"), F.col("lon")), 3)
+    order = Window.partitionBy("person").orderBy("distance_m", "stop_id")
+    every = asked.crossJoin(points).withColumn("distance_m", distance).where("lat IS NOT NULL AND point_lat IS NOT NULL")
+    return every.withColumn("near_rank", F.row_number().over(order)).where(F.col("near_rank") <= limit)
+
+
+def test_nearest_points_across_the_date_line(spark, rows):
+    asked = spark.createDataFrame([(1, 0.0, 179.99), (2, -16.8, -179.98), (3, 10.0, 180.0), (4, 10.0, -180.0)], "person int, lat double, lon double")
+    spots = [(1, 0.0, -179.99), (2, 0.0, 179.98), (3, -16.8, 179.99), (4, 10.0, -179.999), (5, 10.01, 179.99)]
+    points = spark.createDataFrame(spots, "stop_id int, point_lat double, point_lon double")
+    columns = ["person", "stop_id", "distance_m", "near_rank"]
+    found = nearest_points(asked, points, ["person"], "stop_id", 4, 5000.0)
+    assert rows(found, *columns) == rows(brute_nearest(asked, points, 4).where("distance_m <= 5000"), *columns)
+    assert found.count() == 7
+
+
+@pytest.mark.parametrize("first", [500.0, 3_000_000.0])
+def test_nearest_anywhere_matches_brute_force(spark, rows, first):
+    """A dense town, a few places over the whole earth, both poles and the date line, lone requests, null coordinates."""
+    rng = random.Random(8)
+    town = [(i, 48 + rng.random() / 10, 2 + rng.random() / 10) for i in range(80)]
+    world = [(100 + i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(25)] + [(200, 90.0, 0.0), (201, -89.99, 77.0), (202, 5.0, 180.0), (203, 5.0, -179.9), (204, None, 1.0)]
+    people = [(i, 48 + rng.random() / 10, 2 + rng.random() / 10) for i in range(10)]
+    people += [(50 + i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(15)] + [(90, 89.95, -120.0), (91, -90.0, 0.0), (92, 5.0, -180.0), (93, -35.0, 140.0), (94, None, None)]
+    asked = spark.createDataFrame(people, "person int, lat double, lon double")
+    points = spark.createDataFrame(town + world, "stop_id int, point_lat double, point_lon double")
+    columns = ["person", "stop_id", "distance_m", "near_rank"]
+    assert rows(nearest_anywhere(asked, points, ["person"], "stop_id", 3, first), *columns) == rows(brute_nearest(asked, points, 3), *columns)
+
+
+def test_nearest_anywhere_of_too_few_points(spark, rows):
+    asked = spark.createDataFrame([(1, 0.0, 0.0), (2, 10.0, 170.0)], "person int, lat double, lon double")
+    points = spark.createDataFrame([(7, -60.0, -20.0), (8, 60.0, 175.0)], "stop_id int, point_lat double, point_lon double")
+    found = nearest_anywhere(asked, points, ["person"], "stop_id", 5, 10_000_000.0)
+    assert rows(found, "person", "stop_id", "near_rank") == [(1, 7, 1), (1, 8, 2), (2, 7, 2), (2, 8, 1)]
+    assert nearest_anywhere(asked, points.limit(0), ["person"], "stop_id", 5, 10_000_000.0).isEmpty()
+
+
 def test_walking_rule(spark, rows):
     near = spark.createDataFrame(
         [(1, 900.0, 1), (1, 1400.0, 2), (1, 1600.0, 3), (2, 2000.0, 1), (2, 2100.0, 2)],
@@ -157,3 +197,23 @@ def test_shared_folder_is_required_on_a_cluster(spark):
         shared_folder(session("spark://host:7077"))
     assert shared_folder(session("yarn", "hdfs://a/b/")) == "hdfs://a/b"
     assert shared_folder(session("local[4]"))
+
+
+def test_contains_search_matches_brute_force(spark, rows):
+    rng = random.Random(6)
+    names = [(i, "".join(rng.choices("ab é", k=rng.randint(0, 9))), "".join(rng.choices("abC%_", k=rng.randint(0, 6)))) for i in range(120)]
+    names += [(200, None, "Gare"), (201, " gare du nord ", None), (202, None, None), (200, "x", "gare")]
+    asked = ["".join(rng.choices("abc é", k=rng.randint(1, 6))) for _ in range(80)] + ["GARE", " gare ", "re du no", "%", "b_", "", "  ", None, "nowhere", "É"]
+    stops = spark.createDataFrame(names, "stop int, own string, station string")
+    texts = spark.createDataFrame([(x,) for x in asked], "asked string")
+    index = search.name_index(stops, "stop", "own", "station")
+    hit = F.coalesce(contains_term_column("own"), F.lit(False)) | F.coalesce(contains_term_column("station"), F.lit(False))
+    brute = texts.distinct().where(F.trim("asked") != "").crossJoin(stops).where(hit).select("asked", "stop").distinct()
+    found = search.contains_search(texts, "asked", index, "stop")
+    assert rows(found, "asked", "stop") == rows(brute, "asked", "stop")
+    assert {r.asked for r in found.collect()} >= {"GARE", " gare ", "re du no", "É"}
+    assert search.contains_search(texts, "asked", search.name_index(stops.limit(0), "stop", "own"), "stop").isEmpty()
+
+
+def contains_term_column(c):
+    return F.contains(F.upper(F.trim(c)), F.upper(F.trim("asked")))

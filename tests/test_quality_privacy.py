@@ -97,10 +97,29 @@ def test_export_holds_no_password(accounts):
     assert account["email"] == "a@x.org" and account["created_at"] == "2025-01-10T00:00:00"
 
 
-def test_document_is_nested_in_order(accounts):
-    (row,) = privacy.person_document(*accounts, person_id=1).collect()
-    assert [s.id for s in row.subscriptions] == [10, 11]
-    assert [n.id for n in row.subscriptions[0].notifications] == [100, 101]
+def test_documents_are_nested_in_order(accounts, tmp_path):
+    privacy.write_documents(privacy.person_export(*accounts), str(tmp_path / "d"))
+    lines = [json.loads(x) for f in (tmp_path / "d").glob("part-*") for x in f.read_text().split("\x1e") if x]
+    found = {d["account"]["id"] if d["account"] else None: d for d in lines}
+    assert len(lines) == len(found) == accounts[0].count() + 1  # and one owner without an account
+    first = found[1]
+    assert first["account"]["email"] == "a@x.org" and "password_hash" not in first["account"]
+    assert [s["id"] for s in first["subscriptions"]] == [10, 11]
+    assert [[n["id"] for n in s["notifications"]] for s in first["subscriptions"]] == [[100, 101], []]
+    assert all(n["subscription_id"] == s["id"] for d in lines for s in d["subscriptions"] for n in s["notifications"])
+    assert found[None]["subscriptions"]
+
+
+def test_a_person_of_very_many_records(spark, accounts, tmp_path):
+    """A quarter of a million records of one person become one document; its pieces are no longer than its records."""
+    users, subs, notes = accounts
+    many = spark.range(1000, 251_000).select("id", F.lit(10).cast("long").alias("subscription_id"), *[F.lit(None).cast(notes.schema[c].dataType).alias(c) for c in notes.columns[2:]])
+    records = privacy.person_export(users, subs, notes.unionByName(many.select(*notes.columns)))
+    assert privacy.person_documents(records).agg(F.max(F.length("piece"))).first()[0] < 500
+    privacy.write_documents(records, str(tmp_path / "d"))
+    lines = [x for f in (tmp_path / "d").glob("part-*") for x in f.read_text().split("\x1e")]
+    longest = json.loads(max(lines, key=len))
+    assert [n["id"] for n in longest["subscriptions"][0]["notifications"]] == [100, 101, *range(1000, 251_000)]
 
 
 def test_rectification(spark, accounts):
