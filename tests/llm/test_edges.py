@@ -89,6 +89,11 @@ def test_templates(spark, odd):
     assert by_id(templates.drop_templates(many), "n_dropped") == [(0, 0), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 0), (None, 0)]
 
 
+def test_templates_generalise_the_fourth_token(spark):
+    docs = spark.createDataFrame([(i, f"own line {'x' * i} here\nPosted by user Name{'abcdefghijklmnopqrst'[i]} on the forum page today") for i in range(20)], "doc_id long, text string")
+    assert by_id(templates.drop_templates(docs), "n_dropped") == [(0, 0)] + [(i, 1) for i in range(1, 20)]
+
+
 def test_passages(odd):
     rows = passages.shared_passages(odd).collect()
     assert {frozenset((r.doc_id, r.kept_id)) for r in rows} == {frozenset((6, 7))}
