@@ -91,7 +91,7 @@ def test_templates(spark, odd):
 
 def test_templates_generalise_the_fourth_token(spark):
     docs = spark.createDataFrame([(i, f"own line {'x' * i} here\nPosted by user Name{'abcdefghijklmnopqrst'[i]} on the forum page today") for i in range(20)], "doc_id long, text string")
-    assert by_id(templates.drop_templates(docs), "n_dropped") == [(0, 0)] + [(i, 1) for i in range(1, 20)]
+    assert by_id(templates.drop_templates(docs), "n_dropped") == sorted([(0, 0)] + [(i, 1) for i in range(1, 20)], key=repr)
 
 
 def test_passages(odd):
