@@ -8,8 +8,13 @@ subsequence and the shared ones are deleted, being the host's furniture.
 
 Not every shared block is that: copies and quotations lie in articles of one host too. So a
 block of prose inside an element that the page itself marks as its article stays; shared
-blocks go where the page marks none, or where a block is mostly links. A page that shares all
-it has keeps it. If a page marks an article, what lies outside is not part of it.
+blocks go where the page marks none, where a block is mostly links, and where the name of an
+enclosing element only hints at furniture (``promo-autumn``). A page that shares all it has
+keeps it. If the marked article holds half of the page's prose or more, what lies outside is
+not part of it; with less it is taken for a teaser, and the page for one that marks none.
+
+A name tells furniture if all its parts are such words or words of layout (``nav-bar``,
+``cookieNotice``), and hints at it if only some are (``social-history``).
 
 Defined cases: null and empty pages give an empty text; a null url is of the empty host; equal
 urls and repeated rows are neighbours and may be paired; a page alone on its host has nothing
@@ -42,6 +47,14 @@ TOLD = set(
     "popup modal overlay subscribe subscription newsletter signup login share sharing social comment comments reply replies respond disqus "
     "related recommended recommendations pagination pager skip search searchbox copyright disclaimer alert tracking".split()
 )
+LAYOUT = set(
+    "area areas author authors bar bars body block blocks bottom box boxes button buttons card cards col collapse column container content "
+    "count date desktop entry feed fixed floating form global group header heading icon icons image images info inner inline item items label "
+    "large left level line link links list lists main meta mobile module news outer page pages panel post posts primary region right row "
+    "secondary section single site slot small stack sticky stories story strip tab tabs tag tags text thread title top unit user users view "
+    "wrap wrapper zone active article articles".split()
+)
+COMMENTING = {"comment", "comments", "reply", "replies", "respond", "disqus"}
 STATES = ("has-", "no-", "with-", "is-", "js-")
 TOLD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -50,56 +63,78 @@ MOSTLY_LINKS = 0.5
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<raw>%s)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|"""
     r"""<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-z][^<]*\Z|[^<]++|<""" % "|".join(RAW),
-    re.S | re.I,
+    re.S | re.I | re.A,
 )
-_ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden|style|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_NAME = re.compile(r"[a-z]+")
+_ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden|style|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I | re.A)
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>?", re.I | re.A) for tag in RAW}
+
+# What the name of an element says of its being furniture.
+NOTHING, HINTED, SURE = 0, 1, 2
 
 _LINE = pa.struct([("text", pa.string()), ("open", pa.bool_())])
 
 
-def _told(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is furniture, and whether it is marked as the page's main text."""
-    main, furniture = tag in ("article", "main"), tag in FURNITURE and not (tag == "header" and in_article)
+def _named(name: str, tag: str, told: set[str]) -> int:
+    """What one class name or id says; of an article only whole words and comments are sure."""
+    if name.lower().startswith(STATES):
+        return NOTHING
+    parts = {part.lower() for part in _NAME.findall(name)}
+    if not parts & told:
+        return NOTHING
+    if tag == "article" and len(parts) > 1 and not parts & COMMENTING:
+        return HINTED
+    return SURE if all(part in told or part in LAYOUT or len(part) == 1 for part in parts) else HINTED
+
+
+def _told(tag: str, attrs: str, in_article: bool) -> tuple[int, bool]:
+    """What says that an element is furniture, and whether it is marked as the page's main text."""
+    main, sure = tag in ("article", "main"), tag in FURNITURE and not (tag == "header" and in_article)
+    hinted = False
     if attrs:
         for name, value in _ATTR.findall(attrs):
-            name, value = name.lower(), value.strip("\"'").lower()
+            name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id"):
-                named = [set(_NAME.findall(part)) for part in value.split() if not part.startswith(STATES)]
-                told = TOLD - {"header"} if in_article else TOLD
-                furniture |= tag not in ("article", "main", "body", "html") and any(told & names for names in named)
-            elif name == "role":
-                furniture |= value in TOLD_ROLES
+                if tag not in ("main", "body", "html"):
+                    found = max((_named(part, tag, TOLD - {"header"} if in_article else TOLD) for part in value.split()), default=NOTHING)
+                    sure |= found == SURE
+                    hinted |= found == HINTED
+                continue
+            value = value.lower()
+            if name == "role":
+                sure |= value in TOLD_ROLES
                 main |= value in ("main", "article")
             elif name == "itemprop":
                 main |= value == "articlebody"
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-                furniture = True
-    return furniture, main
+                sure = True
+    return SURE if sure else HINTED if hinted else NOTHING, main and not sure
 
 
 def blocks_of(page: str) -> list[tuple[str, bool]]:
     """The blocks outside furniture, in order, and whether sharing deletes them (open)."""
-    found: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture, main
+    found: list[tuple[str, bool, bool, bool]] = []  # text, marked, of links, hinted
+    stack: list[tuple[str, int, bool]] = []  # tag, furniture, main
     parts: list[str] = []
-    linked, links, furniture, main = 0, 0, 0, 0
-    lower = page.lower()
+    linked, links, furniture, hinted, main = 0, 0, 0, 0, 0
 
     def close() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text and not furniture:
-            found.append((text, bool(main), linked > MOSTLY_LINKS * len(text)))
+            found.append((text, bool(main), linked > MOSTLY_LINKS * len(text), bool(hinted)))
         parts.clear()
         linked = 0
 
     def pop() -> None:
-        nonlocal furniture, main, links
-        tag, was_furniture, was_main = stack.pop()
+        nonlocal furniture, hinted, main, links
+        tag, told, was_main = stack.pop()
         if tag in BLOCKS:
             close()
-        furniture, main, links = furniture - was_furniture, main - was_main, links - (tag == "a")
+        furniture, hinted, main, links = furniture - (told == SURE), hinted - (told == HINTED), main - was_main, links - (tag == "a")
+
+    def ends(tag: str) -> bool:
+        return re.compile(rf"</{re.escape(tag)}", re.I | re.A).search(page, at) is not None
 
     at = 0
     while at < len(page):
@@ -108,7 +143,7 @@ def blocks_of(page: str) -> list[tuple[str, bool]]:
         if token["raw"]:
             tag = token["raw"].lower()
             if not token[0].endswith("/>"):
-                end = re.compile(rf"</{tag}\b[^>]*>?").search(lower, at)
+                end = _ENDS[tag].search(page, at)
                 at = end.end() if end else (len(page) if tag != "head" else at)
             parts.append(" ")
         elif token["tag"]:
@@ -124,7 +159,7 @@ def blocks_of(page: str) -> list[tuple[str, bool]]:
             if tag in BLOCKS:
                 close()
                 if tag in ("article", "main"):  # an element that is never closed ends here
-                    while any(f and lower.find(f"</{t}", at) < 0 for t, f, _ in stack):
+                    while any(told == SURE and not ends(t) for t, told, _ in stack):
                         pop()
                 if stack and any(t == "p" for t, _, _ in stack[-4:]) and tag not in ("tr",):
                     while any(t == "p" for t, _, _ in stack[-4:]):
@@ -138,11 +173,11 @@ def blocks_of(page: str) -> list[tuple[str, bool]]:
             if tag in VOID or token["attrs"].endswith("/") and tag not in BLOCKS:
                 parts.append(" " if tag in ("br", "hr", "img", "wbr") else "")
                 continue
-            is_furniture, is_main = _told(tag, token["attrs"], main > 0)
-            if is_furniture and tag not in BLOCKS and parts and not furniture:
+            told, is_main = _told(tag, token["attrs"], main > 0)
+            if told == SURE and tag not in BLOCKS and parts and not furniture:
                 close()  # what stands before it in the same block isn't part of it
-            stack.append((tag, is_furniture, is_main))
-            furniture, main, links = furniture + is_furniture, main + is_main, links + (tag == "a")
+            stack.append((tag, told, is_main))
+            furniture, hinted, main, links = furniture + (told == SURE), hinted + (told == HINTED), main + is_main, links + (tag == "a")
             if tag in ("td", "th"):
                 parts.append(" ")
         elif token[0][0] != "<" or token[0] == "<":
@@ -150,9 +185,11 @@ def blocks_of(page: str) -> list[tuple[str, bool]]:
                 parts.append(token[0])
                 linked += len(token[0]) if links else 0
     close()
-    if any(marked for _, marked, _ in found):
-        return [(text, linky) for text, marked, linky in found if marked]
-    return [(text, True) for text, _, _ in found]
+    inside = sum(len(text) for text, marked, linky, _ in found if marked and not linky)
+    outside = sum(len(text) for text, marked, linky, _ in found if not marked and not linky)
+    if inside >= outside and any(marked for _, marked, _, _ in found):
+        return [(text, linky or hint) for text, marked, linky, hint in found if marked]
+    return [(text, True) for text, _, _, _ in found]
 
 
 def shared_lines(mine: list[int], other: list[int]) -> list[int]:
