@@ -104,7 +104,11 @@ top AS (SELECT leaf, place, CASE WHEN 2 * n >= total THEN token END AS token
 agreed AS (SELECT leaf, line, len(ts) AS size, count(*) FILTER (WHERE u.token = top.token) AS same
            FROM (SELECT leaf, line, ts, unnest(ts) AS token, generate_subscripts(ts, 1) AS place FROM kinds) u JOIN top USING (leaf, place)
            GROUP BY leaf, line, len(ts)),
-assigned AS (SELECT leaf, line, CASE WHEN 10 * same >= 6 * size THEN leaf ELSE leaf || chr(10) || line END AS template FROM agreed),
+rest AS (SELECT leaf, line, unnest(ts) AS token, generate_subscripts(ts, 1) AS place FROM kinds JOIN agreed USING (leaf, line) WHERE 10 * same < 6 * size),
+constants AS (SELECT leaf, place, token FROM rest GROUP BY leaf, place, token HAVING count(*) >= 5),
+held AS (SELECT leaf, line, list(place || ' ' || token ORDER BY place) AS shape FROM rest JOIN constants USING (leaf, place, token) GROUP BY leaf, line),
+assigned AS (SELECT leaf, line, CASE WHEN 10 * same >= 6 * size THEN leaf WHEN 10 * len(shape) >= 6 * size THEN leaf || repeat(chr(10), 2) || array_to_string(shape, ' ')
+                    ELSE leaf || chr(10) || line END AS template FROM agreed LEFT JOIN held USING (leaf, line)),
 spread AS (SELECT template, min(r) AS keeper FROM e JOIN assigned USING (leaf, line) GROUP BY template HAVING count(DISTINCT r) >= 5),
 gone AS (SELECT DISTINCT r, spot FROM e JOIN assigned USING (leaf, line) JOIN spread USING (template) WHERE r != keeper),
 listed AS (SELECT r, list(spot) AS gone FROM gone GROUP BY r)

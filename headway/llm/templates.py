@@ -3,9 +3,11 @@
 A line goes down a tree of fixed depth: its number of tokens, then its first three tokens,
 those with digits as one wild card. In a leaf the template has, at each place, the token that
 at least half the leaf's lines have there, else a wild card. A line that agrees with six
-tenths of it is of that template; any other line is a template of its own. Lines whose
-template occurs in five documents or more are dropped from all of them but the one with the
-least id, which keeps a copy.
+tenths of it is of that template. The leaf's other lines may hold any number of templates: there
+a token is constant at its place if five different lines or more have it there, copies counted
+once, and the constants of a line are its template if they are six tenths of its tokens. Any other line is a
+template of its own. Lines whose template occurs in five documents or more are dropped from
+all of them but the one with the least id, which keeps a copy.
 
 Everything is counted over all lines: they are first reduced to hashes, and texts are looked
 up only for lines in leaves that several documents share. Bit tables of fixed size keep other
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import bit_table, in_table_column, written
+from headway.llm.common import bit_table, in_table_column, salted_join, written
 
 DEPTH = 3
 MIN_DOCS = 5
@@ -73,10 +75,14 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shape = top.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", leading.alias("token")))).alias("shape"))
     same = F.zip_with("tokens", "shape", lambda a, b: F.coalesce((a == b["token"]).cast("int"), F.lit(0)))
     agreed = F.aggregate(same, F.lit(0), lambda total, hit: total + hit)
-    own = known.join(shape, "leaf").select("leaf", "mark", (10 * agreed >= 6 * F.size("tokens")).alias("fits"))
-    every = own.unionByName(kinds.where("NOT varied").select("leaf", "mark", F.lit(True).alias("fits")))
+    fits = 10 * agreed >= 6 * F.size("tokens")
+    judged = known.join(shape, "leaf").select("leaf", "mark", fits.alias("fits"), F.when(~fits, F.col("tokens")).alias("tokens"))
+    judged = written(judged, "judged-lines")
+    every = judged.drop("tokens").unionByName(kinds.where("NOT varied").select("leaf", "mark", F.lit(True).alias("fits")))
     template = F.when(F.col("fits"), F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.xxhash64("mark", F.lit("line")))
-    assigned = written(every.select("mark", template.alias("template")), "templates")
+    shaped = _constants(judged.where("NOT fits").drop("fits"), min_docs)
+    assigned = every.join(shaped, "mark", "left").select("mark", F.coalesce("constants", template).alias("template"))
+    assigned = written(assigned, "templates")
 
     # A line that a third of the documents have is split by the adaptive skew join.
     seen = lines.select("_doc", "doc_id", "mark").join(assigned, "mark").groupBy("template", "_doc").agg(F.min("doc_id").alias("doc_id"))
@@ -96,6 +102,21 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return whole.select(*columns).unionByName(some.select(*columns))
 
 
+def _constants(rest: DataFrame, min_lines: int) -> DataFrame:
+    """(mark, constants) of the lines whose constant tokens, with their places, are a template.
+
+    A token that very many lines of a leaf have at a place is a hot key of the join, which is salted by line.
+    """
+    crowded = rest.groupBy("leaf").count().where(F.col("count") >= min_lines).select("leaf")
+    placed = rest.join(crowded, "leaf", "left_semi").select("leaf", "mark", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token"))
+    keys = ["leaf", "place", "token"]
+    constant = placed.groupBy(*keys).agg(F.count("*").alias("lines")).where(F.col("lines") >= min_lines).drop("lines")
+    held = salted_join(placed, constant, keys, "mark", "inner").groupBy("mark").agg(
+        F.first("leaf").alias("leaf"), F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("place", "token"))).alias("held")
+    )
+    return held.where(10 * F.size("held") >= 6 * F.col("size")).select("mark", F.xxhash64("leaf", "held", F.lit("constants")).alias("constants"))
+
+
 def _flags() -> Column:
     """The lines, each with whether its number is among the dropped ones.
 

@@ -6,9 +6,10 @@ import hashlib
 import math
 import zlib
 
+import duckdb
 import pytest
 
-from headway.llm import decontaminate, html, jaccard, lm, mixing, passages, quality, sharding, stages, templates, toxicity
+from headway.llm import decontaminate, html, jaccard, lm, mixing, oracle, passages, quality, sharding, stages, templates, toxicity
 
 
 def by_id(df, *columns):
@@ -94,6 +95,22 @@ def test_templates_generalise_the_fourth_token(spark):
     assert by_id(templates.drop_templates(docs), "n_dropped") == sorted([(0, 0)] + [(i, 1) for i in range(1, 20)], key=repr)
 
 
+def test_templates_beside_a_frequent_line(spark):
+    """A leaf may hold any number of templates, and many copies of one line don't decide for the others."""
+    names = [f"Name{a}{b}" for a in "abcde" for b in "fghi"]
+    lines = ["Posted by user staff in the old archive of pages"] * 600
+    lines += [f"Posted by user {name} on our forum page again today" for name in names]
+    lines += [f"Posted by user {name} from {name[::-1]} with nine kind regards" for name in names[:10]]  # two fields
+    lines += [f"Posted by user {name} but each says another thing {name * 2}".replace("each", name[4] * 3).replace("another", name[5] * 4) for name in names[:4]]
+    docs = spark.createDataFrame([(i, f"own {'x' * i} words\n{line}") for i, line in enumerate(lines)], "doc_id long, text string").cache()
+    found = dict(by_id(templates.drop_templates(docs), "n_dropped"))
+    firsts = {0, 600, 620}
+    assert found == {i: int(i < 630 and i not in firsts) for i in range(len(lines))}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert dict((r[0], r[3]) for r in con.execute(oracle.TEMPLATES).fetchall()) == found
+
+
 def test_passages(odd):
     rows = passages.shared_passages(odd).collect()
     assert {frozenset((r.doc_id, r.kept_id)) for r in rows} == {frozenset((6, 7))}
