@@ -2,6 +2,9 @@
 
 Decisions are made on slim rows and taken back to the documents by id and text, so rows
 equal in both fare alike and other columns, whatever their names, go through unchanged.
+
+Defined cases, in all stages: without documents there are no rows; null ids, languages and
+sources are values like others; texts are taken whole, however long.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ def _matched(docs: DataFrame, keys: DataFrame, key: Column, how: str) -> DataFra
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep."""
+    """The documents that the quality rules keep: null, empty and very short texts have too few words and go."""
     key = _key("doc_id", "lang", "source")
     found = written(quality.counted(docs.select("lang", "source", "text", key.alias("key")), ["key", "lang", "source"]), "quality")
     return _matched(docs, quality.judged(found, "key").where("NOT kept").select("key"), key, "left_anti")
@@ -60,7 +63,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that aren't contaminated by the folder's benchmark."""
+    """The documents that aren't contaminated by the folder's benchmark.
+
+    Null and empty texts have no words and stay, as all documents do beside an empty benchmark.
+    """
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     key = _key("doc_id")
     found = benchmark_hits.decontamination(docs.select("text", key.alias("key")), benchmark, doc_id="key")
@@ -68,7 +74,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it, up to three times."""
+    """Every document as often as the mix takes it, up to three times.
+
+    Null and empty texts cost nothing and are taken at their source's rate; repeated rows share their copies.
+    """
     key = _key("doc_id", "source")
     found = mixing.mix(docs.select("source", "text", key.alias("key")), keep=["key"])
     taken = found.groupBy("key").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
@@ -83,5 +92,5 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row of the mix."""
+    """Shard and slot of every row of the mix; a null text counts as empty, copies are neighbours."""
     return sharding.shard(docs)

@@ -144,6 +144,38 @@ def test_stages_keep_columns(spark, odd, stage):
     assert stage(spark, odd.limit(0), "").count() == 0
 
 
+def folder_with(benchmark, tmp_path):
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_quality_stage_drops_what_the_rules_reject(spark, odd):
+    """Null, empty and short texts go, and the one whose lines are all repeated (9)."""
+    kept = by_id(stages.quality_rules(spark, odd, ""))
+    assert kept == sorted([(i,) for i in (6, 7, None, None, 8)], key=repr)
+
+
+def test_decontamination_stage(spark, odd, benchmark, tmp_path):
+    """The text that holds a benchmark passage and those equal to a short item go; null, empty and other texts stay whole."""
+    folder = folder_with(benchmark, tmp_path)
+    kept = stages.decontaminate(spark, odd, folder)
+    assert kept.columns == odd.columns and stages.decontaminate(spark, odd.limit(0), folder).count() == 0
+    assert by_id(kept) == sorted([(i,) for i in (1, 1, 2, 3, 6, 7, None, 8, 9)], key=repr)
+    whole = {(r.doc_id, r.text) for r in odd.collect()}
+    assert all((r.doc_id, r.text) in whole for r in kept.collect())
+
+
+def test_empty_benchmark_stays_without_effect(spark, odd, benchmark, tmp_path):
+    assert stages.decontaminate(spark, odd, folder_with(benchmark.limit(0), tmp_path)).count() == odd.count()
+
+
+def test_shard_stage(spark, odd):
+    rows = stages.shard(spark, odd, "").collect()
+    assert len(rows) == odd.count() and stages.shard(spark, odd.limit(0), "").count() == 0
+    assert sorted(r.shard for r in rows) == list(range(len(rows))) and {r.slot for r in rows} == {0}
+    assert sorted(r.text_crc32 for r in rows if r["size"] == 1) == [0, 0, 0]
+
+
 def test_near_duplicates_keep_one(spark, odd):
     kept = by_id(stages.near_duplicates(spark, odd, ""))
     assert kept == sorted([(1,), (1,), (2,), (3,), (4,), (6,), (None,), (None,), (8,), (9,)], key=repr)
