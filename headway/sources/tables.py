@@ -81,6 +81,27 @@ def read_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(folder)
 
 
+def audit_append(rows: DataFrame, extra: DataFrame, folder: str, partition: str | None = "ingestion_date") -> DataFrame:
+    """Self-test of a store's write path: rows go in, then an extra one; one row with the counts and the verdict.
+
+    Counts are taken from what is read again after each write, less what the folder held before.
+    """
+    spark = rows.sparkSession
+
+    def count() -> int:
+        filled = any(not name.startswith(("_", ".")) for name in _children(spark, folder))
+        return read_bronze(spark, folder).count() if filled else 0
+
+    before = count()
+    append_bronze(rows, folder, partition)
+    first = count() - before
+    append_bronze(extra, folder, partition)
+    second = count() - before
+    expected, more = rows.count(), extra.count()
+    passed = first == expected and second == expected + more
+    return spark.createDataFrame([(expected, first, second, passed)], "n_rows long, n_first long, n_second long, passed boolean")
+
+
 # --- versioned full refresh ------------------------------------------------
 
 
@@ -90,16 +111,22 @@ def versions(spark: SparkSession, folder: str) -> list[int]:
     return sorted(v for v in found if exists(spark, f"{folder}/{VERSION}{v}/_SUCCESS"))
 
 
-def publish(df: DataFrame, folder: str, partition: str | None = None) -> int:
+def _next_version(spark: SparkSession, folder: str) -> int:
+    """Beyond all that were started, whether they are complete or not."""
+    return max((int(n[len(VERSION) :]) for n in _children(spark, folder) if n.startswith(VERSION)), default=0) + 1
+
+
+def publish(df: DataFrame, folder: str, partition: str | None = None, complete: bool = True) -> int:
     """Writes a new version beside the old ones; readers switch when it is complete.
 
     The job may read the version it replaces, and a failed job leaves readers where they were.
+    A version that isn't to be complete yet waits for its mark.
     """
     spark = df.sparkSession
-    started = [int(n[len(VERSION) :]) for n in _children(spark, folder) if n.startswith(VERSION)]
-    version = max(started, default=0) + 1
+    version = _next_version(spark, folder)
     df, columns = with_partition(df, partition)
-    _writer(df, columns).mode("errorifexists").parquet(f"{folder}/{VERSION}{version}")
+    writer = _writer(df, columns).mode("errorifexists")
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", complete).parquet(f"{folder}/{VERSION}{version}")
     return version
 
 
@@ -126,16 +153,16 @@ def publish_if_valid(
 ) -> DataFrame:
     """Write, audit, publish: the staged table replaces the current one only if all checks pass.
 
-    The candidate is written first and audited as written, then published from there.
+    The candidate is written once, as a version without its mark, and audited as written; the
+    mark is all that publishes it. A rejected one stays beside the versions, unseen by readers.
     Returns the check results.
     """
     spark = staged.sparkSession
-    candidate = f"{folder}/_candidate"
-    staged.write.mode("overwrite").parquet(candidate)
-    written = spark.read.parquet(candidate)
-    results = checks(written).persist()
+    path = f"{folder}/{VERSION}{publish(staged, folder, partition, complete=False)}"
+    results = checks(spark.read.schema(with_partition(staged, partition)[0].schema).parquet(path)).persist()
     if results.where(~F.col("passed")).isEmpty():
-        publish(written, folder, partition)
+        fs, mark = _fs(spark, f"{path}/_SUCCESS")
+        fs.create(mark).close()
     return results
 
 
@@ -161,7 +188,7 @@ def compact(spark: SparkSession, folder: str, target_bytes: int, min_files: int,
     if files.n <= parts:
         return False
     df, columns = with_partition(current(spark, folder), partition)
-    version = done[-1] + 1
+    version = _next_version(spark, folder)
     # By partition value, a rebalance cuts hot values; otherwise an even split into parts.
     writer = _writer(df, columns) if columns else df.repartition(parts).write
     writer.parquet(f"{folder}/{VERSION}{version}")

@@ -105,6 +105,15 @@ def test_append_and_count(spark, tmp_path):
     assert stored.count() == 6 and stored.where("note = 'n'").count() == 1
 
 
+def test_append_audit(spark, tmp_path, rows):
+    folder = str(tmp_path / "t")
+    some = spark.range(5).withColumn("ingestion_date", F.lit("2025-01-01"))
+    extra = spark.createDataFrame([(9, "n", "2025-01-02")], "id long, note string, ingestion_date string")
+    for _ in range(2):
+        assert rows(tables.audit_append(some, extra, folder)) == [(5, 5, 6, True)]
+    assert rows(tables.audit_append(some.limit(0), extra, str(tmp_path / "u"))) == [(0, 0, 1, True)]
+
+
 def test_overwrite_touches_only_its_partitions(spark, tmp_path, rows):
     folder = str(tmp_path / "t")
     schema = "id int, ingestion_date string"
@@ -138,7 +147,9 @@ def test_publish_only_if_valid(spark, tmp_path, rows):
     tables.publish_if_valid(spark.createDataFrame([(1,)], "id int"), folder, audit)
     results = tables.publish_if_valid(spark.createDataFrame([(-1,)], "id int"), folder, audit)
     assert rows(results, "passed") == [(False,)]
-    assert rows(tables.current(spark, folder)) == [(1,)]
+    assert rows(tables.current(spark, folder)) == [(1,)] and tables.versions(spark, folder) == [1]
+    tables.publish_if_valid(spark.createDataFrame([(5,)], "id int"), folder, audit)
+    assert rows(tables.current(spark, folder)) == [(5,)] and tables.versions(spark, folder) == [1, 3]
 
 
 def test_compaction(spark, tmp_path):
