@@ -9,6 +9,7 @@ number of trips.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -19,6 +20,7 @@ from headway.functions import clock, text
 from headway.functions.measures import all_true, any_true
 from headway.operators.nearby import nearest_points, walkable_stops
 from headway.operators.ranking import min_per_key, top_n_per_group
+from headway.session import settled
 
 
 @dataclass(frozen=True)
@@ -472,30 +474,25 @@ def elevator_status(availability: DataFrame) -> DataFrame:
     )
 
 
-def _items(candidates: DataFrame) -> DataFrame:
-    """Candidates with one row per line and station they use, each with its lookup key."""
+def _valued(options: DataFrame, names: str, values: DataFrame, key: str, folded: Column, at: Sequence[str] = ()) -> DataFrame:
+    """What the values of an array's names come to, once for every different array and ``at``; without those that have none.
 
-    def kind(name: str, array: str) -> Column:
-        return F.transform(array, lambda x: F.struct(F.lit(name).alias("kind"), text.name_key(x).alias("key")))
+    Options share few arrays of lines and stations. The table is written, so that its size is
+    known when options meet it.
+    """
+    lists = options.select(names, *at).distinct()
+    items = lists.select("*", F.explode(names).alias("_name")).withColumn(key, text.name_key("_name"))
+    return settled(items.join(values, [key, *at]).groupBy(names, *at).agg(folded), f"values_of_{names}")
 
-    every = F.concat(kind("line", "lines"), kind("station", "stations"), kind("change", "transfer_stations"))
-    return candidates.withColumn("_item", F.explode(every)).select(
-        *candidates.columns, F.col("_item.kind").alias("_kind"), F.col("_item.key").alias("_key")
-    )
 
-
-def _lookup(reliability: DataFrame, crowding: DataFrame, lifts: DataFrame, cat_jour: Column) -> DataFrame:
-    """(kind, key, hour, value): on-time share of lines, crowding of stations, working lifts of stations."""
-    any_hour = F.lit(None).cast("int")
-    of_lines = reliability.select(
-        F.lit("line").alias("_kind"),
-        F.col("line_key").alias("_key"),
-        any_hour.alias("_hour"),
-        F.col("pct_on_time").alias("_value"),
-    )
-    of_stations = crowding.where(F.col("cat_jour") == cat_jour).select(F.lit("station"), "station_key", "hour", "crowd")
-    of_lifts = lifts.select(F.lit("change"), "station_key", any_hour, "pct_available")
-    return of_lines.union(of_stations).union(of_lifts)
+def _with_walk(c: DataFrame, walk: DataFrame, stop: str) -> DataFrame:
+    """Options with the metres to or from a stop added; ``_times`` counts how often the stop is listed."""
+    keys = [*[k for k in PLACE if k in walk.columns], F.col("stop_id").alias(stop)]
+    metres = walk.groupBy(*keys).agg(F.min("distance_m").alias("_m"), F.count("*").alias("_n"))
+    on = [k for k in metres.columns if k not in ("_m", "_n")]
+    known = c.join(metres, on, "left")
+    longer = {"walking_m": F.col("walking_m") + F.coalesce("_m", F.lit(0.0)), "_times": F.col("_times") * F.coalesce("_n", F.lit(1))}
+    return known.withColumns(longer).drop("_m", "_n")
 
 
 def with_criteria(
@@ -511,82 +508,94 @@ def with_criteria(
     """Options with line reliability and station crowding; step-free ones need working lifts.
 
     ``service_day`` is the day type of the travel date. ``access``/``egress`` add walking
-    metres per (place, stop) for requests that began from coordinates.
-    All lookups are one join: an option is exploded to its lines and stations, meets one
-    table of values and is folded back by hash.
+    metres per (place or its named side, stop) for requests that began from coordinates.
+    Values are looked up once for every different array of lines or stations, and options
+    take them by the whole array: no option is repeated for its names. ``options`` are read for
+    each lookup, so callers pass a written table.
     """
-    c = options
+    today = crowding.where(F.col("cat_jour") == service_day).select("station_key", "hour", "crowd")
+    lookups = [
+        (_valued(options, "lines", reliability, "line_key", F.avg("pct_on_time").alias("_reliability")), ["lines"]),
+        (_valued(options, "stations", today, "station_key", F.sum("crowd").alias("_crowd"), ["hour"]), ["stations", "hour"]),
+        (_valued(options, "transfer_stations", lifts, "station_key", F.min("pct_available").alias("_worst_lift")), ["transfer_stations"]),
+    ]
+    c = options.withColumn("_times", F.lit(1).cast("long"))
     for walk, stop in ((access, "board_stop_id"), (egress, "alight_stop_id")):
-        if walk is not None:
-            metres = walk.select(*PLACE, F.col("stop_id").alias(stop), F.col("distance_m").alias("_m"))
-            c = c.join(metres, [*PLACE, stop], "left").withColumn(
-                "walking_m", F.col("walking_m") + F.coalesce("_m", F.lit(0.0))
-            ).drop("_m")
-    rest = [k for k in c.columns if k not in OPTION]
-    c = c.withColumn("_lines", F.xxhash64("lines"))
-    keys = [k for k in OPTION if k != "lines"] + ["_lines"]
-    values = _lookup(reliability, crowding, lifts, service_day)
-    items = _items(c).withColumn("_hour", F.when(F.col("_kind") == "station", F.col("hour")))
-    same = (
-        (items["_kind"] == values["_kind"])
-        & (items["_key"] == values["_key"])
-        & items["_hour"].eqNullSafe(values["_hour"])
-    )
-    known = items.join(values, same, "left").select(*c.columns, items["_kind"], values["_value"])
+        c = c if walk is None else _with_walk(c, walk, stop)
+    for values, keys in lookups:
+        c = c.join(values, keys, "left")
+    usable = ~(F.col("accessible_required") & (F.coalesce("_worst_lift", F.lit(100.0)) <= 0))
+    criteria = {
+        "reliability_pct": F.coalesce("_reliability", F.lit(cfg.default_reliability)),
+        "known_crowd": F.col("_crowd") * F.col("_times"),
+    }
+    return c.where(usable).select(*[k for k in c.columns if not k.startswith("_")], *[v.alias(k) for k, v in criteria.items()])
 
-    def of(kind: str) -> Column:
-        return F.when(F.col("_kind") == kind, F.col("_value"))
 
-    # An option is known by its place, stops and lines; what else it has is carried along.
-    folded = known.groupBy(*keys).agg(
-        F.any_value(F.struct("lines", *rest)).alias("_rest"),
-        F.coalesce(F.avg(of("line")), F.lit(cfg.default_reliability)).alias("reliability_pct"),
-        F.sum(of("station")).alias("known_crowd"),
-        F.min(of("change")).alias("_worst_lift"),
-    )
-    usable = ~(F.col("accessible_required") & (F.coalesce("_worst_lift", F.lit(100.0)) <= 0))
-    return folded.where(usable).select(*[k for k in keys if k != "_lines"], "_rest.*", "reliability_pct", "known_crowd")
+# Options that are alike share searches; those of one kind are allowed to the same ones.
+KIND = PLACE + ["accessible_required", "transfers"]
 
 
 def score_routes(searches: DataFrame, criteria: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
     """The top routes of each search by weighted, min-max scaled criteria.
 
-    A search may have any number of options: bounds and means are aggregates, and ranking
-    keeps the top ones of each task before its shuffle.
+    A search may have any number of options, and an option many searches. Bounds and sums are
+    aggregates of each kind of options, which searches then combine. Options meet
+    their searches only inside tasks: the first time for the best score of each of a search's lots, from
+    which follows what a top route scores at least, the second time for the options that reach it.
     """
-    return rank_scored(route_candidates(searches, criteria), cfg)
+    criteria = settled(_rounded(criteria), "criteria")
+    sums = criteria.groupBy(*KIND).agg(
+        F.sum("known_crowd").alias("_sum"),
+        F.count("known_crowd").alias("_known"),
+        *[f(c).alias(f"_{end}_{c}") for c in BOUNDED for end, f in (("low", F.min), ("high", F.max))],
+    )
+    allowed = searches.join(sums, KIND[:-1]).where(F.col("transfers") <= F.col("max_transfers"))
+    bounds = allowed.groupBy(*SEARCH).agg(
+        F.round(F.coalesce(F.try_divide(F.sum("_sum"), F.sum("_known")), F.lit(0.0)), 6).alias("_mean"),
+        *[f(f"_{end}_{c}").alias(f"_{end}_{c}") for c in BOUNDED for end, f in (("low", F.min), ("high", F.max))],
+    )
+    bounds = settled(bounds.withColumn("_search", F.monotonically_increasing_id()), "searches")
+    scored = _scored(criteria.join(bounds, KIND[:-1]).where(F.col("transfers") <= F.col("max_transfers")), cfg)
+    # The order's first three terms as one number: what has less can't come before what has more.
+    late = F.least(F.col("duration_sec").cast("long"), F.lit((1 << 31) - 1))
+    worth = (F.round((F.coalesce("score", F.lit(-1.0)) + 1) * 10000).cast("long") * 64 - F.least("transfers", F.lit(63))) * (1 << 31) - late
+    lot = F.pmod(F.xxhash64("board_stop_id", "alight_stop_id", "lines"), F.lit(LOTS))
+    best = scored.groupBy("_search", lot.alias("_lot")).agg(F.max(worth).alias("_worth")).groupBy("_search")
+    least = best.agg(F.get(F.sort_array(F.collect_list("_worth"), asc=False), F.lit(cfg.top_routes - 1)).alias("_least"))
+    bounds = settled(bounds.join(least, "_search"), "least")
+    again = _scored(criteria.join(bounds, KIND[:-1]).where(F.col("transfers") <= F.col("max_transfers")), cfg)
+    return _top_routes(again.where(F.col("_least").isNull() | (worth >= F.col("_least"))), cfg)
 
 
-def _with_search(rows: DataFrame, per_search: DataFrame) -> DataFrame:
-    """Values of a search beside each of its options."""
-    renamed = per_search.withColumnsRenamed({c: f"_s_{c}" for c in SEARCH})
-    same = F.lit(True)
-    for c in SEARCH:
-        same = same & rows[c].eqNullSafe(renamed[f"_s_{c}"])
-    return rows.join(renamed, same).drop(*[f"_s_{c}" for c in SEARCH])
+# Lots into which the options of a search are dealt: the best ones are nearly always in different lots.
+LOTS = 16
+BOUNDED = ("duration_sec", "reliability_pct", "walking_m", "known_crowd")
+
+
+def _rounded(kept: DataFrame) -> DataFrame:
+    """Criteria are rounded to six digits before scaling. The mean of equal values can be off
+    by one bit from the values, which min-max scaling would blow up to a full 0..1 step."""
+    return kept.withColumns({"reliability_pct": F.round("reliability_pct", 6), "_crowd": F.round("known_crowd", 6)})
 
 
 def rank_scored(kept: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
-    """Fill unknown crowding with the search's mean, scale, weight, round and rank.
+    """The top routes among options that stand beside their search, as ``route_candidates`` gives them."""
+    wanted = kept.select(*SEARCH).distinct()
+    options = kept.drop(*[c for c in PREFERENCES if c != "accessible_required"])
+    return score_routes(wanted, options.distinct(), cfg)
 
-    Criteria are rounded to six digits before scaling. The mean of equal values can be off
-    by one bit from the values, which min-max scaling would blow up to a full 0..1 step.
+
+def _scored(beside: DataFrame, cfg: RouteSettings) -> DataFrame:
+    """Options beside a search's bounds, with their score; unknown crowding takes the search's mean.
+
+    The mean is within the known values, so it moves no bound unless none is known.
     """
-    crowd = F.round("known_crowd", 6)
-    rounded = kept.withColumn("reliability_pct", F.round("reliability_pct", 6))
-    # One aggregate has all a search needs: the mean that unknown crowding takes is within the
-    # known values, so it moves no bound unless none is known.
-    per_search = rounded.groupBy(*SEARCH).agg(
-        F.round(F.coalesce(F.avg("known_crowd"), F.lit(0.0)), 6).alias("_mean"),
-        *[f(c).alias(f"_{end}_{c}") for c in ("duration_sec", "reliability_pct", "walking_m") for end, f in (("low", F.min), ("high", F.max))],
-        F.min(crowd).alias("_low_known"),
-        F.max(crowd).alias("_high_known"),
-    )
-    filled = _with_search(rounded, per_search).withColumns(
+    filled = beside.withColumns(
         {
-            "crowding_est": F.coalesce(crowd, "_mean"),
-            "_low_crowding_est": F.coalesce("_low_known", "_mean"),
-            "_high_crowding_est": F.coalesce("_high_known", "_mean"),
+            "crowding_est": F.coalesce("_crowd", "_mean"),
+            "_low_crowding_est": F.coalesce(F.round("_low_known_crowd", 6), "_mean"),
+            "_high_crowding_est": F.coalesce(F.round("_high_known_crowd", 6), "_mean"),
         }
     )
 
@@ -607,7 +616,7 @@ def rank_scored(kept: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
     w_crowding = F.lit(cfg.weight_crowding) * (1 + 0.5 * F.col("crowding_sensitivity"))
     w_walking = F.lit(cfg.weight_walking) * F.when(F.col("minimize_walking"), 2).otherwise(1)
     total = w_duration + w_reliability + w_crowding + w_walking
-    scored = parts.withColumn(
+    return parts.withColumn(
         "score",
         F.round(
             w_duration / total * F.col("_d")
@@ -617,6 +626,9 @@ def rank_scored(kept: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
             4,
         ),
     )
+
+
+def _top_routes(scored: DataFrame, cfg: RouteSettings) -> DataFrame:
     order = [
         F.col("score").desc(),
         F.col("transfers"),
@@ -713,13 +725,11 @@ def recommend(
         origins = stops_by_prefix(places, "origin_station", stops)
         destinations = stops_by_prefix(places, "destination_station", stops)
     else:
-        access, egress = (places.join(w, f"{side}_station") for side, w in zip(("origin", "destination"), walks, strict=True))
-        walks = [access, egress]
         origins, destinations = origins.drop("distance_m"), destinations.drop("distance_m")
     direct = direct_routes(schedule, origins, destinations, places, cfg)
     transfer = transfer_routes(schedule, walking, origins, destinations, places, cfg)
     criteria = with_criteria(
-        route_options(all_candidates(direct, transfer), cfg),
+        settled(route_options(all_candidates(direct, transfer), cfg), "options"),
         line_reliability(delays_by_stop),
         station_crowding(crowding),
         elevator_status(availability),
