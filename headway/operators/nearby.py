@@ -19,15 +19,51 @@ DEGREE_M = 111000.0
 FARTHEST_M = 20_100_000.0
 
 
-def _cell(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(size)).cast("long")
-
-
 def _cells_around(cell_deg: float) -> int:
     """Cells of a ring of longitudes: a whole number, so that the ring closes at 180 degrees."""
     return max(1, int(360 // cell_deg))
 
 
+# Metres in one degree along a great circle, rounded up so that bounds never come out short.
+DEGREE_UP_M = 111200.0
+
+# How often cells are halved where points lie close.
+LEVELS = 10
+
+
+class _Grid:
+    """Cells of the given size at level 0, of half the size at each next level."""
+
+    def __init__(self, cell_deg: float):
+        self.around = _cells_around(cell_deg)
+        self.height, self.width = cell_deg, 360.0 / self.around
+
+    def _parts(self) -> Column:
+        return F.pow(F.lit(2.0), F.col("_level"))
+
+    def ring(self) -> Column:
+        return (F.lit(self.around) * self._parts()).cast("long")
+
+    def row(self, lat: Column) -> Column:
+        return F.floor(lat / (F.lit(self.height) / self._parts())).cast("long")
+
+    def column(self, lon: Column) -> Column:
+        """The cell counted on along the parallel, not yet closed to a ring."""
+        return F.floor(lon / (F.lit(self.width) / self._parts())).cast("long")
+
+    def placed(self, rows: DataFrame, lat: str, lon: str) -> DataFrame:
+        """Every row once a level, with its cell."""
+        leveled = rows.withColumn("_level", F.explode(F.lit(list(range(LEVELS + 1)))))
+        return leveled.withColumns({"_cy": self.row(F.col(lat)), "_cx": F.pmod(self.column(F.col(lon)), self.ring())})
+
+    def farthest_m(self, lat: Column, lon: Column) -> Column:
+        """Metres from a place within which its whole cell lies: along the parallel to the farther side, then along the meridian."""
+        height, width = F.lit(self.height) / self._parts(), F.lit(self.width) / self._parts()
+        north, east = lat - self.row(lat) * height, lon - self.column(lon) * width
+        up, along = F.greatest(north, height - north), F.greatest(east, width - east)
+        return (up + along * F.cos(F.radians(lat))) * DEGREE_UP_M + 0.01
+
+
 def nearest_points(
     requests: DataFrame,
     points: DataFrame,
@@ -43,40 +79,45 @@ def nearest_points(
 ) -> DataFrame:
     """The ``limit`` nearest points within ``reach_m`` of each request, with distance_m.
 
-    Requests are matched to points by equality on grid cells: a request is repeated for
-    the few cells its reach can touch (more in longitude near the poles, all where the reach
-    covers a pole), and each point stays in its one cell. Cells of longitude form a ring, so
-    those on both sides of 180 degrees are neighbours. Points stacked on one spot are cut to the
-    ``limit`` least ids, which is exact as they tie on distance.
+    Every place asked from is answered once. Places are matched to points by equality on grid cells: a place is
+    repeated for the few cells its reach can touch (more in longitude near the poles, all where the reach
+    covers a pole). Cells of longitude form a ring, so those on both sides of 180 degrees are neighbours. The
+    grid has levels of ever smaller cells: a place whose own cell holds ``limit`` points needs to reach no
+    farther than that cell does, and looks at cells of that size, so it meets few points however
+    close they lie. Points stacked on one spot are cut to the ``limit`` least ids, which is exact
+    as they tie on distance.
     """
-    around = _cells_around(cell_deg)
-    width = 360.0 / around
-    spots = points.where(F.col(point_lat).isNotNull() & F.col(point_lon).isNotNull() & F.col(point_id).isNotNull())
-    spots = top_n_per_group(spots, [point_lat, point_lon], [F.col(point_id)], limit)
-    spots = spots.withColumns(
-        {"_cy": _cell(F.col(point_lat), cell_deg), "_cx": F.pmod(_cell(F.col(point_lon), width), F.lit(around))}
-    )
-    reach_lat = F.lit(reach_m / DEGREE_M)
+    grid = _Grid(cell_deg)
+    known = points.where(F.col(point_lat).isNotNull() & F.col(point_lon).isNotNull() & F.col(point_id).isNotNull())
+    spots = grid.placed(top_n_per_group(known, [point_lat, point_lon], [F.col(point_id)], limit), point_lat, point_lon)
+    cell = ["_level", "_cy", "_cx"]
+    full = spots.groupBy(*cell).count().where(F.col("count") >= limit).select(*cell, F.col("_level").alias("_full"))
+    places = requests.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
+    levels = grid.placed(places, "_lat", "_lon").join(full, cell, "left").groupBy("_lat", "_lon").agg(F.max("_full").alias("_full"))
+    y, x = F.col("_lat"), F.col("_lon")
+    asked = levels.withColumn("_level", F.coalesce("_full", F.lit(0)))
+    asked = asked.withColumn("_reach", F.when(F.col("_full").isNull(), F.lit(reach_m)).otherwise(F.least(F.lit(reach_m), grid.farthest_m(y, x))))
+    reach_lat = F.col("_reach") / DEGREE_M
     # Along a parallel the reach is widest nearest to the pole: sin(half the difference) = sin(half the reach) / cos(latitude).
-    half = min(reach_m / DEGREE_M / 2, 90.0)
-    wide = F.sin(F.radians(F.lit(half))) / F.cos(F.radians(F.least(F.abs(F.col(lat)) + reach_lat, F.lit(89.9))))
-    polar = (F.abs(F.col(lat)) + reach_lat >= 89.9) | (wide >= 1)
-    reach_lon = F.when(~polar, 2 * F.degrees(F.asin(F.least(wide, F.lit(1.0)))))
-    first, last = _cell(F.col(lon) - reach_lon, width), _cell(F.col(lon) + reach_lon, width)
-    ring = F.sequence(F.lit(0).cast("long"), F.lit(around - 1).cast("long"))
-    some = F.transform(F.sequence(first, last), lambda x: F.pmod(x, F.lit(around)))
-    south, north = F.greatest(F.col(lat) - reach_lat, F.lit(-90.0)), F.least(F.col(lat) + reach_lat, F.lit(90.0))
-    asked = (
-        requests.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .withColumn("_cy", F.explode(F.sequence(_cell(south, cell_deg), _cell(north, cell_deg))))
-        .withColumn("_cx", F.explode(F.when(polar | (last - first + 1 >= around), ring).otherwise(some)))
+    wide = F.sin(F.radians(F.least(reach_lat / 2, F.lit(90.0)))) / F.cos(F.radians(F.least(F.abs(y) + reach_lat, F.lit(89.9))))
+    polar = (F.abs(y) + reach_lat >= 89.9) | (wide >= 1)
+    asked = asked.withColumns({"_polar": polar, "_reach_lat": reach_lat, "_reach_lon": F.when(~polar, 2 * F.degrees(F.asin(F.least(wide, F.lit(1.0)))))})
+    # A ring of small cells would be long.
+    asked = asked.withColumn("_level", F.when(F.col("_polar"), F.lit(0)).otherwise(F.col("_level")))
+    first, last = grid.column(x - F.col("_reach_lon")), grid.column(x + F.col("_reach_lon"))
+    ring = F.sequence(F.lit(0).cast("long"), grid.ring() - 1)
+    some = F.transform(F.sequence(first, last), lambda c: F.pmod(c, grid.ring()))
+    south, north = F.greatest(y - F.col("_reach_lat"), F.lit(-90.0)), F.least(y + F.col("_reach_lat"), F.lit(90.0))
+    asked = asked.withColumn("_cy", F.explode(F.sequence(grid.row(south), grid.row(north)))).withColumn(
+        "_cx", F.explode(F.when(F.col("_polar") | (last - first + 1 >= grid.ring()), ring).otherwise(some))
     )
     # Rounded to the millimetre so that equal distances compare equal and ids break the tie.
-    distance = F.round(great_circle_m(F.col(point_lat), F.col(point_lon), F.col(lat), F.col(lon)), 3)
-    pairs = asked.join(spots, ["_cy", "_cx"]).withColumn("distance_m", distance).where(F.col("distance_m") <= reach_m)
-    return top_n_per_group(
-        pairs.drop("_cy", "_cx"), list(request_keys), [F.col("distance_m"), F.col(point_id)], limit, "near_rank"
-    )
+    distance = F.round(great_circle_m(F.col(point_lat), F.col(point_lon), y, x), 3)
+    pairs = asked.select("_lat", "_lon", "_reach", *cell).join(spots, cell).withColumn("distance_m", distance).where(F.col("distance_m") <= F.col("_reach"))
+    order = [F.col("distance_m"), F.col(point_id)]
+    near = top_n_per_group(pairs.drop("_reach", *cell), ["_lat", "_lon"], order, limit)
+    answered = requests.join(near, (F.col(lat) == y) & (F.col(lon) == x)).drop("_lat", "_lon")
+    return top_n_per_group(answered, list(request_keys), order, limit, "near_rank")
 
 
 def nearest_anywhere(
@@ -92,8 +133,7 @@ def nearest_anywhere(
 
     Rings grow by doubling: a request that finds ``limit`` points within the reach has its answer, as all
     points within the reach were compared; only the others look further, in cells that grow with
-    the reach. So a request meets at most the points within twice the distance of its last answer,
-    however far apart dense and empty regions are. Request keys are unique and not null.
+    the reach. So a request meets few points however far apart dense and empty regions are. Request keys are unique and not null.
     """
     left, reach, parts = requests, first_reach_m, []
     while True:

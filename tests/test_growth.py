@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
+from headway.operators.nearby import nearest_points
 from headway.plans import recommend
 
 
@@ -24,6 +27,23 @@ def join_rows(df) -> list[int]:
     return found
 
 
+def test_a_place_in_a_dense_town_meets_few_points(spark, rows):
+    rng = random.Random(3)
+    spots = [(i, 48 + rng.random() / 100, 2 + rng.random() / 100) for i in range(3000)]
+    people = [(i, 48 + rng.random() / 100, 2 + rng.random() / 100) for i in range(50)]
+    points = spark.createDataFrame(spots, "stop_id int, point_lat double, point_lon double")
+    near = nearest_points(spark.createDataFrame(people, "person int, lat double, lon double"), points, ["person"], "stop_id", 4, 5000.0)
+    assert near.count() == 200
+    assert max(join_rows(near)) < 50 * 300
+
+
+def test_repeated_requests_keep_their_rows(spark, rows):
+    points = spark.createDataFrame([(1, 48.0, 2.0), (2, 48.001, 2.0), (2, 48.001, 2.0)], "stop_id int, point_lat double, point_lon double")
+    asked = spark.createDataFrame([(1, 48.0, 2.0), (1, 48.0, 2.0), (2, 48.0, 2.0), (3, None, 2.0)], "person int, lat double, lon double")
+    near = nearest_points(asked, points, ["person"], "stop_id", 3, 5000.0)
+    assert rows(near, "person", "near_rank", "stop_id") == [(1, 1, 1), (1, 2, 1), (1, 3, 2), (2, 1, 1), (2, 2, 2), (2, 3, 2)]
+
+
 def many_options(spark, n):
     """Options of one place; many lines and stations have the same values."""
     i = F.col("id")
