@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from headway.operators.nearby import nearest_points
-from headway.plans import recommend
+from headway.plans import recommend, silver
 
 
 def join_rows(df) -> list[int]:
@@ -96,3 +96,11 @@ def test_only_leading_options_are_sorted_for_each_search(spark):
         same = sorted((r for r in found if all(r[c] == s[c] for c in recommend.SEARCH)), key=lambda r: r["rank"])
         assert [r.lines for r in same] == [mine[i].lines for i in order]
         assert [r.score for r in same] == [round(scores[i], 4) for i in order]
+
+
+def test_only_the_newest_batch_of_a_disruption_is_sorted(spark):
+    rows = [(f"D{i % 10}", None, i, f"m{i}") for i in range(1000)] + [("D3", 5, 993, "again"), ("E", 1, None, "no time")]
+    parsed = spark.createDataFrame(rows, "id string, last_update int, batch_time int, message string")
+    latest = silver.latest_disruptions(parsed)
+    assert max(join_rows(latest)) == 12
+    assert {r.id: r.message for r in latest.collect()} == {f"D{i}": f"m{990 + i}" for i in range(10)} | {"D3": "again", "E": "no time"}
