@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from headway.operators.nearby import nearest_points
-from headway.plans import recommend, silver
+from headway.plans import gold, recommend, silver
 
 
 def join_rows(df) -> list[int]:
@@ -104,3 +104,16 @@ def test_only_the_newest_batch_of_a_disruption_is_sorted(spark):
     latest = silver.latest_disruptions(parsed)
     assert max(join_rows(latest)) == 12
     assert {r.id: r.message for r in latest.collect()} == {f"D{i}": f"m{990 + i}" for i in range(10)} | {"D3": "again", "E": "no time"}
+
+
+def test_days_of_services_are_dealt_out_before_they_are_grouped(spark, rows):
+    """No task groups the days of the calendars it reads: these meet a hash table behind the exchange only."""
+    week = spark.range(50).select(F.col("id").cast("string").alias("service_id"), *[F.lit(1).alias(d) for d in gold.WEEKDAYS], F.lit("2024-01-01").cast("date").alias("start_date"), F.lit("2024-01-10").cast("date").alias("end_date"))
+    special = spark.createDataFrame([("1", 3, 2), ("1", 20, 1), (None, 3, 1), (None, 3, 2), ("2", 4, 1), ("2", 4, 2), ("3", 4, 7)], "service_id string, d int, exception_type int")
+    special = special.select("service_id", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d") - 1).alias("date"), "exception_type")
+    out = gold.service_calendar(week, special.unionByName(special))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.rindex("Aggregate") < plan.index("Exchange")
+    assert out.count() == 50 * 10 - 2 + 1 + 1
+    assert [r.date.day for r in out.where("service_id = '1'").orderBy("date").collect()] == [1, 2, 4, 5, 6, 7, 8, 9, 10, 20]
+    assert [r.date.day for r in out.where("service_id IS NULL").collect()] == [3]
