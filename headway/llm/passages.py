@@ -4,11 +4,15 @@ Seeds are the grams of four words (A-Z lowered) whose hash is even: a passage of
 agree word by word has runs of four and more that do, at worst ten of four words in fifty, and of ten
 grams one is a seed but for one time in a thousand. Grams of five words, the least hash of
 every sixteen in a row, are seeds too: short grams are common, and a document that has one by
-chance may come before the one that shares a passage. Every occurrence of a seed is linked
-to one document that has it, never to all others: links grow with the words, not with the square of a
-passage's copies. First the documents that a task reads together link to the least of them that has
-the seed; only those go on, as eleven bytes a seed, to the task that has all of a hash range, and link to the
-least of all. The links of a pair of documents are chained in both texts' order, a gap costing in
+chance may come before the one that shares a passage. Every occurrence of a seed is linked to the least
+document that has it, and copies of a text to their least document, place by place; the different texts of
+a seed that at most RARE of them have are all linked with each other. Seeds of more texts are common: of those,
+each makes pairs with the next NEXT in its document, NEAR to FAR words on, and the pairs are linked as seeds
+are, with each other where at most RARE_PAIR texts have one. So links grow with the words, not with the square of
+a passage's copies, and two texts whose seeds other documents have first are compared all the same; not compared, but for
+their least documents, are two that share only pairs which more than RARE_PAIR texts have, or common seeds with others between them in one
+text only. Of a batch, a mark's first texts go on, one more than are rare, as twelve bytes a seed, to the task that has all of a
+hash range; its other documents are linked in the batch. The links of a pair of documents are chained in both texts' order, a gap costing in
 proportion to its length; the best predecessor comes from a Fenwick tree of prefix maxima. Chains are then
 aligned word by word, if their seeds reach over nine words, which those of fifty words with every fifth
 changed miss once in a hundred and nearly all others never: along a diagonal between seeds, by edit steps where the diagonal shifts,
@@ -28,6 +32,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +41,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.common import batches, written
 from headway.llm.graph import components
-from headway.llm.words import LOWER, NOT_SPACE, gram_hashes, same_doc, slices, word_hashes, words_of
+from headway.llm.words import LOWER, NOT_SPACE, gram_hashes, mix, same_doc, slices, word_hashes, words_of
 
 SEED = 4
 LONG_SEED = 5
@@ -50,6 +55,10 @@ ROUND = 32
 DROP = 12
 MISS = 2
 MIN_REACH = 9
+# Texts that have a seed, or a pair of seeds: so many are linked with each other.
+RARE, RARE_PAIR = 4, 16
+NEXT = 2  # pairs that a common seed makes with those after it
+NEAR, FAR = MIN_REACH - SEED, MIN_WORDS - SEED  # words from a common seed to those it makes pairs with
 EDIT_CELLS = 1 << 18  # of a table of edit steps
 PART_BYTES = 12 << 20  # of text, whose seeds one task gathers
 
@@ -207,28 +216,138 @@ _LINK = pa.struct([("at", pa.int32()), ("to", pa.int32())])
 _LINK_SQL = "struct<at: int, to: int>"
 
 
-# A seed that goes on: 40 bits of its hash within its part, its document's number in the row's keys, its place.
-_PACKED = np.dtype([("mark", "u1", 5), ("doc", "<u2"), ("at", "<u4")])
-_LOCAL = np.dtype([("doc", "<u2"), ("hub", "<u2"), ("at", "<u4"), ("to", "<u4")])
+# A seed that goes on: 40 bits of its hash within its part, its document's number in the row's keys, its
+# place, and how many words on its second half begins (0: it has none).
+_PACKED = np.dtype([("mark", "u1", 5), ("doc", "<u2"), ("at", "<u4"), ("on", "u1")])
+# A link inside a batch; the seed's mark goes with it where the seed is common.
+_LOCAL = np.dtype([("doc", "<u2"), ("hub", "<u2"), ("at", "<u4"), ("to", "<u4"), ("mark", "<u4"), ("common", "u1")])
 
 
-def linked(mark: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Links (doc, hub, at, to) of the seeds to the least document that has each, and which seeds are that document's."""
+class Shared(NamedTuple):
+    """Occurrences in order of (mark, document, place), what each goes back to, and which text of its mark it has."""
+
+    order: np.ndarray
+    run: np.ndarray  # of each occurrence: its run, which is one document's occurrences of one mark
+    first: np.ndarray  # of each run: its first occurrence
+    group: np.ndarray  # of each run: its mark's number
+    rank: np.ndarray  # of each run: 1, 2, 3 ... in the mark's different texts by their least document, 0 for copies
+    back: np.ndarray  # of each run: the run of its text's least document, or of the mark's least document for that one
+    texts: np.ndarray  # of each mark: its different texts
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Whether each row differs from the one before it."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
+
+
+def shared(mark: np.ndarray, doc: np.ndarray, text: np.ndarray, at: np.ndarray) -> Shared:
+    """The occurrences of each mark, by its documents and their texts."""
     order = np.lexsort((at, doc, mark))
-    mark, doc, at = mark[order], doc[order], at[order]
-    new = np.ones(len(mark), bool)
-    new[1:] = mark[1:] != mark[:-1]
-    first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(mark) else np.zeros(0, np.int64)
-    other = doc != doc[first]
-    return doc[other], doc[first][other], at[other], at[first][other], order[~other]
+    new = _starts(mark[order], doc[order])
+    first = np.flatnonzero(new)
+    lead = _starts(mark[order][first])
+    group = np.cumsum(lead) - 1
+    least = np.arange(len(first))
+    several = np.flatnonzero(np.bincount(group)[group] > 1)
+    texts = text[order[first[several]]]
+    by_text = np.lexsort((texts, group[several]))  # stable, so by document where the text is the same
+    heads = _starts(group[several][by_text], texts[by_text])
+    if len(several):
+        least[several[by_text]] = several[by_text[np.flatnonzero(heads)[np.cumsum(heads) - 1]]]
+    own = least == np.arange(len(first))
+    before = np.cumsum(own) - own
+    rank = np.where(own, before + 1 - before[np.flatnonzero(lead)][group], 0) if len(first) else least
+    back = np.where(own, np.flatnonzero(lead)[group], least) if len(first) else least
+    return Shared(order, np.cumsum(new) - 1, first, group, rank, back, np.bincount(group[own]))
+
+
+def linked(s: Shared, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows (occurrence, document it links to, place there) of all but the least documents: copies link to their text's
+    least document, place by place, the others to the least document of their mark."""
+    back = s.back[s.run]
+    some = np.flatnonzero(back != s.run)
+    hub = s.first[back[some]]
+    return s.order[some], s.order[hub], np.where(s.rank[s.run[some]] == 0, at[s.order[some]], at[s.order[hub]])
+
+
+def met(s: Shared, few: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (occurrence, first occurrence) of the different texts of each mark that has at most ``few``, but for its least document's."""
+    own = np.flatnonzero((s.rank > 1) & (s.texts[s.group] <= few)) if len(s.first) else s.first
+    size = np.diff(np.append(s.first, len(s.run)))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, few - 1):
+        pair = np.flatnonzero(s.group[own[step:]] == s.group[own[: len(own) - step]])
+        if len(pair) == 0:
+            break
+        later, n = own[pair + step], size[own[pair + step]]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        left.append(np.repeat(s.first[later], n) + inside)
+        right.append(np.repeat(s.first[own[pair]], n))
+    return s.order[np.concatenate(left)], s.order[np.concatenate(right)]
+
+
+_DEALT = "part int, keys binary, texts binary, seeds binary, links binary"
+
+
+def _dealt(keys: np.ndarray, texts: np.ndarray, mark: np.ndarray, doc: np.ndarray, at: np.ndarray, on: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A batch's seeds by hash range. Of a mark the first texts go on, one more than are rare; the others and copies are linked here."""
+    s = shared(mark, doc, texts[doc], at)
+    rank, few = s.rank[s.run], RARE_PAIR if on.any() else RARE
+    stays = np.zeros(len(mark), bool)
+    stays[s.order] = (rank == 0) | (rank > few + 1)
+    common = np.zeros(len(mark), bool)
+    common[s.order] = rank > few + 1
+    own, hub, to = linked(s, at)
+    own, hub, to = own[stays[own]], hub[stays[own]], to[stays[own]]
+    near = mark // np.uint64(parts)
+    local = np.zeros(len(own), _LOCAL)
+    local["doc"], local["hub"], local["at"], local["to"] = doc[own], doc[hub], at[own], to
+    local["mark"], local["common"] = near[own] & np.uint64(0xFFFFFFFF), common[own]
+    goes = np.flatnonzero(~stays)
+    halves = on[own] > 0  # a link of two halves is two links
+    more = local[halves]
+    more["at"] += on[own][halves]
+    more["to"] += np.where(common[own], on[hub], on[own])[halves]  # copies have theirs at the same place
+    more["common"] = 0
+    local = np.concatenate([local, more])
+    part = (mark[goes] % np.uint64(parts)).astype(np.int64)
+    order = goes[np.argsort(part, kind="stable")]
+    cuts = np.searchsorted(np.sort(part), np.arange(parts + 1))
+    # Each part takes a share of the batch's own links, so that none gets them all.
+    shares = np.arange(parts + 1) * len(local) // parts
+    rows: dict[str, list] = {"part": [], "keys": [], "texts": [], "seeds": [], "links": []}
+    for p in np.flatnonzero((np.diff(cuts) > 0) | (np.diff(shares) > 0)).tolist():
+        some, links = order[cuts[p] : cuts[p + 1]], local[shares[p] : shares[p + 1]].copy()
+        named, back = np.unique(np.concatenate([doc[some], links["doc"], links["hub"]]), return_inverse=True)
+        seeds = np.zeros(len(some), _PACKED)
+        seeds["mark"] = near[some].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        seeds["doc"], seeds["at"], seeds["on"] = back[: len(some)], at[some], on[some]
+        links["doc"], links["hub"] = back[len(some) : len(some) + len(links)], back[len(some) + len(links) :]
+        rows["part"].append(p)
+        rows["keys"].append(keys[named].astype("<i8").tobytes())
+        rows["texts"].append(texts[named].astype("<i8").tobytes())
+        rows["seeds"].append(seeds.tobytes())
+        rows["links"].append(links.tobytes())
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in zip(rows, kinds, strict=True)], names=list(rows))
+
+
+def _keys(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A batch's different documents, their texts, and each row's document."""
+    keys, docs = np.unique(np.asarray(block.column("_doc")), return_inverse=True)
+    texts = np.zeros(len(keys), np.int64)
+    texts[docs] = np.asarray(block.column("_text"))
+    return keys, texts, docs
 
 
 def _seeds(keyed: DataFrame, parts: int) -> DataFrame:
-    """(part, keys, seeds, links): a row for each hash range and batch of documents, with the links inside the batch in one of them."""
+    """A row for each hash range and batch of documents, with the links inside the batch in some of them."""
 
     def find(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in batches(blocks):
-            keys, docs = np.unique(np.asarray(block.column("_doc")), return_inverse=True)
+            keys, texts, docs = _keys(block)
             marks, owners, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for piece in slices(block.column("text")):
                 data = LOWER[piece.data]
@@ -239,54 +358,84 @@ def _seeds(keyed: DataFrame, parts: int) -> DataFrame:
                 owners.append(docs[piece.first + doc])
                 at.append(places - words.first[doc])
             mark, doc, place = np.concatenate(marks), np.concatenate(owners), np.concatenate(at)
-            own, hub, link_at, link_to, chosen = linked(mark, doc, place)
-            mark, doc, place = mark[chosen], doc[chosen], place[chosen]
-            part = (mark % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(parts + 1))
-            local = np.zeros(len(own), _LOCAL)
-            local["doc"], local["hub"], local["at"], local["to"] = own, hub, link_at, link_to
-            # Each part takes a share of the batch's own links, so that none gets them all.
-            shares = np.searchsorted(np.arange(len(own)) * parts // max(1, len(own)), np.arange(parts + 1)) if len(own) else np.zeros(parts + 1, np.int64)
-            rows: dict[str, list] = {"part": [], "keys": [], "seeds": [], "links": []}
-            for p in np.flatnonzero((np.diff(cuts) > 0) | (np.diff(shares) > 0)).tolist():
-                some, links = order[cuts[p] : cuts[p + 1]], local[shares[p] : shares[p + 1]].copy()
-                named, back = np.unique(np.concatenate([doc[some], links["doc"], links["hub"]]), return_inverse=True)
-                seeds = np.zeros(len(some), _PACKED)
-                seeds["mark"] = (mark[some] // np.uint64(parts)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                seeds["doc"], seeds["at"] = back[: len(some)], place[some]
-                links["doc"], links["hub"] = back[len(some) : len(some) + len(links)], back[len(some) + len(links) :]
-                rows["part"].append(p)
-                rows["keys"].append(keys[named].astype("<i8").tobytes())
-                rows["seeds"].append(seeds.tobytes())
-                rows["links"].append(links.tobytes())
-            kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in zip(rows, kinds, strict=True)], names=list(rows))
-
-    return keyed.select("_doc", "text").mapInArrow(find, "part int, keys binary, seeds binary, links binary")
+            yield _dealt(keys, texts, mark, doc, place, np.zeros(len(mark), np.uint8), parts)
+
+    return keyed.select("_doc", "_text", "text").mapInArrow(find, _DEALT)
+
+
+def pairs_of(mark: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(mark, doc, at, on) of each seed and the next ones of its document NEAR to FAR words on; of equal pairs the first."""
+    order = np.lexsort((mark, at, doc))
+    mark, doc, at = mark[order], doc[order], at[order]
+    place = doc << 32 | at
+    found = [np.zeros((4, 0), np.uint64)]
+    for step in range(NEXT):
+        to = np.searchsorted(place, place + NEAR) + step
+        i = np.flatnonzero(to < len(place))
+        i = i[place[to[i]] - place[i] <= FAR]
+        to = to[i]
+        both = mix(mark[i] * np.uint64(0x9E3779B97F4A7C15) + mark[to]) >> np.uint64(1)
+        found.append(np.stack([both, doc[i].astype(np.uint64), at[i].astype(np.uint64), (at[to] - at[i]).astype(np.uint64)]))
+    both, doc, at, on = np.concatenate(found, 1)
+    order = np.lexsort((on, at, doc, both))
+    order = order[_starts(both[order], doc[order])]
+    return both[order], doc[order].astype(np.int64), at[order].astype(np.int64), on[order].astype(np.uint8)
+
+
+def _seed_pairs(common: DataFrame, parts: int) -> DataFrame:
+    """Rows as those of seeds, of pairs of common seeds that a document has near each other."""
+
+    def find(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in batches(blocks):
+            keys, texts, docs = _keys(block)
+            at, seeds = zip(*(_links(block, i) for i in range(block.num_rows)), strict=True)
+            owner = np.repeat(docs, [len(x) for x in at])
+            mark, doc, place, on = pairs_of(np.concatenate(seeds).astype(np.int64).view(np.uint64), owner, np.concatenate(at).astype(np.int64))
+            yield _dealt(keys, texts, mark, doc, place, on, parts)
+
+    return common.mapInArrow(find, _DEALT)
 
 
 def _gathered(part: pa.Table) -> pa.Table:
-    """Links of a hash range's seeds, and those that batches had made, as one row a pair of documents."""
-    marks, docs, at, links = [], [], [], [np.zeros((4, 0), np.int64)]
-    for keys, seeds, own in zip(*(part.column(c).to_pylist() for c in ("keys", "seeds", "links")), strict=True):
-        keys, seeds, own = np.frombuffer(keys, "<i8"), np.frombuffer(seeds, _PACKED), np.frombuffer(own, _LOCAL)
+    """Links of a hash range's seeds, and those that batches had made, as one row a pair of documents; and each document's
+    common seeds (at, mark), as a row that has its text in place of the other document."""
+    marks, docs, texts, at, on, links, common = [], [], [], [], [], [np.zeros((4, 0), np.int64)], [np.zeros((4, 0), np.int64)]
+    for keys, names, seeds, own in zip(*(part.column(c).to_pylist() for c in ("keys", "texts", "seeds", "links")), strict=True):
+        keys, names, seeds, own = np.frombuffer(keys, "<i8"), np.frombuffer(names, "<i8"), np.frombuffer(seeds, _PACKED), np.frombuffer(own, _LOCAL)
         wide = np.zeros((len(seeds), 8), np.uint8)
         wide[:, :5] = seeds["mark"]
         marks.append(wide.reshape(-1).view("<u8"))
         docs.append(keys[seeds["doc"]])
+        texts.append(names[seeds["doc"]])
         at.append(seeds["at"].astype(np.int64))
+        on.append(seeds["on"].astype(np.int64))
         links.append(np.stack([keys[own["doc"]], keys[own["hub"]], own["at"].astype(np.int64), own["to"].astype(np.int64)]))
-    links.append(np.stack(linked(np.concatenate(marks), np.concatenate(docs), np.concatenate(at))[:4]))
-    doc, hub, place, to = np.concatenate(links, 1)
-    order = np.lexsort((to, place, hub, doc))
-    doc, hub, place, to = doc[order], hub[order], place[order], to[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (hub[1:] != hub[:-1])
-    first = np.flatnonzero(new)
-    pairs = pa.StructArray.from_arrays([pa.array(place.astype(np.int32)), pa.array(to.astype(np.int32))], fields=list(_LINK))
-    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pairs)
-    return pa.table([pa.array(doc[first]), pa.array(hub[first]), lists], names=["_doc", "_hub", "links"])
+        own = own[own["common"] == 1]
+        common.append(np.stack([keys[own["doc"]], names[own["doc"]], own["at"].astype(np.int64), own["mark"].astype(np.int64)]))
+    mark, doc, text, place, more = (np.concatenate(c) for c in (marks, docs, texts, at, on))
+    s = shared(mark, doc, text, place)
+    own, hub, to = linked(s, place)
+    few = RARE_PAIR if more.any() else RARE
+    also, other = met(s, few)
+    copy = (text[own] == text[hub]) & (doc[own] != doc[hub])
+    second = np.concatenate([np.where(copy, to + more[own], to + more[hub]), place[other] + more[other]])
+    own, hub, to = np.concatenate([own, also]), np.concatenate([hub, other]), np.concatenate([to, place[other]])
+    links.append(np.stack([doc[own], doc[hub], place[own], to]))
+    halves = more[own] > 0
+    links.append(np.stack([doc[own], doc[hub], place[own] + more[own], second])[:, halves])
+    often = s.order[(s.rank[s.run] > 0) & (s.texts[s.group[s.run]] > few)] if len(mark) else s.order
+    common.append(np.stack([doc[often], text[often], place[often], (mark[often] & np.uint64(0xFFFFFFFF)).astype(np.int64)]))
+    tables = []
+    for rows, flag in ((links, False), (common, True)):
+        doc, hub, place, to = np.concatenate(rows, 1)
+        order = np.lexsort((to, place, hub, doc))
+        order = order[_starts(doc[order], hub[order], place[order], to[order])]
+        doc, hub, place, to = doc[order], hub[order], place[order], to[order]
+        first = np.flatnonzero(_starts(doc, hub))
+        pairs = pa.StructArray.from_arrays([pa.array(place.astype(np.int32)), pa.array(to.astype(np.uint32).view(np.int32))], fields=list(_LINK))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pairs)
+        tables.append(pa.table([pa.array(doc[first]), pa.array(hub[first]), lists, pa.array(np.full(len(first), flag))], names=["_doc", "_hub", "links", "common"]))
+    return pa.concat_tables(tables)
 
 
 def _links(block: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -357,12 +506,15 @@ def _aligned(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a passage: its document and words [begin, end), the kept document's that it repeats, and their component."""
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL").withColumn("_doc", F.xxhash64("doc_id", "text"))
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL").withColumns({"_doc": F.xxhash64("doc_id", "text"), "_text": F.xxhash64("text")})
     size = keyed.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
-    links = _seeds(keyed, parts).groupBy("part").applyInArrow(_gathered, f"_doc long, _hub long, links array<{_LINK_SQL}>")
+    shape = f"_doc long, _hub long, links array<{_LINK_SQL}>, common boolean"
+    links = written(_seeds(keyed, parts).groupBy("part").applyInArrow(_gathered, shape), "links")
+    common = links.where("common").groupBy("_doc", F.col("_hub").alias("_text")).agg(F.flatten(F.collect_list("links")).alias("links"))
+    further = _seed_pairs(common, parts).groupBy("part").applyInArrow(_gathered, shape)
     # A pair's links are bounded by its texts.
-    links = links.groupBy("_doc", "_hub").agg(F.flatten(F.collect_list("links")).alias("links"))
+    links = links.unionByName(further).where("NOT common").groupBy("_doc", "_hub").agg(F.flatten(F.collect_list("links")).alias("links"))
     found = links.mapInArrow(_chained, f"_doc long, _hub long, links array<{_LINK_SQL}>")
 
     def ends(field: str) -> list:

@@ -58,3 +58,23 @@ def test_long_gaps_take_no_table(spark):
     rows = [(i, f"{first} {prose(10 + i, 20_000)} {last}") for i in (1, 2)]
     (x, y) = sorted(passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=lambda r: r.begin)
     assert (x.begin, x.end, x.n_same) == (0, 6_000, 6_000) and (y.begin, y.end, y.n_same) == (26_000, 32_000, 6_000)
+
+
+def scattered(text: str, fill: int) -> str:
+    """All runs of five words of a text, in pieces of eight words in reverse order, with other words between them."""
+    words = text.split()
+    pieces = [" ".join(words[at : at + 8]) for at in range(0, len(words) - 4, 4)]
+    return " ".join(f"{prose(fill * 1000 + i, 12)} {piece}" for i, piece in enumerate(pieces[::-1]))
+
+
+@pytest.mark.parametrize("others", [12, 40])
+def test_seeds_that_other_documents_have_first(spark, others):
+    """Two documents share a passage, and a dozen or forty others have its seeds elsewhere, most of them before both."""
+    text = prose(1, 60)
+    rows = [(i, scattered(text, 10 + i)) for i in range(others)]
+    rows += [(100, f"{prose(2, 90)} {text} {prose(3, 30)}"), (101, f"{prose(4, 20)} {text}"), (102, f"{prose(4, 20)} {text}")]
+    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert {r.component_id for r in found} == {100} and {i for r in found for i in (r.doc_id, r.kept_id)} == {100, 101, 102}
+    spans = {frozenset([(r.doc_id, r.begin, r.end), (r.kept_id, r.kept_begin, r.kept_end)]) for r in found}
+    assert frozenset([(101, 0, 80), (102, 0, 80)]) in spans
+    assert {frozenset([(100, 90, 150), (i, 20, 80)]) for i in (101, 102)} & spans
