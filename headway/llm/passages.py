@@ -223,6 +223,15 @@ _PACKED = np.dtype([("mark", "u1", 5), ("doc", "<u2"), ("at", "<u4"), ("on", "u1
 _LOCAL = np.dtype([("doc", "<u2"), ("hub", "<u2"), ("at", "<u4"), ("to", "<u4"), ("mark", "<u4"), ("common", "u1")])
 
 
+def _planes(rows: np.ndarray) -> bytes:
+    """All rows' first bytes, then all second ones ...: high bytes, mostly zero, lie together and are compressed when shuffled."""
+    return rows.view(np.uint8).reshape(len(rows), rows.itemsize).T.tobytes()
+
+
+def _of_planes(data: bytes, kind: np.dtype) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T.copy().view(kind).reshape(-1)
+
+
 class Shared(NamedTuple):
     """Occurrences in order of (mark, document, place), what each goes back to, and which text of its mark it has."""
 
@@ -244,8 +253,14 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
 
 def shared(mark: np.ndarray, doc: np.ndarray, text: np.ndarray, at: np.ndarray) -> Shared:
     """The occurrences of each mark, by its documents and their texts."""
-    order = np.lexsort((at, doc, mark))
-    new = _starts(mark[order], doc[order])
+    order = np.argsort(mark)
+    ordered = mark[order]
+    # Only occurrences of marks that come again have an order among them.
+    lone = _starts(ordered)
+    again = np.flatnonzero(~(lone & np.append(lone[1:], True)[: len(mark)]))
+    some = np.sort(order[again])
+    order[again] = some[np.lexsort((at[some], doc[some], mark[some]))]
+    new = _starts(ordered, doc[order])
     first = np.flatnonzero(new)
     lead = _starts(mark[order][first])
     group = np.cumsum(lead) - 1
@@ -328,8 +343,8 @@ def _dealt(keys: np.ndarray, texts: np.ndarray, mark: np.ndarray, doc: np.ndarra
         rows["part"].append(p)
         rows["keys"].append(keys[named].astype("<i8").tobytes())
         rows["texts"].append(texts[named].astype("<i8").tobytes())
-        rows["seeds"].append(seeds.tobytes())
-        rows["links"].append(links.tobytes())
+        rows["seeds"].append(_planes(seeds))
+        rows["links"].append(_planes(links))
     kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in zip(rows, kinds, strict=True)], names=list(rows))
 
@@ -401,7 +416,7 @@ def _gathered(part: pa.Table) -> pa.Table:
     common seeds (at, mark), as a row that has its text in place of the other document."""
     marks, docs, texts, at, on, links, common = [], [], [], [], [], [np.zeros((4, 0), np.int64)], [np.zeros((4, 0), np.int64)]
     for keys, names, seeds, own in zip(*(part.column(c).to_pylist() for c in ("keys", "texts", "seeds", "links")), strict=True):
-        keys, names, seeds, own = np.frombuffer(keys, "<i8"), np.frombuffer(names, "<i8"), np.frombuffer(seeds, _PACKED), np.frombuffer(own, _LOCAL)
+        keys, names, seeds, own = np.frombuffer(keys, "<i8"), np.frombuffer(names, "<i8"), _of_planes(seeds, _PACKED), _of_planes(own, _LOCAL)
         wide = np.zeros((len(seeds), 8), np.uint8)
         wide[:, :5] = seeds["mark"]
         marks.append(wide.reshape(-1).view("<u8"))
@@ -444,23 +459,44 @@ def _links(block: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(links.field("at")), np.asarray(links.field("to"))
 
 
+def _flat(block: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Row number and places on both sides of all links of a batch."""
+    links = block.column("links")
+    pairs = links.flatten()
+    row = np.repeat(np.arange(block.num_rows), np.asarray(links.value_lengths()))
+    return row, np.asarray(pairs.field("at")).astype(np.int64), np.asarray(pairs.field("to")).astype(np.int64)
+
+
 def _chained(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in batches(blocks):
-        docs, hubs, sizes, found = [], [], [0], [np.zeros((2, 0), np.int32)]
-        for i in range(block.num_rows):
-            at, to = _links(block, i)
-            at, to = np.divmod(np.unique(at.astype(np.int64) << 32 | to), 1 << 32)
-            for chain in chains(at.tolist(), to.tolist()):
-                if min(at[chain[-1]] - at[chain[0]], to[chain[-1]] - to[chain[0]]) + SEED < MIN_REACH:
-                    continue
-                docs.append(block.column("_doc")[i].as_py())
-                hubs.append(block.column("_hub")[i].as_py())
-                sizes.append(len(chain))
-                found.append(np.stack([at[chain], to[chain]]))
+        row, at, to = _flat(block)
+        order = np.lexsort((to, at, row))
+        order = order[_starts(row[order], at[order], to[order])]
+        row, at, to = row[order], at[order], to[order]
+        first = np.flatnonzero(_starts(row))
+        last = np.append(first[1:], len(row)) - 1
+        # No chain reaches further than all links of its documents do.
+        reach = np.minimum(at[last] - at[first], np.maximum.reduceat(to, first) - np.minimum.reduceat(to, first)) + SEED
+        step = np.diff(at, prepend=0)
+        # Each link on the diagonal of the one before it, and so near that it adds to the score: they are one chain.
+        bend = (step != np.diff(to, prepend=0)) | (step >= GAIN / (2 * GAP))
+        bend[first] = False
+        far, bent = reach >= MIN_REACH, np.logical_or.reduceat(bend, first)
+        whole = np.flatnonzero(far & ~bent)
+        inside = (far & ~bent)[row]
+        rows, sizes, found = whole.tolist(), [0, *(last - first + 1)[whole].tolist()], [np.stack([at[inside], to[inside]])]
+        for i in np.flatnonzero(far & bent).tolist():
+            x, y = at[first[i] : last[i] + 1], to[first[i] : last[i] + 1]
+            for chain in chains(x.tolist(), y.tolist()):
+                if min(x[chain[-1]] - x[chain[0]], y[chain[-1]] - y[chain[0]]) + SEED >= MIN_REACH:
+                    rows.append(i)
+                    sizes.append(len(chain))
+                    found.append(np.stack([x[chain], y[chain]]))
         at, to = np.concatenate(found, 1).astype(np.int32)
         pairs = pa.StructArray.from_arrays([pa.array(at), pa.array(to)], fields=list(_LINK))
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pairs)
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(hubs, pa.int64()), lists], names=["_doc", "_hub", "links"])
+        rows = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([block.column("_doc").take(rows), block.column("_hub").take(rows), lists], names=["_doc", "_hub", "links"])
 
 
 def _segments(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -486,22 +522,86 @@ def _segments(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _inside(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows that hold so many items: each item's row, and its number in the row."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return row, np.arange(len(row)) - (np.cumsum(sizes) - sizes)[row]
+
+
+def _outwards_each(equal: np.ndarray, row: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """As ``_outwards``, for the items of many rows."""
+    score = np.cumsum(np.where(equal, 1, -MISS))
+    score -= np.append(0, score)[np.cumsum(sizes) - sizes][row]
+    lift = row * (len(equal) + 1)  # more than any score, so that a row's maxima begin anew
+    fallen = np.flatnonzero(np.maximum.accumulate(np.maximum(score, 0) + lift) - lift - score > DROP)
+    fallen = fallen[_starts(row[fallen])]
+    out = sizes.copy()
+    out[row[fallen]] = at[fallen]
+    return out
+
+
+def aligned_straight(a: np.ndarray, a_first: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_first: np.ndarray, b_size: np.ndarray, x: np.ndarray, y: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What ``align`` finds for chains on one diagonal: rows and places (row, in a, in b) of the words that match.
+
+    Each row's words begin at ``first`` of all words and are ``size``; its chain begins at (x, y) and its seeds reach over so many words.
+    """
+    n = np.minimum(x, y)
+    row, at = _inside(n)
+    back = _outwards_each(a[(a_first + x)[row] - 1 - at] == b[(b_first + y)[row] - 1 - at], row, at, n)
+    n = np.minimum(a_size - x, b_size - y) - reach
+    row, at = _inside(n)
+    ahead = _outwards_each(a[(a_first + x + reach)[row] + at] == b[(b_first + y + reach)[row] + at], row, at, n)
+    row, at = _inside(back + reach + ahead)
+    left, right = (x - back)[row] + at, (y - back)[row] + at
+    same = a[a_first[row] + left] == b[b_first[row] + right]
+    return row[same], left[same], right[same]
+
+
+def _words(block: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All rows' words, where each row's begin and how many they are."""
+    texts = block.column(name).to_pylist()
+    sizes = np.array([len(t) for t in texts], np.int64) // 4
+    return np.frombuffer(b"".join(texts), np.uint32), np.cumsum(sizes) - sizes, sizes
+
+
 def _aligned(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["begin", "end", "kept_begin", "kept_end", "n_same"]
     for block in batches(blocks, 512):
-        rows, at = [], []
-        for i, row in enumerate(block.select(["low", "kept_low", "words", "kept_words"]).to_pylist()):
-            at_links, to_links = _links(block, i)
-            links = list(zip((at_links - row["low"]).tolist(), (to_links - row["kept_low"]).tolist(), strict=True))
-            matches = align(np.frombuffer(row["words"], np.uint32), np.frombuffer(row["kept_words"], np.uint32), links)
+        row, at, to = _flat(block)
+        low, kept_low = (np.asarray(block.column(c)).astype(np.int64) for c in ("low", "kept_low"))
+        at, to = at - low[row], to - kept_low[row]
+        first = np.flatnonzero(_starts(row))
+        last = np.append(first[1:], len(row)) - 1
+        (a, a_first, a_size), (b, b_first, b_size) = _words(block, "words"), _words(block, "kept_words")
+        turned = np.logical_or.reduceat(at - to != (at - to)[first][row], first)
+        rows: list[tuple] = []
+
+        def passages(i: int, matches: np.ndarray) -> None:
             for begin, end in alike(matches):
-                (x, y), (to, kept_to) = (matches[begin] + (row["low"], row["kept_low"])).tolist(), (matches[end - 1] + (row["low"] + 1, row["kept_low"] + 1)).tolist()
-                rows.append([x, to, y, kept_to, end - begin])
-                at.append(i)
-        columns = list(zip(*rows, strict=True)) or [[] for _ in names]
+                (x, y), (far, kept_far) = matches[begin].tolist(), matches[end - 1].tolist()
+                rows.append((i, x, far + 1, y, kept_far + 1, end - begin))  # noqa: B023
+
+        some = np.flatnonzero(~turned)
+        x, y, reach = at[first[some]], to[first[some]], (at[last] - at[first])[some] + SEED
+        near, left, right = aligned_straight(a, a_first[some], a_size[some], b, b_first[some], b_size[some], x, y, reach)
+        ends = np.searchsorted(near, np.arange(len(some) + 1))
+        enough = np.flatnonzero(np.diff(ends) >= SIMILAR * MIN_WORDS)
+        begin, end = ends[enough], ends[enough + 1]
+        size = left[end - 1] + 1 - left[begin]
+        whole = (size >= MIN_WORDS) & (end - begin >= SIMILAR * size)  # all matches are one passage
+        x, y = begin[whole], end[whole] - 1
+        found = np.stack([some[enough[whole]], left[x], left[y] + 1, right[x], right[y] + 1, y + 1 - x], 1)
+        for i, f, e in zip(*(c[~whole].tolist() for c in (some[enough], begin, end)), strict=True):
+            passages(i, np.stack([left[f:e], right[f:e]], 1))
+        for i in np.flatnonzero(turned).tolist():
+            links = list(zip(at[first[i] : last[i] + 1].tolist(), to[first[i] : last[i] + 1].tolist(), strict=True))
+            passages(i, align(a[a_first[i] :][: a_size[i]], b[b_first[i] :][: b_size[i]], links))
+        columns = np.concatenate([found, np.array(rows, np.int64).reshape(-1, 6)]).T
+        owner = columns[0]
+        places = [columns[1] + low[owner], columns[2] + low[owner], columns[3] + kept_low[owner], columns[4] + kept_low[owner], columns[5]]
         owners = ["_doc", "_hub", "doc_id", "kept_id"]
-        picked = [block.column(c).take(pa.array(at, pa.int64())) for c in owners]
-        yield pa.RecordBatch.from_arrays([*picked, *(pa.array(c, pa.int64()) for c in columns)], names=[*owners, *names])
+        picked = [block.column(c).take(pa.array(owner)) for c in owners]
+        yield pa.RecordBatch.from_arrays([*picked, *(pa.array(c) for c in places)], names=[*owners, *names])
 
 
 def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from headway.llm import passages
@@ -78,3 +81,66 @@ def test_seeds_that_other_documents_have_first(spark, others):
     spans = {frozenset([(r.doc_id, r.begin, r.end), (r.kept_id, r.kept_begin, r.kept_end)]) for r in found}
     assert frozenset([(101, 0, 80), (102, 0, 80)]) in spans
     assert {frozenset([(100, 90, 150), (i, 20, 80)]) for i in (101, 102)} & spans
+
+
+def links_of(rng: random.Random) -> list[tuple[int, int]]:
+    """Links of two documents: one or a few anywhere, a run on a diagonal near or far apart, or such runs and others."""
+    at, to, out = rng.randint(0, 50), rng.randint(0, 50), []
+    for _ in range(rng.choice([1, 1, 2, 5, 20])):
+        out.append((at, to))
+        step = rng.choice([1, 2, 9, 31, 32, 33, 60])
+        at, to = at + step, to + step + rng.choice([0, 0, 0, 0, 1, -3, 40])
+    return [(x, max(0, y)) for x, y in out + [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(rng.choice([0, 0, 0, 3]))]]
+
+
+def batch_of(pairs: list, **more: pa.Array) -> pa.RecordBatch:
+    links = pa.array([[{"at": x, "to": y} for x, y in p] for p in pairs], pa.list_(passages._LINK))
+    numbers = pa.array(range(len(pairs)), pa.int64())
+    return pa.RecordBatch.from_pydict({"_doc": numbers, "_hub": numbers, "links": links, **more})
+
+
+def test_pairs_that_need_no_search_are_not_searched(monkeypatch):
+    """All rows' chains are as those of each row alone; single links and runs on one diagonal are never searched for chains."""
+    rng = random.Random(3)
+    pairs = [links_of(rng) for _ in range(3000)]
+    plain, searched = passages.chains, []
+    monkeypatch.setattr(passages, "chains", lambda left, right: searched.append(len(left)) or plain(left, right))
+    found = [(r["_doc"], [(x["at"], x["to"]) for x in r["links"]]) for b in passages._chained(iter([batch_of([[], *pairs])[1:]])) for r in b.to_pylist()]
+    want, bent = [], 0
+    for i, p in enumerate(pairs, 1):
+        p = sorted(set(p))
+        bent += any(c - a != d - b or c - a > 31 for (a, b), (c, d) in zip(p, p[1:], strict=False))
+        for chain in plain(*map(list, zip(*p, strict=True))):
+            chain = [p[j] for j in chain]
+            if min(chain[-1][k] - chain[0][k] for k in (0, 1)) + passages.SEED >= passages.MIN_REACH:
+                want.append((i, chain))
+    assert sorted(found) == sorted(want) and len(want) > 1000
+    assert 0 < len(searched) <= bent < 2500 and min(searched) > 1
+
+
+def test_chains_on_a_diagonal_are_aligned_together(monkeypatch):
+    """Many chains at once give what each of them alone gives: passages to the texts' ends, broken ones, too short ones, no match at all."""
+    rng = random.Random(5)
+    rows, want = [], []
+    for _ in range(600):
+        x, y, after, a_after = (rng.choice([0, 3, 40, 90]) for _ in range(4))
+        reach, broken = rng.choice([9, 30, 120]), rng.choice([0, 0.05, 0.15, 0.4])
+        text = [rng.randint(1, 1 << 30) for _ in range(300)]
+        a = np.array(text[100 - x : 100 + reach + after], np.uint32)
+        b = np.array([w if rng.random() > broken else 0 for w in text[100 - y : 100 + reach + a_after]], np.uint32)
+        inner = sorted({0, reach - passages.SEED, *(rng.randrange(reach - passages.SEED) for _ in range(3))})
+        links = [(x + i, y + i) for i in inner]
+        for i in inner if broken < 0.4 else []:  # seeds match, but for hashes that collide
+            b[y + i : y + i + passages.SEED] = a[x + i : x + i + passages.SEED]
+        matches = passages.align(a, b, links)
+        want += [(len(rows), *matches[f].tolist(), *(matches[e - 1] + 1).tolist(), e - f) for f, e in passages.alike(matches)]
+        rows.append((links, a.tobytes(), b.tobytes()))
+    links, a, b = zip(*rows, strict=True)
+    low = pa.array([64] * len(rows), pa.int32())
+    numbers = pa.array(range(len(rows)), pa.int64())
+    moved = [[(x + 64, y + 64) for x, y in p] for p in links]
+    block = batch_of(moved, doc_id=numbers, kept_id=numbers, low=low, kept_low=low, words=pa.array(a), kept_words=pa.array(b))
+    monkeypatch.setattr(passages, "align", None)
+    found = [r for x in passages._aligned(iter([block])) for r in x.to_pylist()]
+    assert sorted((r["_doc"], r["begin"] - 64, r["kept_begin"] - 64, r["end"] - 64, r["kept_end"] - 64, r["n_same"]) for r in found) == sorted(want)
+    assert len(want) > 200
