@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -102,6 +103,31 @@ def stops_near(requests: DataFrame, keys: list[str], stops: DataFrame, cfg: Rout
 
 # --- legs ------------------------------------------------------------------
 
+CALL = ["trip_id", "route_short_name", "route_type", "stop_id", "stop_name", "stop_sequence", "arrival_seconds", "departure_seconds"]
+
+
+def demanded_calls(schedule: DataFrame, walking: DataFrame, origins: DataFrame, destinations: DataFrame) -> DataFrame:
+    """Calls where somebody boards, alights or changes, with a mark for each such use of their stop.
+
+    Routes use a call up to four times; one join by stop marks it for all of them, and only the
+    columns that routes need go on.
+    """
+    uses = [
+        origins.select("stop_id", F.lit("origin").alias("_use")),
+        destinations.select("stop_id", F.lit("destination").alias("_use")),
+        walking.select(F.col("from_stop_id").alias("stop_id"), F.lit("leave").alias("_use")),
+        walking.select(F.col("to_stop_id").alias("stop_id"), F.lit("enter").alias("_use")),
+    ]
+    marks = [any_true(F.col("_use") == use).alias(f"at_{use}") for use in ("origin", "destination", "leave", "enter")]
+    return schedule.select(*CALL).join(reduce(DataFrame.unionByName, uses).groupBy("stop_id").agg(*marks), "stop_id")
+
+
+def _calls_at(schedule: DataFrame, use: str, stop_ids: DataFrame) -> DataFrame:
+    """Calls at the given stops; where calls are marked, those marked for that use."""
+    if f"at_{use}" in schedule.columns:
+        return schedule.where(f"at_{use}")
+    return schedule.join(stop_ids.select("stop_id").distinct(), "stop_id", "left_semi")
+
 
 def _hours_of_departure(places: DataFrame, cfg: RouteSettings) -> DataFrame:
     """Departure windows of the asked hours, cut into half hours for an equality join."""
@@ -120,8 +146,8 @@ def _hours_of_departure(places: DataFrame, cfg: RouteSettings) -> DataFrame:
 def _boardings(schedule: DataFrame, origins: DataFrame, places: DataFrame, cfg: RouteSettings) -> DataFrame:
     """Departures from demanded origin stops inside an asked hour's window."""
     departures = (
-        schedule.where(F.col("departure_seconds").isNotNull())
-        .join(origins.select("stop_id").distinct(), "stop_id", "left_semi")
+        _calls_at(schedule, "origin", origins)
+        .where(F.col("departure_seconds").isNotNull())
         .withColumn("_slot", F.floor(F.col("departure_seconds") / 1800))
     )
     inside = F.col("departure_seconds").between(F.col("_first"), F.col("_last"))
@@ -141,10 +167,10 @@ def _boardings(schedule: DataFrame, origins: DataFrame, places: DataFrame, cfg:
     )
 
 
-def _alightings(schedule: DataFrame, stop_ids: DataFrame) -> DataFrame:
+def _alightings(schedule: DataFrame, use: str, stop_ids: DataFrame) -> DataFrame:
     return (
-        schedule.where(F.col("arrival_seconds").isNotNull())
-        .join(stop_ids.select("stop_id").distinct(), "stop_id", "left_semi")
+        _calls_at(schedule, use, stop_ids)
+        .where(F.col("arrival_seconds").isNotNull())
         .select(
             "trip_id",
             F.col("stop_id").alias("alight_stop_id"),
@@ -167,23 +193,48 @@ def fastest_rides(
     demanded stops only; the minimum combines map-side before the shuffle on the pair.
     """
     boards = _boardings(schedule, origins, places, cfg)
-    alights = _alightings(schedule, destinations)
+    alights = _alightings(schedule, "destination", destinations)
     rides = boards.join(alights, "trip_id").where(
         (F.col("alight_seq") > F.col("board_seq")) & (F.col("arr") > F.col("dep"))
     )
     return rides.groupBy("hour", *RIDE).agg(F.min(F.col("arr") - F.col("dep")).alias("duration_sec"))
 
 
+# Names of a stop beyond which its legs go by the places asked from or to it.
+FEW_NAMES = 8
+
+
+def _by_names(side: DataFrame, stop: str) -> tuple[DataFrame, DataFrame | None]:
+    """The stops of names, apart where a stop has few names and where it has many, if any does.
+
+    Written, so that their size is known before the legs meet them.
+    """
+    side = side.withColumnRenamed("stop_id", stop)
+    counts = side.groupBy(stop).agg((F.count("*") > FEW_NAMES).alias("_many"))
+    marked = settled(side.join(counts, stop), f"names_by_{stop}")
+    many = marked.where("_many").drop("_many")
+    return marked.where("NOT _many").drop("_many"), None if many.isEmpty() else many
+
+
 def _demanded(legs: DataFrame, origins: DataFrame, destinations: DataFrame, places: DataFrame) -> DataFrame:
     """Legs with the (origin, destination, hour) that asked for their stop pair.
 
-    A leg takes the origins of its first stop, then only the destinations asked from there
-    at its hour, and stays if it ends at one of their stops.
+    Where both stops of a leg have few names, it takes the names of both, and those pairs stay that
+    are asked for at its hour. A stop with many names would make many pairs of which few are asked for: its legs
+    take the places asked from it (or to it) at their hour, and those stay that end (or begin) at the other stop.
     """
-    boards = origins.withColumnRenamed("stop_id", "board_stop_id")
-    alights = destinations.withColumnRenamed("stop_id", "alight_stop_id")
-    asked = legs.join(boards, "board_stop_id").join(places.select(*PLACE), ["origin_station", "hour"])
-    return asked.join(alights, ["destination_station", "alight_stop_id"])
+    few_from, many_from = _by_names(origins, "board_stop_id")
+    few_to, many_to = _by_names(destinations, "alight_stop_id")
+    asked = places.select(*PLACE)
+    found = legs.join(few_from, "board_stop_id").join(few_to, "alight_stop_id").join(asked, PLACE)
+    if many_from is not None:
+        every = few_to if many_to is None else few_to.unionByName(many_to)
+        wide = legs.join(many_from, "board_stop_id").join(asked, ["origin_station", "hour"])
+        found = found.unionByName(wide.join(every, ["destination_station", "alight_stop_id"]))
+    if many_to is not None:
+        wide = legs.join(many_to, "alight_stop_id").join(asked, ["destination_station", "hour"])
+        found = found.unionByName(wide.join(few_from, ["origin_station", "board_stop_id"]))
+    return found
 
 
 def direct_routes(
@@ -328,7 +379,7 @@ def transfer_legs(
     enter_at = walks.select(F.col("to_stop_id").alias("stop_id"))
     first = (
         _boardings(schedule, origins, places, cfg)
-        .join(_alightings(schedule, leave_at), "trip_id")
+        .join(_alightings(schedule, "leave", leave_at), "trip_id")
         .where(F.col("alight_seq") > F.col("board_seq"))
         .select(
             "hour",
@@ -344,8 +395,8 @@ def transfer_legs(
         .distinct()
     )
     starts = (
-        schedule.where(F.col("departure_seconds").isNotNull())
-        .join(enter_at.distinct(), "stop_id", "left_semi")
+        _calls_at(schedule, "enter", enter_at)
+        .where(F.col("departure_seconds").isNotNull())
         .select(
             "trip_id",
             F.col("route_short_name").alias("line2"),
@@ -357,7 +408,7 @@ def transfer_legs(
         )
     )
     second = (
-        starts.join(_alightings(schedule, destinations), "trip_id")
+        starts.join(_alightings(schedule, "destination", destinations), "trip_id")
         .where(F.col("alight_seq") > F.col("y_seq"))
         .select(
             "line2", "route_type2", "y_stop", "enter_stop", "dep_y", "alight_stop_id", "alight_stop", F.col("arr").alias("arr2")
@@ -397,9 +448,10 @@ def _strings(*cols: str) -> Column:
 
 
 def all_candidates(direct: DataFrame, transfer: DataFrame) -> DataFrame:
-    """Both route kinds in one shape."""
+    """Both route kinds in one shape, for places or, before legs have met these, for hours."""
+    place = [c for c in PLACE if c in direct.columns]
     straight = direct.select(
-        *PLACE,
+        *place,
         F.lit(0).alias("transfers"),
         _strings("line").alias("lines"),
         "board_stop_id",
@@ -413,7 +465,7 @@ def all_candidates(direct: DataFrame, transfer: DataFrame) -> DataFrame:
         F.lit(False).alias("blocked_no_elevator"),
     )
     changing = transfer.select(
-        *PLACE,
+        *place,
         F.lit(1).alias("transfers"),
         _strings("line1", "line2").alias("lines"),
         "board_stop_id",
@@ -429,16 +481,53 @@ def all_candidates(direct: DataFrame, transfer: DataFrame) -> DataFrame:
     return straight.unionByName(changing)
 
 
+def _fastest(candidates: DataFrame, cfg: RouteSettings) -> DataFrame:
+    """The fastest candidate per (board, alight, lines) once for all travellers whose it is, with ``_needs``: theirs of
+    ``accessible_required``.
+
+    The row itself is ordered, so it is held once; those that are no use without steps are kept apart, so a
+    change has two rows only where the fastest one of all is among them.
+    """
+    keys = [c for c in OPTION if c in candidates.columns and c != "accessible_required"]
+    order = ["duration_sec", "transfers", "walking_m", "stations", "transfer_stations"]
+    row = F.struct(*order, *[c for c in candidates.columns if c not in (*keys, *order, "blocked_no_elevator")])
+    steps = F.coalesce("blocked_no_elevator", F.lit(False))
+    valid = candidates.where(F.col("duration_sec") >= cfg.min_duration_sec).repartition(*keys)
+    best = valid.groupBy(*keys).agg(F.min(F.when(steps, row)).alias("_steps"), F.min(F.when(~steps, row)).alias("_free"))
+
+    def of(row: str, *needs: bool) -> Column:
+        return F.struct(F.col(row).alias("row"), F.array(*map(F.lit, needs)).alias("needs"))
+
+    apart = F.when(F.col("_free").isNull(), F.array(of("_steps", False))).when(
+        F.col("_steps") < F.col("_free"), F.array(of("_steps", False), of("_free", True))
+    )
+    kinds = best.select(*keys, F.explode(F.coalesce(apart, F.array(of("_free", False, True)))).alias("_kind"))
+    return kinds.select(*keys, "_kind.row.*", F.col("_kind.needs").alias("_needs"))
+
+
+def _for_travellers(fastest: DataFrame) -> DataFrame:
+    return fastest.withColumn("accessible_required", F.explode("_needs")).drop("_needs")
+
+
 def route_options(candidates: DataFrame, cfg: RouteSettings = DEFAULTS) -> DataFrame:
     """The fastest candidate per (board, alight, lines), for travellers with and without steps.
 
     The choice depends on the place and on ``accessible_required`` alone, so it is made
     here once per place and not once per search.
     """
-    valid = candidates.where(F.col("duration_sec") >= cfg.min_duration_sec)
-    needs = F.when(F.col("blocked_no_elevator"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
-    both = valid.withColumn("accessible_required", F.explode(needs)).drop("blocked_no_elevator")
-    return min_per_key(both, OPTION, ["duration_sec", "transfers", "walking_m", "stations", "transfer_stations"])
+    return _for_travellers(_fastest(candidates, cfg))
+
+
+def asked_options(
+    direct: DataFrame, transfer: DataFrame, origins: DataFrame, destinations: DataFrame, places: DataFrame, cfg: RouteSettings = DEFAULTS
+) -> DataFrame:
+    """The route options of every place, from legs without a change and with one.
+
+    All places of an hour choose alike between two stops, so the choice is made before legs meet places. Columns that
+    origins and destinations have beside their stops stay.
+    """
+    fastest = _fastest(all_candidates(direct, transfer), cfg)
+    return _for_travellers(_demanded(fastest, origins, destinations, places))
 
 
 def route_candidates(searches: DataFrame, options: DataFrame) -> DataFrame:
@@ -487,14 +576,18 @@ def _valued(options: DataFrame, names: str, values: DataFrame, key: str, folded:
 
 def _with_walk(c: DataFrame, walk: DataFrame, stop: str) -> DataFrame:
     """Options with the metres to or from a stop added; ``_times`` counts how often the stop is listed."""
-    keys = [*[k for k in PLACE if k in walk.columns], F.col("stop_id").alias(stop)]
-    metres = walk.groupBy(*keys).agg(F.min("distance_m").alias("_m"), F.count("*").alias("_n"))
+    keys = [*[k for k in PLACE if k in walk.columns], "stop_id"]
+    metres = _metres(walk, keys, "_m", "_n").withColumnRenamed("stop_id", stop)
     on = [k for k in metres.columns if k not in ("_m", "_n")]
     known = c.join(metres, on, "left")
     longer = {"walking_m": F.col("walking_m") + F.coalesce("_m", F.lit(0.0)), "_times": F.col("_times") * F.coalesce("_n", F.lit(1))}
     return known.withColumns(longer).drop("_m", "_n")
 
 
+def _metres(walk: DataFrame, keys: Sequence[str], metres: str, times: str) -> DataFrame:
+    return walk.groupBy(*keys).agg(F.min("distance_m").alias(metres), F.count("*").alias(times))
+
+
 def with_criteria(
     options: DataFrame,
     reliability: DataFrame,
@@ -508,7 +601,8 @@ def with_criteria(
     """Options with line reliability and station crowding; step-free ones need working lifts.
 
     ``service_day`` is the day type of the travel date. ``access``/``egress`` add walking
-    metres per (place or its named side, stop) for requests that began from coordinates.
+    metres per (place or its named side, stop) for requests that began from coordinates; ``options`` that hold
+    these already have ``_times``.
     Values are looked up once for every different array of lines or stations, and options
     take them by the whole array: no option is repeated for its names. ``options`` are read for
     each lookup, so callers pass a written table.
@@ -519,7 +613,7 @@ def with_criteria(
         (_valued(options, "stations", today, "station_key", F.sum("crowd").alias("_crowd"), ["hour"]), ["stations", "hour"]),
         (_valued(options, "transfer_stations", lifts, "station_key", F.min("pct_available").alias("_worst_lift")), ["transfer_stations"]),
     ]
-    c = options.withColumn("_times", F.lit(1).cast("long"))
+    c = options if "_times" in options.columns else options.withColumn("_times", F.lit(1).cast("long"))
     for walk, stop in ((access, "board_stop_id"), (egress, "alight_stop_id")):
         c = c if walk is None else _with_walk(c, walk, stop)
     for values, keys in lookups:
@@ -714,27 +808,33 @@ def recommend(
     Where requests have origin_lat, origin_lon, destination_lat and destination_lon, a side
     with coordinates starts or ends at the stops near them, and the walk there counts.
     """
-    walks: list[DataFrame | None] = [None, None]
-    if "origin_lat" in requests.columns:
+    pointed = "origin_lat" in requests.columns
+    if pointed:
         requests, origins = place_names(requests, stops, "origin", cfg)
         requests, destinations = place_names(requests, stops, "destination", cfg)
-        walks = [origins, destinations]
-    searches = searches_of(requests)
-    places = searches.select(*PLACE).distinct()
-    if walks[0] is None:
+    searches = settled(searches_of(requests), "searches_asked")
+    places = settled(searches.select(*PLACE).distinct(), "places")
+    if pointed:
+        origins = _metres(origins, ["origin_station", "stop_id"], "_access_m", "_access_n")
+        destinations = _metres(destinations, ["destination_station", "stop_id"], "_egress_m", "_egress_n")
+    else:
         origins = stops_by_prefix(places, "origin_station", stops)
         destinations = stops_by_prefix(places, "destination_station", stops)
-    else:
-        origins, destinations = origins.drop("distance_m"), destinations.drop("distance_m")
-    direct = direct_routes(schedule, origins, destinations, places, cfg)
-    transfer = transfer_routes(schedule, walking, origins, destinations, places, cfg)
+    origins, destinations = settled(origins, "origins"), settled(destinations, "destinations")
+    calls = settled(demanded_calls(schedule, walking, origins, destinations), "calls")
+    direct = fastest_rides(calls, origins, destinations, places, cfg)
+    transfer = transfer_legs(calls, walking, origins, destinations, places, cfg)
+    options = asked_options(direct, transfer, origins, destinations, places, cfg)
+    if pointed:
+        metres = [F.coalesce(c, F.lit(0.0)) for c in ("_access_m", "_egress_m")]
+        walked = {"walking_m": F.col("walking_m") + metres[0] + metres[1], "_times": F.col("_access_n") * F.col("_egress_n")}
+        options = options.withColumns(walked).drop("_access_m", "_access_n", "_egress_m", "_egress_n")
     criteria = with_criteria(
-        settled(route_options(all_candidates(direct, transfer), cfg), "options"),
+        settled(options, "options"),
         line_reliability(delays_by_stop),
         station_crowding(crowding),
         elevator_status(availability),
         travel_day(day, calendar),
-        *walks,
         cfg=cfg,
     )
     return score_routes(searches, criteria, cfg)

@@ -33,34 +33,42 @@ def requests(t: Tables) -> DataFrame:
     return recommend.with_hour(subscriptions(t).where("active"))
 
 
-@shared
+@stored
+def searches(t: Tables) -> DataFrame:
+    return recommend.searches_of(requests(t))
+
+
+@stored
 def places(t: Tables) -> DataFrame:
-    return requests(t).select(*recommend.PLACE).distinct()
+    return searches(t).select(*recommend.PLACE).distinct()
 
 
-@shared
+@stored
 def origins(t: Tables) -> DataFrame:
     return recommend.stops_by_prefix(places(t), "origin_station", a.dim_stops(t))
 
 
-@shared
+@stored
 def destinations(t: Tables) -> DataFrame:
     return recommend.stops_by_prefix(places(t), "destination_station", a.dim_stops(t))
 
 
 @stored
-def direct(t: Tables) -> DataFrame:
-    return recommend.direct_routes(a.schedule(t), origins(t), destinations(t), places(t))
+def demanded_calls(t: Tables) -> DataFrame:
+    return recommend.demanded_calls(a.schedule_rows(t), a.walking(t), origins(t), destinations(t))
 
 
-@stored
-def changing(t: Tables) -> DataFrame:
-    return recommend.transfer_routes(a.schedule(t), a.walking(t), origins(t), destinations(t), places(t))
+def _legs(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Legs without a change and with one."""
+    return (
+        recommend.fastest_rides(demanded_calls(t), origins(t), destinations(t), places(t)),
+        recommend.transfer_legs(demanded_calls(t), a.walking(t), origins(t), destinations(t), places(t)),
+    )
 
 
 @stored
 def options(t: Tables) -> DataFrame:
-    return recommend.route_options(recommend.all_candidates(direct(t), changing(t)))
+    return recommend.asked_options(*_legs(t), origins(t), destinations(t), places(t))
 
 
 @shared
@@ -72,7 +80,7 @@ def ranked(t: Tables) -> DataFrame:
         recommend.elevator_status(a.availability(t)),
         recommend.travel_day(a.AS_OF.date(), a.calendar(t)),
     )
-    return recommend.score_routes(recommend.searches_of(requests(t)), criteria)
+    return recommend.score_routes(searches(t), criteria)
 
 
 _PLACE = "origin_station, destination_station, hour"
@@ -213,12 +221,12 @@ WHERE rank <= 3
 
 @query("direct_routes", "SELECT * FROM v_direct")
 def direct_routes(t: Tables) -> DataFrame:
-    return direct.plan(t)
+    return recommend.direct_routes(demanded_calls(t), origins(t), destinations(t), places(t))
 
 
 @query("transfer_routes", "SELECT * FROM v_transfer")
 def transfer_routes(t: Tables) -> DataFrame:
-    return changing.plan(t)
+    return recommend.transfer_routes(demanded_calls(t), a.walking(t), origins(t), destinations(t), places(t))
 
 
 @query(
@@ -227,8 +235,7 @@ def transfer_routes(t: Tables) -> DataFrame:
 )
 def connections(t: Tables) -> DataFrame:
     """The time-band join alone: changes between lines at each walk."""
-    legs = recommend.transfer_legs(a.schedule(t), a.walking(t), origins(t), destinations(t), places(t))
-    return legs.groupBy("hour", "line1", "line2", "leave_stop", "enter_stop").agg(
+    return _legs(t)[1].groupBy("hour", "line1", "line2", "leave_stop", "enter_stop").agg(
         F.count("*").alias("pairs"), F.min("duration_sec").alias("fastest")
     )
 
@@ -248,7 +255,7 @@ SELECT {_PLACE}, {_PREFS}, transfers, board_stop_id, alight_stop_id, duration_se
 )
 def route_candidates(t: Tables) -> DataFrame:
     cols = [*recommend.SEARCH, "transfers", "board_stop_id", "alight_stop_id", "duration_sec", "walking_m"]
-    found = recommend.route_candidates(recommend.searches_of(requests(t)), options(t))
+    found = recommend.route_candidates(searches(t), options(t))
     return _joined(found.select(*cols, "lines", "transfer_stations"))
 
 
@@ -358,7 +365,7 @@ def recommend_points(t: Tables) -> DataFrame:
     """Requests from names and coordinates end to end, with the walks to and from stops."""
     asked, stops = point_requests(t), a.dim_stops(t)
     routes = recommend.recommend(
-        asked, a.schedule(t), a.walking(t), stops, a.delays_by_stop(t), a.crowding(t), a.availability(t), a.calendar(t), a.AS_OF.date()
+        asked, a.schedule_rows(t), a.walking(t), stops, a.delays_by_stop(t), a.crowding(t), a.availability(t), a.calendar(t), a.AS_OF.date()
     )
     found = recommend.routes_per_request(asked, stops, routes)
     columns = ["id", "reach", "rank", "score", "transfers", "board_stop", "alight_stop", "duration_min", "walking_m"]

@@ -141,3 +141,102 @@ def test_reliability_of_lifts_needs_no_written_outages(spark):
     reliability = adapters.reliability.plan(Tables(spark, "/root/testdata/sf0.001"))
     assert not any("/downtime/" in f for f in reliability.inputFiles())
     assert "status_reason" not in reliability._jdf.queryExecution().executedPlan().toString()
+
+
+# --- legs meet places ---------------------------------------------------------
+
+PLACES = "origin_station string, destination_station string, hour int"
+
+
+def named(spark, side, names):
+    return spark.createDataFrame(names, f"{side}_station string, stop_id int")
+
+
+def legs_of(spark, pairs):
+    rides = [(h, "A", 1, b, f"s{b}", a, f"s{a}", 600) for h, b, a in pairs]
+    return spark.createDataFrame(rides, "hour int, line string, route_type int, board_stop_id int, board_stop string, alight_stop_id int, alight_stop string, duration_sec int")
+
+
+def plain_demand(legs, origins, destinations, places):
+    return sorted((o, d, h, b, a) for h, b, a in legs for o, x in origins for d, y in destinations if x == b and y == a and (o, d, h) in places)
+
+
+def check_demand(spark, pairs, origins, destinations, places, most):
+    found = recommend._demanded(legs_of(spark, pairs), named(spark, "origin", origins), named(spark, "destination", destinations), spark.createDataFrame(places, PLACES))
+    assert max(join_rows(found)) <= most
+    got = sorted((r.origin_station, r.destination_station, r.hour, r.board_stop_id, r.alight_stop_id) for r in found.collect())
+    assert got == plain_demand(pairs, origins, destinations, set(places))
+    return got
+
+
+def test_legs_of_an_origin_with_many_destinations_meet_their_own(spark):
+    """A town asks for fifty others; a leg to one of them doesn't meet the places of all fifty."""
+    pairs = [(8, b, 100 + a) for b in range(10) for a in range(50)]
+    places = [("town", f"d{a}", h) for a in range(50) for h in (8, 9)]
+    assert len(check_demand(spark, pairs, [("town", b) for b in range(10)], [(f"d{a}", 100 + a) for a in range(50)], places, 500)) == 500
+
+
+def test_legs_between_stops_of_many_names_meet_the_places_asked(spark):
+    """Stops 1 and 2 lie near a hundred points each, which ask for one another in pairs and not all for all."""
+    pairs = [(8, 1, 2), (9, 1, 2), (8, 1, 4), (8, 3, 2), (8, 3, 4), (8, 4, 1)]
+    origins = [(f"o{i}", 1) for i in range(100)] + [("o0", 3), ("o7", 3), ("o1", 4)]
+    destinations = [(f"d{i}", 2) for i in range(100)] + [("d3", 4), ("d7", 4), ("d0", 1)]
+    places = [(f"o{i}", f"d{i}", 8) for i in range(100)] + [("o7", "d3", 8), ("o0", "d3", 9), ("o1", "d0", 8)]
+    check_demand(spark, pairs, origins, destinations, places, 500)
+
+
+def test_options_chosen_before_places_are_those_chosen_after(spark, rows):
+    """Also where the fastest change has stairs, where two are equal, and where a stop has two names."""
+    rng = random.Random(5)
+    pairs = [(h, b, a) for h in (8, 9) for b in (1, 2, 3) for a in (4, 5)]
+    rides = [(h, ln, t, b, n, a, f"s{a}", rng.choice([50, 300, 600])) for h, b, a in pairs for ln, t, n in (("A", 1, f"s{b}"), ("A", 2, "z"), ("B", 1, None))]
+    direct = spark.createDataFrame(rides, legs_of(spark, pairs).schema)
+    changes = [
+        (h, "A", 1, ln, t, b, f"s{b}", x, y, a, f"s{a}", rng.choice([300, 400, 500]), rng.choice([None, 0.0, 10.0]), rng.random() < 0.5, rng.random() < 0.3)
+        for h, b, a in pairs for ln in ("B", "C") for t in (1, 2) for x in ("x", "v") for y in ("y", None)
+    ]
+    transfer = spark.createDataFrame(changes, "hour int, line1 string, route_type1 int, line2 string, route_type2 int, board_stop_id int, board_stop string, leave_stop string, enter_stop string, alight_stop_id int, alight_stop string, duration_sec int, walking_m double, stairs_all boolean, elevator_any boolean")
+    origins = named(spark, "origin", [("o", 1), ("o", 2), ("p", 2), ("p", 3)])
+    destinations = named(spark, "destination", [("d", 4), ("e", 4), ("e", 5)])
+    places = spark.createDataFrame([("o", "d", 8), ("o", "e", 8), ("p", "e", 9), ("p", "x", 8)], PLACES)
+    sides = (origins, destinations, places)
+    after = recommend.route_options(recommend.all_candidates(recommend._demanded(direct, *sides), recommend._demanded(transfer, *sides)))
+    before = recommend.asked_options(direct, transfer, *sides)
+    want = rows(after, *after.columns)
+    assert want and rows(before, *after.columns) == want
+    # And the plain choice.
+    plain = {}
+    for r in recommend.all_candidates(recommend._demanded(direct, *sides), recommend._demanded(transfer, *sides)).where("duration_sec >= 60").collect():
+        for needs in (False,) if r.blocked_no_elevator else (False, True):
+            key = (r.origin_station, r.destination_station, r.hour, needs, r.board_stop_id, r.alight_stop_id, tuple(r.lines))
+            value = (r.duration_sec, r.transfers, r.walking_m, *[tuple((v is not None, v or "") for v in x) for x in (r.stations, r.transfer_stations)])
+            plain[key] = min(plain.get(key, value), value)
+    got = {tuple(map(lambda v: tuple(v) if isinstance(v, list) else v, (r[c] for c in recommend.OPTION))): r for r in before.collect()}
+    assert got.keys() == plain.keys() and before.count() == len(plain)
+    assert all((got[k].duration_sec, got[k].transfers, got[k].walking_m) == v[:3] for k, v in plain.items())
+
+
+def test_options_go_through_one_exchange_as_one_row_for_all_travellers(spark):
+    """Before the choice no candidate is repeated for travellers with and without steps, nor held beside its own order."""
+    sides = (named(spark, "origin", [("o", 1)]), named(spark, "destination", [("d", 2)]), spark.createDataFrame([("o", "d", 8)], PLACES))
+    candidates = recommend.all_candidates(recommend._demanded(legs_of(spark, [(8, 1, 2)]), *sides), recommend._demanded(legs_of(spark, []), *sides).select(
+        *recommend.PLACE, "board_stop_id", "board_stop", "alight_stop_id", "alight_stop", "duration_sec", F.lit("A").alias("line1"), F.lit("B").alias("line2"),
+        F.lit("x").alias("leave_stop"), F.lit("y").alias("enter_stop"), F.lit(0.0).alias("walking_m"), F.lit(True).alias("stairs_all"), F.lit(False).alias("elevator_any"),
+    ))
+    options = recommend.route_options(candidates)
+    plan = options._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Aggregate") and "min_by" not in plan
+    assert sorted(r.accessible_required for r in options.collect()) == [False, True]
+
+
+def test_calls_are_marked_once_for_all_their_uses(spark, rows):
+    calls = [("T", "A", 1, s, f"s{s}", s or 9, 100 * i, 100 * i + 30) for i, s in enumerate([1, 2, 3, 4, 5, None])]
+    schedule = spark.createDataFrame(calls, ", ".join(f"{c} {t}" for c, t in zip(recommend.CALL, ("string", "string", "int", "int", "string", "int", "int", "int"), strict=True)))
+    walks = spark.createDataFrame([(2, 3), (2, 4), (None, 1)], "from_stop_id int, to_stop_id int")
+    marked = recommend.demanded_calls(schedule, walks, named(spark, "origin", [("o", 1), ("p", 1), ("o", 2)]), named(spark, "destination", [("d", 4)]))
+    uses = ["at_origin", "at_destination", "at_leave", "at_enter"]
+    assert rows(marked, "stop_id", *uses) == [(1, True, False, False, True), (2, True, False, True, False), (3, False, False, False, True), (4, False, True, False, True)]
+    places = spark.createDataFrame([("o", "d", 0)], PLACES)
+    sides = (named(spark, "origin", [("o", 1), ("o", 2)]), named(spark, "destination", [("d", 4)]), places)
+    assert rows(recommend.fastest_rides(marked, *sides)) == rows(recommend.fastest_rides(schedule, *sides)) != []
+    assert "LeftSemi" not in recommend.fastest_rides(marked, *sides)._jdf.queryExecution().optimizedPlan().toString()
