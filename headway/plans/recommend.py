@@ -200,40 +200,64 @@ def fastest_rides(
     return rides.groupBy("hour", *RIDE).agg(F.min(F.col("arr") - F.col("dep")).alias("duration_sec"))
 
 
-# Names of a stop beyond which its legs go by the places asked from or to it.
+# Names of a stop up to which its legs take them all.
 FEW_NAMES = 8
 
+BY_NAMES, BY_ORIGIN, BY_DESTINATION = 0, 1, 2
 
-def _by_names(side: DataFrame, stop: str) -> tuple[DataFrame, DataFrame | None]:
-    """The stops of names, apart where a stop has few names and where it has many, if any does.
 
-    Written, so that their size is known before the legs meet them.
+def _ways(legs: DataFrame, boards: DataFrame, alights: DataFrame, asked: DataFrame) -> DataFrame:
+    """Legs with a number, ``_leg``, and ``_way``: by which of three joins each meets the fewest names and places. Written, as they
+    are read for each.
+
+    Rows are counted of the pairs of names of the leg's stops, of the places asked from its first stop at its hour, and of
+    those asked to its last one. Legs without any are left out.
     """
-    side = side.withColumnRenamed("stop_id", stop)
-    counts = side.groupBy(stop).agg((F.count("*") > FEW_NAMES).alias("_many"))
-    marked = settled(side.join(counts, stop), f"names_by_{stop}")
-    many = marked.where("_many").drop("_many")
-    return marked.where("NOT _many").drop("_many"), None if many.isEmpty() else many
+
+    def counts(side: DataFrame, stop: str, name: str) -> DataFrame:
+        places = asked.groupBy(name, "hour").agg(F.count("*").alias("_asked"))
+        found = side.join(places, name).groupBy(stop, "hour").agg(F.sum("_asked").alias(f"_asked_{stop}"))
+        return settled(found.join(side.groupBy(stop).agg(F.count("*").alias(f"_names_{stop}")), stop), f"counts_by_{stop}")
+
+    known = legs.join(counts(boards, "board_stop_id", "origin_station"), ["board_stop_id", "hour"])
+    known = known.join(counts(alights, "alight_stop_id", "destination_station"), ["alight_stop_id", "hour"])
+    pairs = F.col("_names_board_stop_id") * F.col("_names_alight_stop_id")
+    from_here, to_there = F.col("_asked_board_stop_id"), F.col("_asked_alight_stop_id")
+    way = F.when(pairs <= F.least(from_here, to_there), BY_NAMES).when(from_here <= to_there, BY_ORIGIN).otherwise(BY_DESTINATION)
+    return settled(known.select(*legs.columns, way.alias("_way"), F.monotonically_increasing_id().alias("_leg")), "legs")
 
 
 def _demanded(legs: DataFrame, origins: DataFrame, destinations: DataFrame, places: DataFrame) -> DataFrame:
     """Legs with the (origin, destination, hour) that asked for their stop pair.
 
-    Where both stops of a leg have few names, it takes the names of both, and those pairs stay that
-    are asked for at its hour. A stop with many names would make many pairs of which few are asked for: its legs
-    take the places asked from it (or to it) at their hour, and those stay that end (or begin) at the other stop.
+    A leg takes the names of both its stops, and those pairs stay that are asked for at its hour. Stops with many names
+    would make many pairs of which few are asked for: where there are such stops, a leg may take the places asked from its
+    first stop (or to its last one) instead, of which those stay that end (or begin) at its other stop. There only a leg's
+    number, stops and hour go through these joins. Names are written, so that their size is known before the legs meet them.
     """
-    few_from, many_from = _by_names(origins, "board_stop_id")
-    few_to, many_to = _by_names(destinations, "alight_stop_id")
+    boards = settled(origins.withColumnRenamed("stop_id", "board_stop_id"), "names_of_origins")
+    alights = settled(destinations.withColumnRenamed("stop_id", "alight_stop_id"), "names_of_destinations")
     asked = places.select(*PLACE)
-    found = legs.join(few_from, "board_stop_id").join(few_to, "alight_stop_id").join(asked, PLACE)
-    if many_from is not None:
-        every = few_to if many_to is None else few_to.unionByName(many_to)
-        wide = legs.join(many_from, "board_stop_id").join(asked, ["origin_station", "hour"])
-        found = found.unionByName(wide.join(every, ["destination_station", "alight_stop_id"]))
-    if many_to is not None:
-        wide = legs.join(many_to, "alight_stop_id").join(asked, ["destination_station", "hour"])
-        found = found.unionByName(wide.join(few_from, ["origin_station", "board_stop_id"]))
+
+    def few(side: DataFrame, stop: str) -> bool:
+        return side.groupBy(stop).count().where(F.col("count") > FEW_NAMES).isEmpty()
+
+    if few(boards, "board_stop_id") and few(alights, "alight_stop_id"):
+        return legs.join(boards, "board_stop_id").join(alights, "alight_stop_id").join(asked, PLACE)
+    legs = _ways(legs, boards, alights, asked)
+    starts, ends = ["origin_station", "board_stop_id"], ["destination_station", "alight_stop_id"]
+    begin, end = boards.select(*starts), alights.select(*ends)
+
+    def of(way: int) -> DataFrame:
+        return legs.where(F.col("_way") == way).select("_leg", "hour", "board_stop_id", "alight_stop_id")
+
+    named = of(BY_NAMES).join(begin, "board_stop_id").join(end, "alight_stop_id").join(asked, PLACE)
+    from_here = of(BY_ORIGIN).join(begin, "board_stop_id").join(asked, ["origin_station", "hour"]).join(end, ends)
+    to_there = of(BY_DESTINATION).join(end, "alight_stop_id").join(asked, ["destination_station", "hour"]).join(begin, starts)
+    met = reduce(DataFrame.unionByName, (named, from_here, to_there)).select("_leg", "origin_station", "destination_station")
+    found = met.join(legs, "_leg").drop("_leg", "_way")
+    for side, keys in ((boards, starts), (alights, ends)):
+        found = found.join(side, keys) if set(side.columns) - set(keys) else found
     return found
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 from pyspark.sql import functions as F
@@ -240,3 +241,37 @@ def test_calls_are_marked_once_for_all_their_uses(spark, rows):
     sides = (named(spark, "origin", [("o", 1), ("o", 2)]), named(spark, "destination", [("d", 4)]), places)
     assert rows(recommend.fastest_rides(marked, *sides)) == rows(recommend.fastest_rides(schedule, *sides)) != []
     assert "LeftSemi" not in recommend.fastest_rides(marked, *sides)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_legs_that_meet_names_in_several_ways_are_made_once(spark):
+    sides = named(spark, "origin", [(f"o{i}", 1) for i in range(20)]), named(spark, "destination", [(f"d{i}", 2) for i in range(20)])
+    places = spark.createDataFrame([(f"o{i}", f"d{i}", 8) for i in range(20)], PLACES)
+    found = recommend._demanded(legs_of(spark, [(8, 1, 2)]), *sides, places)
+    assert any("/legs-" in f for f in found.inputFiles()) and found.count() == 20
+    few = recommend._demanded(legs_of(spark, [(8, 1, 2)]), named(spark, "origin", [("o0", 1)]), named(spark, "destination", [("d0", 2)]), places)
+    assert not any("/legs-" in f for f in few.inputFiles()) and few.count() == 1
+
+
+def test_walks_to_stops_come_with_the_stops_names(spark, monkeypatch):
+    """Options of points have the metres from the join with places: nothing is joined with them by place again."""
+    given, plain = [], recommend.with_criteria
+    monkeypatch.setattr(recommend, "with_criteria", lambda options, *rest, **more: given.append((options, rest[4:], more)) or plain(options, *rest, **more))
+    calls = [("T", "A", 1, s, f"s{s}", s, 8 * 3600 + 600 * s, 8 * 3600 + 600 * s) for s in (1, 2)]
+    schedule = spark.createDataFrame(calls, "trip_id string, route_short_name string, route_type int, stop_id int, stop_name string, stop_sequence int, arrival_seconds int, departure_seconds int")
+    walks = spark.createDataFrame([], "from_stop_id int, to_stop_id int, min_transfer_time int, pathway_length_m double, has_stairs boolean, has_elevator boolean")
+    # The first stop is found by the point and by a text that reads like it.
+    stops = spark.createDataFrame([(1, "48.0,2.0 hall", None, 48.001, 2.0), (2, "s2", None, 48.1, 2.0)], "stop_id int, stop_name string, parent_station_name string, stop_lat double, stop_lon double")
+    asked = [(1, None, "s2", 48.0, 2.0), (2, "48.0,2.0", None, None, None), (3, "48.0,2.0", "s2", None, None)]
+    asked = spark.createDataFrame(asked, "id int, origin_station string, destination_station string, origin_lat double, origin_lon double")
+    asked = asked.select("*", F.when(F.col("id") == 2, 48.101).alias("destination_lat"), F.when(F.col("id") == 2, 2.0).alias("destination_lon"), F.lit(8).alias("hour"), F.lit(False).alias("accessible_required"), F.lit(0).alias("crowding_sensitivity"), F.lit(False).alias("minimize_walking"), F.lit(2).alias("max_transfers"))
+    delays = spark.createDataFrame([], "published_line string, pct_on_time double")
+    crowd = spark.createDataFrame([("s1", 8, "JOHV", 100.0)], "libelle_arret string, hour_start int, cat_jour string, estimated_validations double")
+    lifts = spark.createDataFrame([], "station_name string, pct_available double")
+    day = dt.date(2025, 1, 7)
+    calendar = spark.createDataFrame([(day, "JOHV")], "date date, cat_jour string")
+    routes = recommend.recommend(asked, schedule, walks, stops, delays, crowd, lifts, calendar, day)
+    found = {r.destination_station: (r.walking_m, r.crowding_est) for r in routes.collect()}
+    assert found == {"s2": (0.0, 200.0), "48.101,2.0": (111.2, 200.0)}
+    ((options, walks_given, more),) = given
+    assert not walks_given and not {"access", "egress"} & more.keys()
+    assert {r.destination_station: r._times for r in options.collect()} == {"s2": 2, "48.101,2.0": 2}
