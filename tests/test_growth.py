@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from headway.operators.nearby import nearest_points
 from headway.plans import gold, recommend, silver
-from headway.queries import adapters
+from headway.queries import adapters, journeys
 from headway.queries.registry import Tables
 
 
@@ -275,3 +275,17 @@ def test_walks_to_stops_come_with_the_stops_names(spark, monkeypatch):
     ((options, walks_given, more),) = given
     assert not walks_given and not {"access", "egress"} & more.keys()
     assert {r.destination_station: r._times for r in options.collect()} == {"s2": 2, "48.101,2.0": 2}
+
+
+def test_calls_of_routes_need_no_written_schedule(spark):
+    """Messages and scores come from marked calls: no table of all stop times or of the whole schedule is written for them."""
+    files = journeys.demanded_calls.plan(Tables(spark, "/root/testdata/sf0.001")).inputFiles()
+    assert any("lineitem" in f for f in files) and not any("/schedule/" in f or "/stop_times/" in f for f in files)
+
+
+def test_scored_options_come_from_legs_and_not_from_written_routes(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    files = journeys.options.plan(t).inputFiles()
+    assert any("/demanded_calls/" in f for f in files) and not any("/direct/" in f or "/changing/" in f for f in files)
+    # Searches are written once: joins with options know that they are few.
+    assert any("/searches/" in f for f in journeys.searches(t).inputFiles())
